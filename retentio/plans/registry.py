@@ -1,0 +1,41 @@
+"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
+
+Each wraps a library operator with the fixed parameters of ``defaults``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..functions import windows as W
+from ..operators import boards
+from ..sources.adapter import Model
+from ..sources.tables import load_tables
+from .defaults import AS_OF
+
+REGISTRY: dict[str, Callable[[Model], DataFrame]] = {}
+
+
+def query(name):
+    def deco(fn):
+        REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def _mw():
+    return W.month_windows(AS_OF)
+
+
+@query("monthly_kpis")
+def _monthly_kpis(m):
+    mw = _mw()
+    return boards.monthly_kpis(m, mw.itm, mw.ftm)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def bind(fn):
+        return lambda spark, sf_dir: fn(Model(load_tables(spark, sf_dir)))
+    return {k: bind(v) for k, v in REGISTRY.items()}
