@@ -18,9 +18,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_rates": ((), """
         SELECT r_regionkey AS currency_id, CAST(m AS DATE) AS currency_exchange_date,
                CASE WHEN r_regionkey = 3 AND CAST(m AS DATE) = DATE '2001-05-01' THEN 0.0
-                    ELSE CAST(100 + r_regionkey * 50 + month(m) AS DOUBLE) / 100.0 END AS rate_us,
+                    ELSE CAST(1000037 + r_regionkey * 500000 + month(m) * 10000 AS DOUBLE) / 1000000.0 END AS rate_us,
                CASE WHEN r_regionkey = 3 AND CAST(m AS DATE) = DATE '2001-05-01' THEN 0.0
-                    ELSE CAST(100 + r_regionkey * 50 + month(m) AS DOUBLE) / 100.0 * 0.9 END AS rate_eu
+                    ELSE CAST(1000037 + r_regionkey * 500000 + month(m) * 10000 AS DOUBLE) / 1000000.0 * 0.9 END AS rate_eu
         FROM region, generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH) AS g(m)
         WHERE NOT (r_regionkey = 4 AND CAST(m AS DATE) = DATE '2001-06-01')"""),
     "users": ((), """
@@ -95,7 +95,22 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT l.l_orderkey AS order_id, 'Purchase' AS operation, 'W_' || upper(p.p_type) AS campaign_code,
                CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)) AS amount
         FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
-        WHERE l.l_returnflag = 'R'"""),
+        WHERE l.l_returnflag = 'R' AND l.l_linenumber > 1"""),
+    "funding": ((), """
+        SELECT l_orderkey AS order_id,
+               CASE WHEN l_returnflag = 'A' THEN 10 WHEN l_linestatus = 'F' THEN 25 ELSE 35 END AS type,
+               CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS amount
+        FROM lineitem WHERE l_returnflag IN ('R', 'A')"""),
+    "vouchers_daily": (("coupons", "orders_f", "countries"), """
+        SELECT c.order_registered_date AS date, cn.country_name, c.campaign_name, c.discount_type AS coupon_type,
+               CASE WHEN c.payment_mode = 'TOTAL_AMOUNT' THEN 1 ELSE 0 END AS payment_shopper,
+               COUNT(*) AS coupons_redeemed_confirmed,
+               CAST(SUM(o.is_acquisition) AS BIGINT) AS coupon_orders_acq_confirmed,
+               SUM(c.used_amount) AS coupon_used_amount_confirmed
+        FROM coupons c JOIN orders_f o ON o.order_id = c.order_id
+        LEFT JOIN countries cn ON cn.country_id = c.coupon_country_id
+        WHERE o.order_status = 'CONFIRMED'
+        GROUP BY 1, 2, 3, 4, 5"""),
 }
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+from fractions import Fraction
 from typing import NamedTuple
 
 
@@ -71,8 +72,9 @@ def run_rate(as_of: dt.date, fri: float = 1.4, sat: float = 1.4, sun: float = 1.
     """
     if as_of.day == 1:
         return 1.0
-    weights = [1.0, 1.0, 1.0, 1.0, fri, sat, sun]
+    # exact arithmetic: the ratio is rounded once, like a division of two sums
+    weights = [Fraction(1)] * 4 + [Fraction(str(fri)), Fraction(str(sat)), Fraction(str(sun))]
     days = calendar.monthrange(as_of.year, as_of.month)[1]
     total = sum(weights[dt.date(as_of.year, as_of.month, d).weekday()] for d in range(1, days + 1))
     done = sum(weights[dt.date(as_of.year, as_of.month, d).weekday()] for d in range(1, as_of.day))
-    return 0.01 if done == 0 else done / total
+    return 0.01 if done == 0 else float(done / total)

@@ -1,16 +1,23 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
 Each wraps a library operator with the fixed parameters of ``defaults``.
+Published money columns are rounded to cents and ratios kept as doubles, so
+the Spark result and the oracle can be compared value by value.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import exprs as X
+from ..functions import rules as R
 from ..functions import windows as W
-from ..operators import boards
+from ..operators import boards, spend
+from ..sources import lookups as L
 from ..sources.adapter import Model
 from ..sources.tables import load_tables
 from .defaults import AS_OF
@@ -25,16 +32,87 @@ def query(name):
     return deco
 
 
+def publish(df: DataFrame, money=(), digits: int = 2) -> DataFrame:
+    """Round money columns to cents and publish them as doubles."""
+    return df.withColumns({c: F.round(F.col(c), digits).cast("double") for c in money})
+
+
 def _mw():
     return W.month_windows(AS_OF)
 
 
+def _sheets(m):
+    spark = m.spark
+    rules = R.compile_rules(L.RULES_FIXTURE)
+    tax = R.prepare_tax(L.tax_frame(spark), L.rename_frame(spark))
+    return rules, tax, L.zones_frame(spark), L.block_list()
+
+
+# ------------------------------------------------------------------ boards
 @query("monthly_kpis")
 def _monthly_kpis(m):
     mw = _mw()
     return boards.monthly_kpis(m, mw.itm, mw.ftm)
 
 
+# ------------------------------------------------------------------ spend
+@query("fx_normalize")
+def _fx_normalize(m):
+    start = W.n_month_start(AS_OF, 6)
+    o = boards.confirmed_orders(m, start, _mw().ftm)
+    o = spend.fx_normalize(o, m, "total_amount")
+    g = o.groupBy(F.col("country_name").alias("Country"), X.month_key("registered_date").alias("Month")).agg(
+        F.sum("total_amount").alias("GMV"), F.sum("total_amount_usd").alias("GMV_USD"))
+    return publish(g, ["GMV", "GMV_USD"])
+
+
+@query("order_discounts")
+def _order_discounts(m):
+    start = W.first_of_month(W.add_months(AS_OF, -2))
+    return publish(spend.order_discounts(m, start, AS_OF), ["total_disc", "total_voucher_disc"])
+
+
+@query("crm_spend")
+def _crm_spend(m):
+    mw = _mw()
+    return publish(spend.crm_spend(m, mw.itm, mw.ftm), ["Amount", "Amount_Shopper"])
+
+
+def _six_weeks():
+    _, fin = W.last_complete_week(AS_OF)
+    start = fin - dt.timedelta(days=41)
+    return start, _mw().ftm
+
+
+@query("wallet_spend")
+def _wallet_spend(m):
+    start, end = _six_weeks()
+    return publish(spend.wallet_spend(m, start, end), [
+        "Used_Amount", "Used_Amount_USD", "Used_Amount_Confirmed", "Used_Amount_Confirmed_USD"])
+
+
+@query("coupon_spend_daily")
+def _coupon_spend_daily(m):
+    start, end = _six_weeks()
+    return publish(spend.coupon_spend_daily(m, start, end, W.add_months(start, -12)), [
+        "Used_Amount", "Used_Amount_USD", "Used_Amount_Confirmed", "Used_Amount_Confirmed_USD"])
+
+
+@query("spend_by_type_month")
+def _spend_by_type_month(m):
+    rules, tax, _, block = _sheets(m)
+    mw = _mw()
+    start = W.first_of_month(W.add_months(AS_OF, -4))
+    df = spend.spend_by_type_month(m, start, mw.flm, rules, tax, block, exclude_country="NATION_3")
+    return publish(df, ["Final_AMOUNT", "Final_PERCENTAGE"])
+
+
+@query("spend_by_zone")
+def _spend_by_zone(m):
+    rules, tax, zones, block = _sheets(m)
+    return publish(spend.spend_by_zone(m, AS_OF, rules, tax, zones, block), ["Final", "Final RR"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Model(load_tables(spark, sf_dir)))

@@ -25,8 +25,14 @@ Mapping (fixed values; the SQL adapter repeats them):
   the order's partner is its supplier; payment mode TOTAL_AMOUNT when the
   supplier balance is >= 4300, else COMMISSION
 * coupon: the first line when its discount is >= 0.05; campaign = its part
-* wallet line: every line with return flag R; campaign code = ``W_`` + part type
-* currency = region; monthly USD rate = (100 + 50 * currency + month) / 100,
+* wallet line: every line with return flag R and line number > 1;
+  campaign code = ``W_`` + part type
+* funding rows: lines with return flag R (type 25 when line status F, else 35)
+  and A (type 10, not wallet funding); amount = extended price x tax
+* vouchers daily: coupons of confirmed orders aggregated by day, country,
+  campaign, coupon type and payer
+* currency = region; monthly USD rate =
+  (1000037 + 500000 * currency + 10000 * month) / 1000000,
   with one missing month (currency 4, 2001-06) and one zero rate
   (currency 3, 2001-05)
 """
@@ -71,6 +77,10 @@ class Model:
         self.t = tables
         self._memo: dict[str, DataFrame] = {}
 
+    @property
+    def spark(self):
+        return next(iter(self.t.values())).sparkSession
+
     def _get(self, name, build):
         if name not in self._memo:
             self._memo[name] = build()
@@ -98,7 +108,10 @@ class Model:
             cur = self.t["region"].select(F.col("r_regionkey").alias("currency_id"))
             grid = cur.select("currency_id", F.explode(months).alias("currency_exchange_date"))
             grid = grid.filter(~((F.col("currency_id") == 4) & (F.col("currency_exchange_date") == F.lit(dt.date(2001, 6, 1)))))
-            rate = (F.lit(100) + F.col("currency_id") * 50 + F.month("currency_exchange_date")).cast("double") / F.lit(100.0)
+            # numerator coprime to 10 and large: a division by the rate essentially never
+            # lands exactly on a half cent, so rounding is the same in every engine
+            rate = (F.lit(1000037) + F.col("currency_id") * 500000 + F.month("currency_exchange_date") * 10000
+                    ).cast("double") / F.lit(1000000.0)
             zero = (F.col("currency_id") == 3) & (F.col("currency_exchange_date") == F.lit(dt.date(2001, 5, 1)))
             return bounded_broadcast(grid.select(
                 "currency_id", "currency_exchange_date",
@@ -253,7 +266,7 @@ class Model:
     def wallet(self) -> DataFrame:
         """fact_wallet_attributions, exploded: one row per attribution detail."""
         def build():
-            li = self.t["lineitem"].filter(F.col("l_returnflag") == "R")
+            li = self.t["lineitem"].filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") > 1))
             p = self.t["part"].select("p_partkey", "p_type")
             j = li.join(p, li.l_partkey == p.p_partkey, "left")
             return j.select(
@@ -265,5 +278,34 @@ class Model:
         return self._get("wallet", build)
 
 
+    def funding(self) -> DataFrame:
+        """fact_order_funding: order_id, type, amount."""
+        def build():
+            li = self.t["lineitem"].filter(F.col("l_returnflag").isin("R", "A"))
+            return li.select(
+                F.col("l_orderkey").alias("order_id"),
+                F.when(F.col("l_returnflag") == "A", 10).when(F.col("l_linestatus") == "F", 25)
+                 .otherwise(35).alias("type"),
+                (F.col("l_extendedprice").cast(MONEY) * F.col("l_tax").cast("decimal(4,2)")).alias("amount"),
+            )
+        return self._get("funding", build)
+
+    def vouchers_daily(self) -> DataFrame:
+        """Pre-aggregated daily coupon table (confirmed orders only)."""
+        def build():
+            c = self.coupons().join(self.orders().select("order_id", "order_status", "is_acquisition"), "order_id")
+            c = c.filter(F.col("order_status") == "CONFIRMED")
+            c = c.join(self.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name"),
+                       "coupon_country_id", "left")
+            return c.groupBy(
+                F.col("order_registered_date").alias("date"), "country_name", "campaign_name",
+                F.col("discount_type").alias("coupon_type"),
+                F.when(F.col("payment_mode") == "TOTAL_AMOUNT", 1).otherwise(0).alias("payment_shopper"),
+            ).agg(F.count(F.lit(1)).alias("coupons_redeemed_confirmed"),
+                  F.sum("is_acquisition").cast("long").alias("coupon_orders_acq_confirmed"),
+                  F.sum("used_amount").alias("coupon_used_amount_confirmed"))
+        return self._get("vouchers_daily", build)
+
+
 def model(tables: dict[str, DataFrame]) -> Model:
     return Model(tables)
