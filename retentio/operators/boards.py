@@ -39,3 +39,61 @@ def monthly_kpis(m, start: dt.date, end: dt.date, by_month: bool = False) -> Dat
         F.sum("is_acquisition").cast("long").alias("Acq"),
         F.count_distinct("user_id").alias("Active_Users"),
     )
+
+
+# ---------------------------------------------------------------- D20
+def run_rate_frame(spark, as_of: dt.date, fri=1.4, sat=1.4, sun=1.4) -> DataFrame:
+    """D20 as a one-row frame: weighted share of the month elapsed before ``as_of``.
+
+    The month's days come from ``sequence`` + ``explode``; weights are exact
+    tenths so both sums are integers and the ratio is rounded once.
+    """
+    first = W.first_of_month(as_of)
+    last = W.last_of_month(as_of)
+    tenth = [int(round(w * 10)) for w in (fri, sat, sun)]
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("d"))
+    wd = F.weekday("d")
+    w = (F.when(wd == 4, tenth[0]).when(wd == 5, tenth[1]).when(wd == 6, tenth[2]).otherwise(10))
+    g = days.agg(F.sum(w).alias("total"), F.sum(F.when(F.col("d") < F.lit(as_of), w).otherwise(0)).alias("done"))
+    rr = F.when(F.lit(as_of.day == 1), F.lit(1.0)).when(F.col("done") == 0, F.lit(0.01)).otherwise(
+        F.col("done").cast("double") / F.col("total"))
+    return g.select(rr.alias("rr"))
+
+
+def project(df: DataFrame, cols, rr: float, suffix=" RR") -> DataFrame:
+    """Run-rate projection ``bround(x / rr)`` (pandas/Python rounding: half to even, T13)."""
+    return df.withColumns({f"{c}{suffix}": F.bround(F.col(c) / F.lit(rr), 0) for c in cols})
+
+
+# ---------------------------------------------------------------- D44
+def country_scorecard(m, as_of: dt.date) -> DataFrame:
+    """D21 + D22 + D23 + D25 + D26 outer-joined on Country, gaps as 0, ratios and projections."""
+    from . import lifecycle as L
+    mw = W.month_windows(as_of)
+    rr = W.run_rate(as_of)
+    parts = [
+        monthly_kpis(m, mw.itm, mw.ftm),
+        L.month_reorder(m, as_of).drop("M1_Adq", "No_Return"),
+        L.vertical_trials(m, as_of, mw.itm, mw.ftm).drop("%Trials"),
+        L.desired_returns(m, as_of),
+        L.reactivations(m, as_of),
+    ]
+    parts = [p.withColumn("Country", F.coalesce(F.upper("Country"), F.lit("NONE"))) for p in parts]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, "Country", "full")
+    nums = [c for c in out.columns if c != "Country"]
+    out = out.fillna(0, subset=nums)
+    out = out.withColumns({
+        "M1_Adq": X.ratio_or_zero("Acq_Reorder", "Acq_LM"),
+        "No_Return": X.ratio_or_zero(F.col("Active_LM") - F.col("Active_Reorder"), "Active_LM"),
+        "%Trials": X.ratio_or_zero("Adq_QC", "Active_CQ"),
+        "%Return Desired": X.ratio_or_zero("Return_Desired", "Desired"),
+    })
+    out = project(out, ["Orders", "Acq", "Adq_QC"], rr)
+    out = out.withColumns({
+        "Reactivated RR": F.bround(F.col("Return_Reactivated") / F.lit(rr), 0),
+        "Return_Desired RR": F.bround(F.col("Return_Desired") / F.lit(rr), 0),
+        "RR": F.lit(rr),
+    })
+    return out

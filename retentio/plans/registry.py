@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from ..functions import windows as W
-from ..operators import boards, spend
+from ..operators import boards, lifecycle, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model
 from ..sources.tables import load_tables
@@ -113,6 +113,43 @@ def _spend_by_zone(m):
     return publish(spend.spend_by_zone(m, AS_OF, rules, tax, zones, block), ["Final", "Final RR"])
 
 
+# ------------------------------------------------------------------ lifecycle
+@query("month_reorder")
+def _month_reorder(m):
+    return lifecycle.month_reorder(m, AS_OF)
+
+
+@query("vertical_trials")
+def _vertical_trials(m):
+    mw = _mw()
+    return lifecycle.vertical_trials(m, AS_OF, mw.itm, mw.ftm)
+
+
+@query("desired_returns")
+def _desired_returns(m):
+    return lifecycle.desired_returns(m, AS_OF)
+
+
+@query("reactivations")
+def _reactivations(m):
+    return lifecycle.reactivations(m, AS_OF)
+
+
+@query("country_scorecard")
+def _country_scorecard(m):
+    return boards.country_scorecard(m, AS_OF)
+
+
+@query("run_rate")
+def _run_rate(m):
+    """The run-rate frame joined to this month's confirmed orders per country (projection)."""
+    mw = _mw()
+    k = boards.monthly_kpis(m, mw.itm, mw.ftm)
+    rr = boards.run_rate_frame(m.spark, AS_OF)
+    j = k.crossJoin(F.broadcast(rr))
+    return j.select("Country", "Orders", "rr", F.bround(F.col("Orders") / F.col("rr"), 0).alias("Orders RR"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Model(load_tables(spark, sf_dir)))
