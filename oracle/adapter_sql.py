@@ -79,8 +79,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                fl.l_partkey AS campaign_id, ca.campaign_name,
                CAST(fl.l_extendedprice AS DECIMAL(18,2)) * CAST(fl.l_discount AS DECIMAL(4,2)) AS used_amount,
                CAST(fl.l_quantity AS INTEGER) AS usage_limit,
-               fl.l_shipdate AS created_at, fl.l_shipdate AS starts_at,
-               CASE WHEN fl.l_returnflag = 'N' THEN NULL ELSE fl.l_shipdate + INTERVAL 30 DAY END AS expires_at,
+               CAST(o.registered_date - CAST(ca.campaign_size AS INTEGER) AS TIMESTAMP) AS created_at,
+               CAST(o.registered_date - CAST(ca.campaign_size AS INTEGER) AS TIMESTAMP) AS starts_at,
+               CASE WHEN fl.l_returnflag = 'N' THEN NULL
+                    ELSE CAST(o.registered_date - CAST(ca.campaign_size AS INTEGER) + 30 AS TIMESTAMP) END AS expires_at,
                CASE WHEN fl.l_linestatus = 'F' THEN 'PERCENTAGE' ELSE 'AMOUNT' END AS discount_type,
                CAST(round(fl.l_discount * 100, 0) AS INTEGER) AS discount_value,
                CASE WHEN ca.campaign_size > 25 THEN 500 ELSE 250 END AS max_amount,

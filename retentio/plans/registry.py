@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from ..functions import windows as W
-from ..operators import boards, lifecycle, spend
+from ..operators import boards, cohorts, lifecycle, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model
 from ..sources.tables import load_tables
@@ -150,6 +150,53 @@ def _run_rate(m):
     return j.select("Country", "Orders", "rr", F.bround(F.col("Orders") / F.col("rr"), 0).alias("Orders RR"))
 
 
+# ------------------------------------------------------------------ cohorts
+COHORT_MONEY = ["Original_Amount_Used"] + [f"{b}_{x}" for b in ("M1", "M2", "M3") for x in (
+    "Revenue", "Total_Paid", "Total_Paid_USD", "Total_Disc", "Total_Disc_USD", "Total_Voucher_Disc",
+    "Total_Voucher_Disc_USD", "Amount_Used", "Amount_Used_USD")]
+
+
+def _money_in(df, names=COHORT_MONEY):
+    return [c for c in names if c in df.columns]
+
+
+@query("campaign_cohorts")
+def _campaign_cohorts(m):
+    return cohorts.campaign_cohorts(m, AS_OF)
+
+
+@query("cohort_retention_rates")
+def _cohort_retention_rates(m):
+    return cohorts.cohort_retention_rates(cohorts.campaign_cohorts(m, AS_OF))
+
+
+@query("campaign_cohort_value")
+def _campaign_cohort_value(m):
+    df = cohorts.campaign_cohort_value(m, AS_OF, "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    return publish(df, _money_in(df))
+
+
+@query("campaign_cohort_value_coupon")
+def _campaign_cohort_value_coupon(m):
+    df = cohorts.campaign_cohort_value(m, AS_OF, "coupon")
+    return publish(df, _money_in(df))
+
+
+@query("mature_cohorts")
+def _mature_cohorts(m):
+    rules, _, _, _ = _sheets(m)
+    df = cohorts.campaign_cohort_value(m, AS_OF, "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    out = cohorts.mature_cohorts(df, ["Country", "City", "Campaign", "Discount_Type", "Variation"], rules)
+    return publish(out, _money_in(out))
+
+
+@query("adr_after_campaign")
+def _adr_after_campaign(m):
+    df = cohorts.adr_after_campaign(m, AS_OF, like="%BRAND%")
+    return publish(df, ["Total_Paid", "Total_Disc", "Total_Voucher_Disc", "Total_Amount_Used", "Total_Paid_USD",
+                        "Total_Disc_USD", "Total_Voucher_Disc_USD", "Total_Amount_Used_USD"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Model(load_tables(spark, sf_dir)))

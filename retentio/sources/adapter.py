@@ -24,7 +24,9 @@ Mapping (fixed values; the SQL adapter repeats them):
 * first line of an order = smallest (line number, part key, supplier key);
   the order's partner is its supplier; payment mode TOTAL_AMOUNT when the
   supplier balance is >= 4300, else COMMISSION
-* coupon: the first line when its discount is >= 0.05; campaign = its part
+* coupon: the first line when its discount is >= 0.05; campaign = its part;
+  created (and valid from) part-size days before the order, valid for 30
+  days (open-ended when the return flag is N)
 * wallet line: every line with return flag R and line number > 1;
   campaign code = ``W_`` + part type
 * funding rows: lines with return flag R (type 25 when line status F, else 35)
@@ -241,6 +243,8 @@ class Model:
             c = fl.join(o, "order_id").join(self.campaigns(), F.col("l_partkey") == F.col("campaign_id"), "left")
             c = c.join(self.partners(), F.col("l_suppkey") == F.col("partner_id"), "left")
             used = F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)")
+            created_day = F.date_sub("registered_date", F.col("campaign_size"))
+            created = created_day.cast("timestamp")
             return c.select(
                 F.concat(F.lit("CP"), F.col("order_id").cast("string")).alias("coupon_id"),
                 "order_id", "user_id",
@@ -250,10 +254,10 @@ class Model:
                 "campaign_name",
                 used.alias("used_amount"),
                 F.col("l_quantity").cast("int").alias("usage_limit"),
-                F.col("l_shipdate").alias("created_at"),
-                F.col("l_shipdate").alias("starts_at"),
+                created.alias("created_at"),
+                created.alias("starts_at"),
                 F.when(F.col("l_returnflag") == "N", F.lit(None).cast("timestamp"))
-                 .otherwise(F.col("l_shipdate") + F.expr("interval 30 days")).alias("expires_at"),
+                 .otherwise(F.date_add(created_day, 30).cast("timestamp")).alias("expires_at"),
                 F.when(F.col("l_linestatus") == "F", "PERCENTAGE").otherwise("AMOUNT").alias("discount_type"),
                 F.round(F.col("l_discount") * 100, 0).cast("int").alias("discount_value"),
                 F.when(F.col("campaign_size") > 25, 500).otherwise(250).alias("max_amount"),
