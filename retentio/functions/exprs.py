@@ -114,3 +114,14 @@ def band(x, edges, labels) -> Column:
         cond = x <= F.lit(e)
         expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
     return expr.otherwise(F.lit(labels[-1]))
+
+
+def in_window(df, start, end, col: str = "registered_date"):
+    """SRC6: date-window filter; when the frame is month-partitioned (stored
+    orders) the same window is applied to the partition column so the scan
+    prunes whole months."""
+    from pyspark.sql import functions as F
+    cond = F.col(col).between(F.lit(start), F.lit(end))
+    if "order_month" in df.columns:
+        cond = cond & F.col("order_month").between(F.trunc(F.lit(start), "MM"), F.trunc(F.lit(end), "MM"))
+    return df.filter(cond)

@@ -19,8 +19,8 @@ from ..plans.guards import bounded_broadcast
 def confirmed_orders(m, start: dt.date, end: dt.date) -> DataFrame:
     """SRC6 + FLT1/FLT2: confirmed orders registered in [start, end]."""
     o = m.orders()
-    return o.filter(F.col("registered_date").between(F.lit(start), F.lit(end))
-                    & (F.col("order_status") == "CONFIRMED"))
+    return X.in_window(o, start, end).filter(
+                    (F.col("order_status") == "CONFIRMED"))
 
 
 def monthly_kpis(m, start: dt.date, end: dt.date, by_month: bool = False) -> DataFrame:

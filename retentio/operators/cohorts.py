@@ -128,7 +128,7 @@ def campaign_cohorts(m, as_of: dt.date, months_back: int = 3, max_days: int = 18
     b_to = W.first_of_month(as_of) - dt.timedelta(days=1)
     bt = barter(m, b_from, b_to, b_from, b_to)
     o_from = W.first_of_month(W.add_months(as_of, -months_back))
-    ot = m.orders().filter(F.col("registered_date").between(F.lit(o_from), F.lit(as_of)))
+    ot = X.in_window(m.orders(), o_from, as_of)
     ot = ot.select("order_id", "user_id", F.col("country_name").alias("country"),
                    F.coalesce("city_name", F.lit("-")).alias("city"), "order_status", "registered_date")
     acq_cols = ["country", "city", "campaign", "discount_type", "discount_amount", "discount_max_amount", "min_amount"]
@@ -175,7 +175,7 @@ def campaign_cohort_value(m, as_of: dt.date, source: str = "voucher", exclude_li
         c = m.coupons().filter(F.col("order_id").isNotNull()
                                & F.col("order_registered_date").between(F.lit(o_from), F.lit(as_of)))
         bt = c.select("order_id", F.col("campaign_name").alias("campaign"), F.col("used_amount").alias("amount_used"))
-    o = m.orders().filter(F.col("registered_date").between(F.lit(o_from), F.lit(as_of)))
+    o = X.in_window(m.orders(), o_from, as_of)
     o = o.join(_disc_per_order(m), "order_id")
     paid = F.coalesce(F.col("shipping_amount_no_discount") + F.col("amount_no_discount"), F.lit(0))
     o = o.withColumns({
@@ -277,8 +277,8 @@ def adr_after_campaign(m, as_of: dt.date, like: str = "%CENTRAL%") -> DataFrame:
     win3 = W.first_of_month(W.add_months(as_of, -3))
     win2 = W.first_of_month(W.add_months(as_of, -2))
     bt = barter(m, win3, as_of, win3, as_of)
-    o = m.orders().filter(F.col("registered_date").between(F.lit(win2), F.lit(as_of))
-                          & (F.col("order_status") == "CONFIRMED"))
+    o = X.in_window(m.orders(), win2, as_of).filter(
+                          (F.col("order_status") == "CONFIRMED"))
     dpo = _disc_per_order(m)
     o = o.join(dpo, "order_id", "left").withColumns({
         "total_paid": F.col("shipping_amount_no_discount") + F.col("amount_no_discount"),

@@ -25,8 +25,8 @@ NOT_QC = ["Restaurant", "Coffee", "Courier", "Courier Business"]
 
 def _conf(m, start=None, end=None) -> DataFrame:
     o = m.orders().filter(F.col("order_status") == "CONFIRMED")
-    if start is not None:
-        o = o.filter(F.col("registered_date") >= F.lit(start))
+    if start is not None and end is not None:
+        return X.in_window(o, start, end)
     if end is not None:
         o = o.filter(F.col("registered_date") <= F.lit(end))
     return o
@@ -117,7 +117,7 @@ def reactivations(m, as_of: dt.date) -> DataFrame:
     users = (ot.filter(F.col("registered_date") <= F.lit(lm_end))
              .groupBy("user_id", "country_name").agg(F.max("registered_date").alias("last_order")))
     react = users.filter(F.col("last_order") <= F.lit(lapsed))
-    ret = (ot.filter(F.col("registered_date").between(F.lit(W.first_of_month(as_of)), F.lit(W.last_of_month(as_of))))
+    ret = (X.in_window(ot, W.first_of_month(as_of), W.last_of_month(as_of))
            .join(react.select("user_id"), "user_id")
            .groupBy("country_name", "user_id").agg(F.count(F.lit(1)).alias("r_orders"))
            .withColumn("r_user", F.col("user_id")))

@@ -50,8 +50,8 @@ def order_discounts(m, start: dt.date, end: dt.date) -> DataFrame:
 
     UNNEST semantics: orders without any discount row disappear (T2).
     """
-    o = m.orders().filter(F.col("registered_date").between(F.lit(start), F.lit(end))
-                          & (F.col("order_status") == "CONFIRMED")).select("order_id", "city_name")
+    o = X.in_window(m.orders(), start, end).filter(
+                          (F.col("order_status") == "CONFIRMED")).select("order_id", "city_name")
     d = m.discounts()
     j = o.join(d, "order_id")
     amt = F.coalesce(F.col("discount_amount"), F.lit(0))
@@ -63,7 +63,7 @@ def order_discounts(m, start: dt.date, end: dt.date) -> DataFrame:
 
 # ---------------------------------------------------------------- building blocks
 def _orders_in(m, start, end, confirmed_only=True) -> DataFrame:
-    o = m.orders().filter(F.col("registered_date").between(F.lit(start), F.lit(end)))
+    o = X.in_window(m.orders(), start, end)
     if confirmed_only:
         o = o.filter(F.col("order_status") == "CONFIRMED")
     return o
@@ -263,7 +263,7 @@ def spend_by_type_month(m, start: dt.date, end: dt.date, rules: dict, tax: DataF
            .agg(F.coalesce(F.sum("Final"), F.lit(0.0))))
     piv = piv.select("Country", "Month", *[F.coalesce(F.col(t), F.lit(0.0)).alias(f"Final_{t}") for t in types])
 
-    o = m.orders().filter(F.col("registered_date").between(F.lit(start), F.lit(end)))
+    o = X.in_window(m.orders(), start, end)
     if exclude_country is not None:
         o = o.filter(F.col("country_name") != exclude_country)
     orders = o.groupBy(F.col("country_name").alias("Country"), X.month_key("registered_date").alias("Month")).agg(

@@ -18,7 +18,7 @@ from ..functions import rules as R
 from ..functions import windows as W
 from ..operators import boards, cohorts, lifecycle, spend
 from ..sources import lookups as L
-from ..sources.adapter import Model
+from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
 from .defaults import AS_OF
 
@@ -197,7 +197,12 @@ def _adr_after_campaign(m):
                         "Total_Disc_USD", "Total_Voucher_Disc_USD", "Total_Amount_Used_USD"])
 
 
+def model_for(spark: SparkSession, sf_dir: str) -> Model:
+    """The logical model over ``sf_dir``; its large views are stored once per session."""
+    return stored_model(spark, load_tables(spark, sf_dir), sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(Model(load_tables(spark, sf_dir)))
+        return lambda spark, sf_dir: fn(model_for(spark, sf_dir))
     return {k: bind(v) for k, v in REGISTRY.items()}

@@ -46,11 +46,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names shared storage and we use it as given.
-    Only when it is unset (local tests) do we pick a scratch folder ourselves.
+    Only when it is unset (local tests) do we pick a scratch folder ourselves,
+    through ``setCheckpointDir`` (the conf key itself is static).
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="retentio-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    current = tempfile.mkdtemp(prefix="retentio-ckpt-")
+    sc.setCheckpointDir(current)
     return current

@@ -313,3 +313,76 @@ class Model:
 
 def model(tables: dict[str, DataFrame]) -> Model:
     return Model(tables)
+
+
+# Views written once per input folder and read back by every query: the
+# logical star schema a warehouse would hold. ``orders`` is partitioned by
+# month so that the date windows of the queries prune whole partitions.
+PERSISTED = ("orders", "first_lines", "order_partner", "discounts", "coupons", "wallet", "funding",
+             "vouchers_daily", "users", "campaigns", "partners")
+BOUNDED = ("countries", "fx_rates")
+
+
+def _version() -> str:
+    import hashlib
+    import inspect
+    import sys
+    src = inspect.getsource(sys.modules[__name__])
+    return hashlib.sha1(src.encode()).hexdigest()[:12]
+
+
+class StoredModel(Model):
+    """A Model whose large views are materialised as Parquet under ``base``.
+
+    ``base`` must be shared storage on a cluster (the session's
+    ``spark.checkpoint.dir``). Writing the tables also cuts the lineage, so a
+    lost executor never forces a recomputation from the raw inputs.
+    """
+
+    def __init__(self, tables, base: str):
+        super().__init__(tables)
+        self.base = base.rstrip("/")
+
+    def _get(self, name, build):
+        if name in PERSISTED and name not in self._memo:
+            path = f"{self.base}/{name}"
+            spark = self.spark
+            try:
+                df = spark.read.parquet(path)
+            except Exception:  # not written yet
+                out = build()
+                writer = out.write.mode("overwrite")
+                if name == "orders":
+                    # range on (month, user): each task writes few month folders, and a
+                    # large month is still split over many tasks
+                    out = out.withColumn("order_month", F.trunc("registered_date", "MM"))
+                    out = out.repartitionByRange("order_month", "user_id")
+                    writer = out.write.mode("overwrite").partitionBy("order_month")
+                writer.parquet(path)
+                df = spark.read.parquet(path)
+            self._memo[name] = df
+            return df
+        if name in BOUNDED and name not in self._memo:
+            self._memo[name] = bounded_broadcast(build())
+        return super()._get(name, build)
+
+
+    def build_all(self):
+        """Write every stored view (the one-off ETL step)."""
+        for name in PERSISTED:
+            getattr(self, name)()
+
+
+_STORED: dict = {}
+
+
+def stored_model(spark, tables: dict[str, DataFrame], sf_dir: str) -> Model:
+    """One StoredModel per (session, input folder, adapter version)."""
+    from ..session import ensure_checkpoint_dir
+    import hashlib
+    key = (id(spark), sf_dir, _version())
+    if key not in _STORED:
+        root = ensure_checkpoint_dir(spark)
+        tag = hashlib.sha1(f"{sf_dir}|{key[2]}".encode()).hexdigest()[:16]
+        _STORED[key] = StoredModel(tables, f"{root.rstrip('/')}/retentio-model/{tag}")
+    return _STORED[key]
