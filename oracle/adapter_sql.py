@@ -27,6 +27,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT c_custkey AS user_id, c_nationkey AS country_id, c_mktsegment AS city_name,
                'AREA_' || CAST(CAST(floor(c_acctbal / 1000) AS INTEGER) AS VARCHAR) AS area_name
         FROM customer"""),
+    "user_cities": (("countries",), """
+        SELECT c.c_custkey AS user_id, cn.country_name AS country, c.c_mktsegment AS city,
+               CASE WHEN c.c_acctbal >= 0 THEN 'ORDERS' ELSE 'ADDRESS' END AS based
+        FROM customer c LEFT JOIN countries cn ON cn.country_id = c.c_nationkey"""),
     "partners": ((), """
         SELECT s_suppkey AS partner_id,
                CASE WHEN s_acctbal >= 4300 THEN 'TOTAL_AMOUNT' ELSE 'COMMISSION' END AS payment_mode

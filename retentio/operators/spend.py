@@ -346,3 +346,182 @@ def spend_by_zone(m, as_of: dt.date, rules: dict, tax: DataFrame, zones: DataFra
     wk = F.col("Week")
     return pt.withColumn("Week Type", F.when(wk < week_min, "Before")
                          .when((wk >= week_min) & (wk <= week_max), "Last 5 Complete").otherwise("Current"))
+
+
+# ---------------------------------------------------------------- D10
+def coupon_performance(m, as_of: dt.date, days: int = 30, created_days: int = 395) -> DataFrame:
+    """Per country / city / campaign: coupons created, redeemed, confirmed, acquisitions, spend by payer.
+
+    Redeemed coupons are placed in the order's city, created coupons in the
+    user's assigned city (T29); both sides meet in a full outer join on
+    (country, city, campaign) and the campaign name is looked up on whichever
+    side is present (the OR join of the reference as a coalesced key, T9).
+    """
+    since = as_of - dt.timedelta(days=days)
+    created_from = as_of - dt.timedelta(days=created_days)
+    cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name",
+                              F.col("currency_id").alias("c_cur"))
+    o = X.in_window(m.orders(), since, as_of).select(
+        "order_id", "order_status", "is_acquisition", "registered_date",
+        F.coalesce("city_name", F.lit("-")).alias("city"))
+    c = m.coupons().filter(F.to_date("created_at") >= F.lit(created_from)).select(
+        "order_id", "coupon_id", "coupon_country_id", "campaign_id", "used_amount")
+    r = o.join(c, "order_id").join(m.order_partner().select("order_id", "payment_mode"), "order_id", "left")
+    r = with_fx(r.join(cn, "coupon_country_id", "left"), m, currency_col="c_cur")
+    conf = F.col("order_status") == "CONFIRMED"
+    tot = conf & (F.col("payment_mode") == "TOTAL_AMOUNT")
+    shop = conf & (F.col("payment_mode") != "TOTAL_AMOUNT")
+    usd = _usd("used_amount")
+    # coupon fact rows are unique per (coupon, order): distinct orders are counts
+    redeemed = r.groupBy(F.col("country_name").alias("country"), "city", "campaign_id").agg(
+        F.count(F.lit(1)).alias("redeemed"),
+        F.count(F.when(conf, 1)).alias("redeemed_confirmed"),
+        F.count(F.when(F.col("is_acquisition") == 1, 1)).alias("acq"),
+        F.sum(F.when(tot, F.col("used_amount")).otherwise(F.lit(0))).alias("used_amount_confirmed"),
+        F.sum(F.when(shop, F.col("used_amount")).otherwise(F.lit(0))).alias("used_amount_confirmed_shopper"),
+        F.sum(F.when(tot, usd).otherwise(F.lit(0.0))).alias("used_amount_confirmed_usd"),
+        F.sum(F.when(shop, usd).otherwise(F.lit(0.0))).alias("used_amount_confirmed_usd_shopper"))
+
+    uc = m.user_cities().select("user_id", F.col("country").alias("_uc_country"), F.col("city").alias("_uc_city"))
+    cc = m.coupons().filter((F.to_date("created_at") >= F.lit(created_from))
+                            & ((F.to_date("expires_at") >= F.lit(since)) | F.col("starts_at").isNull()))
+    cc = cc.join(cn, "coupon_country_id", "left")
+    cc = cc.join(uc, (cc.user_id == uc.user_id) & (F.col("country_name") == F.col("_uc_country")), "left")
+    created = cc.groupBy(F.col("country_name").alias("country"), F.coalesce("_uc_city", F.lit("-")).alias("city"),
+                         "campaign_id").agg(
+        (F.count_distinct(F.when(F.col("usage_limit") == 1, F.col("coupon_id")))
+         + F.sum(F.when(F.col("usage_limit") > 1, F.col("usage_limit")).otherwise(0))).alias("created"))
+
+    crf = created.select(*[F.col(c).alias(f"crf_{c}") for c in created.columns])
+    j = crf.join(redeemed, (F.col("crf_country") == F.col("country")) & (F.col("crf_city") == F.col("city"))
+                 & (F.col("crf_campaign_id") == F.col("campaign_id")), "full")
+    names = m.campaigns().select(F.col("campaign_id").alias("_cid"), "campaign_name")
+    j = j.join(names, F.coalesce("crf_campaign_id", "campaign_id") == F.col("_cid"), "left")
+    return j.groupBy(F.coalesce("crf_country", "country").alias("Country"),
+                     F.coalesce("crf_city", "city").alias("City"),
+                     F.coalesce("campaign_name", F.lit("-")).alias("Campaign")).agg(
+        F.sum("crf_created").alias("Created"), F.sum("redeemed").alias("Redeemed"),
+        F.sum("redeemed_confirmed").alias("Redeemed_Confirmed"), F.sum("acq").alias("Acq"),
+        F.sum("used_amount_confirmed").alias("Used_Amount_Confirmed"),
+        F.sum("used_amount_confirmed_shopper").alias("Used_Amount_Confirmed_Shopper"),
+        F.sum("used_amount_confirmed_usd").alias("Used_Amount_Confirmed_USD"),
+        F.sum("used_amount_confirmed_usd_shopper").alias("Used_Amount_Confirmed_USD_Shopper"))
+
+
+def coupon_performance_final(perf: DataFrame, rules: dict, tax: DataFrame, block) -> DataFrame:
+    """D10 post-processing: cleaned keys, campaign classes, tax, block list, net spend."""
+    df = clean_campaign_frame(perf, ["Campaign", "Country", "City"])
+    df = R.classify_campaigns(df, "Campaign", rules)
+    df = R.net_of_tax(df, tax, "Used_Amount_Confirmed_USD_Shopper", "Used_Amount_Confirmed_USD", "Used_Final_USD")
+    df = df.withColumn("Used_Final", F.col("Used_Amount_Confirmed_Shopper").cast("double") / (F.lit(1.0) + F.col("IVA"))
+                       * F.col("Extra") + F.col("Used_Amount_Confirmed").cast("double"))
+    return R.drop_blocked(df, "Campaign", block)
+
+
+# ---------------------------------------------------------------- D11
+def active_flows(m, as_of: dt.date, days: int = 3) -> DataFrame:
+    """D11 (coupon form): distinct country / user city / campaign of coupons created in the last days."""
+    since = as_of - dt.timedelta(days=days)
+    c = m.coupons().filter(F.to_date("created_at") >= F.lit(since))
+    cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name")
+    c = c.join(cn, "coupon_country_id", "left")
+    uc = m.user_cities().select(F.col("user_id").alias("_u"), F.col("country").alias("_uc"), F.col("city").alias("_ucity"))
+    c = c.join(uc, (F.col("user_id") == F.col("_u")) & (F.col("country_name") == F.col("_uc")), "left")
+    return c.select(F.col("country_name").alias("Country"), F.coalesce("_ucity", F.lit("-")).alias("City"),
+                    F.col("campaign_name").alias("Campaign")).distinct()
+
+
+def active_flows_vouchers(m, as_of: dt.date, days: int = 3, exclude_like=()) -> DataFrame:
+    """D11 (voucher form): vouchers created in the last days per campaign variation, latest local expiry."""
+    from .cohorts import variation
+    c = m.coupons().filter(F.to_date("created_at") >= F.lit(as_of - dt.timedelta(days=days + 1)))
+    if exclude_like:
+        c = c.filter(X.not_like_any("campaign_name", exclude_like))
+    cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name", "timezone")
+    c = c.join(cn, "coupon_country_id", "left")
+    uc = m.user_cities().select(F.col("user_id").alias("_u"), F.col("country").alias("_uc"), F.col("city").alias("_ucity"))
+    c = c.join(uc, (F.col("user_id") == F.col("_u")) & (F.col("country_name") == F.col("_uc")), "left")
+    local = lambda t: F.to_date(X.local_time(t, "timezone"))
+    g = c.groupBy(local("created_at").alias("fecha"), F.col("country_name").alias("country"),
+                  F.coalesce("_ucity", F.lit("-")).alias("city"), F.col("campaign_name").alias("campaign"),
+                  "discount_type", F.col("discount_value").alias("discount_amount"),
+                  F.col("max_amount").alias("discount_max_amount"), "min_amount").agg(
+        F.count_distinct("coupon_id").alias("vouchers"), F.max(local("expires_at")).alias("finish"))
+    g = g.filter(F.col("fecha") >= F.lit(as_of - dt.timedelta(days=days)))
+    return g.groupBy(F.col("country").alias("Country"), F.col("city").alias("City"), F.col("campaign").alias("Campaign"),
+                     "discount_amount", "discount_max_amount", "min_amount").agg(
+        F.max("finish").alias("Finish"), F.sum(F.coalesce("vouchers", F.lit(0))).alias("Vouchers")
+    ).select("Country", "City", "Campaign", variation().alias("Variation"),
+             F.date_format("Finish", "yyyy-MM-dd").alias("Finish"), "Vouchers").distinct()
+
+
+# ---------------------------------------------------------------- D12
+def voucher_validity_daily(m, as_of: dt.date, exclude_like=()) -> DataFrame:
+    """Vouchers valid per day, rolled up per month: sent, used, confirmed, spend, ageing, availability.
+
+    The validity interval (local dates, open ends allowed) is exploded to days
+    clipped to the report window, which turns the reference's range join
+    against the calendar into an equi join with the orders on (order, day).
+    """
+    from . import primitives as P
+    from .cohorts import variation
+    if as_of.day == 1:
+        end = as_of - dt.timedelta(days=1)
+        start = W.first_of_month(W.add_months(as_of, -2))
+    else:
+        start = W.first_of_month(W.add_months(as_of, -1))
+        end = W.last_of_month(as_of)
+    start_coupon = start - dt.timedelta(days=16)
+    o = X.in_window(m.orders(), start, as_of).join(m.order_partner().select("order_id", "payment_mode"), "order_id", "left")
+    o = o.select(F.col("order_id").alias("o_order_id"), "order_status", F.col("registered_date").alias("o_date"),
+                 F.col("registered_at").alias("o_at"), F.col("city_name").alias("o_city"),
+                 F.when(F.col("payment_mode") == "TOTAL_AMOUNT", 1).otherwise(0).alias("iva"))
+    cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name", "currency_id", "timezone")
+    uc = m.user_cities().select(F.col("user_id").alias("_u"), F.col("country").alias("_uc"), F.col("city").alias("_ucity"))
+    bc = m.coupons().filter(F.to_date("created_at").between(F.lit(start_coupon), F.lit(as_of)))
+    bc = bc.join(cn, "coupon_country_id", "left")
+    bc = bc.join(uc, (F.col("user_id") == F.col("_u")) & (F.col("country_name") == F.col("_uc")), "left")
+    bc = bc.select("coupon_id", "order_id", F.col("used_amount").alias("amount_used"),
+                   F.col("campaign_name").alias("campaign"), "discount_type",
+                   F.col("discount_value").alias("discount_amount"), F.col("max_amount").alias("discount_max_amount"),
+                   "min_amount", "currency_id", "country_name", F.coalesce("_ucity", F.lit("-")).alias("u_city"),
+                   X.local_time("starts_at", "timezone").alias("starts_tt"),
+                   X.local_time("expires_at", "timezone").alias("expires_tt"))
+    bc = bc.filter(F.coalesce(F.col("campaign") != "", F.lit(False)))
+    if exclude_like:
+        bc = bc.filter(X.not_like_any("campaign", exclude_like))
+    days = P.explode_validity(bc, F.to_date("starts_tt"), F.to_date("expires_tt"), start, end, "d")
+    j = days.join(o, (F.col("order_id") == F.col("o_order_id")) & (F.col("d") == F.col("o_date")), "left")
+    j = with_fx(j, m, "o_date")
+    has = F.col("o_order_id").isNotNull()
+    conf = F.col("order_status") == "CONFIRMED"
+    avail = X.hours_between_boundaries("starts_tt", "expires_tt")
+    age = F.try_divide(X.hours_between_boundaries("starts_tt", "o_at").cast("double"), avail.cast("double"))
+    usd = _usd("amount_used")
+    g = j.groupBy(F.col("campaign").alias("Campaign"), F.coalesce("country_name", F.lit("-")).alias("Country"),
+                  F.coalesce("o_city", "u_city").alias("City"), X.month_key("d").alias("Month"),
+                  F.coalesce("discount_type", F.lit("-")).alias("Discount_Type"), variation().alias("Variation")).agg(
+        F.count_distinct("coupon_id").alias("Sent_Vouchers"),
+        F.count("o_order_id").alias("Total_Orders_Vouchers"),
+        F.count_distinct(F.when(conf, F.col("o_order_id"))).alias("Confirmed_Orders_Vouchers"),
+        F.sum(F.when(conf, F.col("amount_used")).otherwise(F.lit(0))).alias("Confirmed_Used_Amount"),
+        F.sum(F.when(conf, usd).otherwise(F.lit(0.0))).alias("Confirmed_Used_Amount_USD"),
+        F.sum(F.when(conf & (F.col("iva") == 0), F.col("amount_used")).otherwise(F.lit(0))).alias("Confirmed_Used_Amount_Iva"),
+        F.sum(F.when(conf & (F.col("iva") == 0), usd).otherwise(F.lit(0.0))).alias("Confirmed_Used_Amount_USD_Iva"),
+        F.avg(F.when(has, age)).alias("Ageing"),
+        F.avg(F.when(has, avail)).alias("Availability"))
+    return g
+
+
+# ---------------------------------------------------------------- D42 / D43
+def performance_joined(perf: DataFrame, stats: DataFrame, on=("Country", "City", "Campaign"), cols=None) -> DataFrame:
+    """Coupon performance left-joined with the mature cohort figures; missing stay null."""
+    on = list(on)
+    keep = cols or [c for c in stats.columns if c not in perf.columns or c in on]
+    return perf.join(stats.select(*dict.fromkeys(on + [c for c in keep if c not in on])), on, "left")
+
+
+def campaign_type_catalog(df: DataFrame, cols=("Budget", "Type", "Segment", "Trial", "Level", "Campaña",
+                                                "Automated", "Country")) -> DataFrame:
+    """The distinct class combinations present."""
+    return df.select(*cols).distinct()

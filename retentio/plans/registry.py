@@ -202,6 +202,61 @@ def model_for(spark: SparkSession, sf_dir: str) -> Model:
     return stored_model(spark, load_tables(spark, sf_dir), sf_dir)
 
 
+# ------------------------------------------------------------------ coupons and vouchers
+PERF_MONEY = ["Used_Amount_Confirmed", "Used_Amount_Confirmed_Shopper", "Used_Amount_Confirmed_USD",
+              "Used_Amount_Confirmed_USD_Shopper", "Used_Final_USD", "Used_Final"]
+STATS_COLS = ["Country", "City", "Campaign", "Acq_M1", "Acq_M2", "Acq_M3", "Acquisitions", "M1_Orders",
+              "M1_Orders_Final", "M1_Total_Disc", "M1_Total_Paid", "M1_Total_Voucher_Disc", "M1_Users",
+              "M1_Users_Final", "M2_Orders", "M2_Orders_Final", "M2_Total_Disc", "M2_Total_Paid",
+              "M2_Total_Voucher_Disc", "M2_Users", "M2_Users_Final", "M3_Orders", "M3_Orders_Final",
+              "M3_Total_Disc", "M3_Total_Paid", "M3_Total_Voucher_Disc", "M3_Users", "M3_Users_Final",
+              "Original_Amount_Used"]
+
+
+@query("coupon_performance")
+def _coupon_performance(m):
+    df = spend.coupon_performance(m, AS_OF)
+    return publish(df, [c for c in PERF_MONEY if c in df.columns])
+
+
+def _performance_joined(m):
+    rules, tax, _, block = _sheets(m)
+    perf = spend.coupon_performance_final(spend.coupon_performance(m, AS_OF), rules, tax, block)
+    st = cohorts.campaign_cohort_value(m, AS_OF, "coupon")
+    pt = cohorts.mature_cohorts(st, ["Country", "City", "Campaign"], rules,
+                                filters=cohorts.CLASS_FILTERS + ["TRIAL"], block=block)
+    return spend.performance_joined(perf, pt, cols=STATS_COLS)
+
+
+@query("performance_joined")
+def _performance_joined_q(m):
+    df = _performance_joined(m)
+    return publish(df, [c for c in PERF_MONEY + COHORT_MONEY if c in df.columns])
+
+
+@query("campaign_type_catalog")
+def _campaign_type_catalog(m):
+    return spend.campaign_type_catalog(_performance_joined(m))
+
+
+@query("active_flows")
+def _active_flows(m):
+    return spend.active_flows(m, AS_OF)
+
+
+@query("active_flows_vouchers")
+def _active_flows_vouchers(m):
+    return spend.active_flows_vouchers(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+
+
+@query("voucher_validity_daily")
+def _voucher_validity_daily(m):
+    df = spend.voucher_validity_daily(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    df = df.withColumns({"Ageing": F.round("Ageing", 6), "Availability": F.round("Availability", 6)})
+    return publish(df, ["Confirmed_Used_Amount", "Confirmed_Used_Amount_USD", "Confirmed_Used_Amount_Iva",
+                        "Confirmed_Used_Amount_USD_Iva"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))

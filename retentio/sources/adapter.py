@@ -31,6 +31,8 @@ Mapping (fixed values; the SQL adapter repeats them):
   campaign code = ``W_`` + part type
 * funding rows: lines with return flag R (type 25 when line status F, else 35)
   and A (type 10, not wallet funding); amount = extended price x tax
+* user city (city_usuarios) = market segment; basis ORDERS when the account
+  balance is >= 0, else ADDRESS
 * vouchers daily: coupons of confirmed orders aggregated by day, country,
   campaign, coupon type and payer
 * currency = region; monthly USD rate =
@@ -134,6 +136,17 @@ class Model:
             )
         return self._get("users", build)
 
+    def user_cities(self) -> DataFrame:
+        """city_usuarios: the city a user is assigned to, per country, and the basis used."""
+        def build():
+            c = self.t["customer"]
+            cn = self.countries().select(F.col("country_id").alias("c_nationkey"), F.col("country_name").alias("country"))
+            return c.join(cn, "c_nationkey", "left").select(
+                F.col("c_custkey").alias("user_id"), "country",
+                F.col("c_mktsegment").alias("city"),
+                F.when(F.col("c_acctbal") >= 0, "ORDERS").otherwise("ADDRESS").alias("based"))
+        return self._get("user_cities", build)
+
     def partners(self) -> DataFrame:
         """dim_partner joined with dim_billing_info."""
         def build():
@@ -319,7 +332,7 @@ def model(tables: dict[str, DataFrame]) -> Model:
 # logical star schema a warehouse would hold. ``orders`` is partitioned by
 # month so that the date windows of the queries prune whole partitions.
 PERSISTED = ("orders", "first_lines", "order_partner", "discounts", "coupons", "wallet", "funding",
-             "vouchers_daily", "users", "campaigns", "partners")
+             "vouchers_daily", "users", "campaigns", "partners", "user_cities")
 BOUNDED = ("countries", "fx_rates")
 
 
