@@ -33,14 +33,28 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM customer c LEFT JOIN countries cn ON cn.country_id = c.c_nationkey"""),
     "partners": ((), """
         SELECT s_suppkey AS partner_id,
-               CASE WHEN s_acctbal >= 4300 THEN 'TOTAL_AMOUNT' ELSE 'COMMISSION' END AS payment_mode
+               CASE WHEN s_acctbal >= 4300 THEN 'TOTAL_AMOUNT' ELSE 'COMMISSION' END AS payment_mode,
+               s_nationkey AS country_id,
+               CASE WHEN s_acctbal < 0 THEN 'Shop' WHEN s_acctbal < 2000 THEN 'Drinks' WHEN s_acctbal < 4000 THEN 'Pharmacy'
+                    WHEN s_acctbal < 7000 THEN 'Groceries' ELSE 'Restaurant' END AS business_type_name
         FROM supplier"""),
+    "partners_monthly": (("orders_f",), """
+        WITH pm AS (SELECT restaurant_id, CAST(date_trunc('month', registered_date) AS DATE) AS month,
+                           MAX(CASE WHEN order_status = 'CONFIRMED' THEN 1 ELSE 0 END) AS conf
+                    FROM orders_f WHERE restaurant_id IS NOT NULL GROUP BY 1, 2)
+        SELECT coalesce(a.restaurant_id, b.restaurant_id) AS restaurant_id,
+               CAST(coalesce(a.month, b.month) AS TIMESTAMP) AS full_date,
+               a.conf IS NOT NULL AS is_online,
+               a.conf IS NULL AND b.restaurant_id IS NOT NULL AS is_churned,
+               coalesce(a.conf = 1, FALSE) AS has_confirmed_orders
+        FROM pm a FULL JOIN (SELECT restaurant_id, CAST(month + INTERVAL 1 MONTH AS DATE) AS month FROM pm) b
+          ON a.restaurant_id = b.restaurant_id AND a.month = b.month"""),
     "campaigns": ((), """
         SELECT p_partkey AS campaign_id,
                upper(p_type) || '_' || upper(replace(p_brand, '#', '')) || '_' || upper(replace(p_name, ' ', '_')) AS campaign_name,
                p_size AS campaign_size
         FROM part"""),
-    "orders_f": (("users", "countries"), """
+    "orders_f": (("users", "countries", "first_lines", "partners"), """
         SELECT o.o_orderkey AS order_id, o.o_custkey AS user_id,
                CASE WHEN o.o_orderstatus = 'P' THEN 'REJECTED' ELSE 'CONFIRMED' END AS order_status,
                CAST(o.o_orderdate AS DATE) AS registered_date, o.o_orderdate AS registered_at,
@@ -53,13 +67,29 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                o.o_totalprice >= 250000 AS with_logistics,
                CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_amount,
                CAST(o.o_totalprice AS DECIMAL(18,2)) AS amount_no_discount,
-               CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.02 AS shipping_amount_no_discount,
-               CASE WHEN o.o_totalprice >= 250000 THEN CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.02 ELSE 0 END AS shipping_amount,
+               CASE WHEN o.o_totalprice >= 250000 AND substr(o.o_orderpriority, 1, 1) <> '1'
+                    THEN CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.02 ELSE 0 END AS shipping_amount_no_discount,
+               CASE WHEN o.o_totalprice >= 250000 AND substr(o.o_orderpriority, 1, 1) <> '1'
+                    THEN CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.02 ELSE 0 END AS shipping_amount,
                CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.15 AS commission_amount,
-               u.country_id, u.city_name, u.area_name, cn.country_name, cn.currency_id
+               u.country_id, u.city_name, u.area_name, cn.country_name, cn.currency_id,
+               fl.l_suppkey AS restaurant_id, p.payment_mode,
+               CASE WHEN fl.l_discount >= 0.05 THEN CAST(fl.l_extendedprice AS DECIMAL(18,2)) * CAST(fl.l_discount AS DECIMAL(4,2))
+                    ELSE 0 END AS voucher_discount_amount,
+               CASE WHEN fl.l_discount >= 0.05 THEN 1 ELSE 0 END AS has_voucher_discount,
+               CASE WHEN fl.l_returnflag = 'N' THEN 1 ELSE 0 END AS has_joker_discount,
+               CASE WHEN fl.l_linestatus = 'F' THEN CAST(fl.l_extendedprice AS DECIMAL(18,2)) * CAST(fl.l_discount AS DECIMAL(4,2))
+                    ELSE 0 END AS discount_paid_by_company,
+               CASE WHEN o.o_orderstatus = 'P' THEN
+                    CASE WHEN fl.l_returnflag = 'A' AND fl.l_linestatus = 'F' THEN 'Platform'
+                         WHEN fl.l_returnflag = 'A' THEN 'Restaurant'
+                         WHEN fl.l_returnflag = 'R' THEN 'User'
+                         WHEN fl.l_returnflag = 'N' THEN 'Rider' END END AS fail_rate_owner
         FROM orders o
         JOIN users u ON u.user_id = o.o_custkey
-        LEFT JOIN countries cn ON cn.country_id = u.country_id"""),
+        LEFT JOIN countries cn ON cn.country_id = u.country_id
+        LEFT JOIN first_lines fl ON fl.order_id = o.o_orderkey
+        LEFT JOIN partners p ON p.partner_id = fl.l_suppkey"""),
     "first_lines": ((), """
         SELECT order_id, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
                l_returnflag, l_linestatus, l_shipdate

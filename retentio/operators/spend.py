@@ -94,7 +94,7 @@ def wallet_rows(m, start, end, dedupe: bool, confirmed_only=True) -> DataFrame:
     o = _orders_in(m, start, end, confirmed_only)
     f = _funding_per_order(m)
     w = _wallet_per_order_campaign(m, dedupe)
-    j = o.join(f, "order_id").join(m.order_partner().select("order_id", "payment_mode"), "order_id", "left")
+    j = o.join(f, "order_id")
     j = j.join(w, "order_id", "left")
     j = with_fx(j, m)
     return j.withColumn("n_w_eff", F.coalesce("n_w", F.lit(1)))
@@ -104,7 +104,7 @@ def coupon_rows(m, start, end, confirmed_only=True, created_from: dt.date | None
     """orders INNER coupons, with rates; one row per coupon."""
     o = _orders_in(m, start, end, confirmed_only)
     c = m.coupons().select("order_id", "coupon_id", "coupon_country_id", "campaign_id", "campaign_name",
-                           "used_amount", "payment_mode", "created_at", "usage_limit")
+                           "used_amount", "created_at", "usage_limit")
     if created_from is not None:
         c = c.filter(F.to_date("created_at") >= F.lit(created_from))
     j = o.join(c, "order_id")
@@ -208,9 +208,9 @@ def coupon_spend_daily(m, start: dt.date, end: dt.date, created_from: dt.date) -
     Redeemed is a distinct count per coupon and day, summed over coupons (T17).
     """
     o = _orders_in(m, start, end, confirmed_only=False).select(
-        "order_id", "order_status", "is_acquisition", "registered_date")
+        "order_id", "order_status", "is_acquisition", "registered_date", "payment_mode")
     c = m.coupons().filter(F.to_date("created_at") >= F.lit(created_from)).select(
-        "order_id", "coupon_id", "coupon_country_id", "campaign_id", "used_amount", "payment_mode")
+        "order_id", "coupon_id", "coupon_country_id", "campaign_id", "used_amount")
     # the coupon's country (not the order's) decides country and currency
     c = o.join(c, "order_id").join(
         m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name", "currency_id"),
@@ -362,11 +362,11 @@ def coupon_performance(m, as_of: dt.date, days: int = 30, created_days: int = 39
     cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name",
                               F.col("currency_id").alias("c_cur"))
     o = X.in_window(m.orders(), since, as_of).select(
-        "order_id", "order_status", "is_acquisition", "registered_date",
+        "order_id", "order_status", "is_acquisition", "registered_date", "payment_mode",
         F.coalesce("city_name", F.lit("-")).alias("city"))
     c = m.coupons().filter(F.to_date("created_at") >= F.lit(created_from)).select(
         "order_id", "coupon_id", "coupon_country_id", "campaign_id", "used_amount")
-    r = o.join(c, "order_id").join(m.order_partner().select("order_id", "payment_mode"), "order_id", "left")
+    r = o.join(c, "order_id")
     r = with_fx(r.join(cn, "coupon_country_id", "left"), m, currency_col="c_cur")
     conf = F.col("order_status") == "CONFIRMED"
     tot = conf & (F.col("payment_mode") == "TOTAL_AMOUNT")
@@ -472,7 +472,7 @@ def voucher_validity_daily(m, as_of: dt.date, exclude_like=()) -> DataFrame:
         start = W.first_of_month(W.add_months(as_of, -1))
         end = W.last_of_month(as_of)
     start_coupon = start - dt.timedelta(days=16)
-    o = X.in_window(m.orders(), start, as_of).join(m.order_partner().select("order_id", "payment_mode"), "order_id", "left")
+    o = X.in_window(m.orders(), start, as_of)
     o = o.select(F.col("order_id").alias("o_order_id"), "order_status", F.col("registered_date").alias("o_date"),
                  F.col("registered_at").alias("o_at"), F.col("city_name").alias("o_city"),
                  F.when(F.col("payment_mode") == "TOTAL_AMOUNT", 1).otherwise(0).alias("iva"))

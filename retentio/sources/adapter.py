@@ -15,8 +15,16 @@ Mapping (fixed values; the SQL adapter repeats them):
 * business type = digit of the order priority:
   1 Restaurant, 2 Groceries, 3 Pharmacy, 4 Drinks, 5 Shop
 * logistics order: total price >= 250000
-* amounts: total = total price; commission 15 %; delivery fee 2 % (shipping
-  charged only on logistics orders)
+* amounts: total = total price; commission 15 %; delivery fee 2 % on
+  logistics orders except urgent ones (free delivery); none on marketplace
+* order discount facts from the first line: voucher discount when its
+  discount is >= 0.05; joker when its return flag is N; paid by the company
+  when its line status is F; failure owner of a rejected order by return
+  flag and line status (A/F Platform, A/O Restaurant, R User, N Rider)
+* partner country = supplier nation; partner business by balance band
+  (< 0 Shop, < 2000 Drinks, < 4000 Pharmacy, < 7000 Groceries, else Restaurant)
+* partners monthly: partner x month online (any order), confirmed, churned
+  (orders the month before, none this month)
 * acquisition = the user's earliest confirmed order by (date, order key)
 * discounts: one per order line, amount = extended price x discount;
   return flag A -> VOUCHER, R -> FREE_DELIVERY, N -> JOKER;
@@ -151,9 +159,13 @@ class Model:
         """dim_partner joined with dim_billing_info."""
         def build():
             s = self.t["supplier"]
+            bal = F.col("s_acctbal")
             return s.select(
                 F.col("s_suppkey").alias("partner_id"),
-                F.when(F.col("s_acctbal") >= 4300, "TOTAL_AMOUNT").otherwise("COMMISSION").alias("payment_mode"),
+                F.when(bal >= 4300, "TOTAL_AMOUNT").otherwise("COMMISSION").alias("payment_mode"),
+                F.col("s_nationkey").alias("country_id"),
+                F.when(bal < 0, "Shop").when(bal < 2000, "Drinks").when(bal < 4000, "Pharmacy")
+                 .when(bal < 7000, "Groceries").otherwise("Restaurant").alias("business_type_name"),
             )
         return self._get("partners", build)
 
@@ -179,6 +191,10 @@ class Model:
                 (~confirmed).asc(), F.col("o_orderdate").asc(), F.col("o_orderkey").asc())
             total = F.col("o_totalprice").cast(MONEY)
             logistics = F.col("o_totalprice") >= 250000
+            # delivery fee: 2 % on logistics orders, free for urgent ones and for marketplace
+            free = F.substring("o_orderpriority", 1, 1) == "1"
+            fee = F.when(logistics & ~free, total * F.lit(0.02).cast("decimal(3,2)")).otherwise(
+                F.lit(0).cast("decimal(3,2)"))
             digit = F.substring("o_orderpriority", 1, 1).cast("int")
             base = o.select(
                 F.col("o_orderkey").alias("order_id"),
@@ -192,15 +208,35 @@ class Model:
                 logistics.alias("with_logistics"),
                 total.alias("total_amount"),
                 total.alias("amount_no_discount"),
-                (total * F.lit(0.02).cast("decimal(3,2)")).alias("shipping_amount_no_discount"),
-                F.when(logistics, total * F.lit(0.02).cast("decimal(3,2)"))
-                 .otherwise(F.lit(0).cast("decimal(3,2)")).alias("shipping_amount"),
+                fee.alias("shipping_amount_no_discount"),
+                fee.alias("shipping_amount"),
                 (total * F.lit(0.15).cast("decimal(3,2)")).alias("commission_amount"),
             )
             u = self.users()
             joined = base.join(u, "user_id")
-            return joined.join(self.countries().select("country_id", "country_name", "currency_id"),
-                               "country_id", "left")
+            joined = joined.join(self.countries().select("country_id", "country_name", "currency_id"),
+                                 "country_id", "left")
+            # order-level discount facts from the first line and its partner
+            fl = self.first_lines().select(
+                "order_id", F.col("l_suppkey").alias("restaurant_id"), "l_discount", "l_returnflag", "l_linestatus",
+                (F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)")).alias("_fl_disc"))
+            fl = fl.join(self.partners().select(F.col("partner_id").alias("restaurant_id"), "payment_mode"),
+                         "restaurant_id", "left")
+            j = joined.join(fl, "order_id", "left")
+            zero = F.lit(0).cast("decimal(4,2)")
+            voucher = F.coalesce(F.col("l_discount") >= 0.05, F.lit(False))
+            owner = (F.when(F.col("l_returnflag") == "A", F.when(F.col("l_linestatus") == "F", "Platform")
+                            .otherwise("Restaurant"))
+                     .when(F.col("l_returnflag") == "R", "User").when(F.col("l_returnflag") == "N", "Rider"))
+            return j.select(
+                *[c for c in joined.columns],
+                "restaurant_id", "payment_mode",
+                F.when(voucher, F.col("_fl_disc")).otherwise(zero).alias("voucher_discount_amount"),
+                F.when(voucher, 1).otherwise(0).alias("has_voucher_discount"),
+                F.when(F.col("l_returnflag") == "N", 1).otherwise(0).alias("has_joker_discount"),
+                F.when(F.col("l_linestatus") == "F", F.col("_fl_disc")).otherwise(zero).alias("discount_paid_by_company"),
+                F.when(F.col("order_status") != "CONFIRMED", owner).alias("fail_rate_owner"),
+            )
         return self._get("orders", build)
 
     def first_lines(self) -> DataFrame:
@@ -218,7 +254,8 @@ class Model:
         """order_id -> restaurant (partner) id and its payment mode."""
         def build():
             fl = self.first_lines().select("order_id", F.col("l_suppkey").alias("restaurant_id"))
-            return fl.join(self.partners(), fl.restaurant_id == F.col("partner_id"), "left").drop("partner_id")
+            p = self.partners().select("partner_id", "payment_mode")
+            return fl.join(p, fl.restaurant_id == F.col("partner_id"), "left").drop("partner_id")
         return self._get("order_partner", build)
 
     def discounts(self) -> DataFrame:
@@ -254,7 +291,7 @@ class Model:
             o = self.orders().select("order_id", "user_id", "country_id", "city_name", "area_name",
                                      "registered_date")
             c = fl.join(o, "order_id").join(self.campaigns(), F.col("l_partkey") == F.col("campaign_id"), "left")
-            c = c.join(self.partners(), F.col("l_suppkey") == F.col("partner_id"), "left")
+            c = c.join(self.partners().select("partner_id", "payment_mode"), F.col("l_suppkey") == F.col("partner_id"), "left")
             used = F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)")
             created_day = F.date_sub("registered_date", F.col("campaign_size"))
             created = created_day.cast("timestamp")
@@ -307,6 +344,25 @@ class Model:
             )
         return self._get("funding", build)
 
+    def partners_monthly(self) -> DataFrame:
+        """fact_partners_monthly: partner x month with online / churned / confirmed flags.
+
+        Online = the partner had an order that month; confirmed = a confirmed
+        one; churned = orders the month before and none this month.
+        """
+        def build():
+            o = self.orders().filter(F.col("restaurant_id").isNotNull())
+            pm = o.groupBy("restaurant_id", F.trunc("registered_date", "MM").alias("month")).agg(
+                F.max(F.when(F.col("order_status") == "CONFIRMED", 1).otherwise(0)).alias("conf"))
+            nxt = pm.select("restaurant_id", F.add_months("month", 1).alias("month"), F.lit(1).alias("prev"))
+            j = pm.join(nxt, ["restaurant_id", "month"], "full")
+            return j.select(
+                "restaurant_id", F.col("month").cast("timestamp").alias("full_date"),
+                F.col("conf").isNotNull().alias("is_online"),
+                (F.col("conf").isNull() & F.col("prev").isNotNull()).alias("is_churned"),
+                F.coalesce(F.col("conf") == 1, F.lit(False)).alias("has_confirmed_orders"))
+        return self._get("partners_monthly", build)
+
     def vouchers_daily(self) -> DataFrame:
         """Pre-aggregated daily coupon table (confirmed orders only)."""
         def build():
@@ -331,8 +387,8 @@ def model(tables: dict[str, DataFrame]) -> Model:
 # Views written once per input folder and read back by every query: the
 # logical star schema a warehouse would hold. ``orders`` is partitioned by
 # month so that the date windows of the queries prune whole partitions.
-PERSISTED = ("orders", "first_lines", "order_partner", "discounts", "coupons", "wallet", "funding",
-             "vouchers_daily", "users", "campaigns", "partners", "user_cities")
+PERSISTED = ("first_lines", "orders", "order_partner", "discounts", "coupons", "wallet", "funding",
+             "vouchers_daily", "users", "campaigns", "partners", "user_cities", "partners_monthly")
 BOUNDED = ("countries", "fx_rates")
 
 
