@@ -97,3 +97,107 @@ def country_scorecard(m, as_of: dt.date) -> DataFrame:
         "RR": F.lit(rr),
     })
     return out
+
+
+# ---------------------------------------------------------------- D33 / D34 / D35
+def _eur(x):
+    return F.try_divide(F.col(x).cast("double") if isinstance(x, str) else x.cast("double"), F.col("rate_eu"))
+
+
+FAILED = ["REJECTED", "PENDING", "CANCELLED"]  # fixed values
+
+
+def order_funnel(m, start: dt.date, end: dt.date) -> DataFrame:
+    """Per country, month and business: orders, failures by owner, users, free delivery, jokers,
+    vouchers, revenue and gross values in EUR. One row per order, so distinct orders are counts."""
+    from .spend import with_fx
+    o = with_fx(X.in_window(m.orders(), start, end), m)
+    conf = F.col("order_status") == "CONFIRMED"
+    log = F.col("with_logistics")
+    fail = F.col("order_status").isin(FAILED)
+    free = F.col("shipping_amount_no_discount") == 0
+    n = lambda cond: F.count(F.when(cond, 1))
+    gfv = F.col("total_amount") + F.col("discount_paid_by_company") + F.col("shipping_amount") - F.col("shipping_amount_no_discount")
+    gmv = F.col("total_amount") + F.col("shipping_amount") + F.col("discount_paid_by_company")
+    z = F.lit(0.0)
+    return o.groupBy(F.col("country_name").alias("Country"), X.month_key("registered_date").alias("Month"),
+                     F.col("business_type_name").alias("Business")).agg(
+        F.count(F.lit(1)).alias("Total"),
+        n(conf).alias("Confirmed"),
+        n(conf & log).alias("Logistic"),
+        n(fail).alias("FR_Num"),
+        n(fail & (F.col("fail_rate_owner") == "Platform")).alias("PFR_Num"),
+        n(fail & (F.col("fail_rate_owner") == "Restaurant")).alias("VFR_Num"),
+        n(fail & (F.col("fail_rate_owner") == "User")).alias("UFR_Num"),
+        n(fail & (F.col("fail_rate_owner") == "Rider")).alias("RFR_Num"),
+        F.count_distinct("user_id").alias("Total_Users"),
+        F.count_distinct(F.when(conf, F.col("user_id"))).alias("Active_Users"),
+        n(free & conf).alias("DF_Free"),
+        n(free & log & conf).alias("DF_Free_Log"),
+        F.sum(F.when(conf, _eur("commission_amount"))).alias("Confirmed_Revenue"),
+        F.sum(F.when(log & conf, _eur("commission_amount")).otherwise(z)).alias("Confirmed_Revenue_Log"),
+        n((F.col("has_voucher_discount") > 0) & conf).alias("Confirmed_Vouchers"),
+        n((F.col("has_joker_discount") > 0) & conf).alias("Confirmed_Jokers"),
+        n((F.col("has_joker_discount") > 0) & log & conf).alias("Confirmed_Jokers_Log"),
+        F.sum(F.when(log & conf, _eur(gfv)).otherwise(z)).alias("GFV_Gross_Log"),
+        F.sum(F.when((log == F.lit(False)) & conf, _eur(gmv)).otherwise(z)).alias("GMV_Gross_Mktp"),
+        F.sum(F.when(conf, _eur(gfv)).otherwise(z)).alias("GFV_Gross_Total"),
+        F.sum(F.when(conf, _eur("shipping_amount_no_discount")).otherwise(z)).alias("DF_No_Discount_Total"),
+        F.sum(F.when(log & conf, _eur("shipping_amount_no_discount")).otherwise(z)).alias("DF_No_Discount_Log"),
+        F.sum(F.when(conf, _eur("discount_paid_by_company")).otherwise(z)).alias("Discounts_PEYA_Total"),
+    )
+
+
+def partner_status(m, start: dt.date, end: dt.date) -> DataFrame:
+    """Online, churned and zombie (online without confirmed orders) partners per country, month, business."""
+    pm = m.partners_monthly().filter(F.to_date("full_date").between(F.lit(start), F.lit(end)))
+    p = m.partners().select(F.col("partner_id").alias("restaurant_id"), "country_id", "business_type_name")
+    cn = m.countries().select("country_id", "country_name")
+    j = pm.join(p, "restaurant_id", "left").join(cn, "country_id", "left").filter(F.col("country_name").isNotNull())
+    # one row per (partner, month): distinct partners are counts
+    return j.groupBy(F.col("country_name").alias("Country"), F.date_format("full_date", "yyyy-MM").alias("Month"),
+                     F.col("business_type_name").alias("Business")).agg(
+        F.count(F.when(F.col("is_online"), 1)).alias("Online"),
+        F.count(F.when(F.col("is_churned"), 1)).alias("Churns"),
+        F.count(F.when(F.col("is_online") & ~F.col("has_confirmed_orders"), 1)).alias("Zombies"))
+
+
+FOOD = ["Restaurant", "Coffee"]  # fixed values
+
+
+def business_board(funnel: DataFrame, partners: DataFrame) -> DataFrame:
+    """D33 + D34 outer-merged on (Country, Business, Month), gaps 0, all-zero rows dropped (FLT7),
+    Food/NV and Restaurant/NV labels (RS7)."""
+    keys = ["Country", "Business", "Month"]
+    j = funnel.join(partners, keys, "full")
+    metrics = [c for c in j.columns if c not in keys]
+    j = j.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in metrics})
+    j = j.filter(X.any_nonzero(metrics))
+    return j.withColumns({
+        "Food/NV": F.when(F.col("Business").isin(FOOD), "Food").otherwise("NV"),
+        "Restaurant/NV": F.when(F.col("Business") == "Restaurant", "Restaurant").otherwise("NV"),
+    })
+
+
+def discount_mix(m, start: dt.date, end: dt.date, by=("Country",)) -> DataFrame:
+    """Confirmed orders and discount spend (EUR) by discount type x payer x month (and ``by``)."""
+    from .spend import with_fx
+    o = X.in_window(m.orders(), start, end).filter(F.col("order_status") == "CONFIRMED")
+    j = with_fx(o.join(m.discounts(), "order_id"), m)
+    keys = {"Country": F.col("country_name"), "City": F.col("city_name"), "Area": F.col("area_name")}
+    g = j.groupBy(*[keys[b].alias(b) for b in by], X.month_key("registered_date").alias("Month"),
+                  F.coalesce("discount_type_name", F.lit("-")).alias("Discount_Type"),
+                  F.coalesce("discount_paid_by", F.lit("-")).alias("Paid_By")).agg(
+        F.count_distinct("order_id").alias("Confirmed"),
+        F.round(F.coalesce(F.sum(_eur("discount_amount")), F.lit(0.0)), 2).alias("Amount"))
+    return g
+
+
+def discount_mix_pivot(mix: DataFrame, types=("FREE_DELIVERY", "JOKER", "VOUCHER"), payer: str = "COMPANY") -> DataFrame:
+    """D35 pivot: company-paid amount per month and discount type, total and voucher share (%)."""
+    p = (mix.filter(F.col("Paid_By") == payer).groupBy("Month").pivot("Discount_Type", list(types))
+         .agg(F.sum("Amount")))
+    p = p.select("Month", *[F.coalesce(F.col(t), F.lit(0.0)).alias(t) for t in types])
+    total = sum((F.col(t) for t in types[1:]), F.col(types[0]))
+    p = p.withColumn("Total", total)
+    return p.withColumn("%Voucher", F.bround(F.try_divide(F.col("VOUCHER"), F.col("Total")) * 100, 2))

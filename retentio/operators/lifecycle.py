@@ -126,3 +126,85 @@ def reactivations(m, as_of: dt.date) -> DataFrame:
         F.count(F.lit(1)).alias("Reactivated"),
         F.count("r_user").alias("Return_Reactivated"),
         F.sum("r_orders").alias("Return_Reactivated_Orders"))
+
+
+# ---------------------------------------------------------------- D27 / D28
+def freq_type(x) -> F.Column:
+    """SF27: order-count band; 0 -> 'Error'; a null count falls to the last band."""
+    c = F.col(x) if isinstance(x, str) else x
+    return (F.when(c == 0, "Error").when(c <= 2, "1-2").when(c <= 4, "3-4").when(c <= 10, "5-10")
+            .otherwise("'+10"))
+
+
+def adr_type(x, light: float = 0.2) -> F.Column:
+    """'Light ADR' below the threshold; anything else, a null ratio too, is 'High ADR' (T3)."""
+    c = F.col(x) if isinstance(x, str) else x
+    return F.when(c < light, "Light ADR").otherwise("High ADR")
+
+
+def _city_and_active_country(df: DataFrame, m) -> DataFrame:
+    uc = m.user_cities().select(F.col("user_id").alias("_u"), F.col("country").alias("_uc"), F.col("city").alias("_ucity"))
+    j = df.join(uc, (F.col("user_id") == F.col("_u")) & (F.col("country") == F.col("_uc")), "left")
+    act = m.countries().filter(F.col("active")).select(F.col("country_name").alias("_cn"))
+    return j.join(act, F.col("country") == F.col("_cn"), "inner")
+
+
+def no_return(m, as_of: dt.date) -> DataFrame:
+    """Last month's non-acquired active users by city, frequency band and ADR band, and how many
+    did not order this month."""
+    lm = W.add_months(as_of, -1)
+    ut = _conf(m, W.first_of_month(lm), W.last_of_month(lm)).groupBy("user_id", F.col("country_name").alias("country")).agg(
+        F.count(F.lit(1)).alias("freq"),
+        F.sum(F.col("shipping_amount_no_discount") + F.col("amount_no_discount")).alias("total_amount"),
+        F.sum("voucher_discount_amount").alias("voucher_d"),
+        F.sum("is_acquisition").alias("acq"))
+    tm = _month_users(_conf(m, W.first_of_month(as_of), W.last_of_month(as_of))).withColumn("back", F.lit(True))
+    j = ut.join(tm, "user_id", "left")
+    j = j.withColumn("adr", F.try_divide(F.col("voucher_d").cast("double"), F.col("total_amount").cast("double")))
+    j = _city_and_active_country(j, m)
+    na = F.col("acq") == 0
+    # one row per (user, country): distinct users are counts
+    return j.groupBy(F.col("country").alias("Country"), F.coalesce("_ucity", F.lit("-")).alias("City"),
+                     freq_type("freq").alias("Freq_Type"), adr_type("adr").alias("ADR_Type")).agg(
+        F.count(F.when(na, 1)).alias("Active_No_Acq_LM"),
+        F.count(F.when(na & F.col("back").isNull(), 1)).alias("No_Returns"))
+
+
+def reactivation_profile(m, as_of: dt.date) -> DataFrame:
+    """Reactivated users who ordered this month, by city, frequency band of their last active
+    month and 181-day ADR band; how many came back on an incentivised first order, and their orders.
+
+    The reference's five sub-queries keyed by (user, country) become one join
+    of the orders with each reactivated user's last order date and one
+    conditional aggregation per user.
+    """
+    lm_end = W.last_of_month(W.add_months(as_of, -1))
+    lapsed = W.last_of_month(W.add_months(as_of, -2))
+    t0, t1 = W.first_of_month(as_of), W.last_of_month(as_of)
+    inc = m.coupons().select("order_id").distinct().withColumn("incentive", F.lit(True))
+    ot = (m.orders().filter((F.col("order_status") == "CONFIRMED") & (F.col("registered_date") <= F.lit(as_of)))
+          .join(inc, "order_id", "left")
+          .select("order_id", "user_id", F.col("country_name").alias("country"), F.col("registered_date").alias("fecha"),
+                  F.coalesce("incentive", F.lit(False)).alias("incentive"),
+                  (F.col("shipping_amount_no_discount") + F.col("amount_no_discount")).alias("total_amount"),
+                  F.col("voucher_discount_amount").alias("voucher_d")))
+    last = (ot.filter(F.col("fecha") <= F.lit(lm_end)).groupBy("user_id", "country")
+            .agg(F.max("fecha").alias("last_order")).filter(F.col("last_order") <= F.lit(lapsed)))
+    j = ot.join(last, ["user_id", "country"])
+    this = F.col("fecha").between(F.lit(t0), F.lit(t1))
+    in_last_month = F.col("fecha").between(F.trunc("last_order", "MM"), F.last_day("last_order"))
+    in_adr = F.col("fecha").between(F.date_sub("last_order", 181), F.last_day("last_order"))
+    per_user = j.groupBy("user_id", "country").agg(
+        F.count(F.when(this, 1)).alias("r_orders"),
+        F.min(F.when(this, F.struct("order_id", "incentive"))).alias("first_this"),
+        F.count(F.when(in_last_month, 1)).alias("freq"),
+        F.sum(F.when(in_adr, F.col("voucher_d"))).alias("vd"),
+        F.sum(F.when(in_adr, F.col("total_amount"))).alias("ta"))
+    per_user = per_user.filter(F.col("r_orders") > 0).withColumn(
+        "adr", F.coalesce(F.try_divide(F.col("vd").cast("double"), F.col("ta").cast("double")), F.lit(0.0)))
+    j2 = _city_and_active_country(per_user, m)
+    return j2.groupBy(F.col("country").alias("Country"), F.coalesce("_ucity", F.lit("-")).alias("City"),
+                      freq_type("freq").alias("Freq_Type"), adr_type("adr").alias("ADR_Type")).agg(
+        F.count(F.lit(1)).alias("Return_Reactivated"),
+        F.count(F.when(F.col("first_this.incentive"), 1)).alias("Return_Reactivated_Incentived"),
+        F.coalesce(F.sum("r_orders"), F.lit(0)).cast("long").alias("Return_Reactivated_Orders"))

@@ -257,6 +257,58 @@ def _voucher_validity_daily(m):
                         "Confirmed_Used_Amount_USD_Iva"])
 
 
+# ------------------------------------------------------------------ dashboard, no-return
+EUR_MONEY = ["Confirmed_Revenue", "Confirmed_Revenue_Log", "GFV_Gross_Log", "GMV_Gross_Mktp", "GFV_Gross_Total",
+             "DF_No_Discount_Total", "DF_No_Discount_Log", "Discounts_PEYA_Total"]
+
+
+def _six_months():
+    return W.n_month_start(AS_OF, 6), _mw().ftm
+
+
+@query("order_funnel")
+def _order_funnel(m):
+    return publish(boards.order_funnel(m, *_six_months()), EUR_MONEY)
+
+
+@query("partner_status")
+def _partner_status(m):
+    return boards.partner_status(m, *_six_months())
+
+
+@query("business_board")
+def _business_board(m):
+    start, end = _six_months()
+    return publish(boards.business_board(boards.order_funnel(m, start, end), boards.partner_status(m, start, end)),
+                   EUR_MONEY)
+
+
+@query("discount_mix")
+def _discount_mix(m):
+    return boards.discount_mix(m, *_six_months())
+
+
+@query("discount_mix_zone")
+def _discount_mix_zone(m):
+    return boards.discount_mix(m, *_six_months(), by=("Country", "City", "Area"))
+
+
+@query("discount_mix_pivot")
+def _discount_mix_pivot(m):
+    df = boards.discount_mix_pivot(boards.discount_mix(m, *_six_months()))
+    return publish(df, ["FREE_DELIVERY", "JOKER", "VOUCHER", "Total"])
+
+
+@query("no_return")
+def _no_return(m):
+    return lifecycle.no_return(m, AS_OF)
+
+
+@query("reactivation_profile")
+def _reactivation_profile(m):
+    return lifecycle.reactivation_profile(m, AS_OF)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))
