@@ -208,3 +208,125 @@ def reactivation_profile(m, as_of: dt.date) -> DataFrame:
         F.count(F.lit(1)).alias("Return_Reactivated"),
         F.count(F.when(F.col("first_this.incentive"), 1)).alias("Return_Reactivated_Incentived"),
         F.coalesce(F.sum("r_orders"), F.lit(0)).cast("long").alias("Return_Reactivated_Orders"))
+
+
+# ---------------------------------------------------------------- D24
+def vertical_trials_by_campaign(m, as_of: dt.date, months: list[dt.date], countries=None,
+                                excluded=NOT_QC) -> DataFrame:
+    """Per country, business and campaign of the user's first non-excluded order of each month,
+    the users trying such a vertical for the first time; one column ``Adq_QC-YYYY/MM`` per month."""
+    from . import primitives as P
+    inc = m.coupons().select("order_id", "campaign_name")
+    o = (m.orders().filter((F.col("order_status") == "CONFIRMED") & (F.col("registered_date") < F.lit(as_of)))
+         .join(inc, "order_id", "left")
+         .withColumn("campaign", F.coalesce("campaign_name", F.lit("-"))))
+    qc_flag = ~F.col("business_type_name").isin(excluded)
+    frames = []
+    for month in months:
+        m0, m1 = W.first_of_month(month), W.last_of_month(month)
+        qc = o.filter(qc_flag & F.col("registered_date").between(F.lit(m0), F.lit(m1)))
+        if countries is not None:
+            qc = qc.filter(F.col("country_name").isin(countries))
+        first = qc.groupBy("user_id", "country_name").agg(
+            F.min(F.struct("order_id", "business_type_name", "campaign", "is_acquisition")).alias("f"))
+        hist = (o.filter((F.col("registered_date") < F.lit(m0)) | (F.col("is_acquisition") == 1))
+                .groupBy("user_id", "country_name").agg(F.sum(F.when(qc_flag, 1).otherwise(0)).alias("qc")))
+        j = first.join(hist, ["user_id", "country_name"], "left")
+        new = (F.col("f.is_acquisition") == 0) & (F.coalesce(F.col("qc"), F.lit(0)) == 0)
+        g = j.groupBy(F.col("country_name").alias("Country"), F.col("f.business_type_name").alias("Business"),
+                      F.col("f.campaign").alias("Campaign")).agg(
+            F.count(F.when(new, 1)).alias(f"Adq_QC-{month:%Y/%m}"))
+        g = g.withColumns({c: F.coalesce(F.upper(c), F.lit("NONE")) for c in ("Country", "Business", "Campaign")})
+        g = g.withColumn("Campaign", F.regexp_replace("Campaign", " ", ""))
+        frames.append(g)
+    out = P.full_merge(frames, ["Country", "Business", "Campaign"])
+    return out.fillna(0)
+
+
+# ---------------------------------------------------------------- D29
+def heavy_users_repeat(m, as_of: dt.date, threshold: int = 7, months: int = 13) -> DataFrame:
+    """Per country and month: active users, orders, users and orders at or above ``threshold``
+    this and last month, users repeating it, and frequency ratios; first month dropped (FLT8)."""
+    from . import primitives as P
+    start = W.n_month_start(as_of, months)
+    end = W.last_of_month(as_of) if as_of.day != 1 else as_of - dt.timedelta(days=1)
+    o = _conf(m, start, end)
+    per = o.groupBy("user_id", "country_id", F.trunc("registered_date", "MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("orders"))
+    ft = P.with_previous_period(per, ["user_id", "country_id"], "month", "orders",
+                                lambda c: F.add_months(c, 1), W.first_of_month(end))
+    seq = F.sequence(F.lit(W.first_of_month(start)), F.lit(W.first_of_month(end)), F.expr("interval 1 month"))
+    return heavy_repeat_stats(ft, m, threshold, seq, "yyyy-MM", start.strftime("%Y-%m"))
+
+
+def heavy_repeat_stats(ft: DataFrame, m, threshold: int, periods, fmt: str, first_label: str) -> DataFrame:
+    """Statistics per (country, period) over the whole period grid of every active country.
+
+    The grid (countries x periods of the window) comes from exploding the
+    period sequence on the distinct countries, so empty periods still show
+    up with zeros, as in the reference's densified grid.
+    """
+    tm, lm = F.col("orders"), F.col("orders_lm")
+    hi_t, hi_l = tm >= threshold, lm >= threshold
+    z = F.lit(0)
+    stats = ft.groupBy("country_id", "month").agg(
+        F.count(F.when(tm > 0, 1)).alias("Active_Users"),
+        F.sum(tm).cast("long").alias("Confirmed_Orders"),
+        F.count(F.when(hi_t, 1)).alias("Users_Over7_TM"),
+        F.count(F.when(hi_l, 1)).alias("Users_Over7_LM"),
+        F.sum(F.when(hi_t, tm).otherwise(z)).cast("long").alias("Orders_Over7_TM"),
+        F.sum(F.when(hi_l, lm).otherwise(z)).cast("long").alias("Orders_Over7_LM"),
+        F.count(F.when(hi_t & hi_l, 1)).alias("Repeated_Users_Over7"),
+        F.sum(F.when(hi_t & hi_l, tm).otherwise(z)).cast("long").alias("Repeated_Orders_Over7_TM"),
+        F.sum(F.when(hi_t & hi_l, lm).otherwise(z)).cast("long").alias("Repeated_Orders_Over7_LM"))
+    grid = ft.select("country_id").distinct().withColumn("month", F.explode(periods))
+    g = grid.join(stats, ["country_id", "month"], "left").fillna(0)
+    cn = m.countries().select("country_id", F.col("country_name").alias("Country"))
+    g = g.join(cn, "country_id", "left")
+    g = g.groupBy("Country", F.date_format("month", fmt).alias("Month")).agg(
+        *[F.sum(c).cast("long").alias(c) for c in stats.columns if c not in ("country_id", "month")])
+    g = g.withColumns({
+        "Freq": X.ratio_or_zero("Confirmed_Orders", "Active_Users"),
+        "Freq7_TM": X.ratio_or_zero("Orders_Over7_TM", "Users_Over7_TM"),
+        "Freq7_LM": X.ratio_or_zero("Orders_Over7_LM", "Users_Over7_LM"),
+        "Repeating_Users7": X.ratio_or_zero("Repeated_Users_Over7", "Users_Over7_LM"),
+        "Freq_Repeating_TM": X.ratio_or_zero("Orders_Over7_TM", "Repeated_Users_Over7"),
+        "Freq_Repeating_LM": X.ratio_or_zero("Orders_Over7_LM", "Repeated_Users_Over7"),
+    })
+    # the first period of the window has no previous period to compare (FLT8)
+    return g.filter(F.col("Month") != F.lit(first_label))
+
+
+def heavy_users_repeat_events(events: DataFrame, m, start: dt.date, end: dt.date, threshold: int = 7) -> DataFrame:
+    """D29 on the event stream: user x week activity (all events in [start, end]) with the same
+    statistics; weeks start on Monday and are labelled by that Monday; country unknown ('-')."""
+    from . import primitives as P
+    ev = events.filter(F.to_date("ts").between(F.lit(start), F.lit(end)))
+    per = ev.groupBy("user_id", F.date_trunc("week", "ts").cast("date").alias("month")).agg(
+        F.count(F.lit(1)).alias("orders")).withColumn("country_id", F.lit(-1))
+    first_week = start - dt.timedelta(days=start.weekday())
+    last_week = end - dt.timedelta(days=end.weekday())
+    ft = P.with_previous_period(per, ["user_id", "country_id"], "month", "orders", lambda c: F.date_add(c, 7), last_week)
+    seq = F.sequence(F.lit(first_week), F.lit(last_week), F.expr("interval 7 days"))
+    out = heavy_repeat_stats(ft, m, threshold, seq, "yyyy-MM-dd", first_week.isoformat())
+    return out.withColumn("Country", F.coalesce("Country", F.lit("-")))
+
+
+# ---------------------------------------------------------------- D30
+def frequency_bands(m, start: dt.date, end: dt.date, country: str | None = None) -> DataFrame:
+    """Users per month by order-count band (1-3, 4-6, +7), their orders, frequency, and each
+    band's share of the month's users and orders (WN4)."""
+    from . import primitives as P
+    o = _conf(m, start, end)
+    if country is not None:
+        o = o.filter(F.col("country_name") == country)
+    ut = o.groupBy(X.month_key("registered_date").alias("Month"), "user_id").agg(F.count(F.lit(1)).alias("orders"))
+    n = F.col("orders")
+    tipo = F.when((n >= 1) & (n <= 3), "1-3").when((n >= 4) & (n <= 6), "4-6").when(n >= 7, "+7").otherwise("-")
+    g = ut.groupBy("Month", tipo.alias("Tipo")).agg(F.count(F.lit(1)).alias("Users"),
+                                                    F.sum("orders").cast("long").alias("Orders"))
+    return g.withColumns({
+        "Freq": X.safe_ratio("Orders", "Users"),
+        "%Orders": P.share_of_group("Orders", ["Month"]),
+        "%Users": P.share_of_group("Users", ["Month"]),
+    })

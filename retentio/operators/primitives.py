@@ -68,15 +68,34 @@ def month_grid(spark, start, end, name: str = "month") -> DataFrame:
                              F.expr("interval 1 month"))).alias(name))
 
 
-def densify(keys: DataFrame, periods: DataFrame, facts: DataFrame, on: list[str], fill: dict) -> DataFrame:
-    """RS1 / JN10: key x period grid with zeros where the facts have no row.
+def densify_months(keys: DataFrame, start, end, name: str = "month") -> DataFrame:
+    """RS1: every key row repeated once per month of [start, end] (first days).
 
-    ``periods`` is a calendar-bounded frame (months of the window) and is
-    broadcast; the cross join then multiplies each key by that fixed number of
-    periods without shuffling the keys.
+    The months come from ``sequence`` + ``explode`` on each key row: the grid
+    grows by the fixed number of months of the window, with no join.
     """
-    grid = keys.crossJoin(F.broadcast(periods))
-    return grid.join(facts, on, "left").fillna(fill)
+    months = F.sequence(F.trunc(F.lit(start), "MM"), F.trunc(F.lit(end), "MM"), F.expr("interval 1 month"))
+    return keys.withColumn(name, F.explode(months))
+
+
+def with_previous_period(facts: DataFrame, keys: list[str], period: str, value: str, next_period,
+                         last_period=None) -> DataFrame:
+    """WN1 / WN7 without a dense grid: LAG(value, 1, 0) over the period sequence of each key.
+
+    Each (key, period, value) row is emitted twice, as "this period" and as
+    "previous period" of the next one; one aggregation merges them. The result
+    holds every (key, period) where this or the previous period has a value,
+    which are the only grid rows a densify + LAG would make non-zero.
+    ``next_period`` maps the period column to the next period; rows shifted
+    past ``last_period`` are dropped.
+    """
+    tm = facts.select(*keys, period, F.col(value).alias("tm"), F.lit(0).cast(facts.schema[value].dataType).alias("lm"))
+    lm = facts.select(*keys, next_period(F.col(period)).alias(period), F.lit(0).cast(facts.schema[value].dataType).alias("tm"),
+                      F.col(value).alias("lm"))
+    if last_period is not None:
+        lm = lm.filter(F.col(period) <= F.lit(last_period))
+    both = tm.unionByName(lm)
+    return both.groupBy(*keys, period).agg(F.sum("tm").alias(value), F.sum("lm").alias(f"{value}_lm"))
 
 
 def prev_value(col: str, partition: list[str], order: str, default=0) -> Column:

@@ -8,3 +8,7 @@ nothing reads the wall clock.
 import datetime as dt
 
 AS_OF = dt.date(2001, 7, 15)
+
+# The event table covers 2024-01-01 .. 2024-01-30; its queries run over that window.
+EVENTS_START = dt.date(2024, 1, 1)
+EVENTS_END = dt.date(2024, 1, 31)

@@ -20,7 +20,7 @@ from ..operators import boards, cohorts, lifecycle, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
-from .defaults import AS_OF
+from .defaults import AS_OF, EVENTS_END, EVENTS_START
 
 REGISTRY: dict[str, Callable[[Model], DataFrame]] = {}
 
@@ -145,9 +145,8 @@ def _run_rate(m):
     """The run-rate frame joined to this month's confirmed orders per country (projection)."""
     mw = _mw()
     k = boards.monthly_kpis(m, mw.itm, mw.ftm)
-    rr = boards.run_rate_frame(m.spark, AS_OF)
-    j = k.crossJoin(F.broadcast(rr))
-    return j.select("Country", "Orders", "rr", F.bround(F.col("Orders") / F.col("rr"), 0).alias("Orders RR"))
+    rr = W.run_rate(AS_OF)
+    return k.select("Country", "Orders", F.lit(rr).alias("rr"), F.bround(F.col("Orders") / F.lit(rr), 0).alias("Orders RR"))
 
 
 # ------------------------------------------------------------------ cohorts
@@ -309,6 +308,29 @@ def _reactivation_profile(m):
     return lifecycle.reactivation_profile(m, AS_OF)
 
 
+# ------------------------------------------------------------------ trials, heavy users, bands
+@query("vertical_trials_by_campaign")
+def _vertical_trials_by_campaign(m):
+    mw = _mw()
+    return lifecycle.vertical_trials_by_campaign(m, AS_OF, [mw.itm, mw.ilm])
+
+
+@query("heavy_users_repeat")
+def _heavy_users_repeat(m):
+    # no user reaches 7 orders in a month in the test orders: threshold 2 exercises both branches
+    return lifecycle.heavy_users_repeat(m, AS_OF, threshold=2)
+
+
+@query("heavy_users_repeat_events")
+def _heavy_users_repeat_events(m):
+    return lifecycle.heavy_users_repeat_events(m.t["events"], m, EVENTS_START, EVENTS_END, threshold=7)
+
+
+@query("frequency_bands")
+def _frequency_bands(m):
+    return lifecycle.frequency_bands(m, W.first_of_month(W.add_months(AS_OF, -4)), _mw().flm)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))
