@@ -119,6 +119,13 @@ def prepare_tax(tax: DataFrame, rename: DataFrame | None = None) -> DataFrame:
     return t
 
 
+def attach_tax(df: DataFrame, tax: DataFrame) -> DataFrame:
+    """upper(Country) and the country's IVA / Extra (missing -> 0 / 1)."""
+    t = bounded_broadcast(tax)
+    j = df.withColumn("Country", F.upper("Country")).join(t, "Country", "left")
+    return j.withColumn("IVA", F.coalesce("IVA", F.lit(0.0))).withColumn("Extra", F.coalesce("Extra", F.lit(1.0)))
+
+
 def net_of_tax(df: DataFrame, tax: DataFrame, shopper_col: str, other_col: str,
                out: str = "Final") -> DataFrame:
     """U3 + D16: attach IVA/Extra by upper(Country) and net the shopper-paid part.
@@ -126,7 +133,5 @@ def net_of_tax(df: DataFrame, tax: DataFrame, shopper_col: str, other_col: str,
     Missing country -> IVA 0, Extra 1. ``out = shopper / (1 + IVA) * Extra + other``.
     The tax frame is a bounded sheet (one row per country) and is broadcast.
     """
-    t = bounded_broadcast(tax)
-    j = df.withColumn("Country", F.upper("Country")).join(t, "Country", "left")
-    j = j.withColumn("IVA", F.coalesce("IVA", F.lit(0.0))).withColumn("Extra", F.coalesce("Extra", F.lit(1.0)))
+    j = attach_tax(df, tax)
     return j.withColumn(out, F.col(shopper_col) / (F.lit(1.0) + F.col("IVA")) * F.col("Extra") + F.col(other_col))

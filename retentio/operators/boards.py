@@ -201,3 +201,116 @@ def discount_mix_pivot(mix: DataFrame, types=("FREE_DELIVERY", "JOKER", "VOUCHER
     total = sum((F.col(t) for t in types[1:]), F.col(types[0]))
     p = p.withColumn("Total", total)
     return p.withColumn("%Voucher", F.bround(F.try_divide(F.col("VOUCHER"), F.col("Total")) * 100, 2))
+
+
+# ---------------------------------------------------------------- D39 / D40
+def user_city_based(m) -> DataFrame:
+    """Users by assignment basis, in millions and as a share (%) of all users."""
+    from . import primitives as P
+    uc = m.user_cities()
+    b = uc.groupBy(F.col("based").alias("Based")).agg(F.count_distinct("user_id").alias("Users"))
+    tot = F.sum("Users").over(Window.partitionBy())  # a handful of rows (one per basis)
+    return b.withColumns({
+        "Users MM": F.col("Users") / F.lit(1000000.0),
+        "Total MM": tot / F.lit(1000000.0),
+        "%": F.bround(F.col("Users") / tot * 100, 2),
+    })
+
+
+def user_city_distribution(m) -> DataFrame:
+    """Users per country and city, share of the country and cumulative share in descending
+    user order (Pareto, WN3); ties broken by city name (T8)."""
+    from . import primitives as P
+    uc = m.user_cities()
+    per = uc.groupBy(F.col("country").alias("Country"), F.col("city").alias("City"), F.col("based").alias("Based")).agg(
+        F.count_distinct("user_id").alias("Users"))
+    c = per.groupBy("Country", "City").agg(F.sum("Users").alias("Users"))
+    tot = F.sum("Users").over(Window.partitionBy("Country"))
+    c = c.withColumns({
+        "Users MM": F.col("Users") / F.lit(1000000.0),
+        "Total MM": tot / F.lit(1000000.0),
+        "%": F.bround(F.col("Users") / tot * 100, 2),
+    })
+    return c.withColumn("Acum", P.running_sum("%", ["Country"], [F.col("Users").desc(), F.col("City").asc()]))
+
+
+def voucher_order_audit(m, start: dt.date, end: dt.date) -> DataFrame:
+    """Voucher uses joined to the window's orders; row count per country and order status."""
+    o = X.in_window(m.orders(), start, end).select(
+        F.col("order_id").alias("id"), F.col("order_status").alias("status"), F.col("country_name").alias("country"))
+    t = m.coupons().select("coupon_id", "order_id")
+    j = t.join(o, t.order_id == o.id, "inner")
+    rows = j.select(F.col("coupon_id").alias("Id"),
+                    F.coalesce(F.col("id").cast("string"), F.lit("-")).alias("Order_Id"),
+                    F.coalesce(F.col("status").cast("string"), F.lit("-")).alias("Order_Status"),
+                    F.coalesce("country", F.lit("-")).alias("Country"))
+    return rows.groupBy("Country", "Order_Status").agg(F.count(F.lit(1)).alias("Rows"))
+
+
+# ---------------------------------------------------------------- D19
+def week_type(fecha, inicio: dt.date, fin: dt.date) -> F.Column:
+    """RS4: last complete week / current week / week before."""
+    d = F.col(fecha) if isinstance(fecha, str) else fecha
+    return (F.when(d.between(F.lit(inicio), F.lit(fin)), "Last Complete Week")
+            .when(d > F.lit(fin), "Current Week").otherwise("Week Before"))
+
+
+def weekly_orders_board(m, as_of: dt.date) -> DataFrame:
+    """D19 orders: daily orders, acquisitions and active users summed to country, month, ISO week and
+    week type (daily active users summed over days, T17); week finished flag."""
+    inicio, fin = W.last_complete_week(as_of)
+    start = fin - dt.timedelta(days=41)
+    end = W.last_of_month(as_of) if as_of.day != 1 else as_of - dt.timedelta(days=1)
+    o = X.in_window(m.orders(), start, end).filter(F.col("order_status") == "CONFIRMED")
+    daily = o.groupBy(F.col("country_name").alias("Country"), F.col("registered_date").alias("Fecha")).agg(
+        F.count(F.lit(1)).alias("Orders"), F.sum("is_acquisition").cast("long").alias("Acq"),
+        F.count_distinct("user_id").alias("Active_Users"))
+    daily = daily.withColumns({
+        "Country": F.coalesce(F.upper("Country"), F.lit("NONE")),
+        "Month": X.month_key("Fecha"),
+        "Week": F.lpad(X.iso_week("Fecha").cast("string"), 2, "0"),
+        "Week Type": week_type("Fecha", inicio, fin),
+    })
+    pt = daily.groupBy("Country", "Month", "Week", "Week Type").agg(
+        F.sum("Orders").alias("Orders"), F.sum("Acq").alias("Acq"), F.sum("Active_Users").alias("Active_Users"))
+    return pt.withColumn("Week Finished", F.when(F.col("Week Type") != "Current Week", "Si").otherwise("No"))
+
+
+def weekly_spend_board(m, as_of: dt.date, rules: dict, tax: DataFrame, block) -> DataFrame:
+    """D19 spend: coupon and wallet spend per month, ISO week, week type, country, payer, type and
+    budget; the shopper-paid part netted of tax."""
+    from . import spend as S
+    from ..functions import rules as R
+    inicio, fin = W.last_complete_week(as_of)
+    start = fin - dt.timedelta(days=41)
+    end = W.last_of_month(as_of) if as_of.day != 1 else as_of - dt.timedelta(days=1)
+    def prep(df):
+        df = S.clean_campaign_frame(df, ["Fecha", "Country", "Campaign", "Payment_Shopper"])
+        d = F.to_date("Fecha")
+        return df.withColumns({"Month": X.month_key(d), "Week": F.lpad(X.iso_week(d).cast("string"), 2, "0"),
+                               "Week Type": week_type(d, inicio, fin)})
+    crudo = prep(S.coupon_spend_daily(m, start, end, W.add_months(start, -12)))
+    crudo = crudo.withColumns({"Budget": R.classify("Campaign", "BUDGET", rules),
+                               "Type": R.classify("Campaign", "TIPOS", rules)})
+    crudo = R.drop_blocked(crudo, "Campaign", block)
+    wallet = prep(S.wallet_spend(m, start, end))
+    wallet = wallet.withColumns({"Budget": R.classify("Campaign", "BUDGET", rules), "Type": F.lit("WALLET")})
+    wallet = R.drop_blocked(wallet, "Campaign", block)
+    index = ["Month", "Week", "Week Type", "Country", "Payment_Shopper", "Type", "Budget"]
+    values = ["Redeemed", "Redeemed_Confirmed", "Acq", "Used_Amount", "Used_Amount_USD", "Used_Amount_Confirmed",
+              "Used_Amount_Confirmed_USD"]
+    def typed(df):  # counts as long, local money as exact decimal, USD as double
+        return df.select(*index, *[F.col(v).cast("long" if v in values[:3] else
+                                                 "double" if v.endswith("USD") else "decimal(28,4)").alias(v)
+                                   for v in values])
+    both = typed(crudo).unionByName(typed(wallet))
+    pt = both.groupBy(*index).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in values])
+    pt = R.attach_tax(pt, tax)
+    net = lambda c: F.col(c) / (F.lit(1.0) + F.col("IVA")) * F.col("Extra")
+    pt = pt.withColumns({
+        "Used_Final": F.when(F.col("Payment_Shopper") == "NO", net("Used_Amount_Confirmed"))
+                       .when(F.col("Payment_Shopper") == "SI", F.col("Used_Amount_Confirmed")),
+        "Used_USD_Final": F.when(F.col("Payment_Shopper") == "NO", net("Used_Amount_Confirmed_USD"))
+                           .when(F.col("Payment_Shopper") == "SI", F.col("Used_Amount_Confirmed_USD")),
+    })
+    return pt.withColumn("Week Finished", F.when(F.col("Week Type") != "Current Week", "Si").otherwise("No"))

@@ -330,3 +330,85 @@ def frequency_bands(m, start: dt.date, end: dt.date, country: str | None = None)
         "%Orders": P.share_of_group("Orders", ["Month"]),
         "%Users": P.share_of_group("Users", ["Month"]),
     })
+
+
+# ---------------------------------------------------------------- D9
+ADR_EDGES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]  # fixed values
+
+
+def adr_cluster(x) -> F.Column:
+    """'Under 10' ... 'Under 90', 'Over 90' by the discount ratio."""
+    c = F.col(x) if isinstance(x, str) else x
+    expr = None
+    for e in ADR_EDGES:
+        lab = f"Under {int(round(e * 100))}"
+        expr = F.when(c < e, lab) if expr is None else expr.when(c < e, lab)
+    return expr.otherwise("Over 90")
+
+
+def adr_user_clusters(m, as_of: dt.date, new_since: dt.date, orders_from: dt.date, orders_to: dt.date,
+                      window_days: int = 181, countries=None) -> DataFrame:
+    """Users by 181-day discount ratio decile and new/old, with cluster size, and their orders,
+    voucher orders, GMV and coupon spend per city, area, campaign and month (raw form)."""
+    new = (m.orders().filter((F.col("registered_date") >= F.lit(new_since)) & (F.col("is_acquisition") == 1))
+           .select("user_id").distinct().withColumn("new_user", F.lit(True)))
+    act = m.countries().filter(F.col("active")).select("country_id")
+    o = m.orders().filter((F.col("registered_date") >= F.lit(as_of - dt.timedelta(days=window_days)))
+                          & (F.col("order_status") == "CONFIRMED")).join(act, "country_id")
+    ut = o.groupBy("user_id", F.col("country_name").alias("country")).agg(
+        F.sum(F.col("shipping_amount_no_discount") + F.col("amount_no_discount")).alias("ta"),
+        F.sum("voucher_discount_amount").alias("vd"))
+    ut = ut.join(new, "user_id", "left").withColumn("new_user", F.coalesce("new_user", F.lit(False)))
+    ut = ut.withColumn("adr", F.coalesce(F.try_divide(F.col("vd").cast("double"), F.col("ta").cast("double")), F.lit(0.0)))
+    ut = ut.withColumn("adr_cluster", adr_cluster("adr"))
+    if countries is not None:
+        ut = ut.filter(F.col("country").isin(countries))
+    # cluster sizes: a partial aggregate (a cluster key may hold a third of the
+    # users, so no window over it); at most countries x 2 x 10 rows, broadcast back
+    cl = ut.groupBy("country", "new_user", "adr_cluster").agg(F.count(F.lit(1)).alias("cluster_users"))
+    ut = ut.join(F.broadcast(cl), ["country", "new_user", "adr_cluster"], "left")
+    coup = m.coupons().select("order_id", "campaign_name", F.col("used_amount").alias("used"))
+    ot = (X.in_window(m.orders(), orders_from, orders_to).filter(F.col("order_status") == "CONFIRMED")
+          .join(coup, "order_id", "left")
+          .select("user_id", F.col("country_name").alias("country"), "order_id", "registered_date",
+                  F.coalesce("city_name", F.lit("-")).alias("city"), F.coalesce("area_name", F.lit("-")).alias("area"),
+                  F.col("campaign_name"), F.col("used").isNotNull().alias("with_voucher"), "used",
+                  (F.col("total_amount") + F.col("shipping_amount")).alias("gmv"),
+                  F.coalesce(F.col("payment_mode") != "TOTAL_AMOUNT", F.lit(False)).alias("shopper")))
+    j = ut.join(ot, ["user_id", "country"], "left")
+    return j.groupBy(F.col("country").alias("Country"), F.col("adr_cluster").alias("ADR_Cluster"),
+                     F.when(F.col("new_user"), "New").otherwise("Old").alias("User_Type"),
+                     F.col("cluster_users").alias("Cluster_Users"), F.col("city").alias("City"),
+                     F.col("area").alias("Area"), F.coalesce("campaign_name", F.lit("-")).alias("Campaign"),
+                     X.month_key("registered_date").alias("Month")).agg(
+        F.count("order_id").alias("Total_Orders"),
+        F.count(F.when(F.col("with_voucher"), 1)).alias("Voucher_Orders"),
+        F.sum("gmv").alias("GMV"),
+        F.coalesce(F.sum(F.when(F.col("shopper") == F.lit(False), F.col("used")).otherwise(F.lit(0))), F.lit(0)).alias("Amount"),
+        F.coalesce(F.sum(F.when(F.col("shopper"), F.col("used")).otherwise(F.lit(0))), F.lit(0)).alias("Amount_Shopper"))
+
+
+NO_BUDGET = ["DMARTS", "NONE", "-"]  # fixed values
+
+
+def adr_cluster_board(raw: DataFrame, rules: dict, tax: DataFrame, zones: DataFrame, block) -> DataFrame:
+    """D9 board: classes ('-' without campaign, RS8), tax, block flag, budget groups (RS9),
+    competition zone, then the pivot with the cluster size averaged (T32)."""
+    from . import spend as S
+    from ..functions import rules as R
+    df = raw.withColumns({c: F.coalesce(F.upper(F.col(c).cast("string")), F.lit("NONE"))
+                          for c in ["Country", "ADR_Cluster", "City", "Area", "User_Type", "Campaign", "Month"]})
+    df = df.withColumn("Campaign", F.regexp_replace("Campaign", " ", ""))
+    none = F.col("Campaign") == "-"
+    for f in ["TIPOS", "SEGMENTOS", "NIVELES", "CAMPAIGNS", "AUTOMATIONS", "BUDGET", "TRIAL"]:
+        df = df.withColumn(R.FILTER_COLUMNS[f], F.when(none, F.lit("-")).otherwise(R.classify("Campaign", f, rules)))
+    df = R.net_of_tax(df, tax, "Amount_Shopper", "Amount")
+    df = df.withColumn("Filtrar", R.blocked("Campaign", block))
+    df = df.withColumn("Tipo", F.when(F.col("Type") == "VOUCHER CAMPAIGNS", "-").otherwise("OK"))
+    df = df.withColumn("Budget", F.when(F.col("Budget").isin(NO_BUDGET), "-").otherwise(F.col("Budget")))
+    df = S.attach_competition(df, zones)
+    index = ["Country", "Month", "ADR_Cluster", "User_Type", "Competencia", "Budget", "Filtrar", "Tipo"]
+    return df.groupBy(*index).agg(
+        F.avg("Cluster_Users").alias("Cluster_Users"), F.sum("Total_Orders").alias("Total_Orders"),
+        F.sum("Voucher_Orders").alias("Voucher_Orders"), F.coalesce(F.sum("GMV"), F.lit(0)).alias("GMV"),
+        F.sum("Final").alias("Final"))

@@ -525,3 +525,77 @@ def campaign_type_catalog(df: DataFrame, cols=("Budget", "Type", "Segment", "Tri
                                                 "Automated", "Country")) -> DataFrame:
     """The distinct class combinations present."""
     return df.select(*cols).distinct()
+
+
+# ---------------------------------------------------------------- D36
+def competition_spend(m, since: dt.date, rules: dict, tax: DataFrame, zones: DataFrame, block,
+                      countries=None) -> DataFrame:
+    """Coupon spend by city / area / month with campaign classes and competition level.
+
+    The zone key here is City-Area for 'CITY-AREA' countries and '-' + Area
+    otherwise (the other key format of T24); unmatched zones read 'NONE'.
+    """
+    o = m.orders().filter((F.col("registered_date") >= F.lit(since)) & (F.col("order_status") == "CONFIRMED"))
+    if "order_month" in o.columns:
+        o = o.filter(F.col("order_month") >= F.trunc(F.lit(since), "MM"))
+    if countries is not None:
+        o = o.filter(F.col("country_name").isin(countries))
+    c = m.coupons().select("order_id", "campaign_name", "used_amount")
+    j = with_fx(o.join(c, "order_id"), m)
+    tot = F.col("payment_mode") == "TOTAL_AMOUNT"
+    oth = F.col("payment_mode") != "TOTAL_AMOUNT"
+    usd = _usd("used_amount")
+    g = j.groupBy(F.col("country_name").alias("Country"), F.col("city_name").alias("City"),
+                  F.col("area_name").alias("Area"), X.month_key("registered_date").alias("Month"),
+                  F.col("campaign_name").alias("Campaign")).agg(
+        F.count(F.lit(1)).alias("Confirmed"), F.sum("is_acquisition").cast("long").alias("Acq"),
+        F.sum(F.when(tot, usd).otherwise(F.lit(0.0))).alias("Amount"),
+        F.sum(F.when(oth, usd).otherwise(F.lit(0.0))).alias("Amount_Shopper"))
+    g = clean_campaign_frame(g, ["Campaign", "Country", "City", "Area", "Month"])
+    g = R.classify_campaigns(g, "Campaign", rules)
+    g = R.net_of_tax(g, tax, "Amount_Shopper", "Amount", "Spend")
+    g = R.drop_blocked(g, "Campaign", block)
+    z = bounded_broadcast(zones)
+    ctype = z.groupBy(F.upper("Country").alias("_zc")).agg(F.min("Tipo").alias("_tipo"))
+    g = g.join(F.broadcast(ctype), F.col("Country") == F.col("_zc"), "left")
+    key = F.when(F.col("_tipo") == "CITY-AREA", F.concat(F.col("City"), F.lit("-"), F.col("Area"))).otherwise(
+        F.concat(F.lit("-"), F.col("Area")))
+    g = g.withColumn("_union", key).join(
+        z.select(F.col("Union").alias("_zu"), F.col("Competencia").alias("_comp")), F.col("_union") == F.col("_zu"), "left")
+    g = g.withColumn("Competencia", F.coalesce("_comp", F.lit("NONE")))
+    index = ["Month", "Country", "City", "Area", "Type", "Budget", "Trial", "Segment", "Competencia"]
+    pt = g.groupBy(*index).agg(F.sum("Confirmed").alias("Confirmed"), F.sum("Acq").alias("Acq"),
+                               F.sum("Spend").alias("Spend"))
+    return pt.filter(F.col("Budget") != "NONE")
+
+
+# ---------------------------------------------------------------- D41
+def spend_reconciliation(m, start: dt.date, end: dt.date, rules: dict, tax: DataFrame, block) -> DataFrame:
+    """The same month's coupon spend from the order-level detail and from the daily
+    aggregate, classified and netted the same way, side by side per country and campaign,
+    with the difference (our addition)."""
+    def prep(df, orders, acq):
+        df = clean_campaign_frame(df, ["Campaign", "Country", "Benefit"])
+        df = df.withColumn("Type", R.classify("Campaign", "TIPOS", rules, benefit="Benefit"))
+        df = df.withColumn("Budget", R.classify("Campaign", "BUDGET", rules))
+        df = R.net_of_tax(df, tax, "Amount_Shopper", "Amount")
+        df = R.drop_blocked(df, "Campaign", block)
+        return df.groupBy("Country", "Campaign").agg(F.sum(orders).alias("o"), F.sum(acq).alias("a"),
+                                                     F.sum("Final").alias("f"))
+    detail = crm_spend(m, start, end).filter(F.col("Benefit") == "TALON COUPON")
+    d = prep(detail, "Orders_CRM", "Acq_CRM")
+    vd = m.vouchers_daily().filter(F.col("date").between(F.lit(start), F.lit(end)))
+    cn = m.countries().select(F.upper("country_name").alias("_cu"), "currency_id")
+    vj = with_fx(vd.join(cn, F.upper("country_name") == F.col("_cu"), "left"), m, "date")
+    amt = _usd("coupon_used_amount_confirmed")
+    daily = vj.groupBy(F.col("country_name").alias("Country"), F.col("campaign_name").alias("Campaign"),
+                       F.col("coupon_type").alias("Benefit")).agg(
+        F.sum("coupons_redeemed_confirmed").alias("Confirmed_CRM"), F.sum("coupon_orders_acq_confirmed").alias("Acq_CRM"),
+        F.sum(F.when(F.col("payment_shopper") == 0, amt).otherwise(F.lit(0.0))).alias("Amount_Shopper"),
+        F.sum(F.when(F.col("payment_shopper") == 1, amt).otherwise(F.lit(0.0))).alias("Amount"))
+    a = prep(daily, "Confirmed_CRM", "Acq_CRM")
+    j = d.select("Country", "Campaign", F.col("o").alias("Orders_Detail"), F.col("a").alias("Acq_Detail"),
+                 F.col("f").alias("Final_Detail")).join(
+        a.select("Country", "Campaign", F.col("o").alias("Orders_Daily"), F.col("a").alias("Acq_Daily"),
+                 F.col("f").alias("Final_Daily")), ["Country", "Campaign"], "full")
+    return j.withColumn("Final_Diff", F.coalesce("Final_Detail", F.lit(0.0)) - F.coalesce("Final_Daily", F.lit(0.0)))

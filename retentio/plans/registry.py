@@ -331,6 +331,69 @@ def _frequency_bands(m):
     return lifecycle.frequency_bands(m, W.first_of_month(W.add_months(AS_OF, -4)), _mw().flm)
 
 
+# ------------------------------------------------------------------ clusters, competition, boards
+def _adr_raw(m):
+    mw = _mw()
+    return lifecycle.adr_user_clusters(m, AS_OF, new_since=mw.ilm, orders_from=W.first_of_month(W.add_months(AS_OF, -2)),
+                                       orders_to=mw.ftm)
+
+
+@query("adr_user_clusters")
+def _adr_user_clusters(m):
+    return publish(_adr_raw(m), ["GMV", "Amount", "Amount_Shopper"])
+
+
+@query("adr_cluster_board")
+def _adr_cluster_board(m):
+    rules, tax, zones, block = _sheets(m)
+    df = lifecycle.adr_cluster_board(_adr_raw(m), rules, tax, zones, block)
+    return publish(df, ["GMV", "Final"]).withColumn("Cluster_Users", F.round("Cluster_Users", 6))
+
+
+@query("competition_spend")
+def _competition_spend(m):
+    rules, tax, zones, block = _sheets(m)
+    df = spend.competition_spend(m, _mw().ilm, rules, tax, zones, block)
+    return publish(df, ["Spend"])
+
+
+@query("spend_reconciliation")
+def _spend_reconciliation(m):
+    rules, tax, _, block = _sheets(m)
+    mw = _mw()
+    df = spend.spend_reconciliation(m, mw.ilm, mw.flm, rules, tax, block)
+    return publish(df, ["Final_Detail", "Final_Daily", "Final_Diff"])
+
+
+@query("user_city_based")
+def _user_city_based(m):
+    return boards.user_city_based(m)
+
+
+@query("user_city_distribution")
+def _user_city_distribution(m):
+    return boards.user_city_distribution(m)
+
+
+@query("voucher_order_audit")
+def _voucher_order_audit(m):
+    mw = _mw()
+    return boards.voucher_order_audit(m, mw.ilm, mw.flm)
+
+
+@query("weekly_orders_board")
+def _weekly_orders_board(m):
+    return boards.weekly_orders_board(m, AS_OF)
+
+
+@query("weekly_spend_board")
+def _weekly_spend_board(m):
+    rules, tax, _, block = _sheets(m)
+    return publish(boards.weekly_spend_board(m, AS_OF, rules, tax, block), [
+        "Used_Amount", "Used_Amount_USD", "Used_Amount_Confirmed", "Used_Amount_Confirmed_USD", "Used_Final",
+        "Used_USD_Final"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))
