@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from ..functions import windows as W
-from ..operators import boards, cohorts, lifecycle, spend
+from ..operators import boards, cohorts, curves, lifecycle, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
@@ -394,6 +394,65 @@ def _weekly_spend_board(m):
         "Used_USD_Final"])
 
 
+# ------------------------------------------------------------------ curves
+CURVE_RATIOS = ["Cum_M1", "Weekday Value", "Cum_Weekday", "Month Value", "Month M1", "%Month", "%M1"]
+
+
+def _curve_window():
+    start = W.first_of_month(W.add_months(AS_OF, -3))
+    return start, _mw().flm, _mw().ftm
+
+
+def _m1_curve(m):
+    start, end, oend = _curve_window()
+    return curves.reorder_curve(curves.curve_points(m, start, end, oend, "M1"), "M1_Fecha", "Acq")
+
+
+def _round(df, cols, digits):
+    return df.withColumns({c: F.round(F.col(c), digits) for c in cols if c in df.columns})
+
+
+@query("reorder_curve_m1")
+def _reorder_curve_m1(m):
+    return _round(_m1_curve(m), CURVE_RATIOS, 9)
+
+
+@query("reorder_curve")
+def _reorder_curve(m):
+    start, end, oend = _curve_window()
+    df = curves.reorder_curve(curves.curve_points(m, start, end, oend, "Reorder"), "Reorder_Fecha", "Users")
+    return _round(df, CURVE_RATIOS, 9)
+
+
+@query("curve_fit_cubic")
+def _curve_fit_cubic(m):
+    fit = curves.curve_fit_cubic(_m1_curve(m))
+    return _round(fit, ["A", "B", "C", "D", "A_Media", "B_Media", "C_Media", "D_Media"], 6)
+
+
+def _reo_curve(m):
+    start, end, oend = _curve_window()
+    return curves.reorder_curve(curves.curve_points(m, start, end, oend, "Reorder"), "Reorder_Fecha", "Users")
+
+
+@query("curve_fit_cubic_reorder")
+def _curve_fit_cubic_reorder(m):
+    fit = curves.curve_fit_cubic(_reo_curve(m))
+    return _round(fit, ["A", "B", "C", "D", "A_Media", "B_Media", "C_Media", "D_Media"], 6)
+
+
+@query("curve_fit_r2_reorder")
+def _curve_fit_r2_reorder(m):
+    c = _reo_curve(m)
+    return _round(curves.curve_r2(c, curves.curve_fit_cubic(c), "Reorder"), ["R_Sq"], 6)
+
+
+@query("curve_fit_r2")
+def _curve_fit_r2(m):
+    c = _m1_curve(m)
+    return _round(curves.curve_r2(c, curves.curve_fit_cubic(c), "M1"), ["R_Sq"], 6)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))
