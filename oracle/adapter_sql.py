@@ -31,6 +31,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT c.c_custkey AS user_id, cn.country_name AS country, c.c_mktsegment AS city,
                CASE WHEN c.c_acctbal >= 0 THEN 'ORDERS' ELSE 'ADDRESS' END AS based
         FROM customer c LEFT JOIN countries cn ON cn.country_id = c.c_nationkey"""),
+    "population": ((), "SELECT c_custkey AS user_id FROM customer WHERE c_acctbal < 1000"),
     "partners": ((), """
         SELECT s_suppkey AS partner_id,
                CASE WHEN s_acctbal >= 4300 THEN 'TOTAL_AMOUNT' ELSE 'COMMISSION' END AS payment_mode,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from ..functions import windows as W
-from ..operators import boards, cohorts, curves, lifecycle, spend
+from ..operators import boards, cohorts, curves, lifecycle, population, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
@@ -453,6 +453,34 @@ def _curve_fit_r2(m):
     return _round(curves.curve_r2(c, curves.curve_fit_cubic(c), "M1"), ["R_Sq"], 6)
 
 
+# ------------------------------------------------------------------ migrated population
+# the population's migration starts with the data: its queries cover the whole order history
+POP_SINCE = dt.date(1995, 1, 1)
+
+
+@query("calendar_cohorts")
+def _calendar_cohorts(m):
+    return population.calendar_cohorts(m, POP_SINCE, AS_OF)
+
+
+@query("migrated_users_monthly")
+def _migrated_users_monthly(m):
+    return population.migrated_users_monthly(m, POP_SINCE, _mw().ftm, AS_OF)
+
+
+@query("migrated_coupon_spend")
+def _migrated_coupon_spend(m):
+    rules, tax, _, block = _sheets(m)
+    df = population.migrated_coupon_spend(m, POP_SINCE, W.add_months(POP_SINCE, -12), rules, tax, block)
+    return publish(df, ["Amount_Final"])
+
+
+@query("country_coupon_spend")
+def _country_coupon_spend(m):
+    rules, tax, _, block = _sheets(m)
+    return publish(population.country_coupon_spend(m, POP_SINCE, rules, tax, block), ["Amount_Final"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))

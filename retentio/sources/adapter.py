@@ -41,6 +41,7 @@ Mapping (fixed values; the SQL adapter repeats them):
   and A (type 10, not wallet funding); amount = extended price x tax
 * user city (city_usuarios) = market segment; basis ORDERS when the account
   balance is >= 0, else ADDRESS
+* migrated population: customers with account balance < 1000
 * vouchers daily: coupons of confirmed orders aggregated by day, country,
   campaign, coupon type and payer
 * currency = region; monthly USD rate =
@@ -155,6 +156,13 @@ class Model:
                 F.when(F.col("c_acctbal") >= 0, "ORDERS").otherwise("ADDRESS").alias("based"))
         return self._get("user_cities", build)
 
+    def population(self) -> DataFrame:
+        """A migrated user population (users brought over from another platform)."""
+        def build():
+            c = self.t["customer"]
+            return c.filter(F.col("c_acctbal") < 1000).select(F.col("c_custkey").alias("user_id"))
+        return self._get("population", build)
+
     def partners(self) -> DataFrame:
         """dim_partner joined with dim_billing_info."""
         def build():
@@ -388,7 +396,8 @@ def model(tables: dict[str, DataFrame]) -> Model:
 # logical star schema a warehouse would hold. ``orders`` is partitioned by
 # month so that the date windows of the queries prune whole partitions.
 PERSISTED = ("first_lines", "orders", "order_partner", "discounts", "coupons", "wallet", "funding",
-             "vouchers_daily", "users", "campaigns", "partners", "user_cities", "partners_monthly")
+             "vouchers_daily", "users", "campaigns", "partners", "user_cities", "partners_monthly",
+             "population")
 BOUNDED = ("countries", "fx_rates")
 
 
