@@ -177,3 +177,11 @@ def curve_r2(curve: DataFrame, fit: DataFrame, tipo: str, x: str = "%Month", y:
 def horner(x, a, b, c, d):
     """SF28: a x^3 + b x^2 + c x + d."""
     return ((a * x + b) * x + c) * x + d
+
+
+def curve_month_summary(points: DataFrame, date_col: str = "M1_Fecha", size_col: str = "Acq") -> DataFrame:
+    """AG12: per (Month, Country): the median of the per-date cohort sizes, the sum of reorders
+    and their ratio (M1), from the curve rows summed over voucher groups."""
+    g = points.groupBy("Month", "Country", date_col).agg(F.sum(size_col).alias(size_col), F.sum("Reorders").alias("Reorders"))
+    s = g.groupBy("Month", "Country").agg(F.median(size_col).alias(size_col), F.sum("Reorders").alias("Reorders"))
+    return s.withColumn("M1", F.try_divide(F.col("Reorders").cast("double"), F.col(size_col)))

@@ -424,6 +424,12 @@ def _reorder_curve(m):
     return _round(df, CURVE_RATIOS, 9)
 
 
+@query("curve_month_summary")
+def _curve_month_summary(m):
+    start, end, oend = _curve_window()
+    return curves.curve_month_summary(curves.curve_points(m, start, end, oend, "Reorder"), "Reorder_Fecha", "Users")
+
+
 @query("curve_fit_cubic")
 def _curve_fit_cubic(m):
     fit = curves.curve_fit_cubic(_m1_curve(m))
