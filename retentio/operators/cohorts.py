@@ -255,6 +255,9 @@ def mature_cohorts(cohorts: DataFrame, index: list[str], rules: dict, filters=CL
                    block=None) -> DataFrame:
     """Text keys cleaned, maturity mask, months summed away, campaign classes attached."""
     str_cols = list(dict.fromkeys(["Month", *index]))
+    # the cohort table is read twice (month ranks and values): materialise it once
+    # in the checkpoint folder instead of computing the cohort joins twice
+    cohorts = cohorts.checkpoint(eager=True)
     df = cohorts.withColumns({c: F.coalesce(F.upper(F.col(c).cast("string")), F.lit("NONE")) for c in str_cols})
     df = df.withColumn("Campaign", F.regexp_replace("Campaign", " ", ""))
     df = mature_mask(df)

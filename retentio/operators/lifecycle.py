@@ -279,7 +279,10 @@ def heavy_repeat_stats(ft: DataFrame, m, threshold: int, periods, fmt: str, firs
         F.count(F.when(hi_t & hi_l, 1)).alias("Repeated_Users_Over7"),
         F.sum(F.when(hi_t & hi_l, tm).otherwise(z)).cast("long").alias("Repeated_Orders_Over7_TM"),
         F.sum(F.when(hi_t & hi_l, lm).otherwise(z)).cast("long").alias("Repeated_Orders_Over7_LM"))
-    grid = ft.select("country_id").distinct().withColumn("month", F.explode(periods))
+    # the per-(country, period) statistics are small; materialise them once and
+    # take the grid's countries from them instead of re-reading the user facts
+    stats = stats.checkpoint(eager=True)
+    grid = stats.select("country_id").distinct().withColumn("month", F.explode(periods))
     g = grid.join(stats, ["country_id", "month"], "left").fillna(0)
     cn = m.countries().select("country_id", F.col("country_name").alias("Country"))
     g = g.join(cn, "country_id", "left")

@@ -41,11 +41,17 @@ def _mw():
     return W.month_windows(AS_OF)
 
 
+_SHEETS: dict = {}
+
+
 def _sheets(m):
+    """Rule, tax, zone and block sheets; loaded and checked once per session."""
     spark = m.spark
-    rules = R.compile_rules(L.RULES_FIXTURE)
-    tax = R.prepare_tax(L.tax_frame(spark), L.rename_frame(spark))
-    return rules, tax, L.zones_frame(spark), L.block_list()
+    if id(spark) not in _SHEETS:
+        rules = R.compile_rules(L.RULES_FIXTURE)
+        tax = R.prepare_tax(L.tax_frame(spark), L.rename_frame(spark))
+        _SHEETS[id(spark)] = (rules, tax, L.zones_frame(spark), L.block_list())
+    return _SHEETS[id(spark)]
 
 
 # ------------------------------------------------------------------ boards
@@ -198,7 +204,7 @@ def _adr_after_campaign(m):
 
 def model_for(spark: SparkSession, sf_dir: str) -> Model:
     """The logical model over ``sf_dir``; its large views are stored once per session."""
-    return stored_model(spark, load_tables(spark, sf_dir), sf_dir)
+    return stored_model(spark, lambda: load_tables(spark, sf_dir), sf_dir)
 
 
 # ------------------------------------------------------------------ coupons and vouchers
@@ -449,13 +455,13 @@ def _curve_fit_cubic_reorder(m):
 
 @query("curve_fit_r2_reorder")
 def _curve_fit_r2_reorder(m):
-    c = _reo_curve(m)
+    c = _reo_curve(m).checkpoint(eager=True)  # read twice: fit and residuals
     return _round(curves.curve_r2(c, curves.curve_fit_cubic(c), "Reorder"), ["R_Sq"], 6)
 
 
 @query("curve_fit_r2")
 def _curve_fit_r2(m):
-    c = _m1_curve(m)
+    c = _m1_curve(m).checkpoint(eager=True)  # read twice: fit and residuals
     return _round(curves.curve_r2(c, curves.curve_fit_cubic(c), "M1"), ["R_Sq"], 6)
 
 

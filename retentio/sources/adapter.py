@@ -454,13 +454,24 @@ class StoredModel(Model):
 _STORED: dict = {}
 
 
-def stored_model(spark, tables: dict[str, DataFrame], sf_dir: str) -> Model:
-    """One StoredModel per (session, input folder, adapter version)."""
+_VERSION = None
+
+
+def stored_model(spark, tables, sf_dir: str) -> Model:
+    """One StoredModel per (session, input folder, adapter version).
+
+    ``tables`` is a dict of input frames or a callable returning one; it is
+    only evaluated when the model is first created for the session.
+    """
     from ..session import ensure_checkpoint_dir
     import hashlib
-    key = (id(spark), sf_dir, _version())
+    global _VERSION
+    if _VERSION is None:
+        _VERSION = _version()
+    key = (id(spark), sf_dir, _VERSION)
     if key not in _STORED:
         root = ensure_checkpoint_dir(spark)
-        tag = hashlib.sha1(f"{sf_dir}|{key[2]}".encode()).hexdigest()[:16]
-        _STORED[key] = StoredModel(tables, f"{root.rstrip('/')}/retentio-model/{tag}")
+        tag = hashlib.sha1(f"{sf_dir}|{_VERSION}".encode()).hexdigest()[:16]
+        _STORED[key] = StoredModel(tables() if callable(tables) else tables,
+                                   f"{root.rstrip('/')}/retentio-model/{tag}")
     return _STORED[key]
