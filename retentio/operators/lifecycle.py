@@ -34,7 +34,7 @@ def _conf(m, start=None, end=None) -> DataFrame:
 
 def orders_with_lines(m) -> DataFrame:
     """Orders that have at least one discount row (what a comma UNNEST keeps, T2), as a semi join."""
-    lines = m.discounts().select("order_id")
+    lines = m.first_lines().select("order_id")  # one row per order that has lines
     return m.orders().join(lines, "order_id", "left_semi")
 
 

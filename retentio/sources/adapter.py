@@ -195,8 +195,12 @@ class Model:
         def build():
             o = self.t["orders"]
             confirmed = F.col("o_orderstatus") != "P"
-            first = Window.partitionBy("o_custkey").orderBy(
-                (~confirmed).asc(), F.col("o_orderdate").asc(), F.col("o_orderkey").asc())
+            # acquisition = the customer's earliest confirmed (date, key). An aggregate
+            # (map-side combined, so a customer with a huge share of the orders is not
+            # one task) finds it; the flag is then joined on the unique order key.
+            acq = (o.filter(confirmed).groupBy("o_custkey")
+                   .agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("_f"))
+                   .select(F.col("_f.o_orderkey").alias("_acq_key")))
             total = F.col("o_totalprice").cast(MONEY)
             logistics = F.col("o_totalprice") >= 250000
             # delivery fee: 2 % on logistics orders, free for urgent ones and for marketplace
@@ -204,6 +208,7 @@ class Model:
             fee = F.when(logistics & ~free, total * F.lit(0.02).cast("decimal(3,2)")).otherwise(
                 F.lit(0).cast("decimal(3,2)"))
             digit = F.substring("o_orderpriority", 1, 1).cast("int")
+            o = o.join(acq, o.o_orderkey == acq._acq_key, "left")
             base = o.select(
                 F.col("o_orderkey").alias("order_id"),
                 F.col("o_custkey").alias("user_id"),
@@ -212,7 +217,7 @@ class Model:
                 F.col("o_orderdate").alias("registered_at"),
                 digit.alias("business_type_id"),
                 _case_map(digit, BUSINESS_BY_DIGIT, "Shop").alias("business_type_name"),
-                F.when(confirmed & (F.row_number().over(first) == 1), 1).otherwise(0).alias("is_acquisition"),
+                F.when(F.col("_acq_key").isNotNull(), 1).otherwise(0).alias("is_acquisition"),
                 logistics.alias("with_logistics"),
                 total.alias("total_amount"),
                 total.alias("amount_no_discount"),
