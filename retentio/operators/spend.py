@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -599,3 +599,50 @@ def spend_reconciliation(m, start: dt.date, end: dt.date, rules: dict, tax: Data
         a.select("Country", "Campaign", F.col("o").alias("Orders_Daily"), F.col("a").alias("Acq_Daily"),
                  F.col("f").alias("Final_Daily")), ["Country", "Campaign"], "full")
     return j.withColumn("Final_Diff", F.coalesce("Final_Detail", F.lit(0.0)) - F.coalesce("Final_Daily", F.lit(0.0)))
+
+
+def active_flows_board(flows: DataFrame, rules: dict) -> DataFrame:
+    """D11 board: active voucher flows per country, city and campaign classes; vouchers summed,
+    latest finish date (text, 'NONE' when open-ended) kept (AG12: sum and max)."""
+    df = clean_campaign_frame(flows, ["Campaign", "Country", "City", "Variation", "Finish"])
+    df = R.classify_campaigns(df, "Campaign", rules, ["BENEFICIOS", "TIPOS", "SEGMENTOS", "NIVELES", "CAMPAIGNS",
+                                                      "AUTOMATIONS", "BUDGET"])
+    index = ["Country", "City", "Benefit", "Type", "Segment", "Level", "Campaña", "Automated", "Budget"]
+    return df.groupBy(*index).agg(F.sum("Vouchers").alias("Vouchers"), F.max("Finish").alias("Finish"))
+
+
+STATS_FOR_VALIDITY = ["M1_Users_Final", "M2_Users_Final", "M3_Users_Final", "Acq_M1", "Acq_M2", "Acq_M3",
+                      "M1_Orders_Final", "M2_Orders_Final", "M3_Orders_Final", "M1_Total_Paid_USD",
+                      "M1_Total_Disc_USD", "M1_Amount_Used_USD", "M2_Total_Paid_USD", "M2_Total_Disc_USD",
+                      "M2_Amount_Used_USD", "M3_Total_Paid_USD", "M3_Total_Disc_USD", "M3_Amount_Used_USD",
+                      "Original_Amount_Used"]
+
+
+def validity_with_stats(validity: DataFrame, stats: DataFrame, rules: dict, tax: DataFrame) -> DataFrame:
+    """D43 (variations form): voucher validity rows with the mature cohort figures of the same
+    (country, city, campaign, discount type, variation).
+
+    SE4: each stats row is attached to the newest of the two newest validity
+    months in which its key appears; keys that appear in neither are dropped
+    (the reference appends them with '-' fillers, SE3, and filters them out
+    again). The shopper-paid spend is netted of tax; the column that mixes
+    USD and local money (T21) is not produced.
+    """
+    key_cols = ["Country", "City", "Campaign", "Discount_Type", "Variation"]
+    tc = clean_campaign_frame(validity, ["Campaign", "Country", "Month", "City", "Discount_Type", "Variation"])
+    tc = R.classify_campaigns(tc, "Campaign", rules, ["BENEFICIOS", "TIPOS", "SEGMENTOS", "NIVELES", "CAMPAIGNS",
+                                                      "AUTOMATIONS", "BUDGET"])
+    tc = R.attach_tax(tc, tax)
+    tc = tc.withColumn("Confirmed_Used_Amount_Final",
+                       F.col("Confirmed_Used_Amount").cast("double") - F.col("Confirmed_Used_Amount_Iva").cast("double")
+                       + F.col("Confirmed_Used_Amount_Iva").cast("double") / (F.lit(1.0) + F.col("IVA")) * F.col("Extra"))
+    tc = tc.withColumn("Union", F.concat_ws(" - ", *key_cols)).checkpoint(eager=True)
+    months = tc.select("Month").distinct()
+    top2 = months.select("Month", F.dense_rank().over(Window.orderBy(F.col("Month").desc())).alias("_r")).filter("_r <= 2")
+    assigned = (tc.select("Union", "Month").join(F.broadcast(top2), "Month")
+                .groupBy("Union").agg(F.max("Month").alias("Month")))
+    st = stats.withColumn("Union", F.concat_ws(" - ", *key_cols))
+    st = st.join(assigned, "Union", "inner").select("Month", "Union", *STATS_FOR_VALIDITY)
+    out = tc.join(st, ["Month", "Union"], "left")
+    out = out.drop("Confirmed_Used_Amount_USD", "Confirmed_Used_Amount_USD_Iva", "IVA", "Extra", "Union")
+    return out.filter(F.col("Type") != "-")

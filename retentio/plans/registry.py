@@ -254,6 +254,25 @@ def _active_flows_vouchers(m):
     return spend.active_flows_vouchers(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
 
 
+@query("active_flows_board")
+def _active_flows_board(m):
+    rules, _, _, _ = _sheets(m)
+    flows = spend.active_flows_vouchers(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    return spend.active_flows_board(flows, rules)
+
+
+@query("validity_with_stats")
+def _validity_with_stats(m):
+    rules, tax, _, _ = _sheets(m)
+    val = spend.voucher_validity_daily(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    val = val.withColumns({"Ageing": F.round("Ageing", 6), "Availability": F.round("Availability", 6)})
+    st = cohorts.campaign_cohort_value(m, AS_OF, "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    pt = cohorts.mature_cohorts(st, ["Country", "City", "Campaign", "Discount_Type", "Variation"], rules)
+    df = spend.validity_with_stats(val, pt, rules, tax)
+    return publish(df, [c for c in df.columns if c in (
+        "Confirmed_Used_Amount", "Confirmed_Used_Amount_Iva", "Confirmed_Used_Amount_Final", *COHORT_MONEY)])
+
+
 @query("voucher_validity_daily")
 def _voucher_validity_daily(m):
     df = spend.voucher_validity_daily(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
