@@ -32,6 +32,13 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN c.c_acctbal >= 0 THEN 'ORDERS' ELSE 'ADDRESS' END AS based
         FROM customer c LEFT JOIN countries cn ON cn.country_id = c.c_nationkey"""),
     "population": ((), "SELECT c_custkey AS user_id FROM customer WHERE c_acctbal < 1000"),
+    "legacy_orders": ((), """
+        SELECT CAST(ts AS DATE) AS order_date, user_id, COUNT(*) AS qty_orders, 'CONFIRMED' AS order_status
+        FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"""),
+    "legacy_segments": ((), """
+        SELECT user_id, CASE WHEN COUNT(CASE WHEN event_type = 'view' THEN 1 END) > COUNT(CASE WHEN event_type = 'click' THEN 1 END)
+                             THEN 'LOYAL_BROWSER' ELSE 'CASUAL' END AS segment
+        FROM events GROUP BY 1"""),
     "partners": ((), """
         SELECT s_suppkey AS partner_id,
                CASE WHEN s_acctbal >= 4300 THEN 'TOTAL_AMOUNT' ELSE 'COMMISSION' END AS payment_mode,

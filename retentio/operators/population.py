@@ -135,3 +135,22 @@ def country_coupon_spend(m, since: dt.date, rules: dict, tax: DataFrame, block,
     return g.groupBy("Month", "Country", "Budget", "Type", "Segment").agg(
         F.sum("Redeemed_Confirmed").alias("Redeemed_Confirmed"), F.sum("Acquisitions").alias("Acquisitions"),
         F.coalesce(F.sum("Amount_Final"), F.lit(0.0)).alias("Amount_Final"))
+
+
+def legacy_frequency_segments(m, start: dt.date, end: dt.date, threshold: int = 7) -> DataFrame:
+    """D30 (segment form): users of the old platform per month by segment, loyalty and order band
+    (at or above ``threshold``), then per (month, loyalty, band) with shares of the month (WN4)."""
+    lo = m.legacy_orders().filter((F.col("order_status") == "CONFIRMED")
+                                  & F.col("order_date").between(F.lit(start), F.lit(end)))
+    ut = (lo.groupBy(X.month_key("order_date").alias("month"), "user_id").agg(F.sum("qty_orders").alias("orders"))
+          .join(m.legacy_segments(), "user_id", "left"))
+    seg = ut.groupBy(F.col("month").alias("Month"), F.coalesce("segment", F.lit("-")).alias("Segment"),
+                     F.when(F.upper("segment").like("%LOYAL%"), "Loyal").otherwise("No Loyal").alias("Loyalty"),
+                     F.when(F.col("orders") >= threshold, "+7").otherwise("-7").alias("Tipo")).agg(
+        F.count(F.lit(1)).alias("Users"), F.sum("orders").cast("long").alias("Orders"))
+    pt = seg.groupBy("Month", "Loyalty", "Tipo").agg(F.sum("Users").alias("Users"), F.sum("Orders").alias("Orders"))
+    return pt.withColumns({
+        "%Orders": P.share_of_group("Orders", ["Month"]),
+        "%Users": P.share_of_group("Users", ["Month"]),
+        "Freq": X.safe_ratio("Orders", "Users"),
+    })

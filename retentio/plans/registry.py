@@ -512,6 +512,11 @@ def _country_coupon_spend(m):
     return publish(population.country_coupon_spend(m, POP_SINCE, rules, tax, block), ["Amount_Final"])
 
 
+@query("legacy_frequency_segments")
+def _legacy_frequency_segments(m):
+    return population.legacy_frequency_segments(m, EVENTS_START, EVENTS_END)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))

@@ -42,6 +42,8 @@ Mapping (fixed values; the SQL adapter repeats them):
 * user city (city_usuarios) = market segment; basis ORDERS when the account
   balance is >= 0, else ADDRESS
 * migrated population: customers with account balance < 1000
+* legacy platform orders: purchase events per day and user; legacy segment
+  LOYAL_BROWSER when a user has more view than click events, else CASUAL
 * vouchers daily: coupons of confirmed orders aggregated by day, country,
   campaign, coupon type and payer
 * currency = region; monthly USD rate =
@@ -163,6 +165,23 @@ class Model:
             return c.filter(F.col("c_acctbal") < 1000).select(F.col("c_custkey").alias("user_id"))
         return self._get("population", build)
 
+    def legacy_orders(self) -> DataFrame:
+        """Orders on the platform the population came from, per day and user (purchase events)."""
+        def build():
+            e = self.t["events"].filter(F.col("event_type") == "purchase")
+            return e.groupBy(F.to_date("ts").alias("order_date"), "user_id").agg(
+                F.count(F.lit(1)).alias("qty_orders")).withColumn("order_status", F.lit("CONFIRMED"))
+        return self._get("legacy_orders", build)
+
+    def legacy_segments(self) -> DataFrame:
+        """The old platform's user segmentation: LOYAL_BROWSER when a user has more views than clicks."""
+        def build():
+            e = self.t["events"]
+            g = e.groupBy("user_id").agg(F.count(F.when(F.col("event_type") == "view", 1)).alias("v"),
+                                         F.count(F.when(F.col("event_type") == "click", 1)).alias("c"))
+            return g.select("user_id", F.when(F.col("v") > F.col("c"), "LOYAL_BROWSER").otherwise("CASUAL").alias("segment"))
+        return self._get("legacy_segments", build)
+
     def partners(self) -> DataFrame:
         """dim_partner joined with dim_billing_info."""
         def build():
