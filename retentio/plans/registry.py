@@ -203,7 +203,13 @@ def _adr_after_campaign(m):
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> Model:
-    """The logical model over ``sf_dir``; its large views are stored once per session."""
+    """The logical model over ``sf_dir``; its large views are stored once per session.
+
+    Warehouse timestamps are UTC instants; local times are derived explicitly
+    per country (``from_utc_timestamp``), so the session clock is UTC.
+    """
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") not in ("UTC", "Etc/UTC"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return stored_model(spark, lambda: load_tables(spark, sf_dir), sf_dir)
 
 
