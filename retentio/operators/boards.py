@@ -314,3 +314,30 @@ def weekly_spend_board(m, as_of: dt.date, rules: dict, tax: DataFrame, block) ->
                            .when(F.col("Payment_Shopper") == "SI", F.col("Used_Amount_Confirmed_USD")),
     })
     return pt.withColumn("Week Finished", F.when(F.col("Week Type") != "Current Week", "Si").otherwise("No"))
+
+
+def crm_scorecard(crm: DataFrame, as_of: dt.date, rules: dict, tax: DataFrame, block) -> DataFrame:
+    """D44 (CRM part): this month's CRM spend by country, type (wallet forced), budget and trial,
+    net of tax, with run-rate projections (half-to-even rounding, T13)."""
+    from .spend import clean_campaign_frame
+    from ..functions import rules as R
+    rr = W.run_rate(as_of)
+    df = clean_campaign_frame(crm, ["Country", "Campaign", "Benefit"])
+    df = df.withColumns({
+        "Type": R.classify("Campaign", "TIPOS", rules, benefit="Benefit"),
+        "Segment": R.classify("Campaign", "SEGMENTOS", rules), "Level": R.classify("Campaign", "NIVELES", rules),
+        "Campaña": R.classify("Campaign", "CAMPAIGNS", rules), "Automated": R.classify("Campaign", "AUTOMATIONS", rules),
+        "Budget": R.classify("Campaign", "BUDGET", rules), "Trial": R.classify("Campaign", "TRIAL", rules)})
+    df = R.net_of_tax(df, tax, "Amount_Shopper", "Amount")
+    df = R.drop_blocked(df, "Campaign", block)
+    pt = df.groupBy("Country", "Type", "Budget", "Trial").agg(
+        F.coalesce(F.sum("Orders_CRM"), F.lit(0)).alias("Orders_CRM"),
+        F.coalesce(F.sum("Acq_CRM"), F.lit(0)).alias("Acq_CRM"),
+        F.coalesce(F.sum("Final"), F.lit(0.0)).alias("Final"))
+    pt = project(pt, ["Orders_CRM", "Acq_CRM", "Final"], rr)
+    return pt.withColumn("RR", F.lit(rr))
+
+
+def filtered_totals(df: DataFrame, condition, cols) -> DataFrame:
+    """AG16: whole-frame totals of some columns under a filter (one row)."""
+    return df.filter(condition).agg(*[F.sum(c).alias(c) for c in cols])

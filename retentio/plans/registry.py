@@ -146,6 +146,24 @@ def _country_scorecard(m):
     return boards.country_scorecard(m, AS_OF)
 
 
+@query("crm_scorecard")
+def _crm_scorecard(m):
+    rules, tax, _, block = _sheets(m)
+    mw = _mw()
+    df = boards.crm_scorecard(spend.crm_spend(m, mw.itm, mw.ftm), AS_OF, rules, tax, block)
+    return publish(df, ["Final", "Final RR"])
+
+
+@query("central_budget_totals")
+def _central_budget_totals(m):
+    """AG16: totals of the CENTRAL budget in this month's CRM scorecard."""
+    rules, tax, _, block = _sheets(m)
+    mw = _mw()
+    df = boards.crm_scorecard(spend.crm_spend(m, mw.itm, mw.ftm), AS_OF, rules, tax, block)
+    tot = boards.filtered_totals(df, F.col("Budget") == "CENTRAL", ["Final", "Orders_CRM", "Acq_CRM"])
+    return publish(tot, ["Final"])
+
+
 @query("run_rate")
 def _run_rate(m):
     """The run-rate frame joined to this month's confirmed orders per country (projection)."""
