@@ -97,11 +97,6 @@ def drop_blocked(df: DataFrame, name_col: str, tokens) -> DataFrame:
     return df.filter(blocked(name_col, tokens) == "No")
 
 
-def rename_values(col, mapping: DataFrame, src="src", dst="dst") -> tuple[DataFrame, Column]:
-    """U4 helper: exact-match replace through a lookup frame (returns the frame to join)."""
-    return mapping, F.coalesce(F.col(dst), col)
-
-
 def prepare_tax(tax: DataFrame, rename: DataFrame | None = None) -> DataFrame:
     """Tax sheet -> (Country, IVA, Extra) doubles. Blank cells are 0 (T14);
     countries upper-cased, then renamed through the 'Paises' dict (U4);
@@ -120,9 +115,13 @@ def prepare_tax(tax: DataFrame, rename: DataFrame | None = None) -> DataFrame:
 
 
 def attach_tax(df: DataFrame, tax: DataFrame) -> DataFrame:
-    """upper(Country) and the country's IVA / Extra (missing -> 0 / 1)."""
-    t = bounded_broadcast(tax)
-    j = df.withColumn("Country", F.upper("Country")).join(t, "Country", "left")
+    """upper(Country) and the country's IVA / Extra (missing -> 0 / 1).
+
+    The tax frame is joined as given: callers pass it through
+    ``guards.broadcast_if_small`` once (one row per country), so the join is
+    a broadcast only when its size has been checked.
+    """
+    j = df.withColumn("Country", F.upper("Country")).join(tax, "Country", "left")
     return j.withColumn("IVA", F.coalesce("IVA", F.lit(0.0))).withColumn("Extra", F.coalesce("Extra", F.lit(1.0)))
 
 
@@ -131,7 +130,6 @@ def net_of_tax(df: DataFrame, tax: DataFrame, shopper_col: str, other_col: str,
     """U3 + D16: attach IVA/Extra by upper(Country) and net the shopper-paid part.
 
     Missing country -> IVA 0, Extra 1. ``out = shopper / (1 + IVA) * Extra + other``.
-    The tax frame is a bounded sheet (one row per country) and is broadcast.
     """
     j = attach_tax(df, tax)
     return j.withColumn(out, F.col(shopper_col) / (F.lit(1.0) + F.col("IVA")) * F.col("Extra") + F.col(other_col))

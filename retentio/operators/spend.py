@@ -292,9 +292,9 @@ def attach_competition(df: DataFrame, zones: DataFrame, with_country_key: bool =
     The zone sheet decides per country whether the key is Country-City-Area
     ('CITY-AREA') or Country-City- (T24). Zones are a bounded sheet: broadcast.
     """
-    z = bounded_broadcast(zones)
+    z = zones  # size-checked and hinted by the caller (guards.broadcast_if_small)
     ctype = z.groupBy(F.upper("Country").alias("_zc")).agg(F.min("Tipo").alias("_tipo"))
-    j = df.join(F.broadcast(ctype), F.col("Country") == F.col("_zc"), "left")
+    j = df.join(F.broadcast(ctype), F.col("Country") == F.col("_zc"), "left")  # one row per country
     if with_country_key:
         key = F.when(F.col("_tipo") == "CITY-AREA",
                      F.concat_ws("-", "Country", "City", "Area")).otherwise(F.concat(F.col("Country"), F.lit("-"), F.col("City"), F.lit("-")))
@@ -555,9 +555,9 @@ def competition_spend(m, since: dt.date, rules: dict, tax: DataFrame, zones: Dat
     g = R.classify_campaigns(g, "Campaign", rules)
     g = R.net_of_tax(g, tax, "Amount_Shopper", "Amount", "Spend")
     g = R.drop_blocked(g, "Campaign", block)
-    z = bounded_broadcast(zones)
+    z = zones  # size-checked and hinted by the caller
     ctype = z.groupBy(F.upper("Country").alias("_zc")).agg(F.min("Tipo").alias("_tipo"))
-    g = g.join(F.broadcast(ctype), F.col("Country") == F.col("_zc"), "left")
+    g = g.join(F.broadcast(ctype), F.col("Country") == F.col("_zc"), "left")  # one row per country
     key = F.when(F.col("_tipo") == "CITY-AREA", F.concat(F.col("City"), F.lit("-"), F.col("Area"))).otherwise(
         F.concat(F.lit("-"), F.col("Area")))
     g = g.withColumn("_union", key).join(

@@ -21,6 +21,7 @@ from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
 from .defaults import AS_OF, EVENTS_END, EVENTS_START
+from .guards import broadcast_if_small
 
 REGISTRY: dict[str, Callable[[Model], DataFrame]] = {}
 
@@ -49,8 +50,10 @@ def _sheets(m):
     spark = m.spark
     if id(spark) not in _SHEETS:
         rules = R.compile_rules(L.RULES_FIXTURE)
-        tax = R.prepare_tax(L.tax_frame(spark), L.rename_frame(spark))
-        _SHEETS[id(spark)] = (rules, tax, L.zones_frame(spark), L.block_list())
+        # sheets may come from storage: broadcast them only after a size check
+        tax = broadcast_if_small(R.prepare_tax(L.tax_frame(spark), L.rename_frame(spark)), 100_000)
+        zones = broadcast_if_small(L.zones_frame(spark), 100_000)
+        _SHEETS[id(spark)] = (rules, tax, zones, L.block_list())
     return _SHEETS[id(spark)]
 
 
