@@ -61,3 +61,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = tempfile.mkdtemp(prefix="retentio-ckpt-")
     sc.setCheckpointDir(current)
     return current
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20) -> dict:
+    """Suggested sizing for a large run (pass to ``spark-submit --conf`` or the builder).
+
+    Shuffle partitions are sized so each holds about ``target_partition_bytes``
+    of the largest shuffled input (AQE then merges small ones and splits skewed
+    ones); scan splits stay at 256 MB so a task's input fits executor memory.
+    """
+    parts = max(executor_cores * 2, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
