@@ -69,8 +69,13 @@ def clean_number(x, default=0.0) -> Column:
 
 
 def money(x, scale: int = 2) -> Column:
-    """Exact money sum published as double: round in decimal, then cast."""
-    return F.round(c(x), scale).cast("double")
+    """Publish a money value: snap to 6 decimals as DECIMAL, round half away from zero, double.
+
+    Snapping first makes the rounding of a value that lies on a half cent in
+    decimal terms (common for 4-decimal amounts that went through double
+    arithmetic) independent of how an engine rounds binary doubles.
+    """
+    return F.round(c(x).cast("decimal(38,6)"), scale).cast("double")
 
 
 def dsum(x) -> Column:

@@ -189,7 +189,7 @@ def discount_mix(m, start: dt.date, end: dt.date, by=("Country",)) -> DataFrame:
                   F.coalesce("discount_type_name", F.lit("-")).alias("Discount_Type"),
                   F.coalesce("discount_paid_by", F.lit("-")).alias("Paid_By")).agg(
         F.count_distinct("order_id").alias("Confirmed"),
-        F.round(F.coalesce(F.sum(_eur("discount_amount")), F.lit(0.0)), 2).alias("Amount"))
+        X.money(F.coalesce(F.sum(_eur("discount_amount")), F.lit(0.0))).alias("Amount"))
     return g
 
 

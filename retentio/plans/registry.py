@@ -34,8 +34,8 @@ def query(name):
 
 
 def publish(df: DataFrame, money=(), digits: int = 2) -> DataFrame:
-    """Round money columns to cents and publish them as doubles."""
-    return df.withColumns({c: F.round(F.col(c), digits).cast("double") for c in money})
+    """Round money columns to cents and publish them as doubles (``exprs.money``)."""
+    return df.withColumns({c: X.money(c, digits) for c in money})
 
 
 def _mw():
