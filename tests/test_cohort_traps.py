@@ -44,3 +44,17 @@ def test_maturity_mask_three_vs_four_months(spark):  # T18
     three = run(["2021-03", "2021-02", "2021-01"])
     assert [three[m].M2_Users_Final for m in sorted(three, reverse=True)] == [0, 4, 4]
     assert [three[m].Acq_M3 for m in sorted(three, reverse=True)] == [0, 0, 1]
+
+
+def test_null_status_counts_as_confirmed_in_follow_ups(spark):  # T3
+    rows = [(1, dt.date(2021, 1, 2), None, 1, 5.0), (1, dt.date(2021, 1, 2), "REJECTED", 2, 7.0),
+            (1, dt.date(2021, 1, 2), "CONFIRMED", 3, 1.0)]
+    ot = spark.createDataFrame(rows, "user_id int, registered_date date, order_status string, order_id int, x double")
+    got = {r.order_status: (r.orders, r.x) for r in C.follow_ups_daily(ot, ["x"]).collect()}
+    assert got == {None: (1, 5.0), "REJECTED": (0, 0.0), "CONFIRMED": (1, 1.0)}
+
+
+def test_run_rate_projection_rounds_half_to_even(spark):  # T13
+    from retentio.operators.boards import project
+    df = spark.createDataFrame([(2.5,), (3.5,), (-2.5,)], "x double")
+    assert [r["x RR"] for r in project(df, ["x"], 1.0).collect()] == [2.0, 4.0, -2.0]
