@@ -71,7 +71,7 @@ def follow_ups_daily(ot: DataFrame, metrics: list[str]) -> DataFrame:
 
 def cohort_stats(acq: DataFrame, daily: DataFrame, acq_cols: list[str], report_keys: list,
                  metrics: list[str], hi, grain: str = "day_status", orders_name: str = "Orders",
-                 original_amount: bool = True) -> DataFrame:
+                 original_amount: bool = True, acq_amounts: dict | None = None) -> DataFrame:
     """Steps 3-5 of the engine.
 
     ``acq`` has user_id, fecha, the columns ``acq_cols`` and ``acq_amount``
@@ -79,10 +79,11 @@ def cohort_stats(acq: DataFrame, daily: DataFrame, acq_cols: list[str], report_k
     ``grain`` is the follow-up grouping of the reference: per (day, status)
     or per bucket; it decides how often Original_Amount_Used repeats (T20).
     """
+    amounts = (acq_amounts or {"acq_amount": "Original_Amount_Used"}) if original_amount else {}
     j = P.bucketed_range_join(acq, daily, "user_id", "fecha", hi, "o_fecha")
     j = j.withColumn("cohort", cohort_bucket(F.datediff("o_fecha", "fecha")))
     if grain == "bucket":
-        keep = ["user_id", "fecha", *acq_cols] + (["acq_amount"] if original_amount else [])
+        keep = ["user_id", "fecha", *acq_cols, *amounts]
         j = j.groupBy(*keep, "cohort").agg(F.sum("orders").alias("orders"), *[F.sum(x).alias(x) for x in metrics])
     ck = F.col("cohort")
     aggs = [F.max(F.when(ck == "ORIGINALS", 1).otherwise(0)).alias("_orig")]
@@ -91,12 +92,12 @@ def cohort_stats(acq: DataFrame, daily: DataFrame, acq_cols: list[str], report_k
         aggs.append(F.sum(F.when(ck == b, F.col("orders")).otherwise(F.lit(0))).alias(f"_o_{b}"))
         for x in metrics:
             aggs.append(F.sum(F.when(ck == b, F.col(x)).otherwise(F.lit(0))).alias(f"_m_{b}_{x}"))
-    if original_amount:
-        aggs.append(F.sum("acq_amount").alias("_oau"))
+    for i, a in enumerate(amounts):
+        aggs.append(F.sum(a).alias(f"_oau{i}"))
     per_user = j.groupBy(*report_keys, "user_id").agg(*aggs)
     out = []
-    if original_amount:
-        out.append(F.sum("_oau").alias("Original_Amount_Used"))
+    for i, name in enumerate(amounts.values()):
+        out.append(F.sum(f"_oau{i}").alias(name))
     out.append(F.sum("_orig").cast("long").alias("Acquisitions"))
     for b in BUCKETS:
         out.append(F.sum(f"_u_{b}").cast("long").alias(f"{b}_Users"))
@@ -108,7 +109,7 @@ def cohort_stats(acq: DataFrame, daily: DataFrame, acq_cols: list[str], report_k
 
 
 METRIC_NAMES = {
-    "revenue": "Revenue", "total_paid": "Total_Paid", "total_paid_usd": "Total_Paid_USD",
+    "revenue": "Revenue", "revenue_usd": "Revenue_USD", "total_paid": "Total_Paid", "total_paid_usd": "Total_Paid_USD",
     "total_disc": "Total_Disc", "total_disc_usd": "Total_Disc_USD",
     "total_voucher_disc": "Total_Voucher_Disc", "total_voucher_disc_usd": "Total_Voucher_Disc_USD",
     "amount_used": "Amount_Used", "amount_used_usd": "Amount_Used_USD",
@@ -153,6 +154,8 @@ def cohort_retention_rates(cohorts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- D4
 VOUCHER_METRICS = ["revenue", "total_paid", "total_paid_usd", "total_disc", "total_disc_usd",
                    "total_voucher_disc", "total_voucher_disc_usd", "amount_used", "amount_used_usd"]
+VARIATION_METRICS = ["revenue", "revenue_usd", "total_paid", "total_paid_usd", "total_disc", "total_disc_usd",
+                     "total_voucher_disc", "total_voucher_disc_usd", "amount_used", "amount_used_usd"]
 COUPON_METRICS = ["total_paid", "total_disc", "total_voucher_disc"]
 
 
@@ -165,7 +168,12 @@ def campaign_cohort_value(m, as_of: dt.date, source: str = "voucher", exclude_li
     and campaigns matching ``exclude_like`` are dropped.
     ``source='coupon'``: coupons of the last four months, follow-ups up to
     ``as_of``, local money only, grouped per bucket.
+    ``source='variations'``: the voucher form plus revenue and the
+    acquisition's used amount in USD.
     """
+    variations = source == "variations"
+    if variations:
+        source = "voucher"
     if source == "voucher":
         win = W.first_of_month(W.add_months(as_of, -4))
         bt = barter(m, win, as_of, win, as_of)
@@ -189,17 +197,20 @@ def campaign_cohort_value(m, as_of: dt.date, source: str = "voucher", exclude_li
         usd = lambda c: F.try_divide(F.col(c).cast("double"), F.col("rate_us"))
         o = o.withColumn("amount_used", F.coalesce("bt_used", F.lit(0)))
         o = o.withColumns({"total_paid_usd": usd("total_paid"), "total_disc_usd": usd("total_disc"),
-                           "total_voucher_disc_usd": usd("total_voucher_disc"), "amount_used_usd": usd("amount_used")})
-        metrics = VOUCHER_METRICS
+                           "total_voucher_disc_usd": usd("total_voucher_disc"), "amount_used_usd": usd("amount_used"),
+                           "revenue_usd": usd("revenue")})
+        metrics = VARIATION_METRICS if variations else VOUCHER_METRICS
         acq_cols = ["country", "city", "campaign", "discount_type", "discount_amount", "discount_max_amount", "min_amount"]
     else:
         metrics = COUPON_METRICS
         acq_cols = ["country", "city", "campaign"]
     bt_cols = [c for c in acq_cols if c in bt.columns]
-    acq = (o.select("order_id", "user_id", "registered_date", "country", "city")
+    extra = [F.sum("amount_used_usd").alias("acq_amount_usd")] if variations else []
+    acq = (o.select("order_id", "user_id", "registered_date", "country", "city",
+                    *(["amount_used_usd"] if variations else []))
            .join(bt.select("order_id", *bt_cols, F.col("amount_used").alias("_bt_used")), "order_id")
            .groupBy("user_id", F.col("registered_date").alias("fecha"), *acq_cols)
-           .agg(F.sum("_bt_used").alias("acq_amount")))
+           .agg(F.sum("_bt_used").alias("acq_amount"), *extra))
     daily = follow_ups_daily(o, metrics)
     keys = [X.month_key("fecha").alias("Month"), F.col("country").alias("Country"), F.col("city").alias("City"),
             F.col("campaign").alias("Campaign")]
@@ -217,8 +228,11 @@ def campaign_cohort_value(m, as_of: dt.date, source: str = "voucher", exclude_li
     else:
         hi = F.lit(as_of)
         grain = "bucket"
-    acq = acq.select("user_id", "fecha", "acq_amount", *keys)
-    return cohort_stats(acq, daily, names, names, metrics, hi, grain=grain)
+    amounts = {"acq_amount": "Original_Amount_Used"}
+    if variations:
+        amounts["acq_amount_usd"] = "Original_Amount_Used_USD"
+    acq = acq.select("user_id", "fecha", *amounts, *keys)
+    return cohort_stats(acq, daily, names, names, metrics, hi, grain=grain, acq_amounts=amounts)
 
 
 # ---------------------------------------------------------------- D6

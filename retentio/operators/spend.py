@@ -613,9 +613,9 @@ def active_flows_board(flows: DataFrame, rules: dict) -> DataFrame:
 
 STATS_FOR_VALIDITY = ["M1_Users_Final", "M2_Users_Final", "M3_Users_Final", "Acq_M1", "Acq_M2", "Acq_M3",
                       "M1_Orders_Final", "M2_Orders_Final", "M3_Orders_Final", "M1_Total_Paid_USD",
-                      "M1_Total_Disc_USD", "M1_Amount_Used_USD", "M2_Total_Paid_USD", "M2_Total_Disc_USD",
-                      "M2_Amount_Used_USD", "M3_Total_Paid_USD", "M3_Total_Disc_USD", "M3_Amount_Used_USD",
-                      "Original_Amount_Used"]
+                      "M1_Total_Disc_USD", "M1_Amount_Used_USD", "M1_Revenue_USD", "M2_Total_Paid_USD",
+                      "M2_Total_Disc_USD", "M2_Amount_Used_USD", "M2_Revenue_USD", "M3_Total_Paid_USD",
+                      "M3_Total_Disc_USD", "M3_Amount_Used_USD", "M3_Revenue_USD", "Original_Amount_Used_USD"]  # fixed values
 
 
 def validity_with_stats(validity: DataFrame, stats: DataFrame, rules: dict, tax: DataFrame) -> DataFrame:

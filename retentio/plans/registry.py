@@ -177,8 +177,8 @@ def _run_rate(m):
 
 
 # ------------------------------------------------------------------ cohorts
-COHORT_MONEY = ["Original_Amount_Used"] + [f"{b}_{x}" for b in ("M1", "M2", "M3") for x in (
-    "Revenue", "Total_Paid", "Total_Paid_USD", "Total_Disc", "Total_Disc_USD", "Total_Voucher_Disc",
+COHORT_MONEY = ["Original_Amount_Used", "Original_Amount_Used_USD"] + [f"{b}_{x}" for b in ("M1", "M2", "M3") for x in (
+    "Revenue", "Revenue_USD", "Total_Paid", "Total_Paid_USD", "Total_Disc", "Total_Disc_USD", "Total_Voucher_Disc",
     "Total_Voucher_Disc_USD", "Amount_Used", "Amount_Used_USD")]
 
 
@@ -202,6 +202,12 @@ def _campaign_cohort_value(m):
     return publish(df, _money_in(df))
 
 
+@query("campaign_cohort_value_variations")
+def _campaign_cohort_value_variations(m):
+    df = cohorts.campaign_cohort_value(m, AS_OF, "variations", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    return publish(df, _money_in(df))
+
+
 @query("campaign_cohort_value_coupon")
 def _campaign_cohort_value_coupon(m):
     df = cohorts.campaign_cohort_value(m, AS_OF, "coupon")
@@ -293,7 +299,7 @@ def _validity_with_stats(m):
     rules, tax, _, _ = _sheets(m)
     val = spend.voucher_validity_daily(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     val = val.withColumns({"Ageing": F.round("Ageing", 6), "Availability": F.round("Availability", 6)})
-    st = cohorts.campaign_cohort_value(m, AS_OF, "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    st = cohorts.campaign_cohort_value(m, AS_OF, "variations", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     pt = cohorts.mature_cohorts(st, ["Country", "City", "Campaign", "Discount_Type", "Variation"], rules)
     df = spend.validity_with_stats(val, pt, rules, tax)
     return publish(df, [c for c in df.columns if c in (
