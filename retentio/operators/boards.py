@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions import windows as W
-from ..plans.guards import bounded_broadcast
 
 
 def confirmed_orders(m, start: dt.date, end: dt.date) -> DataFrame:
@@ -206,7 +205,6 @@ def discount_mix_pivot(mix: DataFrame, types=("FREE_DELIVERY", "JOKER", "VOUCHER
 # ---------------------------------------------------------------- D39 / D40
 def user_city_based(m) -> DataFrame:
     """Users by assignment basis, in millions and as a share (%) of all users."""
-    from . import primitives as P
     uc = m.user_cities()
     b = uc.groupBy(F.col("based").alias("Based")).agg(F.count_distinct("user_id").alias("Users"))
     tot = F.sum("Users").over(Window.partitionBy())  # a handful of rows (one per basis)

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..functions import windows as W
 
 
 def _next_month_first(m, users: DataFrame, start: dt.date, end: dt.date) -> DataFrame:

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from ..functions import windows as W
-from ..plans.guards import bounded_broadcast
 
 
 # ---------------------------------------------------------------- D1 / D2
