@@ -339,3 +339,37 @@ def crm_scorecard(crm: DataFrame, as_of: dt.date, rules: dict, tax: DataFrame, b
 def filtered_totals(df: DataFrame, condition, cols) -> DataFrame:
     """AG16: whole-frame totals of some columns under a filter (one row)."""
     return df.filter(condition).agg(*[F.sum(c).alias(c) for c in cols])
+
+
+def discount_mix_competition(m, since: dt.date, competition: DataFrame, big_city: str, countries=None) -> DataFrame:
+    """D35 (zone form): confirmed orders and discount spend (USD) by city, area and competition
+    level; the big city is split into its areas (City_Final); rows without a discount type
+    are dropped."""
+    from .spend import with_fx
+    o = m.orders().filter((F.col("registered_date") >= F.lit(since)) & (F.col("order_status") == "CONFIRMED"))
+    if "order_month" in o.columns:
+        o = o.filter(F.col("order_month") >= F.trunc(F.lit(since), "MM"))
+    if countries is not None:
+        o = o.filter(F.col("country_name").isin(countries))
+    d = m.discounts().filter(F.col("discount_type_name").isNotNull())
+    j = with_fx(o.join(d, "order_id"), m)
+    city = F.coalesce("city_name", F.lit("-"))
+    area = F.coalesce("area_name", F.lit("-"))
+    final = F.when(F.col("city_name") == big_city, area).otherwise(city)
+    usd = F.try_divide(F.col("discount_amount").cast("double"), F.col("rate_us"))
+    g = j.groupBy(F.col("country_name").alias("Country"), city.alias("City"), area.alias("Area"),
+                  final.alias("City_Final"), X.month_key("registered_date").alias("Month"),
+                  F.col("discount_type_name").alias("Discount_Type"),
+                  F.coalesce("discount_paid_by", F.lit("-")).alias("Paid_By")).agg(
+        F.count_distinct("order_id").alias("Confirmed"),
+        X.money(F.coalesce(F.sum(usd), F.lit(0.0))).alias("Amount"))
+    g = g.withColumns({c: F.upper(c) for c in ("City", "Area", "City_Final")})
+    comp = F.broadcast(competition.select(F.upper("City_Final").alias("City_Final"), "Competencia"))  # sheet rows
+    g = g.join(comp, "City_Final", "left").withColumn("Competencia", F.coalesce("Competencia", F.lit("-")))
+    return g.withColumn("Cruce", F.concat(F.col("City"), F.lit("-"), F.col("Area")))
+
+
+def discount_mix_by_country(mix: DataFrame) -> DataFrame:
+    """D35 zone form, country view: Confirmed and Amount per month, country, type and payer."""
+    return mix.groupBy("Month", "Country", "Discount_Type", "Paid_By").agg(
+        F.coalesce(F.sum("Confirmed"), F.lit(0)).alias("Confirmed"), F.coalesce(F.sum("Amount"), F.lit(0.0)).alias("Amount"))

@@ -356,6 +356,21 @@ def _discount_mix_pivot(m):
     return publish(df, ["FREE_DELIVERY", "JOKER", "VOUCHER", "Total"])
 
 
+def _mix_competition(m):
+    comp = broadcast_if_small(L.city_competition_frame(m.spark), 100_000)
+    return boards.discount_mix_competition(m, W.first_of_month(W.add_months(AS_OF, -3)), comp, L.BIG_CITY)
+
+
+@query("discount_mix_competition")
+def _discount_mix_competition(m):
+    return _mix_competition(m)
+
+
+@query("discount_mix_by_country")
+def _discount_mix_by_country(m):
+    return publish(boards.discount_mix_by_country(_mix_competition(m)), ["Amount"])
+
+
 @query("no_return")
 def _no_return(m):
     return lifecycle.no_return(m, AS_OF)

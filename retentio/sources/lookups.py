@@ -78,6 +78,16 @@ ZONES_FIXTURE = [
 ]
 
 
+# City competition sheet (City_Final, Competencia); the big city is split by area.
+CITY_COMPETITION_FIXTURE = [
+    ("MACHINERY", "ALTA"),
+    ("FURNITURE", "MEDIA"),
+    ("AREA_3", "ALTA"),
+    ("AREA_7", "BAJA"),
+]
+BIG_CITY = "BUILDING"
+
+
 def read_sheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """SRC2: a small sheet exported as CSV; every column is a string. Fails loudly."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
@@ -126,3 +136,7 @@ def zones_frame(spark: SparkSession, zones=ZONES_FIXTURE) -> DataFrame:
 def block_list(tokens=BLOCK_FIXTURE) -> list[str]:
     """U2 sheet: tokens upper-cased on load."""
     return [t.upper() for t in tokens]
+
+
+def city_competition_frame(spark: SparkSession, rows=CITY_COMPETITION_FIXTURE) -> DataFrame:
+    return spark.createDataFrame(list(rows), "City_Final string, Competencia string")
