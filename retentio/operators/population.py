@@ -154,3 +154,31 @@ def legacy_frequency_segments(m, start: dt.date, end: dt.date, threshold: int =
         "%Users": P.share_of_group("Users", ["Month"]),
         "Freq": X.safe_ratio("Orders", "Users"),
     })
+
+
+def legacy_users_current_orders(m, legacy_start: dt.date, legacy_end: dt.date, since: dt.date,
+                                country: str | None = None, threshold: int = 7) -> DataFrame:
+    """D30 (current-platform form): confirmed users and orders on this platform per month, by the
+    user's legacy segment and legacy order band (bands from the old platform's orders in the
+    legacy window), then per (month, loyalty, band) with shares of the month."""
+    lo = m.legacy_orders().filter((F.col("order_status") == "CONFIRMED")
+                                  & F.col("order_date").between(F.lit(legacy_start), F.lit(legacy_end)))
+    ut = lo.groupBy("user_id").agg(F.sum("qty_orders").alias("legacy_orders"))
+    o = m.orders().filter(F.col("registered_date") >= F.lit(since))
+    if "order_month" in o.columns:
+        o = o.filter(F.col("order_month") >= F.trunc(F.lit(since), "MM"))
+    if country is not None:
+        o = o.filter(F.col("country_name") == country)
+    j = o.join(m.legacy_segments(), "user_id", "left").join(ut, "user_id", "left")
+    conf = F.col("order_status") == "CONFIRMED"
+    g = j.groupBy(X.month_key("registered_date").alias("Month"), F.coalesce("segment", F.lit("-")).alias("Segment"),
+                  F.when(F.upper("segment").like("%LOYAL%"), "Loyal").otherwise("No Loyal").alias("Loyalty"),
+                  F.when(F.col("legacy_orders") >= threshold, "+7").otherwise("-7").alias("Tipo")).agg(
+        F.count_distinct(F.when(conf, F.col("user_id"))).alias("Users"),
+        F.count(F.when(conf, 1)).alias("Orders"))
+    pt = g.groupBy("Month", "Loyalty", "Tipo").agg(F.sum("Users").alias("Users"), F.sum("Orders").alias("Orders"))
+    return pt.withColumns({
+        "%Orders": P.share_of_group("Orders", ["Month"]),
+        "%Users": P.share_of_group("Users", ["Month"]),
+        "Freq": X.safe_ratio("Orders", "Users"),
+    })

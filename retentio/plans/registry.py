@@ -560,6 +560,11 @@ def _country_coupon_spend(m):
     return publish(population.country_coupon_spend(m, POP_SINCE, rules, tax, block), ["Amount_Final"])
 
 
+@query("legacy_users_current_orders")
+def _legacy_users_current_orders(m):
+    return population.legacy_users_current_orders(m, EVENTS_START, EVENTS_END, W.first_of_month(W.add_months(AS_OF, -6)))
+
+
 @query("legacy_frequency_segments")
 def _legacy_frequency_segments(m):
     return population.legacy_frequency_segments(m, EVENTS_START, EVENTS_END)
