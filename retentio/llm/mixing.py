@@ -80,7 +80,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     placed = (summed.join(broadcast_if_small(stored(parts, "mix-parts"), 2 * MAX_SOURCES),
                           F.col("source").eqNullSafe(F.col("_of")) & (F.col("_small") == F.col("_kind")))
               .withColumn("_middle", F.col("_end") - F.col("_start") - F.col("size") / 2))
-    large_taken = ~F.col("_small") & (F.col("_middle") <= F.col("_rest") * (F.col("_part_size") / F.col("source_size")))
+    large_taken = ~F.col("_small") & (F.col("_middle") <= F.col("_rest") * F.try_divide("_part_size", "source_size"))
     by_large = stored(placed.groupBy("source").agg(F.sum(F.when(large_taken, F.col("size")).otherwise(0)).alias("_large"))
                       .withColumnRenamed("source", "_by"), "mix-large")
     taken_once = F.when(F.col("_small"), F.col("_middle") <= F.col("_rest") - F.col("_large")).otherwise(large_taken)
@@ -123,12 +123,12 @@ WITH base AS (
   FROM keyed
 ), once AS (
   SELECT *, NOT small AND middle <= rest * (part / s) AS large_taken FROM summed
-), both AS (
+), picked AS (
   SELECT *, CASE WHEN small THEN middle <= rest - coalesce(sum(size) FILTER (large_taken) OVER (PARTITION BY source), 0) ELSE large_taken END AS again
   FROM once
 )
 SELECT doc_id, source, size, s AS source_size, target, CAST((epochs + CASE WHEN again THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM both
+FROM picked
 """
 
 
