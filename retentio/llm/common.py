@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,17 +35,42 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``stored`` returned and nothing reads any more."""
+    _delete(df.sparkSession, df._stored_at)
 
 
 def release(spark: SparkSession) -> None:
     """Delete what ``stored`` has written for this application; results that
     still read it must have been written before."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    _delete(spark, shared_dir(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bitmap_of(df: DataFrame, column: str, bits: int = 1 << 25) -> tuple[int, bytes]:
+    """A bitmap of the low bits of a long column: 4 MB whatever the table's size.
+
+    It only saves work: a value whose bit is 0 is not in the column, all others
+    must be looked up. A table too large for it sets all bits and saves nothing.
+    """
+    low = F.col(column).bitwiseAND(F.lit(bits - 1))
+    words = df.groupBy(F.shiftright(low, 6).cast("int").alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast({column} & 63 as int)))").alias("bits"))
+    out = np.zeros(bits // 64, dtype=np.int64)
+    found = words.toArrow()  # one row per 64 bits at most
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return bits, out.tobytes()
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

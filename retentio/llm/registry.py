@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding
+from . import decontamination, mixing, sharding, suffix_dedup, token_counts
 
 QUERIES = {
     "op4_sharding": sharding.op4_sharding,
+    "op5_decontamination": decontamination.op5_decontamination,
+    "op6_token_counts": token_counts.op6_token_counts,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_mixing": mixing.op8_mixing,
 }
 
 SQL = {
+    "op5_decontamination": decontamination.OP5_SQL,
     "op8_mixing": mixing.OP8_SQL,
 }
