@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 import numpy as np
@@ -29,6 +31,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once an application: functions that run
+    there import it, and executors need not have it installed."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_retentio_shipped", False):
+        root = pathlib.Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp(prefix='retentio-code-')}/retentio.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(archive)
+        sc._retentio_shipped = True
+    return spark
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back: later stages start from
     files that outlive an executor, and nothing above them runs twice."""

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 N = 10
 #: Benchmark text (bytes) that is broadcast at once.
@@ -109,7 +109,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, block_byte
     the empty string; items without words have no windows, repeated items count
     once. Empty tables give no rows, or no hits. Other columns are ignored.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     kept = f"doc_id {id_type}, text string, items array<string>, spans array<array<int>>"
     final = f"doc_id {id_type}, n_words long, n_hit long, n_items long, items array<string>, spans array<array<int>>, contaminated boolean"

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, discard, stored
+from .common import bitmap_of, discard, ship, stored
 
 LENGTH = 200
 K = 40
@@ -281,7 +281,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, k: int = K, batches:
     occur twice. An empty table gives an empty result. Other columns are
     ignored. Matches never cross documents.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import ship
+
 #: The split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LIMIT = 512
@@ -206,7 +208,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> Da
     empty result. Other columns are ignored.
     """
     with open(tokenizer_path, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        shared = ship(docs.sparkSession).sparkContext.broadcast(f.read())
 
     def rows(batches):
         counter = _counter(shared)
