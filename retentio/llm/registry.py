@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, jaccard_join, mixing, sharding, suffix_dedup, token_counts
+from . import decontamination, jaccard_join, mixing, perplexity, sharding, suffix_dedup, token_counts
 
 QUERIES = {
+    "op2_perplexity": perplexity.op2_perplexity,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_sharding": sharding.op4_sharding,
     "op5_decontamination": decontamination.op5_decontamination,
