@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, jaccard_join, mixing, perplexity, sharding, suffix_dedup, token_counts
+from . import decontamination, html_text, jaccard_join, mixing, perplexity, quality_gam, sharding, suffix_dedup, token_counts
 
 QUERIES = {
+    "op1_quality_gam": quality_gam.op1_quality_gam,
     "op2_perplexity": perplexity.op2_perplexity,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_sharding": sharding.op4_sharding,
@@ -12,6 +13,7 @@ QUERIES = {
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_mixing": mixing.op8_mixing,
+    "op9_html_text": html_text.op9_html_text,
 }
 
 SQL = {
