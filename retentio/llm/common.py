@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pathlib
 import tempfile
 import uuid
@@ -62,6 +63,13 @@ def discard(df: DataFrame) -> None:
     _delete(df.sparkSession, df._stored_at)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps: its cleaner acts when
+    the driver collects its garbage, which may take half an hour on its own."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> None:
     """Delete what ``stored`` has written for this application; results that
     still read it must have been written before."""

@@ -42,6 +42,7 @@ comments commentlist consent cookie cookies disclaimer discussion disqus footer
 navigation newsletter notice notices notification outbrain overlay pager pagination popup promo promos promotion recommended related
 replies respond search share sharing sidebar sidebars signup skyscraper social sponsor sponsored sponsors subscribe subscription taboola
 toolbar topbar widget widgets""".split())
+LAYOUT = frozenset("has with no without".split())
 #: Elements that a new block of the same kind, or any block for p, closes.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _NAME = re.compile("[a-z0-9]+")
@@ -54,8 +55,11 @@ def _named_out(attrs) -> bool:
             continue
         if key == "role" and value.strip().lower() in OUT_ROLES:
             return True
-        if key in ("class", "id") and not OUT_NAMES.isdisjoint(_NAME.findall(_CAMEL.sub(" ", value).lower())):
-            return True
+        if key in ("class", "id"):
+            for name in value.split():
+                parts = _NAME.findall(_CAMEL.sub(" ", name).lower())
+                if not OUT_NAMES.isdisjoint(parts) and LAYOUT.isdisjoint(parts):  # has-sidebar names the page, not the sidebar
+                    return True
     return False
 
 
