@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, jaccard_join, mixing, perplexity, quality_gam, sharding, suffix_dedup, token_counts
+from . import decontamination, html_text, jaccard_join, mixing, perplexity, pii_tagger, quality_gam, sharding, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_quality_gam": quality_gam.op1_quality_gam,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_mixing": mixing.op8_mixing,
+    "op10_pii": pii_tagger.op10_pii,
     "op9_html_text": html_text.op9_html_text,
 }
 
