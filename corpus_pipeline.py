@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentio.llm import decontamination, jaccard_join, mixing, perplexity, sharding
-from retentio.llm.common import running, stored
+from retentio.llm.common import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 N_SHARDS = 40
@@ -40,12 +40,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: the one with the smallest doc_id."""
     docs = _numbered(docs)
-    ranked = running(docs.select("doc_id", "_row").withColumn("_one", F.lit(1).cast("long")),
-                     [F.col("doc_id").asc_nulls_last(), F.col("_row")], "_one", "_rank", "pipeline-order")
-    ranked = stored(ranked.select("_row", "_rank"), "pipeline-ranks")
-    linked = jaccard_join.jaccard_components(docs.join(ranked, "_row").select(F.col("_rank").alias("doc_id"), "text"))
-    first = linked.where("doc_id = component_id").select(F.col("doc_id").alias("_rank"))
-    return _keep(docs, ranked.join(first, "_rank", "left_semi"))
+    linked = jaccard_join.jaccard_components(_by_row(docs)).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = linked.join(docs.select("doc_id", "_row"), "_row").groupBy("component_id").agg(F.min(order).alias("one"))
+    return _keep(docs, first.select(F.col("one._row").alias("_row")))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
