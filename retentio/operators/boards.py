@@ -143,7 +143,7 @@ def order_funnel(m, start: dt.date, end: dt.date) -> DataFrame:
         F.sum(F.when(conf, _eur(gfv)).otherwise(z)).alias("GFV_Gross_Total"),
         F.sum(F.when(conf, _eur("shipping_amount_no_discount")).otherwise(z)).alias("DF_No_Discount_Total"),
         F.sum(F.when(log & conf, _eur("shipping_amount_no_discount")).otherwise(z)).alias("DF_No_Discount_Log"),
-        F.sum(F.when(conf, _eur("discount_paid_by_company")).otherwise(z)).alias("Discounts_PEYA_Total"),
+        F.sum(F.when(conf, _eur("discount_paid_by_company")).otherwise(z)).alias("Discounts_Company_Total"),
     )
 
 

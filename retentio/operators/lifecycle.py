@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions import windows as W
+from .primitives import one_row_per_order
 
 # Verticals that are not "quick commerce" (excluded from trials).
 NOT_QC = ["Restaurant", "Coffee", "Courier", "Courier Business"]
@@ -379,16 +380,17 @@ def adr_user_clusters(m, as_of: dt.date, new_since: dt.date, orders_from: dt.dat
                   (F.col("total_amount") + F.col("shipping_amount")).alias("gmv"),
                   F.coalesce(F.col("payment_mode") != "TOTAL_AMOUNT", F.lit(False)).alias("shopper")))
     j = ut.join(ot, ["user_id", "country"], "left")
-    return j.groupBy(F.col("country").alias("Country"), F.col("adr_cluster").alias("ADR_Cluster"),
-                     F.when(F.col("new_user"), "New").otherwise("Old").alias("User_Type"),
-                     F.col("cluster_users").alias("Cluster_Users"), F.col("city").alias("City"),
-                     F.col("area").alias("Area"), F.coalesce("campaign_name", F.lit("-")).alias("Campaign"),
-                     X.month_key("registered_date").alias("Month")).agg(
-        F.count("order_id").alias("Total_Orders"),
-        F.count(F.when(F.col("with_voucher"), 1)).alias("Voucher_Orders"),
-        F.sum("gmv").alias("GMV"),
-        F.coalesce(F.sum(F.when(F.col("shopper") == F.lit(False), F.col("used")).otherwise(F.lit(0))), F.lit(0)).alias("Amount"),
-        F.coalesce(F.sum(F.when(F.col("shopper"), F.col("used")).otherwise(F.lit(0))), F.lit(0)).alias("Amount_Shopper"))
+    keys = [F.col("country").alias("Country"), F.col("adr_cluster").alias("ADR_Cluster"),
+            F.when(F.col("new_user"), "New").otherwise("Old").alias("User_Type"),
+            F.col("cluster_users").alias("Cluster_Users"), F.col("city").alias("City"),
+            F.col("area").alias("Area"), F.coalesce("campaign_name", F.lit("-")).alias("Campaign"),
+            X.month_key("registered_date").alias("Month")]
+    sums = {"GMV": F.col("gmv"), "Amount": F.when(F.col("shopper") == F.lit(False), F.col("used")).otherwise(F.lit(0)),
+            "Amount_Shopper": F.when(F.col("shopper"), F.col("used")).otherwise(F.lit(0))}
+    j = one_row_per_order(j, keys, ["with_voucher"], sums)  # users without orders share a row without order_id
+    return j.groupBy("Country", "ADR_Cluster", "User_Type", "Cluster_Users", "City", "Area", "Campaign", "Month").agg(
+        F.count("order_id").alias("Total_Orders"), F.count(F.when(F.col("with_voucher"), 1)).alias("Voucher_Orders"),
+        F.sum("GMV").alias("GMV"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("Amount", "Amount_Shopper")])
 
 
 NO_BUDGET = ["DMARTS", "NONE", "-"]  # fixed values

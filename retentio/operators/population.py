@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from . import primitives as P
+from .primitives import one_row_per_order
 from .spend import _usd, clean_campaign_frame, with_fx
 
 
@@ -91,13 +92,13 @@ def migrated_coupon_spend(m, since: dt.date, created_from: dt.date, rules: dict,
     conf = F.col("order_status") == "CONFIRMED"
     tot, oth = conf & (F.col("payment_mode") == "TOTAL_AMOUNT"), conf & (F.col("payment_mode") != "TOTAL_AMOUNT")
     usd = _usd("used_amount")
-    # coupon rows are unique per (coupon, order): distinct orders are counts
-    g = j.groupBy(F.col("country_name").alias("country"), X.month_key("registered_date").alias("month"),
-                  "campaign_id").agg(
-        F.count(F.lit(1)).alias("Redeemed"), F.count(F.when(conf, 1)).alias("Redeemed_Confirmed"),
-        F.count(F.when(F.col("is_acquisition") == 1, 1)).alias("Acq"),
-        F.sum(F.when(tot, usd).otherwise(F.lit(0.0))).alias("Used_Amount_Confirmed_USD"),
-        F.sum(F.when(oth, usd).otherwise(F.lit(0.0))).alias("Used_Amount_Confirmed_USD_Shopper"))
+    spent = {"Used_Amount_Confirmed_USD": F.when(tot, usd).otherwise(F.lit(0.0)),
+             "Used_Amount_Confirmed_USD_Shopper": F.when(oth, usd).otherwise(F.lit(0.0))}
+    j = one_row_per_order(j.withColumn("_conf", conf), [F.col("country_name").alias("country"), X.month_key("registered_date").alias("month"),
+                                                        "campaign_id"], ["_conf", "is_acquisition"], spent)
+    g = j.groupBy("country", "month", "campaign_id").agg(
+        F.count(F.lit(1)).alias("Redeemed"), F.count(F.when(F.col("_conf"), 1)).alias("Redeemed_Confirmed"),
+        F.count(F.when(F.col("is_acquisition") == 1, 1)).alias("Acq"), *[F.sum(c).alias(c) for c in spent])
     names = m.campaigns().select("campaign_id", "campaign_name")
     g = g.join(names, "campaign_id", "left").groupBy(
         F.col("country").alias("Country"), F.col("month").alias("Month"), F.col("campaign_name").alias("Campaign")).agg(

@@ -131,3 +131,10 @@ def coalesce_key(*cols) -> Column:
     """JN9: ``a = k OR b = k`` between two key columns that are never both set
     to different values becomes an equi join on coalesce(a, b)."""
     return F.coalesce(*[F.col(c) if isinstance(c, str) else c for c in cols])
+
+
+def one_row_per_order(df: DataFrame, keys: list, flags: list[str], sums: dict) -> DataFrame:
+    """One row per order and ``keys``: the flags (constant in an order) and the sums of
+    ``sums`` (name -> column). Counting these rows counts distinct orders, however
+    many coupons an order has, without the Expand of COUNT(DISTINCT ...)."""
+    return df.groupBy("order_id", *keys).agg(*[F.max(c).alias(c) for c in flags], *[F.sum(v).alias(k) for k, v in sums.items()])

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from ..functions import windows as W
+from .primitives import one_row_per_order
 
 
 # ---------------------------------------------------------------- D1 / D2
@@ -149,7 +150,7 @@ def crm_spend(m, start: dt.date, end: dt.date, by=()) -> DataFrame:
                    F.col("country_name").alias("Country"), "is_acquisition", *by_cols).agg(
         F.sum(F.when(tot, c_usd).otherwise(F.lit(0.0))).alias("Amount"),
         F.sum(F.when(other, c_usd).otherwise(F.lit(0.0))).alias("Amount_Shopper"))
-    coupon = c1.withColumn("Benefit", F.lit("TALON COUPON"))
+    coupon = c1.withColumn("Benefit", F.lit("COUPON"))
 
     keys = ["Country", *by, "Campaign", "Benefit"]
     both = wallet.unionByName(coupon)
@@ -217,16 +218,19 @@ def coupon_spend_daily(m, start: dt.date, end: dt.date, created_from: dt.date) -
     c = with_fx(c, m)
     conf = F.col("order_status") == "CONFIRMED"
     ps = F.when(F.col("payment_mode") == "TOTAL_AMOUNT", "Si").otherwise("No")
-    # coupon fact rows are unique per (coupon, order): distinct orders per coupon are counts
-    per_coupon = c.groupBy(F.col("country_name"), "campaign_id", "coupon_id", "registered_date",
-                           ps.alias("payment_shopper")).agg(
+    # an order counts once per coupon, a coupon once per order it was used in
+    c = one_row_per_order(c.withColumns({"_conf": conf, "_usd": _usd("used_amount"), "payment_shopper": ps}),
+                          ["country_name", "campaign_id", "coupon_id", "registered_date", "payment_shopper"],
+                          ["_conf", "is_acquisition"], {"used_amount": F.col("used_amount"), "_usd": F.col("_usd")})
+    conf = F.col("_conf")
+    per_coupon = c.groupBy("country_name", "campaign_id", "coupon_id", "registered_date", "payment_shopper").agg(
         F.count(F.lit(1)).alias("redeemed"),
         F.count(F.when(conf, 1)).alias("redeemed_confirmed"),
         F.count(F.when(F.col("is_acquisition") == 1, 1)).alias("acquisitions"),
         F.sum("used_amount").alias("used_amount"),
-        F.sum(_usd("used_amount")).alias("used_amount_usd"),
+        F.sum(F.col("_usd")).alias("used_amount_usd"),
         F.sum(F.when(conf, F.col("used_amount")).otherwise(F.lit(0))).alias("used_amount_confirmed"),
-        F.sum(F.when(conf, _usd("used_amount")).otherwise(F.lit(0.0))).alias("used_amount_confirmed_usd"))
+        F.sum(F.when(conf, F.col("_usd")).otherwise(F.lit(0.0))).alias("used_amount_confirmed_usd"))
     names = m.campaigns().select("campaign_id", "campaign_name")
     j = per_coupon.join(names, "campaign_id", "left")
     return j.groupBy(F.date_format("registered_date", "yyyy-MM-dd").alias("Fecha"), F.col("country_name").alias("Country"),
@@ -371,7 +375,9 @@ def coupon_performance(m, as_of: dt.date, days: int = 30, created_days: int = 39
     tot = conf & (F.col("payment_mode") == "TOTAL_AMOUNT")
     shop = conf & (F.col("payment_mode") != "TOTAL_AMOUNT")
     usd = _usd("used_amount")
-    # coupon fact rows are unique per (coupon, order): distinct orders are counts
+    r = one_row_per_order(r.withColumns({"_conf": conf, "_tot": tot, "_shop": shop, "_usd": usd}), ["country_name", "city", "campaign_id"],
+                          ["_conf", "_tot", "_shop", "is_acquisition"], {"used_amount": F.col("used_amount"), "_usd": F.col("_usd")})
+    conf, tot, shop, usd = (F.col(c) for c in ("_conf", "_tot", "_shop", "_usd"))
     redeemed = r.groupBy(F.col("country_name").alias("country"), "city", "campaign_id").agg(
         F.count(F.lit(1)).alias("redeemed"),
         F.count(F.when(conf, 1)).alias("redeemed_confirmed"),
@@ -544,12 +550,13 @@ def competition_spend(m, since: dt.date, rules: dict, tax: DataFrame, zones: Dat
     tot = F.col("payment_mode") == "TOTAL_AMOUNT"
     oth = F.col("payment_mode") != "TOTAL_AMOUNT"
     usd = _usd("used_amount")
-    g = j.groupBy(F.col("country_name").alias("Country"), F.col("city_name").alias("City"),
-                  F.col("area_name").alias("Area"), X.month_key("registered_date").alias("Month"),
-                  F.col("campaign_name").alias("Campaign")).agg(
+    keys = [F.col("country_name").alias("Country"), F.col("city_name").alias("City"), F.col("area_name").alias("Area"),
+            X.month_key("registered_date").alias("Month"), F.col("campaign_name").alias("Campaign")]
+    j = one_row_per_order(j, keys, ["is_acquisition"], {"Amount": F.when(tot, usd).otherwise(F.lit(0.0)),
+                                                        "Amount_Shopper": F.when(oth, usd).otherwise(F.lit(0.0))})
+    g = j.groupBy("Country", "City", "Area", "Month", "Campaign").agg(
         F.count(F.lit(1)).alias("Confirmed"), F.sum("is_acquisition").cast("long").alias("Acq"),
-        F.sum(F.when(tot, usd).otherwise(F.lit(0.0))).alias("Amount"),
-        F.sum(F.when(oth, usd).otherwise(F.lit(0.0))).alias("Amount_Shopper"))
+        F.sum("Amount").alias("Amount"), F.sum("Amount_Shopper").alias("Amount_Shopper"))
     g = clean_campaign_frame(g, ["Campaign", "Country", "City", "Area", "Month"])
     g = R.classify_campaigns(g, "Campaign", rules)
     g = R.net_of_tax(g, tax, "Amount_Shopper", "Amount", "Spend")
@@ -581,7 +588,7 @@ def spend_reconciliation(m, start: dt.date, end: dt.date, rules: dict, tax: Data
         df = R.drop_blocked(df, "Campaign", block)
         return df.groupBy("Country", "Campaign").agg(F.sum(orders).alias("o"), F.sum(acq).alias("a"),
                                                      F.sum("Final").alias("f"))
-    detail = crm_spend(m, start, end).filter(F.col("Benefit") == "TALON COUPON")
+    detail = crm_spend(m, start, end).filter(F.col("Benefit") == "COUPON")
     d = prep(detail, "Orders_CRM", "Acq_CRM")
     vd = m.vouchers_daily().filter(F.col("date").between(F.lit(start), F.lit(end)))
     cn = m.countries().select(F.upper("country_name").alias("_cu"), "currency_id")

@@ -5,10 +5,30 @@ queries is a fixed date inside the data. Operators take it as an argument;
 nothing reads the wall clock.
 """
 
+import contextlib
+import contextvars
 import datetime as dt
 
 AS_OF = dt.date(2001, 7, 15)
 
+_today = contextvars.ContextVar("today", default=AS_OF)
+
+
+def today() -> dt.date:
+    """The day that the reports being planned report on."""
+    return _today.get()
+
+
+@contextlib.contextmanager
+def reporting_on(day: dt.date):
+    """Plan reports for another day than ``AS_OF``."""
+    token = _today.set(day)
+    try:
+        yield
+    finally:
+        _today.reset(token)
+
+
 # The event table covers 2024-01-01 .. 2024-01-30; its queries run over that window.
 EVENTS_START = dt.date(2024, 1, 1)
 EVENTS_END = dt.date(2024, 1, 31)

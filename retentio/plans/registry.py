@@ -20,7 +20,7 @@ from ..operators import boards, cohorts, curves, lifecycle, population, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
-from .defaults import AS_OF, EVENTS_END, EVENTS_START
+from .defaults import EVENTS_END, EVENTS_START, today
 from .guards import broadcast_if_small
 
 REGISTRY: dict[str, Callable[[Model], DataFrame]] = {}
@@ -39,7 +39,7 @@ def publish(df: DataFrame, money=(), digits: int = 2) -> DataFrame:
 
 
 def _mw():
-    return W.month_windows(AS_OF)
+    return W.month_windows(today())
 
 
 _SHEETS: dict = {}
@@ -48,13 +48,14 @@ _SHEETS: dict = {}
 def _sheets(m):
     """Rule, tax, zone and block sheets; loaded and checked once per session."""
     spark = m.spark
-    if id(spark) not in _SHEETS:
+    key = spark.sparkContext.applicationId
+    if key not in _SHEETS:
         rules = R.compile_rules(L.RULES_FIXTURE)
         # sheets may come from storage: broadcast them only after a size check
         tax = broadcast_if_small(R.prepare_tax(L.tax_frame(spark), L.rename_frame(spark)), 100_000)
         zones = broadcast_if_small(L.zones_frame(spark), 100_000)
-        _SHEETS[id(spark)] = (rules, tax, zones, L.block_list())
-    return _SHEETS[id(spark)]
+        _SHEETS[key] = (rules, tax, zones, L.block_list())
+    return _SHEETS[key]
 
 
 # ------------------------------------------------------------------ boards
@@ -67,7 +68,7 @@ def _monthly_kpis(m):
 # ------------------------------------------------------------------ spend
 @query("fx_normalize")
 def _fx_normalize(m):
-    start = W.n_month_start(AS_OF, 6)
+    start = W.n_month_start(today(), 6)
     o = boards.confirmed_orders(m, start, _mw().ftm)
     o = spend.fx_normalize(o, m, "total_amount")
     g = o.groupBy(F.col("country_name").alias("Country"), X.month_key("registered_date").alias("Month")).agg(
@@ -77,8 +78,8 @@ def _fx_normalize(m):
 
 @query("order_discounts")
 def _order_discounts(m):
-    start = W.first_of_month(W.add_months(AS_OF, -2))
-    return publish(spend.order_discounts(m, start, AS_OF), ["total_disc", "total_voucher_disc"])
+    start = W.first_of_month(W.add_months(today(), -2))
+    return publish(spend.order_discounts(m, start, today()), ["total_disc", "total_voucher_disc"])
 
 
 @query("crm_spend")
@@ -88,7 +89,7 @@ def _crm_spend(m):
 
 
 def _six_weeks():
-    _, fin = W.last_complete_week(AS_OF)
+    _, fin = W.last_complete_week(today())
     start = fin - dt.timedelta(days=41)
     return start, _mw().ftm
 
@@ -111,7 +112,7 @@ def _coupon_spend_daily(m):
 def _spend_by_type_month(m):
     rules, tax, _, block = _sheets(m)
     mw = _mw()
-    start = W.first_of_month(W.add_months(AS_OF, -4))
+    start = W.first_of_month(W.add_months(today(), -4))
     df = spend.spend_by_type_month(m, start, mw.flm, rules, tax, block, exclude_country="NATION_3")
     return publish(df, ["Final_AMOUNT", "Final_PERCENTAGE"])
 
@@ -119,41 +120,41 @@ def _spend_by_type_month(m):
 @query("spend_by_zone")
 def _spend_by_zone(m):
     rules, tax, zones, block = _sheets(m)
-    return publish(spend.spend_by_zone(m, AS_OF, rules, tax, zones, block), ["Final", "Final RR"])
+    return publish(spend.spend_by_zone(m, today(), rules, tax, zones, block), ["Final", "Final RR"])
 
 
 # ------------------------------------------------------------------ lifecycle
 @query("month_reorder")
 def _month_reorder(m):
-    return lifecycle.month_reorder(m, AS_OF)
+    return lifecycle.month_reorder(m, today())
 
 
 @query("vertical_trials")
 def _vertical_trials(m):
     mw = _mw()
-    return lifecycle.vertical_trials(m, AS_OF, mw.itm, mw.ftm)
+    return lifecycle.vertical_trials(m, today(), mw.itm, mw.ftm)
 
 
 @query("desired_returns")
 def _desired_returns(m):
-    return lifecycle.desired_returns(m, AS_OF)
+    return lifecycle.desired_returns(m, today())
 
 
 @query("reactivations")
 def _reactivations(m):
-    return lifecycle.reactivations(m, AS_OF)
+    return lifecycle.reactivations(m, today())
 
 
 @query("country_scorecard")
 def _country_scorecard(m):
-    return boards.country_scorecard(m, AS_OF)
+    return boards.country_scorecard(m, today())
 
 
 @query("crm_scorecard")
 def _crm_scorecard(m):
     rules, tax, _, block = _sheets(m)
     mw = _mw()
-    df = boards.crm_scorecard(spend.crm_spend(m, mw.itm, mw.ftm), AS_OF, rules, tax, block)
+    df = boards.crm_scorecard(spend.crm_spend(m, mw.itm, mw.ftm), today(), rules, tax, block)
     return publish(df, ["Final", "Final RR"])
 
 
@@ -162,7 +163,7 @@ def _central_budget_totals(m):
     """AG16: totals of the CENTRAL budget in this month's CRM scorecard."""
     rules, tax, _, block = _sheets(m)
     mw = _mw()
-    df = boards.crm_scorecard(spend.crm_spend(m, mw.itm, mw.ftm), AS_OF, rules, tax, block)
+    df = boards.crm_scorecard(spend.crm_spend(m, mw.itm, mw.ftm), today(), rules, tax, block)
     tot = boards.filtered_totals(df, F.col("Budget") == "CENTRAL", ["Final", "Orders_CRM", "Acq_CRM"])
     return publish(tot, ["Final"])
 
@@ -172,7 +173,7 @@ def _run_rate(m):
     """The run-rate frame joined to this month's confirmed orders per country (projection)."""
     mw = _mw()
     k = boards.monthly_kpis(m, mw.itm, mw.ftm)
-    rr = W.run_rate(AS_OF)
+    rr = W.run_rate(today())
     return k.select("Country", "Orders", F.lit(rr).alias("rr"), F.bround(F.col("Orders") / F.lit(rr), 0).alias("Orders RR"))
 
 
@@ -188,43 +189,43 @@ def _money_in(df, names=COHORT_MONEY):
 
 @query("campaign_cohorts")
 def _campaign_cohorts(m):
-    return cohorts.campaign_cohorts(m, AS_OF)
+    return cohorts.campaign_cohorts(m, today())
 
 
 @query("cohort_retention_rates")
 def _cohort_retention_rates(m):
-    return cohorts.cohort_retention_rates(cohorts.campaign_cohorts(m, AS_OF))
+    return cohorts.cohort_retention_rates(cohorts.campaign_cohorts(m, today()))
 
 
 @query("campaign_cohort_value")
 def _campaign_cohort_value(m):
-    df = cohorts.campaign_cohort_value(m, AS_OF, "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    df = cohorts.campaign_cohort_value(m, today(), "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     return publish(df, _money_in(df))
 
 
 @query("campaign_cohort_value_variations")
 def _campaign_cohort_value_variations(m):
-    df = cohorts.campaign_cohort_value(m, AS_OF, "variations", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    df = cohorts.campaign_cohort_value(m, today(), "variations", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     return publish(df, _money_in(df))
 
 
 @query("campaign_cohort_value_coupon")
 def _campaign_cohort_value_coupon(m):
-    df = cohorts.campaign_cohort_value(m, AS_OF, "coupon")
+    df = cohorts.campaign_cohort_value(m, today(), "coupon")
     return publish(df, _money_in(df))
 
 
 @query("mature_cohorts")
 def _mature_cohorts(m):
     rules, _, _, _ = _sheets(m)
-    df = cohorts.campaign_cohort_value(m, AS_OF, "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    df = cohorts.campaign_cohort_value(m, today(), "voucher", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     out = cohorts.mature_cohorts(df, ["Country", "City", "Campaign", "Discount_Type", "Variation"], rules)
     return publish(out, _money_in(out))
 
 
 @query("adr_after_campaign")
 def _adr_after_campaign(m):
-    df = cohorts.adr_after_campaign(m, AS_OF, like="%BRAND%")
+    df = cohorts.adr_after_campaign(m, today(), like="%BRAND%")
     return publish(df, ["Total_Paid", "Total_Disc", "Total_Voucher_Disc", "Total_Amount_Used", "Total_Paid_USD",
                         "Total_Disc_USD", "Total_Voucher_Disc_USD", "Total_Amount_Used_USD"])
 
@@ -253,14 +254,14 @@ STATS_COLS = ["Country", "City", "Campaign", "Acq_M1", "Acq_M2", "Acq_M3", "Acqu
 
 @query("coupon_performance")
 def _coupon_performance(m):
-    df = spend.coupon_performance(m, AS_OF)
+    df = spend.coupon_performance(m, today())
     return publish(df, [c for c in PERF_MONEY if c in df.columns])
 
 
 def _performance_joined(m):
     rules, tax, _, block = _sheets(m)
-    perf = spend.coupon_performance_final(spend.coupon_performance(m, AS_OF), rules, tax, block)
-    st = cohorts.campaign_cohort_value(m, AS_OF, "coupon")
+    perf = spend.coupon_performance_final(spend.coupon_performance(m, today()), rules, tax, block)
+    st = cohorts.campaign_cohort_value(m, today(), "coupon")
     pt = cohorts.mature_cohorts(st, ["Country", "City", "Campaign"], rules,
                                 filters=cohorts.CLASS_FILTERS + ["TRIAL"], block=block)
     return spend.performance_joined(perf, pt, cols=STATS_COLS)
@@ -279,27 +280,27 @@ def _campaign_type_catalog(m):
 
 @query("active_flows")
 def _active_flows(m):
-    return spend.active_flows(m, AS_OF)
+    return spend.active_flows(m, today())
 
 
 @query("active_flows_vouchers")
 def _active_flows_vouchers(m):
-    return spend.active_flows_vouchers(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    return spend.active_flows_vouchers(m, today(), exclude_like=L.EXCLUDE_LIKE_FIXTURE)
 
 
 @query("active_flows_board")
 def _active_flows_board(m):
     rules, _, _, _ = _sheets(m)
-    flows = spend.active_flows_vouchers(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    flows = spend.active_flows_vouchers(m, today(), exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     return spend.active_flows_board(flows, rules)
 
 
 @query("validity_with_stats")
 def _validity_with_stats(m):
     rules, tax, _, _ = _sheets(m)
-    val = spend.voucher_validity_daily(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    val = spend.voucher_validity_daily(m, today(), exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     val = val.withColumns({"Ageing": F.round("Ageing", 6), "Availability": F.round("Availability", 6)})
-    st = cohorts.campaign_cohort_value(m, AS_OF, "variations", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    st = cohorts.campaign_cohort_value(m, today(), "variations", exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     pt = cohorts.mature_cohorts(st, ["Country", "City", "Campaign", "Discount_Type", "Variation"], rules)
     df = spend.validity_with_stats(val, pt, rules, tax)
     return publish(df, [c for c in df.columns if c in (
@@ -308,7 +309,7 @@ def _validity_with_stats(m):
 
 @query("voucher_validity_daily")
 def _voucher_validity_daily(m):
-    df = spend.voucher_validity_daily(m, AS_OF, exclude_like=L.EXCLUDE_LIKE_FIXTURE)
+    df = spend.voucher_validity_daily(m, today(), exclude_like=L.EXCLUDE_LIKE_FIXTURE)
     df = df.withColumns({"Ageing": F.round("Ageing", 6), "Availability": F.round("Availability", 6)})
     return publish(df, ["Confirmed_Used_Amount", "Confirmed_Used_Amount_USD", "Confirmed_Used_Amount_Iva",
                         "Confirmed_Used_Amount_USD_Iva"])
@@ -316,11 +317,11 @@ def _voucher_validity_daily(m):
 
 # ------------------------------------------------------------------ dashboard, no-return
 EUR_MONEY = ["Confirmed_Revenue", "Confirmed_Revenue_Log", "GFV_Gross_Log", "GMV_Gross_Mktp", "GFV_Gross_Total",
-             "DF_No_Discount_Total", "DF_No_Discount_Log", "Discounts_PEYA_Total"]
+             "DF_No_Discount_Total", "DF_No_Discount_Log", "Discounts_Company_Total"]
 
 
 def _six_months():
-    return W.n_month_start(AS_OF, 6), _mw().ftm
+    return W.n_month_start(today(), 6), _mw().ftm
 
 
 @query("order_funnel")
@@ -358,7 +359,7 @@ def _discount_mix_pivot(m):
 
 def _mix_competition(m):
     comp = broadcast_if_small(L.city_competition_frame(m.spark), 100_000)
-    return boards.discount_mix_competition(m, W.first_of_month(W.add_months(AS_OF, -3)), comp, L.BIG_CITY)
+    return boards.discount_mix_competition(m, W.first_of_month(W.add_months(today(), -3)), comp, L.BIG_CITY)
 
 
 @query("discount_mix_competition")
@@ -373,25 +374,25 @@ def _discount_mix_by_country(m):
 
 @query("no_return")
 def _no_return(m):
-    return lifecycle.no_return(m, AS_OF)
+    return lifecycle.no_return(m, today())
 
 
 @query("reactivation_profile")
 def _reactivation_profile(m):
-    return lifecycle.reactivation_profile(m, AS_OF)
+    return lifecycle.reactivation_profile(m, today())
 
 
 # ------------------------------------------------------------------ trials, heavy users, bands
 @query("vertical_trials_by_campaign")
 def _vertical_trials_by_campaign(m):
     mw = _mw()
-    return lifecycle.vertical_trials_by_campaign(m, AS_OF, [mw.itm, mw.ilm])
+    return lifecycle.vertical_trials_by_campaign(m, today(), [mw.itm, mw.ilm])
 
 
 @query("heavy_users_repeat")
 def _heavy_users_repeat(m):
     # no user reaches 7 orders in a month in the test orders: threshold 2 exercises both branches
-    return lifecycle.heavy_users_repeat(m, AS_OF, threshold=2)
+    return lifecycle.heavy_users_repeat(m, today(), threshold=2)
 
 
 @query("heavy_users_repeat_events")
@@ -401,13 +402,13 @@ def _heavy_users_repeat_events(m):
 
 @query("frequency_bands")
 def _frequency_bands(m):
-    return lifecycle.frequency_bands(m, W.first_of_month(W.add_months(AS_OF, -4)), _mw().flm)
+    return lifecycle.frequency_bands(m, W.first_of_month(W.add_months(today(), -4)), _mw().flm)
 
 
 # ------------------------------------------------------------------ clusters, competition, boards
 def _adr_raw(m):
     mw = _mw()
-    return lifecycle.adr_user_clusters(m, AS_OF, new_since=mw.ilm, orders_from=W.first_of_month(W.add_months(AS_OF, -2)),
+    return lifecycle.adr_user_clusters(m, today(), new_since=mw.ilm, orders_from=W.first_of_month(W.add_months(today(), -2)),
                                        orders_to=mw.ftm)
 
 
@@ -456,13 +457,13 @@ def _voucher_order_audit(m):
 
 @query("weekly_orders_board")
 def _weekly_orders_board(m):
-    return boards.weekly_orders_board(m, AS_OF)
+    return boards.weekly_orders_board(m, today())
 
 
 @query("weekly_spend_board")
 def _weekly_spend_board(m):
     rules, tax, _, block = _sheets(m)
-    return publish(boards.weekly_spend_board(m, AS_OF, rules, tax, block), [
+    return publish(boards.weekly_spend_board(m, today(), rules, tax, block), [
         "Used_Amount", "Used_Amount_USD", "Used_Amount_Confirmed", "Used_Amount_Confirmed_USD", "Used_Final",
         "Used_USD_Final"])
 
@@ -472,7 +473,7 @@ CURVE_RATIOS = ["Cum_M1", "Weekday Value", "Cum_Weekday", "Month Value", "Month
 
 
 def _curve_window():
-    start = W.first_of_month(W.add_months(AS_OF, -3))
+    start = W.first_of_month(W.add_months(today(), -3))
     return start, _mw().flm, _mw().ftm
 
 
@@ -539,12 +540,12 @@ POP_SINCE = dt.date(1995, 1, 1)
 
 @query("calendar_cohorts")
 def _calendar_cohorts(m):
-    return population.calendar_cohorts(m, POP_SINCE, AS_OF)
+    return population.calendar_cohorts(m, POP_SINCE, today())
 
 
 @query("migrated_users_monthly")
 def _migrated_users_monthly(m):
-    return population.migrated_users_monthly(m, POP_SINCE, _mw().ftm, AS_OF)
+    return population.migrated_users_monthly(m, POP_SINCE, _mw().ftm, today())
 
 
 @query("migrated_coupon_spend")
@@ -562,7 +563,7 @@ def _country_coupon_spend(m):
 
 @query("legacy_users_current_orders")
 def _legacy_users_current_orders(m):
-    return population.legacy_users_current_orders(m, EVENTS_START, EVENTS_END, W.first_of_month(W.add_months(AS_OF, -6)))
+    return population.legacy_users_current_orders(m, EVENTS_START, EVENTS_END, W.first_of_month(W.add_months(today(), -6)))
 
 
 @query("legacy_frequency_segments")

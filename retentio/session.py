@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale. AQE re-plans joins with runtime sizes, merges
@@ -27,15 +28,22 @@ SCALE_CONF = {
 
 def get_session(master: str | None = None, app: str = "retentio",
                 shuffle_partitions: int | None = None) -> SparkSession:
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    builder = (SparkSession.builder.master(master).appName(app)
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-               .config("spark.sql.shuffle.partitions",
-                       str(shuffle_partitions or int(os.environ.get("BENCH_CPUS", "8")))))
-    for k, v in SCALE_CONF.items():
-        builder = builder.config(k, v)
+    """A session; what the platform (``spark-submit``, ``spark-defaults.conf``) has set
+    stays as it is, and only arguments given here override it."""
+    given = SparkConf()
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    gaps = {"spark.master": f"local[{cpus}]", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g"), **SCALE_CONF}
+    if given.get("spark.master", master or "local").startswith("local"):
+        gaps["spark.sql.shuffle.partitions"] = cpus  # a cluster's own setting, or Spark's default, holds elsewhere
+    builder = SparkSession.builder.appName(app)
+    for k, v in gaps.items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -46,8 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names shared storage and we use it as given.
-    Only when it is unset (local tests) do we pick a scratch folder ourselves,
-    through ``setCheckpointDir`` (the conf key itself is static).
+    Only when it is unset and the master is local (tests) do we pick a scratch
+    folder ourselves, through ``setCheckpointDir`` (the conf key itself is
+    static). Executors of a cluster would not see such a folder, so there a
+    missing setting is an error.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -58,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     current = tempfile.mkdtemp(prefix="retentio-ckpt-")
     sc.setCheckpointDir(current)
     return current

@@ -39,7 +39,7 @@ Mapping (fixed values; the SQL adapter repeats them):
   campaign code = ``W_`` + part type
 * funding rows: lines with return flag R (type 25 when line status F, else 35)
   and A (type 10, not wallet funding); amount = extended price x tax
-* user city (city_usuarios) = market segment; basis ORDERS when the account
+* user city = market segment; basis ORDERS when the account
   balance is >= 0, else ADDRESS
 * migrated population: customers with account balance < 1000
 * legacy platform orders: purchase events per day and user; legacy segment
@@ -55,6 +55,10 @@ Mapping (fixed values; the SQL adapter repeats them):
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import hashlib
+import sys
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +107,7 @@ class Model:
 
     # ---- dimensions -------------------------------------------------
     def countries(self) -> DataFrame:
-        """dim_country: one row per nation (bounded: countries of the world)."""
+        """Countries: one row per nation (bounded: countries of the world)."""
         def build():
             n = self.t["nation"]
             return bounded_broadcast(n.select(
@@ -117,7 +121,7 @@ class Model:
         return self._get("countries", build)
 
     def fx_rates(self) -> DataFrame:
-        """dim_currency_exchange: currencies x months (bounded by the calendar)."""
+        """Exchange rates: currencies x months (bounded by the calendar)."""
         def build():
             months = F.sequence(F.lit(FX_FIRST_MONTH), F.lit(FX_LAST_MONTH), F.expr("interval 1 month"))
             cur = self.t["region"].select(F.col("r_regionkey").alias("currency_id"))
@@ -136,7 +140,7 @@ class Model:
         return self._get("fx_rates", build)
 
     def users(self) -> DataFrame:
-        """dim_user with the user's home country, city and area."""
+        """Users with the user's home country, city and area."""
         def build():
             c = self.t["customer"]
             return c.select(
@@ -148,7 +152,7 @@ class Model:
         return self._get("users", build)
 
     def user_cities(self) -> DataFrame:
-        """city_usuarios: the city a user is assigned to, per country, and the basis used."""
+        """The city a user is assigned to, per country, and the basis used."""
         def build():
             c = self.t["customer"]
             cn = self.countries().select(F.col("country_id").alias("c_nationkey"), F.col("country_name").alias("country"))
@@ -183,7 +187,7 @@ class Model:
         return self._get("legacy_segments", build)
 
     def partners(self) -> DataFrame:
-        """dim_partner joined with dim_billing_info."""
+        """Partners with their payment mode."""
         def build():
             s = self.t["supplier"]
             bal = F.col("s_acctbal")
@@ -197,7 +201,7 @@ class Model:
         return self._get("partners", build)
 
     def campaigns(self) -> DataFrame:
-        """dim_talon_campaigns: campaign id and name built from the part."""
+        """Campaigns: campaign id and name built from the part."""
         def build():
             p = self.t["part"]
             return p.select(
@@ -210,7 +214,7 @@ class Model:
 
     # ---- facts ------------------------------------------------------
     def orders(self) -> DataFrame:
-        """fact_orders (without the repeated discounts field)."""
+        """Orders (without the repeated discounts field)."""
         def build():
             o = self.t["orders"]
             confirmed = F.col("o_orderstatus") != "P"
@@ -306,7 +310,7 @@ class Model:
         return self._get("discounts", build)
 
     def orders_nested(self) -> DataFrame:
-        """fact_orders with the repeated ``discounts`` field, as the warehouse stores it."""
+        """Orders with the repeated ``discounts`` field, as the warehouse stores it."""
         def build():
             d = self.discounts()
             arr = d.groupBy("order_id").agg(F.collect_list(F.struct(
@@ -317,7 +321,7 @@ class Model:
         return self._get("orders_nested", build)
 
     def coupons(self) -> DataFrame:
-        """fact_talon_coupons / voucher creates+trades: one coupon per eligible order."""
+        """Coupons, or voucher creations with their trades: one coupon per eligible order."""
         def build():
             fl = self.first_lines().filter(F.col("l_discount") >= 0.05)
             o = self.orders().select("order_id", "user_id", "country_id", "city_name", "area_name",
@@ -350,7 +354,7 @@ class Model:
         return self._get("coupons", build)
 
     def wallet(self) -> DataFrame:
-        """fact_wallet_attributions, exploded: one row per attribution detail."""
+        """Wallet attributions, exploded: one row per attribution detail."""
         def build():
             li = self.t["lineitem"].filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") > 1))
             p = self.t["part"].select("p_partkey", "p_type")
@@ -365,7 +369,7 @@ class Model:
 
 
     def funding(self) -> DataFrame:
-        """fact_order_funding: order_id, type, amount."""
+        """Order funding: order_id, type, amount."""
         def build():
             li = self.t["lineitem"].filter(F.col("l_returnflag").isin("R", "A"))
             return li.select(
@@ -377,7 +381,7 @@ class Model:
         return self._get("funding", build)
 
     def partners_monthly(self) -> DataFrame:
-        """fact_partners_monthly: partner x month with online / churned / confirmed flags.
+        """Partner by month: partner x month with online / churned / confirmed flags.
 
         Online = the partner had an order that month; confirmed = a confirmed
         one; churned = orders the month before and none this month.
@@ -425,50 +429,70 @@ PERSISTED = ("first_lines", "orders", "order_partner", "discounts", "coupons", "
 BOUNDED = ("countries", "fx_rates")
 
 
-def _version() -> str:
-    import hashlib
-    import inspect
-    import sys
-    src = inspect.getsource(sys.modules[__name__])
-    return hashlib.sha1(src.encode()).hexdigest()[:12]
+def _fs(spark, path: str):
+    """(file system, path object) of a path, whatever store it is in."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def input_fingerprint(spark, sf_dir: str) -> str:
+    """Digest of the names, sizes and modification times of all input files."""
+    fs, folder = _fs(spark, sf_dir)
+    files, found = fs.listFiles(folder, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()[:16]
 
 
 class StoredModel(Model):
     """A Model whose large views are materialised as Parquet under ``base``.
 
     ``base`` must be shared storage on a cluster (the session's
-    ``spark.checkpoint.dir``). Writing the tables also cuts the lineage, so a
-    lost executor never forces a recomputation from the raw inputs.
+    ``spark.checkpoint.dir``) and belongs to one state of the input. A view
+    counts as written only if its ``_SUCCESS`` file is there; it is written to a
+    folder of its own and moved into place, so a reader never sees half of it
+    and two jobs may build it at once. Writing the tables also cuts the lineage:
+    a lost executor never forces a recomputation from the raw inputs.
     """
 
     def __init__(self, tables, base: str):
         super().__init__(tables)
         self.base = base.rstrip("/")
 
+    def _written(self, path: str) -> bool:
+        fs, done = _fs(self.spark, f"{path}/_SUCCESS")
+        return fs.exists(done)
+
+    def _write(self, name: str, out: DataFrame, path: str) -> None:
+        staged = f"{self.base}/.staged-{name}-{uuid.uuid4().hex}"
+        writer = out.write
+        if name == "orders":
+            # range on (month, user): each task writes few month folders, and a
+            # large month is still split over many tasks
+            out = out.withColumn("order_month", F.trunc("registered_date", "MM"))
+            writer = out.repartitionByRange("order_month", "user_id").write.partitionBy("order_month")
+        writer.parquet(staged)
+        fs, target = _fs(self.spark, path)
+        if fs.exists(target) and not self._written(path):
+            fs.delete(target, True)  # what a job that died has left
+        _, source = _fs(self.spark, staged)
+        if self._written(path):
+            fs.delete(source, True)  # another job was first, with the same rows
+        elif not fs.rename(source, target):
+            raise OSError(f"cannot move {staged} to {path}")
+
     def _get(self, name, build):
         if name in PERSISTED and name not in self._memo:
             path = f"{self.base}/{name}"
-            spark = self.spark
-            try:
-                df = spark.read.parquet(path)
-            except Exception:  # not written yet
-                out = build()
-                writer = out.write.mode("overwrite")
-                if name == "orders":
-                    # range on (month, user): each task writes few month folders, and a
-                    # large month is still split over many tasks
-                    out = out.withColumn("order_month", F.trunc("registered_date", "MM"))
-                    out = out.repartitionByRange("order_month", "user_id")
-                    writer = out.write.mode("overwrite").partitionBy("order_month")
-                writer.parquet(path)
-                df = spark.read.parquet(path)
-            self._memo[name] = df
-            return df
+            if not self._written(path):
+                self._write(name, build(), path)
+            self._memo[name] = self.spark.read.parquet(path)
+            return self._memo[name]
         if name in BOUNDED and name not in self._memo:
             self._memo[name] = bounded_broadcast(build())
         return super()._get(name, build)
 
-
     def build_all(self):
         """Write every stored view (the one-off ETL step)."""
         for name in PERSISTED:
@@ -478,24 +502,39 @@ class StoredModel(Model):
 _STORED: dict = {}
 
 
-_VERSION = None
+@functools.cache
+def _version() -> str:
+    """Digest of this module's source: a changed adapter builds its views anew."""
+    with open(__file__, "rb") as f:
+        return hashlib.sha1(f.read()).hexdigest()[:12]
 
 
 def stored_model(spark, tables, sf_dir: str) -> Model:
-    """One StoredModel per (session, input folder, adapter version).
+    """One StoredModel per application, adapter version and state of the input folder.
 
     ``tables`` is a dict of input frames or a callable returning one; it is
     only evaluated when the model is first created for the session.
     """
     from ..session import ensure_checkpoint_dir
-    import hashlib
-    global _VERSION
-    if _VERSION is None:
-        _VERSION = _version()
-    key = (id(spark), sf_dir, _VERSION)
+    tag = hashlib.sha1(f"{sf_dir}|{_version()}|{input_fingerprint(spark, sf_dir)}".encode()).hexdigest()[:16]
+    key = (spark.sparkContext.applicationId, tag)
     if key not in _STORED:
         root = ensure_checkpoint_dir(spark)
-        tag = hashlib.sha1(f"{sf_dir}|{_VERSION}".encode()).hexdigest()[:16]
         _STORED[key] = StoredModel(tables() if callable(tables) else tables,
                                    f"{root.rstrip('/')}/retentio-model/{tag}")
     return _STORED[key]
+
+
+def main(argv=None):
+    """python -m retentio.sources.adapter SF_DIR: build the stored views of an input folder."""
+    from ..session import get_session
+    from .tables import load_tables
+    sf_dir = (argv or sys.argv[1:])[0]
+    spark = get_session()
+    m = stored_model(spark, lambda: load_tables(spark, sf_dir), sf_dir)
+    m.build_all()
+    print(m.base)
+
+
+if __name__ == "__main__":
+    main()

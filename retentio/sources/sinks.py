@@ -1,8 +1,8 @@
 """Sinks (SNK1-SNK4): replace a table, one output per key, CSV, and a run log.
 
 All writes are distributed (no collect, no single-file coalesce). A failed
-write is recorded in the run log and re-raised by ``publish`` callers that
-want a hard stop; Spark's own job failure is the signal, nothing is swallowed.
+report is recorded in the run log with its error; the batch goes on with the
+next one and tells at its end that it has failed.
 """
 
 from __future__ import annotations
@@ -13,41 +13,57 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """SNK1: replace the destination table."""
+def key_order(df: DataFrame) -> list[str]:
+    """The text and date columns of a report, in their order: what it is sorted by (SO1, SO2)."""
+    return [f.name for f in df.schema if f.dataType.typeName() in ("string", "date")]
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", sort=()) -> str:
+    """SNK1: replace the destination table; ``sort`` orders it by ranges over all files."""
+    if sort:
+        df = df.orderBy(*sort)
     df.write.mode(mode).format(fmt).save(path)
     return path
 
 
-def write_by_key(df: DataFrame, path: str, key: str = "Country", fmt: str = "parquet") -> str:
-    """SNK2: one output per key value in a single pass (the key becomes the folder name)."""
+def write_by_key(df: DataFrame, path: str, key: str = "Country", fmt: str = "parquet", sort=()) -> str:
+    """SNK2: one output per key value in a single pass (the key becomes the folder name),
+    each sorted by ``sort``."""
+    if sort:
+        df = df.orderBy(key, *[c for c in sort if c != key])
     df.write.mode("overwrite").partitionBy(key).format(fmt).save(path)
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, sort=()) -> str:
     """SNK3: CSV with a header row (one file per partition)."""
+    if sort:
+        df = df.orderBy(*sort)
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
 @dataclass
 class RunLog:
-    """SNK4: one row per dataset written: run date, dataset, status, rows."""
+    """SNK4: one row per dataset: run date, dataset, status, rows written, error."""
 
     run_date: dt.date
     rows: list = field(default_factory=list)
 
-    def record(self, dataset: str, status: str, n_rows: int | None = None):
-        self.rows.append((self.run_date, dataset, status, n_rows))
+    def record(self, dataset: str, status: str, n_rows: int | None = None, error: str | None = None):
+        self.rows.append((self.run_date, dataset, status, n_rows, error))
+
+    @property
+    def failed(self) -> list[str]:
+        return [r[1] for r in self.rows if r[2] != "Correcto"]
 
     def publish(self, spark: SparkSession, path: str) -> DataFrame:
         """Append this run's entries to the log table."""
-        df = spark.createDataFrame(self.rows, "run_date date, dataset string, status string, rows long")
+        df = spark.createDataFrame(self.rows, "run_date date, dataset string, status string, rows long, error string")
         df.write.mode("append").parquet(path)
         return df
 
 
 def written_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
-    """Row count of a written Parquet table (answered from file footers)."""
-    return spark.read.format(fmt).load(path).count()
+    """Row count of a written table (for Parquet answered from file footers)."""
+    return spark.read.format(fmt).option("header", True).load(path).count()
