@@ -130,3 +130,26 @@ def in_window(df, start, end, col: str = "registered_date"):
     if "order_month" in df.columns:
         cond = cond & F.col("order_month").between(F.trunc(F.lit(start), "MM"), F.trunc(F.lit(end), "MM"))
     return df.filter(cond)
+
+
+def since(df, start, col: str = "registered_date"):
+    """SRC6 without an end: orders from ``start`` on, and only the months from then on."""
+    from pyspark.sql import functions as F
+    cond = F.col(col) >= F.lit(start)
+    if "order_month" in df.columns:
+        cond = cond & (F.col("order_month") >= F.trunc(F.lit(start), "MM"))
+    return df.filter(cond)
+
+
+def in_months(df, start, end=None):
+    """Rows of a fact (discounts, wallet, funding, coupons) whose order lies in the months
+    from ``start`` to ``end``. The stored facts are partitioned by the order's month, so
+    the scan reads these months only; the join with the orders of the exact window
+    follows. Facts without that column pass through."""
+    from pyspark.sql import functions as F
+    if "order_month" not in df.columns:
+        return df
+    cond = F.col("order_month") >= F.trunc(F.lit(start), "MM")
+    if end is not None:
+        cond = cond & (F.col("order_month") <= F.trunc(F.lit(end), "MM"))
+    return df.filter(cond).drop("order_month")

@@ -7,11 +7,11 @@ prefix goes to an inverted index: two similar sets share a prefix shingle.
 Index level: a shingle's list is kept in order of set size. From a set, the
 blocks of the list that size or position rule out are skipped.
 
-Answer level: in each list the sets of similar size are first compared with one
-leader only. What is linked that way forms components, and pairs within a
+Answer level: in each list the sets of similar size are first compared with a
+few leaders only. What is linked that way forms components, and pairs within a
 component need no answer of their own. For the others, a set's answer is
-derived from that of its leader: with |x - p| and |p - x| known, the overlap of
-x and y lies between two bounds around the overlap of their leaders. Only pairs
+derived from that of the set it is most like: with |x - p| and |p - x| known, the overlap of
+x and y lies between two bounds around the overlap of these two. Only pairs
 that the bounds leave open are compared shingle by shingle.
 
 Sets travel only if they are in a candidate pair. The global order comes from a
@@ -27,12 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, ship, stored
+from .common import bitmap_of, free_shuffles, ship, stored
 from .components import components
 
 WORDS = 5
 THRESHOLD = 80
 BUCKETS = 1 << 18
+#: Leaders of a part of a list.
+LEADERS = 3
+LEADS = tuple(f"lead{k}" for k in range(1, LEADERS + 1))
 #: A longer list is joined in salted parts instead of inside one task.
 LONG = 50_000
 _WORDS_KEPT = 300_000
@@ -128,41 +131,56 @@ def _cannot(size_a, pos_a, size_b, pos_b, threshold):
     return (100 + threshold) * most < threshold * (size_a.astype(np.int64) + size_b)
 
 
+def _priority(sets: np.ndarray, k: int) -> np.ndarray:
+    """The k-th pseudo-random order of sets, the same in every list."""
+    z = (sets.view(np.uint64) ^ np.uint64(k)) * _MUL[k % len(_MUL)]
+    z ^= z >> np.uint64(32)
+    return z * _MUL[(k + 1) % len(_MUL)]
+
+
 def _lists(threshold, long):
-    """Lists with two sets at least, each row with the leader it is compared with.
+    """Lists with two sets at least, each row with the leaders it is compared with.
 
-    Rows come by token and size. A list may be any length: beyond ``long`` rows
-    it is passed on in parts, and only its leader is kept.
+    Rows come by token and size. A list is cut where sizes differ too much to be
+    similar; each part has LEADERS leaders, the first sets of as many pseudo-random
+    orders. A list may be any length: beyond ``long`` rows it is passed on in
+    pieces, and only a leader goes from one piece to the next.
     """
     names = ["token", "set", "size", "pos"]
 
     def run(cols, carry):
-        token, own, size, pos = cols
-        if carry is not None:  # the leader of a list that goes on
-            token, own, size, pos = (np.concatenate(([c], x)) for c, x in zip(carry, cols))
+        if carry is not None:  # a leader of the list that goes on
+            cols = [np.concatenate(([c], x)) for c, x in zip(carry, cols)]
+        token, own = cols[:2]
         same = np.zeros(len(token), dtype=bool)
         same[1:] = (token[1:] == token[:-1]) & (own[1:] == own[:-1])
-        token, own, size, pos = (x[~same] for x in (token, own, size, pos))
+        token, own, size, pos = (x[~same] for x in cols)
         index = np.arange(len(token))
         start = np.ones(len(token), dtype=bool)
         start[1:] = token[1:] != token[:-1]
         run_of = np.cumsum(start) - 1
-        many = np.bincount(run_of)[run_of] > 1
-        while True:
-            lead = np.maximum.accumulate(np.where(start, index, 0))
-            over = threshold * size.astype(np.int64) > 100 * size[lead].astype(np.int64)
+        keep = np.bincount(run_of)[run_of] > 1
+        while True:  # cut the lists where the largest size is too far from the smallest
+            head = np.maximum.accumulate(np.where(start, index, 0))
+            over = threshold * size.astype(np.int64) > 100 * size[head].astype(np.int64)
             if not over.any():
                 break
             begins = over.copy()
-            begins[1:] &= ~over[:-1] | (lead[1:] != lead[:-1])
+            begins[1:] &= ~over[:-1] | (head[1:] != head[:-1])
             start |= begins
-        no = (lead == index) | _cannot(size[lead], pos[lead], size, pos, threshold)
-        keep = many.copy()
-        if carry is not None:
-            keep[0] = False
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (token, own, size, pos)] + [pa.array(own[lead][keep], mask=no[keep])], names=[*names, "lead"])
-        return out, tuple(x[lead[-1]] for x in (token, own, size, pos))
+        heads = np.flatnonzero(start)
+        part = np.cumsum(start) - 1
+        leads, taken = [], []
+        for k in range(1, LEADERS + 1):
+            order = np.lexsort((_priority(own, k), part))
+            lead = order[heads][part]
+            no = (lead == index) | _cannot(size[lead], pos[lead], size, pos, threshold)
+            for before in taken:
+                no |= lead == before
+            taken.append(lead)
+            leads.append(pa.array(own[lead][keep], mask=no[keep]))
+        out = pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, own, size, pos)] + leads, names=[*names, *LEADS])
+        return out, tuple(x[taken[0][-1]] for x in (token, own, size, pos))
 
     def rows(batches):
         held, carry = None, None
@@ -311,30 +329,35 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     row = "token long, set long, size int, pos int"
     prefixes = docs.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(counts.tobytes()), n, BUCKETS, threshold), row)
     lists = stored(prefixes.repartition("token").sortWithinPartitions("token", "size", "set")
-                   .mapInArrow(_lists(threshold, long), row + ", lead long"), "jaccard-lists")
+                   .mapInArrow(_lists(threshold, long), row + "".join(f", {c} long" for c in LEADS)), "jaccard-lists")
 
     # first answers: every set against its leaders
-    first = stored(lists.where("lead is not null").select(F.col("lead").alias("a"), F.col("set").alias("b")).distinct(), "jaccard-leaders")
+    leads = lists.select(F.explode(F.array_compact(F.array(*LEADS))).alias("a"), F.col("set").alias("b"))
+    first = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    first = stored(first, "jaccard-leaders")
     nodes = first.select(F.col("a").alias("set")).union(first.select("b")).distinct()
     sets = _sets_of(docs, stored(nodes, "jaccard-nodes"), n)
     answers = stored(_overlaps(first, sets), "jaccard-answers")
     linked = answers.where(_similar(F.col("overlap"), F.col("size_a") + F.col("size_b"), threshold)).select("a", "b")
     joined = components(linked)
+    free_shuffles(spark)
 
     # the other pairs, between components
-    marked = stored(lists.drop("lead").join(joined.withColumnRenamed("node", "set"), "set", "left")
+    marked = stored(lists.drop(*LEADS).join(joined.withColumnRenamed("node", "set"), "set", "left")
                     .withColumn("component", F.coalesce("component", "set")), "jaccard-marked")
     mixed = marked.groupBy("token").agg(F.count("*").alias("n_sets"), (F.min("component") != F.max("component")).alias("mixed")).where("mixed")
     open_lists = marked.join(mixed.select("token", "n_sets"), "token")
     pairs = (open_lists.where(F.col("n_sets") <= long).repartition("token").sortWithinPartitions("token", "size", "set")
              .select("token", "set", "size", "pos", "component").mapInArrow(_candidates(threshold), "a long, b long"))
     pairs = pairs.union(_long_pairs(open_lists.where(F.col("n_sets") > long), threshold)).distinct()
-    known = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(pairs.join(known, ["a", "b"], "left_anti"), "jaccard-pairs")
-
-    # bounds from the leaders' answers; a set without a leader is its own
-    best = stored(answers.groupBy(F.col("b").alias("x")).agg(F.max(F.struct("overlap", F.col("a").alias("p"), F.col("size_a").alias("size_p"), F.col("size_b").alias("size_x"))).alias("best"))
-                  .select("x", "best.*").where(_similar(F.col("overlap"), F.col("size_p") + F.col("size_x"), threshold)), "jaccard-best")
+    pairs = stored(pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
+
+    # bounds from the first answers: p is the set most like x; a set without a link is its own
+    links = answers.where(_similar(F.col("overlap"), F.col("size_a") + F.col("size_b"), threshold))
+    sides = (("a", "b"), ("b", "a"))
+    links = [links.select(F.col(x).alias("x"), F.struct("overlap", F.col(p).alias("p"), F.col(f"size_{p}").alias("size_p"), F.col(f"size_{x}").alias("size_x")).alias("link"))
+             for x, p in sides]
+    best = stored(links[0].union(links[1]).groupBy("x").agg(F.max("link").alias("link")).select("x", "link.*"), "jaccard-best")
     led = pairs
     for side in ("a", "b"):
         led = (led.join(best.select(F.col("x").alias(side), F.col("p").alias(f"p_{side}"), (F.col("size_x") - F.col("overlap")).alias(f"more_{side}"),

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, discard, free_shuffles, ship, stored
+from .common import bitmap_of, discard, free_shuffles, n_partitions, ship, stored
 
 LENGTH = 200
 K = 40
@@ -288,7 +288,7 @@ def _remove(length):
 def _flag_runs(runs: DataFrame) -> DataFrame:
     """Runs whose context occurs twice (``whole``), and one run of each context
     whose key has others (``check``). Groups of cold keys are bounded and go
-    through a window; hot ones through aggregates and a join that can be split."""
+    through a window, hot ones through salted windows, aggregates and a join."""
     cold, hot = runs.where("not hot"), runs.where("hot")
     by_context = Window.partitionBy("key").orderBy("context", "row", "first")
     of_key = Window.partitionBy("key")
@@ -296,12 +296,20 @@ def _flag_runs(runs: DataFrame) -> DataFrame:
     as_after = F.coalesce(F.lead("context").over(by_context) == F.col("context"), F.lit(False))
     several = F.min("context").over(of_key) != F.max("context").over(of_key)
     cold = cold.select("key", "row", "first", "last", "hot", (as_before | as_after).alias("whole"), (~as_before & several).alias("check"))
-    contexts = hot.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "first")).alias("one"))
+    # copies meet in salted groups first; only the first row of each goes on to be joined
+    salted = Window.partitionBy("key", "context", "salt")
+    hot = hot.withColumn("salt", F.pmod("row", F.lit(n_partitions(runs.sparkSession))))
+    hot = hot.select("*", F.row_number().over(salted.orderBy("row", "first")).alias("rank"), F.count("*").over(salted).alias("copies"))
+    hot = stored(hot, "suffix-hot")
+    later = hot.where("rank > 1").select("key", "row", "first", "last", "hot", F.lit(True).alias("whole"), F.lit(False).alias("check"))
+    heads = hot.where("rank = 1")
+    contexts = heads.groupBy("key", "context").agg(F.sum("copies").alias("n"), F.min(F.struct("row", "first")).alias("one"))
     per_key = contexts.groupBy("key").agg(F.count("*").alias("n_contexts"))
     contexts = stored(contexts.join(per_key, "key"), "suffix-contexts")
     is_one = (F.col("row") == F.col("one.row")) & (F.col("first") == F.col("one.first"))
-    hot = hot.join(contexts, ["key", "context"]).select(
+    heads = heads.join(contexts, ["key", "context"]).select(
         "key", "row", "first", "last", "hot", (F.col("n") > 1).alias("whole"), (is_one & (F.col("n_contexts") > 1)).alias("check"))
+    hot = later.union(heads)
     return cold.union(hot).where("whole or check")
 
 

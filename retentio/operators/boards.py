@@ -182,7 +182,7 @@ def discount_mix(m, start: dt.date, end: dt.date, by=("Country",)) -> DataFrame:
     """Confirmed orders and discount spend (EUR) by discount type x payer x month (and ``by``)."""
     from .spend import with_fx
     o = X.in_window(m.orders(), start, end).filter(F.col("order_status") == "CONFIRMED")
-    j = with_fx(o.join(m.discounts(), "order_id"), m)
+    j = with_fx(o.join(X.in_months(m.discounts(), start, end), "order_id"), m)
     keys = {"Country": F.col("country_name"), "City": F.col("city_name"), "Area": F.col("area_name")}
     g = j.groupBy(*[keys[b].alias(b) for b in by], X.month_key("registered_date").alias("Month"),
                   F.coalesce("discount_type_name", F.lit("-")).alias("Discount_Type"),
@@ -236,7 +236,7 @@ def voucher_order_audit(m, start: dt.date, end: dt.date) -> DataFrame:
     """Voucher uses joined to the window's orders; row count per country and order status."""
     o = X.in_window(m.orders(), start, end).select(
         F.col("order_id").alias("id"), F.col("order_status").alias("status"), F.col("country_name").alias("country"))
-    t = m.coupons().select("coupon_id", "order_id")
+    t = X.in_months(m.coupons(), start, end).select("coupon_id", "order_id")
     j = t.join(o, t.order_id == o.id, "inner")
     rows = j.select(F.col("coupon_id").alias("Id"),
                     F.coalesce(F.col("id").cast("string"), F.lit("-")).alias("Order_Id"),
@@ -351,7 +351,7 @@ def discount_mix_competition(m, since: dt.date, competition: DataFrame, big_city
         o = o.filter(F.col("order_month") >= F.trunc(F.lit(since), "MM"))
     if countries is not None:
         o = o.filter(F.col("country_name").isin(countries))
-    d = m.discounts().filter(F.col("discount_type_name").isNotNull())
+    d = X.in_months(m.discounts(), since).filter(F.col("discount_type_name").isNotNull())
     j = with_fx(o.join(d, "order_id"), m)
     city = F.coalesce("city_name", F.lit("-"))
     area = F.coalesce("area_name", F.lit("-"))

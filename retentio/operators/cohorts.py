@@ -52,9 +52,9 @@ def barter(m, created_from: dt.date, created_to: dt.date, traded_from: dt.date,
                     F.col("used_amount").alias("amount_used"))
 
 
-def _disc_per_order(m) -> DataFrame:
+def _disc_per_order(m, start, end) -> DataFrame:
     """Discount totals per order from the repeated field; orders without rows vanish."""
-    d = m.discounts()
+    d = X.in_months(m.discounts(), start, end)
     amt = F.col("discount_amount")
     return d.groupBy("order_id").agg(
         F.sum(amt).alias("total_disc"),
@@ -123,8 +123,10 @@ def variation(amount="discount_amount", max_amount="discount_max_amount", mov="m
 
 
 # ---------------------------------------------------------------- D3
-def campaign_cohorts(m, as_of: dt.date, months_back: int = 3, max_days: int = 180) -> DataFrame:
-    """D3: per campaign / city / month: acquisitions and M1-M3 returning users and orders."""
+def campaign_cohorts(m, as_of: dt.date, months_back: int = 3, max_days: int = 90) -> DataFrame:
+    """D3: per campaign / city / month: acquisitions and M1-M3 returning users and orders.
+
+    M3 ends on day 90: later follow-ups have no column here and are not joined."""
     b_from = W.first_of_month(W.add_months(as_of, -(months_back + 1)))
     b_to = W.first_of_month(as_of) - dt.timedelta(days=1)
     bt = barter(m, b_from, b_to, b_from, b_to)
@@ -184,7 +186,7 @@ def campaign_cohort_value(m, as_of: dt.date, source: str = "voucher", exclude_li
                                & F.col("order_registered_date").between(F.lit(o_from), F.lit(as_of)))
         bt = c.select("order_id", F.col("campaign_name").alias("campaign"), F.col("used_amount").alias("amount_used"))
     o = X.in_window(m.orders(), o_from, as_of)
-    o = o.join(_disc_per_order(m), "order_id")
+    o = o.join(_disc_per_order(m, o_from, as_of), "order_id")
     paid = F.coalesce(F.col("shipping_amount_no_discount") + F.col("amount_no_discount"), F.lit(0))
     o = o.withColumns({
         "country": F.col("country_name"), "city": F.coalesce("city_name", F.lit("-")),
@@ -296,7 +298,7 @@ def adr_after_campaign(m, as_of: dt.date, like: str = "%CENTRAL%") -> DataFrame:
     bt = barter(m, win3, as_of, win3, as_of)
     o = X.in_window(m.orders(), win2, as_of).filter(
                           (F.col("order_status") == "CONFIRMED"))
-    dpo = _disc_per_order(m)
+    dpo = _disc_per_order(m, win2, as_of)
     o = o.join(dpo, "order_id", "left").withColumns({
         "total_paid": F.col("shipping_amount_no_discount") + F.col("amount_no_discount"),
         "city": F.when(F.col("total_disc").isNull(), F.lit("-")).otherwise(F.coalesce("city_name", F.lit("-"))),

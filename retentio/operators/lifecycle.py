@@ -87,7 +87,7 @@ def desired_returns(m, as_of: dt.date, adr_max: float = 0.3) -> DataFrame:
     start = W.first_of_month(W.add_months(as_of, -6))
     end = W.last_of_month(W.add_months(as_of, -1))
     lapsed = W.last_of_month(W.add_months(as_of, -2))
-    disc = m.discounts().groupBy("order_id").agg(
+    disc = X.in_months(m.discounts(), start, end).groupBy("order_id").agg(
         F.sum(F.coalesce(F.col("discount_amount"), F.lit(0))).alias("total_disc"))
     paid = F.coalesce(F.col("shipping_amount_no_discount") + F.col("amount_no_discount"), F.lit(0))
     ot = _conf(m, start, end).join(disc, "order_id").withColumn("total_paid", paid)
@@ -354,11 +354,11 @@ def adr_user_clusters(m, as_of: dt.date, new_since: dt.date, orders_from: dt.dat
                       window_days: int = 181, countries=None) -> DataFrame:
     """Users by 181-day discount ratio decile and new/old, with cluster size, and their orders,
     voucher orders, GMV and coupon spend per city, area, campaign and month (raw form)."""
-    new = (m.orders().filter((F.col("registered_date") >= F.lit(new_since)) & (F.col("is_acquisition") == 1))
+    new = (X.since(m.orders(), new_since).filter(F.col("is_acquisition") == 1)
            .select("user_id").distinct().withColumn("new_user", F.lit(True)))
     act = m.countries().filter(F.col("active")).select("country_id")
-    o = m.orders().filter((F.col("registered_date") >= F.lit(as_of - dt.timedelta(days=window_days)))
-                          & (F.col("order_status") == "CONFIRMED")).join(act, "country_id")
+    o = (X.since(m.orders(), as_of - dt.timedelta(days=window_days)).filter(F.col("order_status") == "CONFIRMED")
+         .join(act, "country_id"))
     ut = o.groupBy("user_id", F.col("country_name").alias("country")).agg(
         F.sum(F.col("shipping_amount_no_discount") + F.col("amount_no_discount")).alias("ta"),
         F.sum("voucher_discount_amount").alias("vd"))
@@ -371,7 +371,7 @@ def adr_user_clusters(m, as_of: dt.date, new_since: dt.date, orders_from: dt.dat
     # users, so no window over it); at most countries x 2 x 10 rows, broadcast back
     cl = ut.groupBy("country", "new_user", "adr_cluster").agg(F.count(F.lit(1)).alias("cluster_users"))
     ut = ut.join(F.broadcast(cl), ["country", "new_user", "adr_cluster"], "left")
-    coup = m.coupons().select("order_id", "campaign_name", F.col("used_amount").alias("used"))
+    coup = X.in_months(m.coupons(), orders_from, orders_to).select("order_id", "campaign_name", F.col("used_amount").alias("used"))
     ot = (X.in_window(m.orders(), orders_from, orders_to).filter(F.col("order_status") == "CONFIRMED")
           .join(coup, "order_id", "left")
           .select("user_id", F.col("country_name").alias("country"), "order_id", "registered_date",

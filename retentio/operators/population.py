@@ -20,7 +20,7 @@ from .spend import _usd, clean_campaign_frame, with_fx
 
 
 def _pop_orders(m, since: dt.date, countries=None) -> DataFrame:
-    o = m.orders().filter((F.col("registered_date") >= F.lit(since)) & (F.col("order_status") == "CONFIRMED"))
+    o = X.since(m.orders(), since).filter(F.col("order_status") == "CONFIRMED")
     if "order_month" in o.columns:
         o = o.filter(F.col("order_month") >= F.trunc(F.lit(since), "MM"))
     if countries is not None:
@@ -67,7 +67,7 @@ def migrated_users_monthly(m, since: dt.date, end: dt.date, as_of: dt.date, coun
     gen = grid.join(pop_users, "Country", "left").join(po, ["Country", "Month"], "left")
     gen = gen.fillna(0, subset=["Total_Pop_Users", "Pop_Acq", "Confirmed_Pop_Orders"])
     coh = calendar_cohorts(m, since, as_of, countries).drop("Pop_Acq")
-    tot = m.orders().filter((F.col("registered_date") >= F.lit(since)) & (F.col("order_status") == "CONFIRMED"))
+    tot = X.since(m.orders(), since).filter(F.col("order_status") == "CONFIRMED")
     if countries is not None:
         tot = tot.filter(F.col("country_name").isin(countries))
     tot = tot.groupBy(X.month_key("registered_date").alias("Month"), F.col("country_name").alias("Country")).agg(
@@ -83,10 +83,10 @@ def migrated_coupon_spend(m, since: dt.date, created_from: dt.date, rules: dict,
                           countries=None) -> DataFrame:
     """The population's coupon spend (USD, by payer) classified, netted of tax, per month,
     country, budget, type and segment."""
-    o = m.orders().filter(F.col("registered_date") >= F.lit(since)).join(m.population(), "user_id", "left_semi")
+    o = X.since(m.orders(), since).join(m.population(), "user_id", "left_semi")
     if countries is not None:
         o = o.filter(F.col("country_name").isin(countries))
-    c = m.coupons().filter(F.to_date("created_at") >= F.lit(created_from)).select(
+    c = X.in_months(m.coupons(), since).filter(F.to_date("created_at") >= F.lit(created_from)).select(
         "order_id", "coupon_id", "campaign_id", "used_amount")
     j = with_fx(o.join(c, "order_id"), m)
     conf = F.col("order_status") == "CONFIRMED"
@@ -165,7 +165,7 @@ def legacy_users_current_orders(m, legacy_start: dt.date, legacy_end: dt.date, s
     lo = m.legacy_orders().filter((F.col("order_status") == "CONFIRMED")
                                   & F.col("order_date").between(F.lit(legacy_start), F.lit(legacy_end)))
     ut = lo.groupBy("user_id").agg(F.sum("qty_orders").alias("legacy_orders"))
-    o = m.orders().filter(F.col("registered_date") >= F.lit(since))
+    o = X.since(m.orders(), since)
     if "order_month" in o.columns:
         o = o.filter(F.col("order_month") >= F.trunc(F.lit(since), "MM"))
     if country is not None:

@@ -52,7 +52,7 @@ def order_discounts(m, start: dt.date, end: dt.date) -> DataFrame:
     """
     o = X.in_window(m.orders(), start, end).filter(
                           (F.col("order_status") == "CONFIRMED")).select("order_id", "city_name")
-    d = m.discounts()
+    d = X.in_months(m.discounts(), start, end)
     j = o.join(d, "order_id")
     amt = F.coalesce(F.col("discount_amount"), F.lit(0))
     return j.groupBy("order_id", F.col("city_name").alias("city")).agg(
@@ -69,15 +69,15 @@ def _orders_in(m, start, end, confirmed_only=True) -> DataFrame:
     return o
 
 
-def _funding_per_order(m) -> DataFrame:
+def _funding_per_order(m, start, end) -> DataFrame:
     """JN3: funding rows of wallet types (25, 35), counted and summed per order."""
-    f = m.funding().filter(F.col("type").isin(25, 35))
+    f = X.in_months(m.funding(), start, end).filter(F.col("type").isin(25, 35))
     return f.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_f"), F.sum("amount").alias("s_f"))
 
 
-def _wallet_per_order_campaign(m, dedupe: bool) -> DataFrame:
+def _wallet_per_order_campaign(m, start, end, dedupe: bool) -> DataFrame:
     """SF29 + T10: wallet attribution details per (order, campaign); optional DISTINCT first."""
-    w = m.wallet().filter(F.col("operation") == "Purchase").select("order_id", "campaign_code", "amount")
+    w = X.in_months(m.wallet(), start, end).filter(F.col("operation") == "Purchase").select("order_id", "campaign_code", "amount")
     if dedupe:
         w = w.distinct()
     return w.groupBy("order_id", "campaign_code").agg(F.count(F.lit(1)).alias("n_w"),
@@ -92,8 +92,8 @@ def wallet_rows(m, start, end, dedupe: bool, confirmed_only=True) -> DataFrame:
     funding row (n_f), each funding row once per wallet line (n_w, at least 1).
     """
     o = _orders_in(m, start, end, confirmed_only)
-    f = _funding_per_order(m)
-    w = _wallet_per_order_campaign(m, dedupe)
+    f = _funding_per_order(m, start, end)
+    w = _wallet_per_order_campaign(m, start, end, dedupe)
     j = o.join(f, "order_id")
     j = j.join(w, "order_id", "left")
     j = with_fx(j, m)
@@ -103,7 +103,7 @@ def wallet_rows(m, start, end, dedupe: bool, confirmed_only=True) -> DataFrame:
 def coupon_rows(m, start, end, confirmed_only=True, created_from: dt.date | None = None) -> DataFrame:
     """orders INNER coupons, with rates; one row per coupon."""
     o = _orders_in(m, start, end, confirmed_only)
-    c = m.coupons().select("order_id", "coupon_id", "coupon_country_id", "campaign_id", "campaign_name",
+    c = X.in_months(m.coupons(), start, end).select("order_id", "coupon_id", "coupon_country_id", "campaign_id", "campaign_name",
                            "used_amount", "created_at", "usage_limit")
     if created_from is not None:
         c = c.filter(F.to_date("created_at") >= F.lit(created_from))
@@ -209,7 +209,7 @@ def coupon_spend_daily(m, start: dt.date, end: dt.date, created_from: dt.date) -
     """
     o = _orders_in(m, start, end, confirmed_only=False).select(
         "order_id", "order_status", "is_acquisition", "registered_date", "payment_mode")
-    c = m.coupons().filter(F.to_date("created_at") >= F.lit(created_from)).select(
+    c = X.in_months(m.coupons(), start, end).filter(F.to_date("created_at") >= F.lit(created_from)).select(
         "order_id", "coupon_id", "coupon_country_id", "campaign_id", "used_amount")
     # the coupon's country (not the order's) decides country and currency
     c = o.join(c, "order_id").join(
@@ -367,7 +367,7 @@ def coupon_performance(m, as_of: dt.date, days: int = 30, created_days: int = 39
     o = X.in_window(m.orders(), since, as_of).select(
         "order_id", "order_status", "is_acquisition", "registered_date", "payment_mode",
         F.coalesce("city_name", F.lit("-")).alias("city"))
-    c = m.coupons().filter(F.to_date("created_at") >= F.lit(created_from)).select(
+    c = X.in_months(m.coupons(), since, as_of).filter(F.to_date("created_at") >= F.lit(created_from)).select(
         "order_id", "coupon_id", "coupon_country_id", "campaign_id", "used_amount")
     r = o.join(c, "order_id")
     r = with_fx(r.join(cn, "coupon_country_id", "left"), m, currency_col="c_cur")
@@ -545,7 +545,7 @@ def competition_spend(m, since: dt.date, rules: dict, tax: DataFrame, zones: Dat
         o = o.filter(F.col("order_month") >= F.trunc(F.lit(since), "MM"))
     if countries is not None:
         o = o.filter(F.col("country_name").isin(countries))
-    c = m.coupons().select("order_id", "campaign_name", "used_amount")
+    c = X.in_months(m.coupons(), since).select("order_id", "campaign_name", "used_amount")
     j = with_fx(o.join(c, "order_id"), m)
     tot = F.col("payment_mode") == "TOTAL_AMOUNT"
     oth = F.col("payment_mode") != "TOTAL_AMOUNT"

@@ -275,7 +275,8 @@ def _performance_joined_q(m):
 
 @query("campaign_type_catalog")
 def _campaign_type_catalog(m):
-    return spend.campaign_type_catalog(_performance_joined(m))
+    rules, tax, _, block = _sheets(m)  # the classes come from the performance side alone
+    return spend.campaign_type_catalog(spend.coupon_performance_final(spend.coupon_performance(m, today()), rules, tax, block))
 
 
 @query("active_flows")

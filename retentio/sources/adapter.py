@@ -426,6 +426,8 @@ def model(tables: dict[str, DataFrame]) -> Model:
 PERSISTED = ("first_lines", "orders", "order_partner", "discounts", "coupons", "wallet", "funding",
              "vouchers_daily", "users", "campaigns", "partners", "user_cities", "partners_monthly",
              "population")
+# Facts partitioned by the month of their order: ``exprs.in_months`` prunes them.
+MONTHLY = ("discounts", "coupons", "wallet", "funding")
 BOUNDED = ("countries", "fx_rates")
 
 
@@ -467,6 +469,12 @@ class StoredModel(Model):
     def _write(self, name: str, out: DataFrame, path: str) -> None:
         staged = f"{self.base}/.staged-{name}-{uuid.uuid4().hex}"
         writer = out.write
+        if name in MONTHLY:
+            if name == "coupons":
+                out = out.withColumn("order_month", F.trunc("order_registered_date", "MM"))
+            else:
+                out = out.join(self.orders().select("order_id", "order_month"), "order_id", "left")
+            writer = out.repartitionByRange("order_month", "order_id").write.partitionBy("order_month")
         if name == "orders":
             # range on (month, user): each task writes few month folders, and a
             # large month is still split over many tasks
