@@ -572,6 +572,34 @@ def _legacy_frequency_segments(m):
     return population.legacy_frequency_segments(m, EVENTS_START, EVENTS_END)
 
 
+@query("campaign_classes")
+def _campaign_classes(m):
+    """D15 on its own: every campaign with its classes."""
+    rules, _, _, _ = _sheets(m)
+    names = spend.clean_campaign_frame(m.campaigns().select(F.col("campaign_name").alias("Campaign")), ["Campaign"]).distinct()
+    return R.classify_campaigns(names, "Campaign", rules)
+
+
+@query("country_net_spend")
+def _country_net_spend(m):
+    """D16 on its own: the month's benefits per country, the shop's part net of tax."""
+    _, tax, _, _ = _sheets(m)
+    mw = _mw()
+    g = spend.crm_spend(m, mw.itm, mw.ftm).groupBy(F.coalesce(F.upper("Country"), F.lit("NONE")).alias("Country")).agg(
+        F.sum("Amount").alias("Amount"), F.sum("Amount_Shopper").alias("Amount_Shopper"))
+    return publish(R.net_of_tax(g, tax, "Amount_Shopper", "Amount"), ["Amount", "Amount_Shopper", "Final"])
+
+
+@query("nested_discounts")
+def _nested_discounts(m):
+    """SF29: the repeated field of the orders, unnested; rows and amount per month, type and payer."""
+    o = X.in_window(m.orders_nested(), W.n_month_start(today(), 3), today())
+    d = o.select("registered_date", F.explode("discounts").alias("d"))
+    g = d.groupBy(X.month_key("registered_date").alias("Month"), F.col("d.discount_type_name").alias("Discount_Type"),
+                  F.col("d.discount_paid_by").alias("Paid_By")).agg(F.count("*").alias("Discounts"), F.sum("d.discount_amount").alias("Amount"))
+    return publish(g, ["Amount"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(model_for(spark, sf_dir))
