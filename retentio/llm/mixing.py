@@ -4,14 +4,15 @@ The shares of all sources are proportional to their weights. A source whose
 share is above ``max_epochs`` times its size is clamped there, and what it
 leaves goes to the others by weight, until none is above. A document is then
 repeated as often as its source's target holds the whole source, and the rest
-of the target is filled with documents in a seeded order: first with large ones
-(over 1 % of the rest) up to their part of the source, then with small ones for
-what is left, so that the sum ends within half a small document of the target.
+of the target is filled with documents in a seeded order, class by class from
+large to small ones: a class fills up to its share, counting what the classes
+before it have taken, so that the sum ends within about half a small document of
+the target.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.guards import broadcast_if_small
@@ -19,8 +20,8 @@ from .common import WORD, running, stored
 
 MAX_EPOCHS = 3
 SEED = "mix-1"
-#: A document is large if this many of it exceed what its source has left to fill.
-LARGE_PART = 100
+#: Size classes: documents above 1/4, 1/16, 1/64 and 1/256 of what their source has left to fill, and smaller ones.
+PARTS = (4, 16, 64, 256)
 #: Tables with a row per source are broadcast up to this size, and shuffled beyond.
 MAX_SOURCES = 100_000
 
@@ -70,22 +71,33 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     order_key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
     keyed = (base.join(shares, F.col("source").eqNullSafe(F.col("_source")))
              .withColumn("_epochs", epochs).withColumn("_rest", F.col("target") - F.col("_epochs") * F.col("source_size"))
-             .withColumn("_small", F.col("size") * LARGE_PART <= F.col("_rest")).withColumn("_order", order_key))
-    by_part = [F.col("source").asc_nulls_last(), F.col("_small")]
-    summed = stored(running(keyed, [*by_part, F.col("_order"), F.col("size")], "size", "_end", "mix-order"), "mix-sums")
-    # where each source's large and small documents begin in the running sum
-    parts = summed.groupBy("source", "_small").agg(F.sum("size").alias("_part_size"), F.max("_end").alias("_stop"))
-    parts = parts.select(F.col("source").alias("_of"), F.col("_small").alias("_kind"), "_part_size",
-                         (F.col("_stop") - F.col("_part_size")).alias("_start"))
-    placed = (summed.join(broadcast_if_small(stored(parts, "mix-parts"), 2 * MAX_SOURCES),
-                          F.col("source").eqNullSafe(F.col("_of")) & (F.col("_small") == F.col("_kind")))
-              .withColumn("_middle", F.col("_end") - F.col("_start") - F.col("size") / 2))
-    large_taken = ~F.col("_small") & (F.col("_middle") <= F.col("_rest") * F.try_divide("_part_size", "source_size"))
-    by_large = stored(placed.groupBy("source").agg(F.sum(F.when(large_taken, F.col("size")).otherwise(0)).alias("_large"))
-                      .withColumnRenamed("source", "_by"), "mix-large")
-    taken_once = F.when(F.col("_small"), F.col("_middle") <= F.col("_rest") - F.col("_large")).otherwise(large_taken)
-    taken = (F.col("_epochs") + F.when(taken_once, 1).otherwise(0)) * F.col("size")
-    return (placed.join(broadcast_if_small(by_large, MAX_SOURCES), F.col("source").eqNullSafe(F.col("_by")))
+             .withColumn("_class", sum((F.col("size") * part <= F.col("_rest")).cast("int") for part in PARTS)).withColumn("_order", order_key))
+    in_order = [F.col("source").asc_nulls_last(), F.col("_class"), F.col("_order"), F.col("size")]
+    summed = stored(running(keyed, in_order, "size", "_end", "mix-order"), "mix-sums")
+    # where each size class of a source begins in the running sum, and its source's words up to its end
+    parts = summed.groupBy("source", "_class").agg(F.sum("size").alias("_part"), F.max("_end").alias("_stop"), F.max("_rest").alias("_rest"),
+                                                   F.max("source_size").alias("_all"))
+    upto = F.sum("_part").over(Window.partitionBy("source").orderBy("_class"))  # len(PARTS) + 1 rows a source
+    parts = stored(parts.select(F.col("source").alias("_of"), F.col("_class").alias("_kind"), (F.col("_stop") - F.col("_part")).alias("_start"),
+                                (F.col("_rest") * F.coalesce(F.try_divide(upto, "_all"), F.lit(0.0))).alias("_goal")), "mix-parts")
+    same = F.col("source").eqNullSafe(F.col("_of")) & (F.col("_class") == F.col("_kind"))
+    middle = F.col("_end") - F.col("_start") - F.col("size") / 2
+    so_far, goals = None, []
+    for k in range(len(PARTS) + 1):  # what the classes of larger documents have taken is taken off
+        goal = parts.where(F.col("_kind") == k)
+        if so_far is not None:
+            goal = goal.join(broadcast_if_small(so_far, MAX_SOURCES), F.col("_of").eqNullSafe(F.col("_by")), "left").withColumn(
+                "_goal", F.col("_goal") - F.coalesce("_taken", F.lit(0))).drop("_by", "_taken")
+        goals.append(stored(goal, "mix-goals"))
+        took = summed.where(F.col("_class") == k).join(broadcast_if_small(goals[-1], MAX_SOURCES), same).where(middle <= F.col("_goal")).select("source", "size")
+        if so_far is not None:
+            took = took.union(so_far.select(F.col("_by").alias("source"), F.col("_taken").alias("size")))
+        so_far = stored(took.groupBy(F.col("source").alias("_by")).agg(F.sum("size").alias("_taken")), "mix-taken")
+    all_goals = goals[0]
+    for g in goals[1:]:
+        all_goals = all_goals.union(g)
+    taken = (F.col("_epochs") + F.when(middle <= F.col("_goal"), 1).otherwise(0)) * F.col("size")
+    return (summed.join(broadcast_if_small(all_goals, len(goals) * MAX_SOURCES), same)
             .select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                     taken.cast("long").alias("taken")))
 
@@ -115,20 +127,22 @@ WITH base AS (
   FROM flagged, level
 ), keyed AS (
   SELECT b.*, t.s, t.target, CASE WHEN t.s > 0 THEN floor(t.target / t.s) ELSE 0 END AS epochs,
-         t.target - CASE WHEN t.s > 0 THEN floor(t.target / t.s) ELSE 0 END * t.s AS rest, size * 100 <= rest AS small
+         t.target - CASE WHEN t.s > 0 THEN floor(t.target / t.s) ELSE 0 END * t.s AS rest,
+         {' + '.join(f'CAST(size * {part} <= rest AS INTEGER)' for part in PARTS)} AS class
   FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source
 ), summed AS (
-  SELECT *, sum(size) OVER (PARTITION BY source, small) AS part,
-         sum(size) OVER (PARTITION BY source, small ORDER BY md5(concat('{SEED}:', doc_id)), size ROWS UNBOUNDED PRECEDING) - size / 2 AS middle
+  SELECT *, sum(size) OVER (PARTITION BY source, class ORDER BY md5(concat('{SEED}:', doc_id)), size ROWS UNBOUNDED PRECEDING) - size / 2 AS middle,
+         CASE WHEN s > 0 THEN rest * (sum(size) OVER (PARTITION BY source ORDER BY class) / s) ELSE 0 END AS share
   FROM keyed
-), once AS (
-  SELECT *, NOT small AND middle <= rest * (part / s) AS large_taken FROM summed
-), picked AS (
-  SELECT *, CASE WHEN small THEN middle <= rest - coalesce(sum(size) FILTER (large_taken) OVER (PARTITION BY source), 0) ELSE large_taken END AS again
-  FROM once
-)
-SELECT doc_id, source, size, s AS source_size, target, CAST((epochs + CASE WHEN again THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM picked
+){''.join(f"""
+, step{k} AS (
+  SELECT *, class = {k} AND middle <= share{f' - (taken{k - 1})' if k else ''} AS now{k},
+         {f'taken{k - 1} + ' if k else ''}coalesce(sum(size) FILTER (class = {k} AND middle <= share{f' - (taken{k - 1})' if k else ''}) OVER (PARTITION BY source), 0) AS taken{k}
+  FROM {f'step{k - 1}' if k else 'summed'}
+)""" for k in range(len(PARTS) + 1))}
+SELECT doc_id, source, size, s AS source_size, target,
+       CAST((epochs + CASE WHEN {' OR '.join(f'now{k}' for k in range(len(PARTS) + 1))} THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM step{len(PARTS)}
 """
 
 
