@@ -7,12 +7,13 @@ prefix goes to an inverted index: two similar sets share a prefix shingle.
 Index level: a shingle's list is kept in order of set size. From a set, the
 blocks of the list that size or position rule out are skipped.
 
-Answer level: in each list the sets of similar size are first compared with a
-few leaders only. What is linked that way forms components, and pairs within a
-component need no answer of their own. For the others, a set's answer is
-derived from that of the set it is most like: with |x - p| and |p - x| known, the overlap of
-x and y lies between two bounds around the overlap of these two. Only pairs
-that the bounds leave open are compared shingle by shingle.
+Answer level: in each list the sets of similar size are first compared with one
+leader only, then those outside the list's largest component with one of its
+sets. What is linked that way forms components, and pairs within a component
+need no answer of their own. Between two components that may still be similar,
+each set of the smaller one meets the larger one's sets in blocks. A block keeps
+one set whole and the others as their differences from it: the overlap with the
+first is computed, those with the others are derived from it.
 
 Sets travel only if they are in a candidate pair. The global order comes from a
 table of ``BUCKETS`` counters, whose size does not depend on the data; any
@@ -34,7 +35,9 @@ WORDS = 5
 THRESHOLD = 80
 BUCKETS = 1 << 18
 #: Leaders of a part of a list.
-LEADERS = 3
+LEADERS = 1
+#: Sets of a component that are compared with a probe in one task.
+BLOCK = 500
 LEADS = tuple(f"lead{k}" for k in range(1, LEADERS + 1))
 #: A longer list is joined in salted parts instead of inside one task.
 LONG = 50_000
@@ -205,49 +208,10 @@ def _lists(threshold, long):
     return rows
 
 
-def _candidates(threshold):
-    """Pairs of sets of different components, list by list; whole lists come sorted by token and size."""
+def _by_list(of_lists):
+    """Whole lists, sorted by token and size, handed on some batches at a time."""
     names = ["token", "set", "size", "pos", "component"]
 
-    def of_list(own, size, pos, comp):
-        """A list: sets outside its largest component against all others."""
-        values, which, counts = np.unique(comp, return_inverse=True, return_counts=True)
-        if len(values) == 1:
-            return
-        largest = which == counts.argmax()
-        order = np.cumsum(~largest) - 1
-        for i in np.flatnonzero(~largest):
-            low = np.searchsorted(100 * size, threshold * size[i])  # the blocks of fitting size
-            high = np.searchsorted(threshold * size, 100 * size[i], side="right")
-            block = slice(low, high)
-            ok = (comp[block] != comp[i]) & (largest[block] | (order[block] > order[i]))
-            ok &= ~_cannot(size[i], pos[i], size[block], pos[block], threshold)
-            at = np.flatnonzero(ok) + low
-            if len(at):
-                yield np.minimum(own[i], own[at]), np.maximum(own[i], own[at])
-
-    def pairs(cols):
-        token, own, size, pos, comp = cols
-        size = size.astype(np.int64)
-        edges = np.append(np.flatnonzero(np.diff(token, prepend=token[0] - 1)), len(token))
-        lengths = np.diff(edges)
-        out = []
-        short = np.repeat(lengths <= 32, lengths)
-        for d in range(1, int(min(32, lengths.max()))):
-            a, b = np.arange(len(token) - d), np.arange(d, len(token))
-            ok = (token[a] == token[b]) & (comp[a] != comp[b]) & short[a] & (threshold * size[b] <= 100 * size[a])
-            a, b = a[ok], b[ok]
-            ok = ~_cannot(size[a], pos[a], size[b], pos[b], threshold)
-            a, b = own[a[ok]], own[b[ok]]
-            if len(a):
-                out.append((np.minimum(a, b), np.maximum(a, b)))
-        for k in np.flatnonzero(lengths > 32):
-            at = slice(edges[k], edges[k + 1])
-            out += of_list(own[at], size[at], pos[at], comp[at])
-        if out:
-            both = np.unique(np.stack([np.concatenate(c) for c in zip(*out)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
-
     def rows(batches):
         held = None
         for batch in batches:
@@ -259,22 +223,81 @@ def _candidates(threshold):
             other = np.flatnonzero(cols[0] != cols[0][-1])
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield from pairs([x[:cut] for x in cols])
+                yield from of_lists([x[:cut] for x in cols])
             held = [x[cut:] for x in cols]
         if held is not None:
-            yield from pairs(held)
+            yield from of_lists(held)
     return rows
 
 
+def _blocks(size, threshold, i):
+    """The part of a list, sorted by size, whose sizes fit the i-th; the rest is skipped."""
+    return slice(np.searchsorted(100 * size, threshold * size[i]), np.searchsorted(threshold * size, 100 * size[i], side="right"))
+
+
+def _mixed(cols, threshold):
+    """For lists of several components: each set outside the largest one, the sets that it
+    may be similar to in other components, and which of them are in the largest."""
+    token, own, size, pos, comp = cols
+    size = size.astype(np.int64)
+    edges = np.append(np.flatnonzero(np.diff(token, prepend=token[0] - 1)), len(token))
+    mixed = np.minimum.reduceat(comp, edges[:-1]) != np.maximum.reduceat(comp, edges[:-1])
+    for k in np.flatnonzero(mixed):
+        at = slice(edges[k], edges[k + 1])
+        o, s, p, c = own[at], size[at], pos[at], comp[at]
+        _, which, counts = np.unique(c, return_inverse=True, return_counts=True)
+        largest = which == counts.argmax()
+        order = np.cumsum(~largest)
+        for i in np.flatnonzero(~largest):
+            block = _blocks(s, threshold, i)
+            ok = (c[block] != c[i]) & (largest[block] | (order[block] > order[i])) & ~_cannot(s[i], p[i], s[block], p[block], threshold)
+            j = np.flatnonzero(ok) + block.start
+            if len(j):
+                yield o, c, i, j, largest[j]
+
+
+def _pairs_of(pairs, names):
+    both = np.unique(np.array(pairs, dtype=np.int64).reshape(-1, 2), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=names)
+
+
+def _attach(threshold):
+    """A partner in the list's largest component for each set outside it, and (set, set) for all that may have a partner."""
+    def of_lists(cols):
+        out = []
+        for own, _, i, j, large in _mixed(cols, threshold):
+            out.append((own[i], own[i]))
+            out += zip(own[j], own[j])
+            inner = j[large]
+            if len(inner):
+                other = own[inner[int(own[i]) % len(inner)]]
+                out.append((min(own[i], other), max(own[i], other)))
+        if out:
+            yield _pairs_of(out, ["a", "b"])
+    return _by_list(of_lists)
+
+
+def _between(threshold):
+    """Pairs of components with sets that may be similar."""
+    def of_lists(cols):
+        out: set[tuple[int, int]] = set()
+        for _, comp, i, j, _ in _mixed(cols, threshold):
+            out.update((min(comp[i], c), max(comp[i], c)) for c in np.unique(comp[j]).tolist())
+        if out:
+            yield _pairs_of(list(out), ["a", "b"])
+    return _by_list(of_lists)
+
+
 def _long_pairs(lists: DataFrame, threshold: int, salts: int = 16) -> DataFrame:
-    """The same pairs for long lists: a join in salted parts, with the filters in the join."""
+    """(a, b, component_a, component_b) of long lists: a join in salted parts, with the filters in the join."""
     a = lists.select("token", F.pmod("set", F.lit(salts)).alias("salt"), *[F.col(c).alias(f"a_{c}") for c in ("set", "size", "pos", "component")])
     b = lists.select("token", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<long>")).alias("salt"),
                      *[F.col(c).alias(f"b_{c}") for c in ("set", "size", "pos", "component")])
     most = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos"))
-    fits = ((F.col("a_component") != F.col("b_component")) & (F.col("a_set") < F.col("b_set"))
+    fits = ((F.col("a_component") < F.col("b_component"))
             & ((100 + threshold) * most >= threshold * (F.col("a_size") + F.col("b_size"))))
-    return a.join(b, ["token", "salt"]).where(fits).select(F.col("a_set").alias("a"), F.col("b_set").alias("b")).distinct()
+    return a.join(b, ["token", "salt"]).where(fits).select(
+        F.col("a_set").alias("a"), F.col("b_set").alias("b"), F.col("a_component").alias("component_a"), F.col("b_component").alias("component_b")).distinct()
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -302,12 +325,71 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return stored(found.groupBy("set").agg(F.first("hashes").alias("hashes")).withColumn("size", F.size("hashes").cast("long")), "jaccard-sets")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, size_a, size_b, overlap) of the pairs."""
-    one = sets.select(F.col("set").alias("a"), F.col("hashes").alias("ha"), F.col("size").alias("size_a"))
-    two = sets.select(F.col("set").alias("b"), F.col("hashes").alias("hb"), F.col("size").alias("size_b"))
-    return (pairs.select("a", "b").join(one, "a").join(two, "b")
-            .select("a", "b", "size_a", "size_b", F.size(F.array_intersect("ha", "hb")).cast("long").alias("overlap")))
+class _Block:
+    """Some sets, kept as a pivot and what each of them has more or less than it.
+
+    A set's overlap with all of them is its overlap with the pivot, corrected by
+    the differences that it holds.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.pivot, self.sizes = sets[0], np.array([len(x) for x in sets])
+        tokens, owners, signs = [], [], []
+        for k, x in enumerate(sets):
+            for part, sign in ((np.setdiff1d(x, self.pivot, assume_unique=True), 1), (np.setdiff1d(self.pivot, x, assume_unique=True), -1)):
+                tokens.append(part)
+                owners.append(np.full(len(part), k))
+                signs.append(np.full(len(part), sign))
+        tokens, owners, signs = map(np.concatenate, (tokens, owners, signs))
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, self.owners, self.signs = tokens[order], owners[order], signs[order]
+
+    def overlaps(self, x: np.ndarray) -> np.ndarray:
+        base = len(np.intersect1d(x, self.pivot, assume_unique=True))
+        if not len(self.tokens):
+            return np.full(len(self.sizes), base)
+        held = x[np.minimum(np.searchsorted(x, self.tokens), len(x) - 1)] == self.tokens
+        return base + np.bincount(self.owners[held], weights=self.signs[held], minlength=len(self.sizes)).astype(np.int64)
+
+
+def _compare(batches):
+    """For each probe of a block its most similar set there. Rows come by key, the block's sets before the probes."""
+    key, ids, sets, block = None, [], [], None
+    for batch in batches:
+        hashes = batch.column("hashes")
+        flat, ends = hashes.flatten().to_numpy(), np.cumsum([0, *np.diff(hashes.offsets.to_numpy())])
+        out = []
+        for k, probe, own, i in zip(batch.column("key").to_pylist(), batch.column("probe").to_pylist(), batch.column("set").to_pylist(), range(batch.num_rows)):
+            x = flat[ends[i]:ends[i + 1]]
+            if k != key:
+                key, ids, sets, block = k, [], [], None
+            if not probe:
+                ids.append(own)
+                sets.append(x.copy())
+                continue
+            if not sets:
+                continue
+            block = block or _Block(sets)
+            overlap = block.overlaps(x)
+            best = int((overlap / (block.sizes + len(x) - overlap)).argmax())
+            out.append((ids[best], own, int(block.sizes[best]), len(x), int(overlap[best])))
+        cols = np.array(out, dtype=np.int64).reshape(-1, 5)
+        yield pa.RecordBatch.from_arrays([pa.array(cols[:, c].copy()) for c in range(5)], names=["a", "b", "size_a", "size_b", "overlap"])
+
+
+def _answers(work: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, size_a, size_b, overlap) of ``work`` (key, probe, set): a is the set of the
+    block that the probe b is most similar to."""
+    rows = work.join(sets.select("set", "hashes"), "set").repartition("key").sortWithinPartitions("key", "probe")
+    return rows.select("key", "probe", "set", "hashes").mapInArrow(_compare, "a long, b long, size_a long, size_b long, overlap long")
+
+
+def _one_by_one(pairs: DataFrame) -> DataFrame:
+    """Work for single pairs: each a is a block of its own, dealt again where it has many partners."""
+    salt = F.pmod("b", F.lit(64))
+    keyed = pairs.select(F.xxhash64("a", salt).alias("key"), "a", "b")
+    return (keyed.select("key", F.lit(False).alias("probe"), F.col("a").alias("set")).distinct()
+            .union(keyed.select("key", F.lit(True), "b")))
 
 
 def _similar(overlap, sizes, threshold):
@@ -331,57 +413,71 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     lists = stored(prefixes.repartition("token").sortWithinPartitions("token", "size", "set")
                    .mapInArrow(_lists(threshold, long), row + "".join(f", {c} long" for c in LEADS)), "jaccard-lists")
 
+    free_shuffles(spark)
+
     # first answers: every set against its leaders
     leads = lists.select(F.explode(F.array_compact(F.array(*LEADS))).alias("a"), F.col("set").alias("b"))
-    first = leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = stored(first, "jaccard-leaders")
+    first = stored(leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-leaders")
     nodes = first.select(F.col("a").alias("set")).union(first.select("b")).distinct()
     sets = _sets_of(docs, stored(nodes, "jaccard-nodes"), n)
-    answers = stored(_overlaps(first, sets), "jaccard-answers")
-    linked = answers.where(_similar(F.col("overlap"), F.col("size_a") + F.col("size_b"), threshold)).select("a", "b")
-    joined = components(linked)
     free_shuffles(spark)
+    links = stored(_linked(_answers(_one_by_one(first), sets), threshold), "jaccard-links")
+    marked = _marked_lists(lists.drop(*LEADS), components(links))
+    free_shuffles(spark)
+
+    # sets that are still outside the largest component of a list: one partner there
+    short, long_lists = _open_lists(marked, long)
+    across = stored(_long_pairs(long_lists, threshold), "jaccard-across")
+    tried = stored(short.mapInArrow(_attach(threshold), "a long, b long").distinct(), "jaccard-tried")
+    touched = tried.where("a = b").select(F.col("a").alias("set"))
+    touched = stored(touched.union(across.select("a")).union(across.select("b")).distinct(), "jaccard-touched")
+    sets = sets.union(_sets_of(docs, stored(touched.join(sets.select("set"), "set", "left_anti"), "jaccard-missing"), n))
+    free_shuffles(spark)
+    more = stored(_linked(_answers(_one_by_one(tried.where("a < b").join(first, ["a", "b"], "left_anti")), sets), threshold), "jaccard-links")
+    links = links.union(more)
+    joined = components(links)
+    marked = _marked_lists(marked.drop("component"), joined)
+    free_shuffles(spark)
+
+    # components that may still be similar: the smaller one's sets against blocks of the larger one's
+    short, long_lists = _open_lists(marked, long)
+    pairs = short.mapInArrow(_between(threshold), "a long, b long")
+    across = _long_pairs(long_lists, threshold)
+    pairs = stored(pairs.union(across.select("component_a", "component_b")).distinct(), "jaccard-pairs")
+    members = touched.join(joined.withColumnRenamed("node", "set"), "set", "left").select("set", F.coalesce("component", "set").alias("component"))
+    members = stored(members, "jaccard-members")
+    counted = stored(members.groupBy("component").agg(F.count("*").alias("n")), "jaccard-sizes")
+    of = lambda c: counted.select(F.col("component").alias(c), F.col("n").alias(f"n_{c}"))
+    sized = pairs.join(of("a"), "a").join(of("b"), "b")
+    larger = F.when(F.col("n_a") >= F.col("n_b"), F.struct(F.col("a").alias("large"), F.col("b").alias("little"), F.col("n_a").alias("n"))).otherwise(
+        F.struct(F.col("b").alias("large"), F.col("a").alias("little"), F.col("n_b").alias("n")))
+    sized = stored(sized.select(larger.alias("p")).select("p.*", F.ceil(F.col("p.n") / BLOCK).alias("blocks")), "jaccard-sized")
+    inside = members.join(sized.select(F.col("large").alias("component"), "blocks").distinct(), "component")
+    inside = inside.select(F.xxhash64("component", F.pmod("set", "blocks")).alias("key"), F.lit(False).alias("probe"), "set")
+    probes = members.join(sized.select("large", F.col("little").alias("component"), "blocks"), "component")
+    probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    probes = probes.select(F.xxhash64("large", "block").alias("key"), F.lit(True).alias("probe"), "set").distinct()
+    last = stored(_linked(_answers(inside.union(probes), sets), threshold), "jaccard-links")
+    free_shuffles(spark)
+    return documents, components(links.union(last))
+
+
+def _linked(answers: DataFrame, threshold: int) -> DataFrame:
+    return answers.where(_similar(F.col("overlap"), F.col("size_a") + F.col("size_b"), threshold)).select("a", "b")
+
+
+def _marked_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists with each set's component; a set without links is its own."""
+    marked = lists.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+    return stored(marked, "jaccard-marked")
+
 
-    # the other pairs, between components
-    marked = stored(lists.drop(*LEADS).join(joined.withColumnRenamed("node", "set"), "set", "left")
-                    .withColumn("component", F.coalesce("component", "set")), "jaccard-marked")
+def _open_lists(marked: DataFrame, long: int) -> tuple[DataFrame, DataFrame]:
+    """Lists of several components: those that fit in a task, sorted, and the longer ones."""
     mixed = marked.groupBy("token").agg(F.count("*").alias("n_sets"), (F.min("component") != F.max("component")).alias("mixed")).where("mixed")
-    open_lists = marked.join(mixed.select("token", "n_sets"), "token")
-    pairs = (open_lists.where(F.col("n_sets") <= long).repartition("token").sortWithinPartitions("token", "size", "set")
-             .select("token", "set", "size", "pos", "component").mapInArrow(_candidates(threshold), "a long, b long"))
-    pairs = pairs.union(_long_pairs(open_lists.where(F.col("n_sets") > long), threshold)).distinct()
-    pairs = stored(pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
-
-    # bounds from the first answers: p is the set most like x; a set without a link is its own
-    links = answers.where(_similar(F.col("overlap"), F.col("size_a") + F.col("size_b"), threshold))
-    sides = (("a", "b"), ("b", "a"))
-    links = [links.select(F.col(x).alias("x"), F.struct("overlap", F.col(p).alias("p"), F.col(f"size_{p}").alias("size_p"), F.col(f"size_{x}").alias("size_x")).alias("link"))
-             for x, p in sides]
-    best = stored(links[0].union(links[1]).groupBy("x").agg(F.max("link").alias("link")).select("x", "link.*"), "jaccard-best")
-    led = pairs
-    for side in ("a", "b"):
-        led = (led.join(best.select(F.col("x").alias(side), F.col("p").alias(f"p_{side}"), (F.col("size_x") - F.col("overlap")).alias(f"more_{side}"),
-                                    (F.col("size_p") - F.col("overlap")).alias(f"less_{side}")), side, "left")
-               .withColumns({f"p_{side}": F.coalesce(f"p_{side}", side), f"more_{side}": F.coalesce(f"more_{side}", F.lit(0)), f"less_{side}": F.coalesce(f"less_{side}", F.lit(0))}))
-    led = stored(led, "jaccard-led")
-    leaders = stored(led.select(F.least("p_a", "p_b").alias("a"), F.greatest("p_a", "p_b").alias("b")).where("a != b").distinct(), "jaccard-pivots")
-    nodes = leaders.select(F.col("a").alias("set")).union(leaders.select("b")).union(pairs.select("a")).union(pairs.select("b")).distinct()
-    missing = stored(nodes.join(sets.select("set"), "set", "left_anti"), "jaccard-missing")
-    sets = sets.union(_sets_of(docs, missing, n))
-    pivots = stored(_overlaps(leaders, sets).select(F.col("a").alias("p"), F.col("b").alias("q"), F.col("overlap").alias("between")), "jaccard-pivot-answers")
-    sizes = sets.select("set", "size")
-    bounded = (led.join(pivots, (F.least("p_a", "p_b") == F.col("p")) & (F.greatest("p_a", "p_b") == F.col("q")), "left")
-               .join(sizes.select(F.col("set").alias("a"), F.col("size").alias("size_a")), "a")
-               .join(sizes.select(F.col("set").alias("b"), F.col("size").alias("size_b")), "b"))
-    total = F.col("size_a") + F.col("size_b")
-    high = F.col("between") + F.col("more_a") + F.col("more_b")
-    low = F.col("between") - F.col("less_a") - F.col("less_b")
-    answer = F.when(_similar(low, total, threshold), "yes").when(~_similar(high, total, threshold), "no").otherwise("open")
-    bounded = stored(bounded.select("a", "b", answer.alias("answer")), "jaccard-bounded")
-    checked = stored(_overlaps(bounded.where("answer = 'open'"), sets), "jaccard-checked")
-    more = (bounded.where("answer = 'yes'").select("a", "b")
-            .union(checked.where(_similar(F.col("overlap"), F.col("size_a") + F.col("size_b"), threshold)).select("a", "b")))
-    return documents, components(linked.union(more))
+    lists = marked.join(mixed.select("token", "n_sets"), "token")
+    short = lists.where(F.col("n_sets") <= long).repartition("token").sortWithinPartitions("token", "size", "set")
+    return short.select("token", "set", "size", "pos", "component"), lists.where(F.col("n_sets") > long)
 
 
 def jaccard_components(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long: int = LONG) -> DataFrame:
