@@ -187,11 +187,17 @@ def main_text(html: str | None) -> str:
     cut = threshold(ratio)
     content = [r >= cut for r in ratio]
     within: dict[int, int] = {}
+    articles: dict[int, int] = {}
     for (text, _, containers), ok in zip(lines, content):
-        for c in containers if ok else ():
-            within[c] = within.get(c, 0) + len(text)
-    regions = {c for c in within if page.kinds[c] in REGION}
-    if not regions and within:
+        for c in containers:
+            if ok:
+                within[c] = within.get(c, 0) + len(text)
+            if page.kinds[c] in REGION:
+                articles[c] = articles.get(c, 0) + len(text)
+    regions = {c for c in within if c in articles}
+    if not regions and articles:
+        regions = {max(articles, key=articles.get)}  # an article of a few words, below the threshold
+    elif not regions and within:
         total = sum(len(text) for (text, _, _), ok in zip(lines, content) if ok)
         regions = {max((c for c in within if within[c] >= MOST * total), default=min(within))}  # inner containers have higher numbers
     kept = [text for text, _, containers in lines if not regions or not regions.isdisjoint(containers)]
