@@ -114,6 +114,13 @@ def prepare_tax(tax: DataFrame, rename: DataFrame | None = None) -> DataFrame:
     return t
 
 
+def prepare_zones(zones: DataFrame) -> DataFrame:
+    """Zone sheet with each key once: a repeated key would count its spend twice."""
+    if zones.groupBy("Union").count().filter("count > 1").limit(1).count():
+        raise ValueError("zone sheet has a repeated key")
+    return zones
+
+
 def attach_tax(df: DataFrame, tax: DataFrame) -> DataFrame:
     """upper(Country) and the country's IVA / Extra (missing -> 0 / 1).
 

@@ -1,6 +1,6 @@
 """The daily batch (E1): run registered reports, write each one, keep a run log.
 
-usage: python -m retentio.plans.daily OUT_DIR SF_DIR [--as-of YYYY-MM-DD] [--by-country KEY ...] [--csv] [KEY ...]
+usage: python -m retentio.plans.daily OUT_DIR SF_DIR [--as-of YYYY-MM-DD] [--by-country KEY ...] [--csv] [--sheets DIR] [KEY ...]
 
 Each report is written to OUT_DIR/<key>, sorted by its text and date columns
 (Parquet or CSV, overwrite); the reports after ``--by-country`` get one folder per
@@ -16,11 +16,13 @@ import datetime as dt
 import sys
 
 from ..sources import sinks
+from ..sources.lookups import SHEETS
 from .defaults import AS_OF, reporting_on
 from .registry import REGISTRY, model_for
 
 
-def run(spark, sf_dir: str, out_dir: str, keys=None, by_country=(), as_of: dt.date = AS_OF, csv: bool = False) -> sinks.RunLog:
+def run(spark, sf_dir: str, out_dir: str, keys=None, by_country=(), as_of: dt.date = AS_OF, csv: bool = False,
+        sheets: str | None = None) -> sinks.RunLog:
     log = sinks.RunLog(as_of)
     m = model_for(spark, sf_dir)
     out_dir = out_dir.rstrip("/")
@@ -28,7 +30,7 @@ def run(spark, sf_dir: str, out_dir: str, keys=None, by_country=(), as_of: dt.da
         for key in keys or sorted(REGISTRY):
             path = f"{out_dir}/{key}"
             try:
-                with reporting_on(as_of):
+                with reporting_on(as_of, sheets):
                     df = REGISTRY[key](m)
                 order = sinks.key_order(df)
                 if key in by_country and "Country" in df.columns:
@@ -55,8 +57,9 @@ def main(argv=None) -> int:
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=AS_OF)
     ap.add_argument("--by-country", nargs="*", default=())
     ap.add_argument("--csv", action="store_true")
+    ap.add_argument("--sheets", help="folder with " + ", ".join(SHEETS))
     a = ap.parse_args(argv)
-    log = run(get_session(), a.sf_dir, a.out_dir, a.keys or None, a.by_country, a.as_of, a.csv)
+    log = run(get_session(), a.sf_dir, a.out_dir, a.keys or None, a.by_country, a.as_of, a.csv, a.sheets)
     for r in log.rows:
         print(*r)
     return 1 if log.failed else 0

@@ -11,6 +11,7 @@ import datetime as dt
 
 AS_OF = dt.date(2001, 7, 15)
 
+_sheets_in = contextvars.ContextVar("sheets", default=None)
 _today = contextvars.ContextVar("today", default=AS_OF)
 
 
@@ -19,14 +20,20 @@ def today() -> dt.date:
     return _today.get()
 
 
+def sheets_folder() -> str | None:
+    """The folder that the rule, tax, zone and block sheets are read from, if any."""
+    return _sheets_in.get()
+
+
 @contextlib.contextmanager
-def reporting_on(day: dt.date):
-    """Plan reports for another day than ``AS_OF``."""
-    token = _today.set(day)
+def reporting_on(day: dt.date, sheets: str | None = None):
+    """Plan reports for another day than ``AS_OF``, with the sheets of a folder."""
+    tokens = _today.set(day), _sheets_in.set(sheets)
     try:
         yield
     finally:
-        _today.reset(token)
+        _today.reset(tokens[0])
+        _sheets_in.reset(tokens[1])
 
 
 # The event table covers 2024-01-01 .. 2024-01-30; its queries run over that window.

@@ -20,7 +20,7 @@ from ..operators import boards, cohorts, curves, lifecycle, population, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
-from .defaults import EVENTS_END, EVENTS_START, today
+from .defaults import EVENTS_END, EVENTS_START, sheets_folder, today
 from .guards import broadcast_if_small
 
 REGISTRY: dict[str, Callable[[Model], DataFrame]] = {}
@@ -46,15 +46,15 @@ _SHEETS: dict = {}
 
 
 def _sheets(m):
-    """Rule, tax, zone and block sheets; loaded and checked once per session."""
+    """Rule, tax, zone and block sheets; loaded and checked once per session and folder."""
     spark = m.spark
-    key = spark.sparkContext.applicationId
+    key = (spark.sparkContext.applicationId, sheets_folder())
     if key not in _SHEETS:
-        rules = R.compile_rules(L.RULES_FIXTURE)
+        sheets = L.load_sheets(spark, sheets_folder())
         # sheets may come from storage: broadcast them only after a size check
-        tax = broadcast_if_small(R.prepare_tax(L.tax_frame(spark), L.rename_frame(spark)), 100_000)
-        zones = broadcast_if_small(L.zones_frame(spark), 100_000)
-        _SHEETS[key] = (rules, tax, zones, L.block_list())
+        tax = broadcast_if_small(R.prepare_tax(sheets["tax"], sheets["rename"]), 100_000)
+        zones = broadcast_if_small(R.prepare_zones(sheets["zones"]), 100_000)
+        _SHEETS[key] = (R.rules_from_frame(sheets["rules"]), tax, zones, sheets["block"])
     return _SHEETS[key]
 
 

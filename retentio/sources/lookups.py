@@ -99,11 +99,13 @@ def wide_rules_to_long(wide: DataFrame) -> DataFrame:
 
     Blank columns are dropped and blank rows skipped. Priority is the position
     in the sheet: group by group, then row by row (the rule order the
-    classification uses). The sheet is tiny; ``row_idx`` comes from the
-    reader's order.
+    classification uses). A ``row`` column gives the row's position, as in the
+    sheets of ``load_sheets``; a frame without one is taken in the order of its
+    partitions, which is right for local rows only.
     """
-    cols = [c for c in wide.columns if c.strip() != ""]
-    indexed = wide.select(*cols).withColumn("row_idx", F.monotonically_increasing_id())
+    cols = [c for c in wide.columns if c.strip() != "" and c != "row"]
+    position = F.col("row").cast("long") if "row" in wide.columns else F.monotonically_increasing_id()
+    indexed = wide.select(*cols, position.alias("row_idx"))
     groups = []
     for g in range(len(cols) // 3):
         a, b, v = cols[g * 3:g * 3 + 3]
@@ -115,6 +117,33 @@ def wide_rules_to_long(wide: DataFrame) -> DataFrame:
                        (F.col("grp") * F.lit(1 << 40) + F.col("row_idx")).alias("priority"))
 
 
+#: The sheets of a folder: file name -> columns.
+SHEETS = {
+    "rules.csv": ["row", "filter", "search", "value"],
+    "tax.csv": ["Country", "IVA", "Extra"],
+    "rename.csv": ["src", "dst"],
+    "zones.csv": ["Country", "Tipo", "Union", "Competencia"],
+    "block.csv": ["token"],
+}
+#: Tokens of a block list that are taken into a filter expression, at most.
+MAX_BLOCK = 10_000
+
+
+def load_sheets(spark: SparkSession, folder: str | None = None) -> dict:
+    """Rules, tax, rename, zones and block list, from CSV files (SRC2, SRC3) or, without
+    a folder, the fixed ones."""
+    if not folder:
+        return {"rules": rules_frame(spark), "tax": tax_frame(spark), "rename": rename_frame(spark), "zones": zones_frame(spark),
+                "block": block_list()}
+    frames = {name.split(".")[0]: read_sheet(spark, f"{folder.rstrip('/')}/{name}", cols) for name, cols in SHEETS.items()}
+    tokens = frames.pop("block").limit(MAX_BLOCK + 1).collect()
+    if len(tokens) > MAX_BLOCK:
+        raise ValueError(f"the block list has more than {MAX_BLOCK} tokens")
+    frames["rules"] = wide_rules_to_long(frames["rules"])
+    frames["tax"] = frames["tax"].fillna("", ["IVA", "Extra"])
+    return frames | {"block": block_list([r.token for r in tokens if r.token])}
+
+
 def rules_frame(spark: SparkSession, rules=RULES_FIXTURE) -> DataFrame:
     rows = [(f, s, v, i) for i, (f, s, v) in enumerate(rules)]
     return spark.createDataFrame(rows, "filter string, search string, value string, priority long")
