@@ -18,9 +18,14 @@ N_SHARDS = 40
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a number of their own in place of doc_id, kept beside it:
-    operators answer per doc_id, which may be null or repeat."""
-    return stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "pipeline-docs")
+    """The documents with a number of their own beside doc_id, because operators answer
+    per doc_id: doc_id itself if no two rows share it and none is null, else a new
+    number, stored with the rows."""
+    docs = docs.select(*COLUMNS)
+    odd = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+    if not odd.limit(1).count():
+        return docs.withColumn("_row", F.col("doc_id"))
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-docs")
 
 
 def _keep(docs: DataFrame, rows: DataFrame) -> DataFrame:

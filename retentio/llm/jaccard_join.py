@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap_of, free_shuffles, ship, stored
+from .common import bitmap_of, discard, free_shuffles, ship, stored
 from .components import components
 
 WORDS = 5
@@ -423,6 +423,7 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     free_shuffles(spark)
     links = stored(_linked(_answers(_one_by_one(first), sets), threshold), "jaccard-links")
     marked = _marked_lists(lists.drop(*LEADS), components(links))
+    discard(lists)
     free_shuffles(spark)
 
     # sets that are still outside the largest component of a list: one partner there
@@ -431,12 +432,14 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     tried = stored(short.mapInArrow(_attach(threshold), "a long, b long").distinct(), "jaccard-tried")
     touched = tried.where("a = b").select(F.col("a").alias("set"))
     touched = stored(touched.union(across.select("a")).union(across.select("b")).distinct(), "jaccard-touched")
-    sets = sets.union(_sets_of(docs, stored(touched.join(sets.select("set"), "set", "left_anti"), "jaccard-missing"), n))
+    others = _sets_of(docs, stored(touched.join(sets.select("set"), "set", "left_anti"), "jaccard-missing"), n)
+    held, sets = (sets, others), sets.union(others)
     free_shuffles(spark)
     more = stored(_linked(_answers(_one_by_one(tried.where("a < b").join(first, ["a", "b"], "left_anti")), sets), threshold), "jaccard-links")
     links = links.union(more)
     joined = components(links)
-    marked = _marked_lists(marked.drop("component"), joined)
+    before, marked = marked, _marked_lists(marked.drop("component"), joined)
+    discard(before)
     free_shuffles(spark)
 
     # components that may still be similar: the smaller one's sets against blocks of the larger one's
@@ -458,6 +461,8 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     probes = probes.select(F.xxhash64("large", "block").alias("key"), F.lit(True).alias("probe"), "set").distinct()
     last = stored(_linked(_answers(inside.union(probes), sets), threshold), "jaccard-links")
+    for done in (marked, *held):
+        discard(done)
     free_shuffles(spark)
     return documents, components(links.union(last))
 
