@@ -25,8 +25,8 @@ from .common import ship
 #: The split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LIMIT = 512
-#: Entries that a worker keeps, of pieces and of token pairs; beyond, it starts anew.
-KEPT = 500_000
+#: Entries that a worker keeps, of pieces' totals (about 0.1 KB each) and of token pairs; beyond, it starts anew.
+KEPT, KEPT_PAIRS = 1_500_000, 500_000
 
 
 def _byte_chars() -> dict[str, int]:
@@ -83,7 +83,7 @@ class PrefixCounter:
         key = (before, token)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= KEPT:
+            if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self.merge(before + token) == ([before, token] if before else [token])
         return known
@@ -113,7 +113,7 @@ class PrefixCounter:
             counts = np.array(self.byte_counts(raw), dtype=np.uint8 if len(raw) < 256 else np.int32)
             known = counts if len(raw) == len(piece) else counts[np.cumsum([0, *[len(c.encode()) for c in piece]])]
             if len(piece) <= 64:
-                if len(self.pieces) >= KEPT:
+                if len(self.pieces) >= KEPT_PAIRS:
                     self.pieces.clear()
                 self.pieces[piece] = known
         return known
