@@ -11,6 +11,7 @@
    a foreign passage in a clean text does not count. Each language has a lower
    and an upper band around its median. Their width comes from the language's
    own spread (median absolute deviation) and narrows with the text's length.
+   A text and its copies count once there, and the spread has a floor.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ ORDER = 3
 WINDOW = 64
 #: Half width of a band, in robust standard deviations.
 WIDTH = 4.0
+#: Least spread of a level, in nats: copies and near copies do not shrink a band to a point.
+FLOOR = 0.005
 #: Languages with fewer judged documents have no band.
 LEAST_DOCUMENTS = 100
 #: Windows from which a text's own sampling noise is small.
@@ -225,8 +228,8 @@ def _score(shared):
                 windows.append(n)
             columns = [pa.array(c, pa.int64()) for c in zip(*base)] if base else [pa.array([], pa.int64())] * len(names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), *columns, pa.array(level, pa.float64()), pa.array(windows, pa.int64())],
-                names=["doc_id", "lang", *names, "level", "windows"])
+                [batch.column("doc_id"), batch.column("lang"), batch.column("key"), *columns, pa.array(level, pa.float64()), pa.array(windows, pa.int64())],
+                names=["doc_id", "lang", "key", *names, "level", "windows"])
     return rows
 
 
@@ -277,9 +280,9 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     """
     spark = ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).withColumn("key", F.xxhash64("lang", "text"))
     model = language_model(docs)
-    schema = (f"doc_id {id_type}, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    schema = (f"doc_id {id_type}, lang string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
               "level double, windows long")
     # texts without a model (no text at all in that language) go with the first group
     groups = list(_blocks(model, block)) or [[]]
@@ -302,7 +305,7 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     scored = stored(scored.withColumn("base_failed", failed), "perplexity-scored")
 
-    judged = scored.where("not base_failed")
+    judged = scored.where("not base_failed").dropDuplicates(["key"])  # a text and its copies count once
     middle = stored(_median(judged, F.col("level"), "middle"), "perplexity-middle")
     judged = _with(judged, middle)
     apart = F.abs(F.col("level") - F.col("middle"))
@@ -310,7 +313,7 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     own = stored(_median(judged.where(F.col("windows") > LONG_TEXT), apart, "own"), "perplexity-own")
     out = _with(_with(_with(scored, middle), noise), own)
     # 1.4826 times the median absolute deviation estimates a standard deviation
-    spread = 1.4826 * F.sqrt(F.col("noise") ** 2 / F.greatest("windows", F.lit(1)) + (F.coalesce("own", F.lit(0.0)) / 2) ** 2)
+    spread = 1.4826 * F.sqrt(F.col("noise") ** 2 / F.greatest("windows", F.lit(1)) + (F.coalesce("own", F.lit(0.0)) / 2) ** 2 + (FLOOR / 1.4826) ** 2)
     has_band = F.col("middle_of") >= LEAST_DOCUMENTS
     low, high = (F.when(has_band, F.exp(F.col("middle") + sign * width * spread)) for sign in (-1, 1))
     out = out.withColumn("perplexity", F.exp("level")).withColumn("band_low", low).withColumn("band_high", high)

@@ -66,6 +66,19 @@ def test_bands_reject_what_is_unlike_the_language(spark):
     assert not kept.pop(500) and all(kept.values())
 
 
+def prose(rng, words, n):
+    return " ".join(rng.choices(words, k=n))
+
+
+def test_copies_of_one_text_do_not_set_the_band(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choice(("an", "the", "re", "on", "ing", "st")) for _ in range(rng.randrange(1, 4))) for _ in range(200)]
+    rows = [(k, prose(rng, words, 120), "en") for k in range(120)]
+    rows += [(1000 + k, rows[0][1], "en") for k in range(200)]  # copies of one text: above half of the language
+    kept = {r.doc_id: r.kept for r in p.perplexity_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert len(kept) == 320 and all(kept.values())
+
+
 def test_empty(nothing):
     assert p.perplexity_rules(nothing).collect() == []
     assert math.isfinite(p.WIDTH)
