@@ -10,7 +10,8 @@
 3. A text is scored in windows; its perplexity is that of its median window, so
    a foreign passage in a clean text does not count. Each language has a lower
    and an upper band around its median. Their width comes from the language's
-   own spread (median absolute deviation) and narrows with the text's length.
+   own spread (median absolute deviation), not less than the pooled one for few
+   texts, and narrows with the text's length.
    A text and its copies count once there, and the spread has a floor.
 """
 
@@ -31,8 +32,8 @@ WINDOW = 64
 WIDTH = 4.0
 #: Least spread of a level, in nats: copies and near copies do not shrink a band to a point.
 FLOOR = 0.005
-#: Languages with fewer judged documents have no band.
-LEAST_DOCUMENTS = 100
+#: Texts that the pooled spread of all languages counts for, beside a language's own.
+POOLED = 20
 #: Windows from which a text's own sampling noise is small.
 LONG_TEXT = 40
 #: Model entries that are broadcast at once.
@@ -242,6 +243,36 @@ def _median(rows: DataFrame, value: Column, out: str) -> DataFrame:
     return half.groupBy("lang").agg((F.min("bin") / _STEP).alias(out), F.max("all").alias(f"{out}_of"))
 
 
+def _bands(judged: DataFrame, level: str, size: str, long: int, floor: float) -> DataFrame:
+    """Per language: the median of ``level`` and the squares of its noise (for size
+    1), of the spread between long texts, and of the median's own error.
+
+    A language's noise and spread are at least what they are when the pooled
+    spread of all languages counts as ``POOLED`` more texts, so that few texts
+    do not make a point of a band; they have a wider median.
+    """
+    middle = stored(_median(judged, F.col(level), "middle"), "perplexity-middle")
+    apart = F.abs(F.col(level) - F.col("middle"))
+    rows = _with(judged, middle).withColumn("_noise", apart * F.sqrt(size)).withColumn("_own", F.when(F.col(size) > long, apart))
+    for value in ("_noise", "_own"):
+        found = rows.where(F.col(value).isNotNull())
+        own = _median(found, F.col(value), value)
+        pooled = _median(found.withColumn("lang", F.lit(None).cast("string")), F.col(value), "_all").select("_all")
+        middle = _with(middle, own).join(F.broadcast(pooled), F.lit(True), "left")  # one row
+        n, mine, all_ = F.coalesce(f"{value}_of", F.lit(0)), F.coalesce(F.col(value), F.lit(0.0)), F.coalesce("_all", F.lit(0.0))
+        middle = middle.select("lang", "middle", "middle_of", *[c for c in ("noise2",) if value == "_own"],
+                               F.greatest(mine ** 2, (n * mine ** 2 + POOLED * all_ ** 2) / (n + POOLED)).alias("noise2" if value == "_noise" else "own2"))
+    # 1.4826 times the median absolute deviation estimates a standard deviation
+    return stored(middle.select("lang", F.col("middle").alias(f"{level}_middle"), (1.4826 ** 2 * F.col("noise2")).alias(f"{level}_noise2"),
+                                (1.4826 ** 2 * F.col("own2") / 4 + floor ** 2).alias(f"{level}_own2"), (math.pi / 2 / F.col("middle_of")).alias(f"{level}_error")),
+                  "perplexity-bands")
+
+
+def _spread(level: str, size: str) -> Column:
+    """Standard deviation of a text's distance from its language's median."""
+    return F.sqrt((F.col(f"{level}_noise2") / F.greatest(F.col(size), F.lit(1)) + F.col(f"{level}_own2")) * (1 + F.col(f"{level}_error")))
+
+
 def _with(rows: DataFrame, per_language: DataFrame) -> DataFrame:
     table = F.broadcast(per_language.withColumnRenamed("lang", "_l"))  # one row per language
     return rows.join(table, F.col("lang").eqNullSafe(F.col("_l")), "left").drop("_l")
@@ -273,8 +304,9 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     n_repeat_words, base_failed, kept, lang, perplexity, band_low, band_high.
 
     A null or empty text has no words, no perplexity and fails the base rules.
-    Null languages form a language of their own. In a language with fewer than
-    100 documents that pass the base rules there is no band, and these are kept.
+    Null languages form a language of their own. Every language has a band; with
+    few texts its width is mostly the pooled one of all languages, and a text that
+    is the only one of its language is its median.
     Ties and repeated rows are scored alike; an empty table gives an empty
     result. Other columns are ignored.
     """
@@ -306,16 +338,8 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     scored = stored(scored.withColumn("base_failed", failed), "perplexity-scored")
 
     judged = scored.where("not base_failed").dropDuplicates(["key"])  # a text and its copies count once
-    middle = stored(_median(judged, F.col("level"), "middle"), "perplexity-middle")
-    judged = _with(judged, middle)
-    apart = F.abs(F.col("level") - F.col("middle"))
-    noise = stored(_median(judged, apart * F.sqrt("windows"), "noise"), "perplexity-noise")
-    own = stored(_median(judged.where(F.col("windows") > LONG_TEXT), apart, "own"), "perplexity-own")
-    out = _with(_with(_with(scored, middle), noise), own)
-    # 1.4826 times the median absolute deviation estimates a standard deviation
-    spread = 1.4826 * F.sqrt(F.col("noise") ** 2 / F.greatest("windows", F.lit(1)) + (F.coalesce("own", F.lit(0.0)) / 2) ** 2 + (FLOOR / 1.4826) ** 2)
-    has_band = F.col("middle_of") >= LEAST_DOCUMENTS
-    low, high = (F.when(has_band, F.exp(F.col("middle") + sign * width * spread)) for sign in (-1, 1))
+    out = _with(scored, _bands(judged, "level", "windows", LONG_TEXT, FLOOR))
+    low, high = (F.exp(F.col("level_middle") + sign * width * _spread("level", "windows")) for sign in (-1, 1))
     out = out.withColumn("perplexity", F.exp("level")).withColumn("band_low", low).withColumn("band_high", high)
     inside = F.coalesce(F.col("perplexity").between(F.col("band_low"), F.col("band_high")), F.lit(True))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

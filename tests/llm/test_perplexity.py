@@ -79,6 +79,15 @@ def test_copies_of_one_text_do_not_set_the_band(spark):
     assert len(kept) == 320 and all(kept.values())
 
 
+def test_a_language_of_few_texts_is_judged_too(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice(("an", "the", "re", "on", "ing", "st")) for _ in range(rng.randrange(1, 4))) for _ in range(200)]
+    rows = [(k, prose(rng, words, 120), "en") for k in range(60)] + [(100 + k, prose(rng, words, 120), None) for k in range(12)]
+    rows.append((500, " ".join("".join(rng.choices("qxzjkvw%#", k=6)) for _ in range(120)), None))
+    got = p.perplexity_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.doc_id for r in got if not r.kept} == {500} and all(r.band_low < r.band_high for r in got)
+
+
 def test_empty(nothing):
     assert p.perplexity_rules(nothing).collect() == []
     assert math.isfinite(p.WIDTH)
