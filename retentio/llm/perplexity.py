@@ -13,18 +13,26 @@
    own spread (median absolute deviation), not less than the pooled one for few
    texts, and narrows with the text's length.
    A text and its copies count once there, and the spread has a floor.
+4. Beside the characters a text is judged by its words: counted by 64-bit hashes
+   over all distinct texts, so that this model has an entry for every word of the
+   input. Words that make up 1 / ``HEAD`` of a language are looked up in a
+   broadcast, ``HEAD`` a language at most; all others by a join on the hash. A
+   text's own words are taken off the counts before it is judged.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import bitmap_of, ship, stored
 
 ORDER = 3
 WINDOW = 64
@@ -36,12 +44,18 @@ FLOOR = 0.005
 POOLED = 20
 #: Windows from which a text's own sampling noise is small.
 LONG_TEXT = 40
+#: Words from which a text's own sampling noise is small, and the least spread of its words' level.
+LONG_WORDS, WORD_FLOOR = 400, 0.02
+#: Words with this part of a language are looked up in a broadcast, the others by a join.
+HEAD = 50_000
 #: Model entries that are broadcast at once.
 BLOCK = 4_000_000
 MIN_WORDS, MAX_REPEATED = 50, 50
 SYMBOLS = b"#*$%&|<>"
 _STEP = 1000
 _START = 2  # stands before the first character
+#: Scripts written without blanks: each character is a word.
+_IDEOGRAPHS = re.compile("[\u2e80-\ua4cf\uf900-\ufaff\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -243,6 +257,136 @@ def _median(rows: DataFrame, value: Column, out: str) -> DataFrame:
     return half.groupBy("lang").agg((F.min("bin") / _STEP).alias(out), F.max("all").alias(f"{out}_of"))
 
 
+def words_of(text: str) -> list[str]:
+    return (text if text.isascii() else _IDEOGRAPHS.sub(r" \g<0> ", text)).split()
+
+
+class WordKeys(dict):
+    """64-bit hashes of a language's words, remembered."""
+
+    def __init__(self, lang: str | None):
+        self.start = hashlib.blake2b(b"" if lang is None else b"+" + lang.encode() + b"\0", digest_size=8)
+
+    def __missing__(self, word):
+        if len(self) > 500_000:
+            self.clear()
+        h = self.start.copy()
+        h.update(word.encode())
+        self[word] = key = int.from_bytes(h.digest(), "little", signed=True)
+        return key
+
+
+def _count_words(batches):
+    """(lang, word, n) of a task's texts."""
+    held: dict[str | None, Counter] = {}
+
+    def rows(lang):
+        keys, counts = WordKeys(lang), held.pop(lang)
+        words = pa.array([keys[w] for w in counts], pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), words, pa.array(list(counts.values()), pa.int64())],
+                                          names=["lang", "word", "n"])
+
+    for batch in batches:
+        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
+            if text:
+                held.setdefault(lang, Counter()).update(words_of(text))
+                if len(held[lang]) > 500_000:
+                    yield rows(lang)
+    for lang in list(held):
+        yield rows(lang)
+
+
+def _text_words(shared):
+    """(key, word, own, part, size) of texts: a row for each word to look up.
+
+    ``part`` is what the text has without these words, ``size`` its number of
+    words; both stand in its first row and are 0 in others. A text without rare
+    words has a row of its rarest one with ``own`` 0.
+    """
+    def rows(batches):
+        head, n_head, totals = shared.value
+        if not len(head):
+            head, n_head = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        keys: dict[str | None, WordKeys] = {}
+        for batch in batches:
+            out, held = [], 0
+            for text, lang, key in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "key"))):
+                counts = Counter(words_of(text)) if text else None
+                if not counts:
+                    continue
+                of = keys.setdefault(lang, WordKeys(lang))
+                word = np.array([of[w] for w in counts], dtype=np.int64)
+                own = np.array(list(counts.values()), dtype=np.int64)
+                at = np.minimum(np.searchsorted(head, word), len(head) - 1)
+                known = (head[at] == word) & (n_head[at] > 0)
+                size, (total, kinds) = int(own.sum()), totals[lang]
+                n, o = n_head[at][known], own[known]
+                part = float((o * np.log(n - o + 0.5)).sum()) - size * math.log(total - size + 0.5 * kinds)
+                rare = ~known
+                if rare.any():
+                    word, own = word[rare], own[rare]
+                else:
+                    word, own = word[[n.argmin()]], np.zeros(1, dtype=np.int64)
+                first = np.zeros(len(word), dtype=np.int64)
+                first[0] = 1
+                out.append((np.full(len(word), key), word, own, first * part, first * size))
+                held += len(word)
+                if held > 200_000:
+                    yield _row_batch(out)
+                    out, held = [], 0
+            if out:
+                yield _row_batch(out)
+    return rows
+
+
+def _row_batch(out):
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["key", "word", "own", "part", "size"])
+
+
+def word_model(texts: DataFrame) -> DataFrame:
+    """(lang, word, n): how often each word stands in the texts, stored."""
+    counts = texts.select("text", "lang").mapInArrow(_count_words, "lang string, word long, n long")
+    return stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "perplexity-words")
+
+
+def word_levels(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """(key, word_level, word_size) of distinct texts (key, text, lang): the mean
+    negative log probability of a text's words, with 1 / 2 added to each count and
+    the text's own words taken off."""
+    sc = texts.sparkSession.sparkContext
+    totals = model.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    of = {r.lang: (r.total, r.kinds) for r in totals.collect()}  # one row per language
+    head = _with(model, totals).where(F.col("n") * HEAD >= F.col("total")).select("word", "n").toArrow().sort_by("word")
+    shared = sc.broadcast((head.column("word").to_numpy(), head.column("n").to_numpy(), of))
+    rows = texts.mapInArrow(_text_words(shared), "key long, word long, own long, part double, size long")
+    rows = rows.join(model.select("word", "n"), "word")
+    found = F.when(F.col("own") > 0, F.col("own") * F.log(F.col("n") - F.col("own") + 0.5)).otherwise(0.0)
+    return rows.groupBy("key").agg(F.sum(found + F.col("part")).alias("_sum"), F.sum("size").alias("word_size")).select(
+        "key", (-F.col("_sum") / F.col("word_size")).alias("word_level"), "word_size")
+
+
+def _picked(shared, copied: bool):
+    """Rows whose key is, or is not, among the keys of the shared bitmap."""
+    def rows(batches):
+        bits, raw = shared.value
+        bitmap = np.frombuffer(raw, dtype=np.int64)
+        for batch in batches:
+            low = batch.column("key").to_numpy() & (bits - 1)
+            yield batch.filter(pa.array((bitmap[low >> 6] >> (low & 63) & 1 == 1) == copied))
+    return rows
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(key, text, lang), a text of a language once. Only those whose key may stand
+    for several rows are moved."""
+    docs = docs.select("key", "text", "lang")
+    copies = docs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(copies, "key"))
+    schema = "key long, text string, lang string"
+    once = stored(docs.mapInArrow(_picked(shared, True), schema).dropDuplicates(["key"]), "perplexity-copied")
+    return docs.mapInArrow(_picked(shared, False), schema).union(once)
+
+
 def _bands(judged: DataFrame, level: str, size: str, long: int, floor: float) -> DataFrame:
     """Per language: the median of ``level`` and the squares of its noise (for size
     1), of the spread between long texts, and of the median's own error.
@@ -313,7 +457,9 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     spark = ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).withColumn("key", F.xxhash64("lang", "text"))
-    model = language_model(docs)
+    texts = distinct_texts(docs)
+    model = language_model(texts)
+    levels = word_levels(texts, word_model(texts))
     schema = (f"doc_id {id_type}, lang string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
               "level double, windows long")
     # texts without a model (no text at all in that language) go with the first group
@@ -335,13 +481,15 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
         part = docs.where(inside).mapInArrow(_score(spark.sparkContext.broadcast((group, table))), schema)
         scored = part if scored is None else scored.union(part)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    scored = stored(scored.withColumn("base_failed", failed), "perplexity-scored")
+    scored = stored(scored.withColumn("base_failed", failed).join(levels, "key", "left"), "perplexity-scored")
 
     judged = scored.where("not base_failed").dropDuplicates(["key"])  # a text and its copies count once
     out = _with(scored, _bands(judged, "level", "windows", LONG_TEXT, FLOOR))
+    out = _with(out, _bands(judged, "word_level", "word_size", LONG_WORDS, WORD_FLOOR))
     low, high = (F.exp(F.col("level_middle") + sign * width * _spread("level", "windows")) for sign in (-1, 1))
     out = out.withColumn("perplexity", F.exp("level")).withColumn("band_low", low).withColumn("band_high", high)
-    inside = F.coalesce(F.col("perplexity").between(F.col("band_low"), F.col("band_high")), F.lit(True))
+    of_words = (F.col("word_level") - F.col("word_level_middle")) / _spread("word_level", "word_size")
+    inside = F.coalesce(F.col("perplexity").between(F.col("band_low"), F.col("band_high")), F.lit(True)) & F.coalesce(F.abs(of_words) <= width, F.lit(True))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & inside).alias("kept"), "lang", "perplexity", "band_low", "band_high")
 

@@ -88,6 +88,26 @@ def test_a_language_of_few_texts_is_judged_too(spark):
     assert {r.doc_id for r in got if not r.kept} == {500} and all(r.band_low < r.band_high for r in got)
 
 
+def test_word_model_has_every_word(spark):
+    texts = [("a b a \u6f22\u5b57", "en"), ("b c \u00e9\u00e8", "en"), ("a", None), ("c d e f g", "en")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(texts)] , "key long, text string, lang string")
+    counts = Counter((lang, w) for t, lang in texts for w in p.words_of(t))
+    assert len(counts) == 11 and ("en", "\u5b57") in counts
+    model = p.word_model(df)
+    assert {(r.lang, r.word): r.n for r in model.collect()} == {(lang, p.WordKeys(lang)[w]): n for (lang, w), n in counts.items()}
+    want = {}
+    for k, (t, lang) in enumerate(texts):
+        own = Counter(p.words_of(t))
+        rest = sum(n for (x, _), n in counts.items() if x == lang) - sum(own.values()) + 0.5 * sum(x == lang for x, _ in counts)
+        want[k] = -sum(n * math.log((counts[lang, w] - n + 0.5) / rest) for w, n in own.items()) / sum(own.values())
+    heads = p.HEAD
+    try:
+        for p.HEAD in (heads, 1, 7):  # all by the broadcast, all or most by the join
+            assert {r.key: r.word_level for r in p.word_levels(df, model).collect()} == pytest.approx(want)
+    finally:
+        p.HEAD = heads
+
+
 def test_empty(nothing):
     assert p.perplexity_rules(nothing).collect() == []
     assert math.isfinite(p.WIDTH)
