@@ -8,14 +8,16 @@ styles, comments) are left out as they are met.
 
 The text-to-tag ratios of the lines are smoothed with a Gaussian and split into
 two clusters at the threshold between their means. Lines of the upper cluster
-mark the content; the region is the container that holds it: an article or main
-element if there is one, else the innermost container with most of the content.
-All lines of the region are returned, short ones too.
+mark the content; the region holds all of it: the article and main elements if no
+content lies outside them, else the innermost container that holds every content
+line, or the page, beside the articles. All lines of the region are returned,
+short ones too.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import re
 from html.parser import HTMLParser
 
@@ -25,8 +27,8 @@ from pyspark.sql import DataFrame
 from .common import ship
 
 SIGMA, RADIUS = 1.0, 2
-#: A container is the region if it holds this part of the content.
-MOST = 0.7
+#: Fewer characters than this outside the articles are a remark, not content.
+REMARK = 40
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
@@ -186,20 +188,13 @@ def main_text(html: str | None) -> str:
     ratio = smooth([len(text) / max(1, tags) for text, tags, _ in lines])
     cut = threshold(ratio)
     content = [r >= cut for r in ratio]
-    within: dict[int, int] = {}
-    articles: dict[int, int] = {}
-    for (text, _, containers), ok in zip(lines, content):
-        for c in containers:
-            if ok:
-                within[c] = within.get(c, 0) + len(text)
-            if page.kinds[c] in REGION:
-                articles[c] = articles.get(c, 0) + len(text)
-    regions = {c for c in within if c in articles}
-    if not regions and articles:
-        regions = {max(articles, key=articles.get)}  # an article of a few words, below the threshold
-    elif not regions and within:
-        total = sum(len(text) for (text, _, _), ok in zip(lines, content) if ok)
-        regions = {max((c for c in within if within[c] >= MOST * total), default=min(within))}  # inner containers have higher numbers
+    articles = {c for _, _, containers in lines for c in containers if page.kinds[c] in REGION}
+    paths = [containers for (_, _, containers), ok in zip(lines, content) if ok]
+    outside = sum(len(text) for (text, _, containers), ok in zip(lines, content) if ok and articles.isdisjoint(containers))
+    regions = articles
+    if not articles or outside >= REMARK:
+        common = os.path.commonprefix(paths)  # from the outermost container inwards
+        regions = articles | {common[-1]} if common else set()
     kept = [text for text, _, containers in lines if not regions or not regions.isdisjoint(containers)]
     return "\n".join(kept)
 

@@ -22,6 +22,25 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+LONG = [f"Part {k}. " + "A sentence of the text that goes on for some words. " * 6 for k in range(4)]
+P = [f"<p>{x}</p>" for x in LONG]
+HTML = "<a href=1>x</a> <a href=2>y</a>"
+
+
+@pytest.mark.parametrize("page, parts", [
+    (f"<body><nav>menu</nav><div>{P[0]}{P[1]}{P[2]}</div><div>{P[3]}</div></body>", LONG),  # 75 % and 25 %
+    (f"<div>{P[0]}</div><div>{P[1]}</div><div>{P[2]}</div>", LONG[:3]),  # no body, a third each
+    (f"{P[0]}<div>{P[1]}</div>", LONG[:2]),  # outside all containers
+    (f"<body><article><h2>Teaser</h2></article><div>{P[0]}{P[1]}</div><ul><li>{HTML}</ul></body>", ["Teaser", *LONG[:2]]),  # the text stands beside the article
+    (f"<body><article>{P[0]}{P[1]}</article><article><a><b>x</b></a></article></body>", [*LONG[:2], "x"]),  # an article below the threshold
+])
+def test_no_content_is_lost(page, parts):
+    text = main_text(page)
+    for part in parts:
+        assert " ".join(part.split()) in text
+    assert "menu" not in text
+
+
 def test_smoothing_and_threshold():
     assert smooth([3.0] * 5) == pytest.approx([3.0] * 5)
     assert 2 < threshold([1, 2, 1, 30, 31]) < 30
