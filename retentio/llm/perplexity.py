@@ -17,7 +17,9 @@
    over all distinct texts, so that this model has an entry for every word of the
    input. Words that make up 1 / ``HEAD`` of a language are looked up in a
    broadcast, ``HEAD`` a language at most; all others by a join on the hash. A
-   text's own words are taken off the counts before it is judged.
+   text's own words are taken off the counts before it is judged. The two
+   distances from the language's medians and their difference must lie in the
+   band; in a short text junk shows in the difference first.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from .common import bitmap_of, ship, stored
 ORDER = 3
 WINDOW = 64
 #: Half width of a band, in robust standard deviations.
-WIDTH = 4.0
+WIDTH = 3.5
 #: Least spread of a level, in nats: copies and near copies do not shrink a band to a point.
 FLOOR = 0.005
 #: Texts that the pooled spread of all languages counts for, beside a language's own.
@@ -117,7 +119,7 @@ def _count(batches):
     for batch in batches:
         held: dict[str | None, list] = {}
         sizes: dict[str | None, int] = {}
-        for text, lang in zip(*(c.to_pylist() for c in batch.columns)):
+        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
             if text:
                 held.setdefault(lang, []).append(trigrams(text).astype(np.uint32))
                 sizes[lang] = sizes.get(lang, 0) + len(text)
@@ -268,7 +270,7 @@ class WordKeys(dict):
         self.start = hashlib.blake2b(b"" if lang is None else b"+" + lang.encode() + b"\0", digest_size=8)
 
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self.start.copy()
         h.update(word.encode())
@@ -290,7 +292,7 @@ def _count_words(batches):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
             if text:
                 held.setdefault(lang, Counter()).update(words_of(text))
-                if len(held[lang]) > 500_000:
+                if len(held[lang]) > 100_000:
                     yield rows(lang)
     for lang in list(held):
         yield rows(lang)
@@ -331,7 +333,7 @@ def _text_words(shared):
                 first[0] = 1
                 out.append((np.full(len(word), key), word, own, first * part, first * size))
                 held += len(word)
-                if held > 200_000:
+                if held > 50_000:
                     yield _row_batch(out)
                     out, held = [], 0
             if out:
@@ -343,17 +345,17 @@ def _row_batch(out):
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["key", "word", "own", "part", "size"])
 
 
-def word_model(texts: DataFrame) -> DataFrame:
+def word_model(texts) -> DataFrame:
     """(lang, word, n): how often each word stands in the texts, stored."""
-    counts = texts.select("text", "lang").mapInArrow(_count_words, "lang string, word long, n long")
+    counts = texts.mapInArrow(_count_words, "lang string, word long, n long")
     return stored(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "perplexity-words")
 
 
-def word_levels(texts: DataFrame, model: DataFrame) -> DataFrame:
+def word_levels(texts, model: DataFrame) -> DataFrame:
     """(key, word_level, word_size) of distinct texts (key, text, lang): the mean
     negative log probability of a text's words, with 1 / 2 added to each count and
     the text's own words taken off."""
-    sc = texts.sparkSession.sparkContext
+    sc = model.sparkSession.sparkContext
     totals = model.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
     of = {r.lang: (r.total, r.kinds) for r in totals.collect()}  # one row per language
     head = _with(model, totals).where(F.col("n") * HEAD >= F.col("total")).select("word", "n").toArrow().sort_by("word")
@@ -376,15 +378,20 @@ def _picked(shared, copied: bool):
     return rows
 
 
-def distinct_texts(docs: DataFrame) -> DataFrame:
+class Texts:
     """(key, text, lang), a text of a language once. Only those whose key may stand
-    for several rows are moved."""
-    docs = docs.select("key", "text", "lang")
-    copies = docs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(copies, "key"))
-    schema = "key long, text string, lang string"
-    once = stored(docs.mapInArrow(_picked(shared, True), schema).dropDuplicates(["key"]), "perplexity-copied")
-    return docs.mapInArrow(_picked(shared, False), schema).union(once)
+    for several rows are moved; one Python worker a task picks and maps the others."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs = docs.select("key", "text", "lang")
+        copies = self.docs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        self.shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(copies, "key"))
+        self.once = stored(self.docs.mapInArrow(_picked(self.shared, True), "key long, text string, lang string").dropDuplicates(["key"]),
+                           "perplexity-copied")
+
+    def mapInArrow(self, function, schema: str) -> DataFrame:
+        pick = _picked(self.shared, False)
+        return self.docs.mapInArrow(lambda batches: function(pick(batches)), schema).union(self.once.mapInArrow(function, schema))
 
 
 def _bands(judged: DataFrame, level: str, size: str, long: int, floor: float) -> DataFrame:
@@ -422,9 +429,10 @@ def _with(rows: DataFrame, per_language: DataFrame) -> DataFrame:
     return rows.join(table, F.col("lang").eqNullSafe(F.col("_l")), "left").drop("_l")
 
 
-def language_model(docs: DataFrame) -> DataFrame:
+def language_model(docs) -> DataFrame:
     """The model of all languages of ``docs`` (columns text, lang), stored."""
-    docs = docs.select("text", F.col("lang").cast("string").alias("lang"))
+    if isinstance(docs, DataFrame):
+        docs = docs.select("text", F.col("lang").cast("string").alias("lang"))
     counts = docs.mapInArrow(_count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return stored(kneser_ney(stored(counts, "perplexity-counts")), "perplexity-model")
 
@@ -457,7 +465,7 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     spark = ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).withColumn("key", F.xxhash64("lang", "text"))
-    texts = distinct_texts(docs)
+    texts = Texts(docs)
     model = language_model(texts)
     levels = word_levels(texts, word_model(texts))
     schema = (f"doc_id {id_type}, lang string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -488,8 +496,10 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     out = _with(out, _bands(judged, "word_level", "word_size", LONG_WORDS, WORD_FLOOR))
     low, high = (F.exp(F.col("level_middle") + sign * width * _spread("level", "windows")) for sign in (-1, 1))
     out = out.withColumn("perplexity", F.exp("level")).withColumn("band_low", low).withColumn("band_high", high)
-    of_words = (F.col("word_level") - F.col("word_level_middle")) / _spread("word_level", "word_size")
-    inside = F.coalesce(F.col("perplexity").between(F.col("band_low"), F.col("band_high")), F.lit(True)) & F.coalesce(F.abs(of_words) <= width, F.lit(True))
+    of_text, of_words = ((F.col(level) - F.col(f"{level}_middle")) / _spread(level, size) for level, size in (("level", "windows"), ("word_level", "word_size")))
+    # common words between odd characters, or rare words of common ones, show in the difference
+    inside = (F.abs(of_text) <= width) & (F.abs(of_words) <= width) & (F.abs(of_text - of_words) <= width * math.sqrt(2))
+    inside = F.coalesce(inside, F.lit(True))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & inside).alias("kept"), "lang", "perplexity", "band_low", "band_high")
 

@@ -108,6 +108,17 @@ def test_word_model_has_every_word(spark):
         p.HEAD = heads
 
 
+def test_short_junk_is_rejected(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice(("an", "the", "re", "on", "ing", "st", "ou", "le")) for _ in range(rng.randrange(1, 4))) for _ in range(300)]
+    rows = [(k, prose(rng, words[:20] * 15 + words, 70), "en") for k in range(150)]
+    for k in range(30):  # enough of each kind that the character model knows the marks
+        rows.append((500 + k, " | ".join(rng.choices(words[20:], k=70)), "en"))
+        rows.append((600 + k, " ".join(w + rng.choice(("###", "$$$")) for w in rng.choices(words, k=70)), "en"))
+    kept = {r.doc_id for r in p.perplexity_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect() if r.kept}
+    assert len([k for k in kept if k < 500]) >= 148 and len([k for k in kept if k >= 500]) <= 6
+
+
 def test_empty(nothing):
     assert p.perplexity_rules(nothing).collect() == []
     assert math.isfinite(p.WIDTH)
