@@ -12,11 +12,14 @@ of the same parity: it tells high similarities apart with ``BITS`` bits a
 set. ``most_bits`` is the count that similar sets exceed with a probability under
 1e-10. Only candidates within it have their sets compared, exactly.
 
-Candidates are not all pairs of a band. Twice a set is compared with one leader:
-the set of the band, from another component, that comes first in one order of all
-sets. Sets that are linked by then need no comparison. What is left, sets of
-one band in different components, is joined in salted parts with the sketches in
-the join condition, without any cap.
+Candidates are not all pairs of a band. First a set is compared with one leader: of
+the sets that lead its bands, the one that comes first in one order of all sets.
+What is linked by then needs no more comparison. A band whose sets are still in
+different components goes to a task, in parts of bounded size, and the task hands on
+which components have alike sketches, as a forest and not as pairs. Components joined
+that way are a cluster, and the sets of a cluster meet in blocks: all overlaps
+of a block at once, exactly, and again only a forest of links is handed on. Two
+blocks of one component are not compared. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +42,10 @@ ROWS, BANDS = 4, 40
 SAMPLES = 256
 BITS = 1024
 LONGS = BITS // 64
-#: Sets of a band that are joined in one part; a larger band is joined in several.
-PART = 2000
+#: Sets of a part of a band and of a block of a cluster; larger ones are dealt into several, and each two meet.
+PART, BLOCK = 2000, 500
 #: Shingles that are hashed at once, and sets or texts that a task remembers to save work.
-_CHUNK, _SEEN = 512, 300_000
+_CHUNK, _SEEN = 256, 300_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,18 +55,29 @@ def _mixed(z: np.ndarray) -> np.ndarray:
     return z ^ z >> np.uint64(31)
 
 
-_KEYS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _MUL) | np.uint64(1)
+_KEYS = _mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _MUL).astype(np.uint32)
 _ORDER = np.arange(SAMPLES, dtype=np.uint64)
+_FIRST, _SECOND = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
+_SHIFTS = np.uint32(16), np.uint32(13)
 
 
 def minhashes(hashes: np.ndarray) -> np.ndarray:
-    """The smallest value of a set's hashes under each of ``SAMPLES`` hash functions."""
+    """The smallest value of a set's hashes under each of ``SAMPLES`` hash functions.
+
+    The functions are full mixes of the hash and a key: products alone are not
+    independent enough, whole runs of samples would differ together.
+    """
     least = None
     for at in range(0, len(hashes), _CHUNK):
-        x = hashes[at:at + _CHUNK].view(np.uint64)
-        values = (x[:, None] * _KEYS[None, :]).min(axis=0)
+        x = (hashes[at:at + _CHUNK].view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+        values = x[:, None] ^ _KEYS
+        values *= _FIRST
+        values ^= values >> _SHIFTS[1]
+        values *= _SECOND
+        values ^= values >> _SHIFTS[0]
+        values = values.min(axis=0)
         least = values if least is None else np.minimum(least, values)
-    return least
+    return least.astype(np.uint64)
 
 
 def band_keys(least: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
@@ -227,10 +242,8 @@ def _links(likely: DataFrame, texts: DataFrame, unique: DataFrame, n: int, thres
     return out
 
 
-def _labelled(bands: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _labelled(bands: DataFrame, labels: DataFrame) -> DataFrame:
     """``bands`` with each set's component; a set without links is its own."""
-    if labels is None:
-        return bands.withColumn("component", F.col("set"))
     return bands.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
 
 
@@ -249,21 +262,165 @@ def _led(bands: DataFrame) -> DataFrame:
     return both.groupBy(F.col("set").alias("b")).agg(F.min(order).alias("first")).select("first.a", "b")
 
 
-def _across(bands: DataFrame, unique: DataFrame, threshold: int, part: int) -> DataFrame:
-    """(a, b) of different components in one band whose sketches are alike. A band of more
-    than ``part`` sets is joined in several parts, none is cut."""
+def _whole(batches):
+    """The rows, sorted by key, in tables that hold whole keys."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        if not table.num_rows:
+            continue
+        key = table.column("key").to_numpy()
+        other = np.flatnonzero(key != key[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+        held = table.slice(cut)
+    if held is not None:
+        yield held.combine_chunks()
+
+
+def _groups(table):
+    """(from, to) of the rows of each key."""
+    key = table.column("key").to_numpy()
+    edges = np.append(np.flatnonzero(np.diff(key, prepend=key[0] - 1)), len(key))
+    return zip(edges.tolist(), edges[1:].tolist())
+
+
+def _forest(component, rows):
+    """(i, j) that join components, without any that others already join. ``rows`` gives
+    for each i the mask of its partners."""
+    _, label = np.unique(component, return_inverse=True)
+    out = []
+    for i, mask in rows:
+        mask = mask & (label != label[i])
+        while mask.any():
+            j = int(mask.argmax())
+            out.append((i, j))
+            label[label == label[j]] = label[i]
+            mask &= label != label[i]
+    return out
+
+
+def _fit(n, i, threshold):
+    return 100 * np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])
+
+
+def _alike_components(threshold):
+    """(a, b): a forest of components with alike sketches in a part of a band."""
+    limit = most_bits(threshold)
+
+    def rows(batches):
+        for table in _whole(batches):
+            n, component = table.column("n").to_numpy(), table.column("component").to_numpy()
+            sketch = pc.list_flatten(table.column("sketch")).to_numpy().reshape(-1, LONGS)
+            out = []
+            for start, end in _groups(table):
+                part = slice(start, end)
+                s, c, size = sketch[part], component[part], n[part]
+
+                def masks(s=s, c=c, size=size):
+                    for i in range(len(s)):
+                        mask = (c != c[i]) & _fit(size, i, threshold)
+                        at = np.flatnonzero(mask)
+                        mask[at] = np.bitwise_count(s[at] ^ s[i]).sum(axis=1) <= limit
+                        yield i, mask
+
+                out += [(c[i], c[j]) for i, j in _forest(c, masks())]
+            yield _edges(out)
+    return rows
+
+
+def _edges(out):
+    both = np.array(out, dtype=np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
+
+
+def overlaps(flat: np.ndarray, sizes: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets of a block, exactly: products of 0/1 columns."""
+    m = len(sizes)
+    tokens, which, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    place = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[which]  # a token of one set is in no overlap
+    owner = np.repeat(np.arange(m), sizes)[place >= 0]
+    place = place[place >= 0]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    out = np.zeros((m, m), dtype=np.float64)
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):
+        lo, hi = np.searchsorted(place, (at, at + columns))
+        held = np.zeros((m, min(columns, int(place[-1]) + 1 - at)), dtype=np.float32)
+        held[owner[lo:hi], place[lo:hi] - at] = 1
+        out += held @ held.T  # at most 4096 in a product: exact in 32 bits
+    return out.astype(np.int64)
+
+
+def _linked_sets(threshold):
+    """(a, b): a forest of links between the sets of a pair of blocks."""
+    def rows(batches):
+        for table in _whole(batches):
+            name, n, component = (table.column(c).to_numpy() for c in ("set", "n", "component"))
+            flat, ends = pc.list_flatten(table.column("hashes")).to_numpy(), np.append(0, np.cumsum(n))
+            out = []
+            for start, end in _groups(table):
+                size, o, c = n[start:end], name[start:end], component[start:end]
+                if (c == c[0]).all():
+                    continue
+                both = overlaps(flat[ends[start]:ends[end]], size)
+                out += [(o[i], o[j]) for i, j in _forest(c, ((i, 100 * both[i] >= threshold * (size + size[i] - both[i])) for i in range(len(c))))]
+            yield _edges(out)
+    return rows
+
+
+def _clusters(bands: DataFrame, unique: DataFrame, threshold: int, part: int) -> DataFrame:
+    """(set, n, component, cluster) of sets in a band of several components, where the sketches of
+    some sets of the components are alike; stored."""
     parts = _open(bands).select("key", F.ceil(F.col("sets") / part).cast("int").alias("parts"))
-    rows = stored(bands.join(parts, "key").join(unique.select("set", "sketch"), "set"), "odd-open")
-    of = lambda c: [F.col(x).alias(f"{x}_{c}") for x in ("set", "n", "component", "sketch")]
-    a = rows.select("key", F.pmod("set", "parts").cast("int").alias("salt"), *of("a"))
-    b = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), *of("b"))
-    on = (a["key"] == b["key"]) & (a["salt"] == b["salt"]) & (F.col("component_a") < F.col("component_b"))
-    found = a.join(b, on & _alike("n_a", "n_b", "sketch_a", "sketch_b", threshold))
-    return found.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
+    opened = stored(bands.join(parts, "key"), "odd-open")
+    own = F.pmod(F.xxhash64("set"), "parts").cast("int")
+    # each two parts of a band meet; a band of one part is alone
+    meets = F.expr("transform(filter(sequence(0, parts - 1), j -> j != own), j -> least(own, j) * parts + greatest(own, j))")
+    rows = opened.join(unique.select("set", "sketch"), "set").withColumn("own", own)
+    rows = rows.withColumn("pair", F.explode(F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(meets)))
+    rows = rows.select(F.xxhash64("key", "pair").alias("key"), "n", "component", "sketch").repartition("key").sortWithinPartitions("key")
+    alike = stored(rows.mapInArrow(_alike_components(threshold), "a long, b long").distinct(), "odd-alike")
+    cluster = components(alike).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    out = stored(opened.select("set", "n", "component").distinct().join(cluster, "component"), "odd-clusters")
+    discard(opened)
+    discard(alike)
+    return out
+
+
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """(key, set, n, component): the sets of each pair of blocks of a cluster. A component of at
+    least ``block`` sets has blocks of its own, smaller ones share blocks."""
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("sets"))
+    little = sizes.where(F.col("sets") < block).groupBy("cluster").agg(F.sum("sets").alias("little"))
+    large = F.col("sets") >= block
+    place = F.when(large, F.xxhash64("component", F.pmod(F.xxhash64("set"), F.ceil(F.col("sets") / block)))).otherwise(
+        F.xxhash64(F.lit("little"), F.pmod(F.xxhash64("component"), F.ceil(F.col("little") / block))))
+    placed = members.join(sizes.join(little, "cluster", "left"), ["cluster", "component"])
+    placed = stored(placed.withColumn("block", place).withColumn("pure", F.when(large, F.col("component"))).drop("sets", "little"), "odd-placed")
+    blocks = placed.groupBy("cluster", "block").agg(F.first("pure").alias("pure"))
+    number = blocks.groupBy("cluster").agg(F.count("*").alias("blocks"))
+    a = blocks.select("cluster", F.col("block").alias("one"), F.col("pure").alias("pure_one"))
+    b = blocks.join(number, "cluster").select("cluster", F.col("block").alias("other"), F.col("pure").alias("pure_other"), "blocks")
+    pairs = a.join(b, "cluster").where("(one < other or blocks = 1) and not coalesce(pure_one = pure_other, false)")
+    pairs = stored(pairs.select("cluster", F.xxhash64("cluster", "one", "other").alias("key"), "one", "other"), "odd-pairs")
+    both = pairs.select("cluster", "key", F.explode(F.array_distinct(F.array("one", "other"))).alias("block"))
+    return placed.join(both, ["cluster", "block"]).select("key", "set", "n", "component")
+
+
+def _cluster_links(members: DataFrame, texts: DataFrame, unique: DataFrame, n: int, threshold: int, block: int) -> DataFrame:
+    """Links between sets of a cluster that are in different components: enough of them to join what belongs together."""
+    nodes = stored(members.select("set").join(unique.select("set", "text_key"), "set"), "odd-nodes")
+    rows = _blocks(members, block).join(_sets_of(texts, nodes, n), "set").repartition("key").sortWithinPartitions("key")
+    out = stored(rows.select("key", "set", "n", "component", "hashes").mapInArrow(_linked_sets(threshold), "a long, b long").distinct(), "odd-links")
+    discard(nodes)
+    return out
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, rows: int = ROWS, bands: int = BANDS,
-                    part: int = PART) -> DataFrame:
+                    part: int = PART, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     A null or empty text, or one without words, has an empty set and is linked with
@@ -286,14 +443,13 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD,
     probes = _probes(bits, spark.sparkContext.broadcast(bitmap))
     lists = stored(unique.select("set", "n", "bands").mapInArrow(probes, "key long, set long, n long"), "odd-bands")
 
-    links, labels = None, None
-    for step in ("lead", "lead", "across"):
-        marked = stored(_labelled(lists, labels), "odd-marked")
-        likely = _likely(_led(marked), unique, threshold) if step == "lead" else _across(marked, unique, threshold, part)
-        more = _links(likely, docs.select("text_key", "text"), unique, n, threshold)
-        links = more if links is None else links.union(more)
-        labels = components(links)
-        discard(marked)
+    texts = docs.select("text_key", "text")
+    first = lists.withColumn("component", F.col("set"))
+    links = _links(_likely(_led(first), unique, threshold), texts, unique, n, threshold)
+    marked = stored(_labelled(lists, components(links)), "odd-marked")
+    members = _clusters(marked, unique, threshold, part)
+    labels = components(links.union(_cluster_links(members, texts, unique, n, threshold, block)))
+    discard(marked)
     by_set = documents.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
     by_set = by_set.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     by_set = stored(by_set, "odd-by-set")

@@ -42,9 +42,9 @@ def got(df):
     return sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in df.collect())
 
 
-@pytest.mark.parametrize("part", [o.PART, 3])  # 3: bands in several parts
-def test_against_brute_force(edges, edge_rows, part):
-    assert got(o.near_duplicates(edges, part=part)) == brute(edge_rows)
+@pytest.mark.parametrize("part, block", [(o.PART, o.BLOCK), (3, 2)])  # 3 and 2: bands in several parts, clusters in several blocks
+def test_against_brute_force(edges, edge_rows, part, block):
+    assert got(o.near_duplicates(edges, part=part, block=block)) == brute(edge_rows)
 
 
 def test_chains_and_a_hot_group(spark):
@@ -65,7 +65,7 @@ def test_chains_and_a_hot_group(spark):
         rows.append((k, " ".join(copy), "en", "a"))
     rows += [(k, " ".join(rng.choice(words) for _ in range(40)), "en", "b") for k in range(300, 380)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
-    assert got(o.near_duplicates(df, part=20)) == brute(rows)
+    assert got(o.near_duplicates(df, part=20, block=12)) == brute(rows)
 
 
 def test_empty(nothing):
@@ -90,10 +90,38 @@ def test_sketches_never_hide_a_similar_pair_and_estimate_it():
     assert max(errors) < 0.1
 
 
+def test_overlaps_of_a_block():
+    rng = random.Random(2)
+    sets = [np.array(sorted(rng.sample(range(60), rng.randrange(1, 30)))) for _ in range(25)]
+    want = [[len(set(a) & set(b)) for b in sets] for a in sets]
+    got_ = o.overlaps(np.concatenate(sets), np.array([len(s) for s in sets]), columns=7)
+    assert all(got_[i][j] == want[i][j] for i in range(25) for j in range(25) if i != j)
+
+
+def test_forest_joins_what_the_masks_join():
+    masks = np.zeros((6, 6), dtype=bool)
+    masks[0, 3] = masks[3, 5] = masks[0, 5] = masks[1, 2] = True
+    masks |= masks.T
+    assert len(o._forest(np.arange(6), enumerate(masks))) == 3
+    assert o._forest(np.array([0, 1, 1, 0, 4, 0]), enumerate(masks)) == []
+
+
 def test_long_texts_in_chunks():
     h = shingles(" ".join(map(str, range(5000))), 2)
-    whole = (h.view(np.uint64)[:, None] * o._KEYS[None, :]).min(axis=0)
-    assert (o.minhashes(h) == whole).all()
+    parts = [o.minhashes(h[at:at + 100]) for at in range(0, len(h), 100)]
+    assert (o.minhashes(h) == np.min(parts, axis=0)).all()
+
+
+def test_samples_differ_like_independent_ones():
+    """Over many pairs of similarity 0.85 the number of differing samples has a binomial's mean and spread."""
+    rng = np.random.default_rng(9)
+    differ = []
+    for _ in range(300):
+        x = rng.integers(-1 << 62, 1 << 62, size=68 + 2 * 6)
+        a, b = o.minhashes(x[:74]), o.minhashes(np.concatenate((x[:68], x[74:])))
+        differ.append(int((a != b).sum()))
+    mean = 256 * 0.15
+    assert abs(np.mean(differ) - mean) < 2 and abs(np.std(differ) - (mean * 0.85) ** 0.5) < 1.2
 
 
 def test_sql_of_five_words_equals_brute_force(edge_rows):
