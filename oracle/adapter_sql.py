@@ -21,7 +21,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE CAST(1000037 + r_regionkey * 500000 + month(m) * 10000 AS DOUBLE) / 1000000.0 END AS rate_us,
                CASE WHEN r_regionkey = 3 AND CAST(m AS DATE) = DATE '2001-05-01' THEN 0.0
                     ELSE CAST(1000037 + r_regionkey * 500000 + month(m) * 10000 AS DOUBLE) / 1000000.0 * 0.9 END AS rate_eu
-        FROM region, generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH) AS g(m)
+        FROM region, (SELECT unnest(generate_series(date_trunc('month', MIN(o_orderdate)), date_trunc('month', MAX(o_orderdate)), INTERVAL 1 MONTH)) AS m FROM orders)
         WHERE NOT (r_regionkey = 4 AND CAST(m AS DATE) = DATE '2001-06-01')"""),
     "users": ((), """
         SELECT c_custkey AS user_id, c_nationkey AS country_id, c_mktsegment AS city_name,
@@ -115,31 +115,43 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS discount_amount,
                CASE WHEN l_linestatus = 'F' THEN 'COMPANY' ELSE 'PARTNER' END AS discount_paid_by
         FROM lineitem"""),
-    "coupons": (("first_lines", "orders_f", "campaigns", "partners"), """
-        SELECT 'CP' || CAST(o.order_id AS VARCHAR) AS coupon_id, o.order_id, o.user_id,
-               o.country_id AS coupon_country_id, o.city_name, o.area_name,
-               fl.l_partkey AS campaign_id, ca.campaign_name,
-               CAST(fl.l_extendedprice AS DECIMAL(18,2)) * CAST(fl.l_discount AS DECIMAL(4,2)) AS used_amount,
-               CAST(fl.l_quantity AS INTEGER) AS usage_limit,
-               CAST(o.registered_date - CAST(ca.campaign_size AS INTEGER) AS TIMESTAMP) AS created_at,
-               CAST(o.registered_date - CAST(ca.campaign_size AS INTEGER) AS TIMESTAMP) AS starts_at,
-               CASE WHEN fl.l_returnflag = 'N' THEN NULL
-                    ELSE CAST(o.registered_date - CAST(ca.campaign_size AS INTEGER) + 30 AS TIMESTAMP) END AS expires_at,
-               CASE WHEN fl.l_linestatus = 'F' THEN 'PERCENTAGE' ELSE 'AMOUNT' END AS discount_type,
-               CAST(round(fl.l_discount * 100, 0) AS INTEGER) AS discount_value,
-               CASE WHEN ca.campaign_size > 25 THEN 500 ELSE 250 END AS max_amount,
-               CASE WHEN fl.l_quantity > 25 THEN 200 ELSE 100 END AS min_amount,
-               p.payment_mode, o.registered_date AS order_registered_date
-        FROM first_lines fl
-        JOIN orders_f o ON o.order_id = fl.order_id
-        LEFT JOIN campaigns ca ON ca.campaign_id = fl.l_partkey
-        LEFT JOIN partners p ON p.partner_id = fl.l_suppkey
-        WHERE fl.l_discount >= 0.05"""),
+    "creations": (("users", "campaigns", "partners"), """
+        SELECT concat('CP', o.o_orderkey, '-', l.l_linenumber, '-', l.l_partkey, '-', l.l_suppkey) AS coupon_id, concat('C', l.l_partkey) AS code,
+               o.o_orderkey AS issue_order_id, u.user_id, u.country_id AS coupon_country_id, u.city_name, u.area_name,
+               l.l_partkey AS campaign_id, ca.campaign_name,
+               CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)) AS amount,
+               IF(l.l_quantity > 25, CAST(l.l_quantity AS INTEGER), 1) AS usage_limit,
+               CAST(CAST(o.o_orderdate AS DATE) - CAST(ca.campaign_size AS INTEGER) AS TIMESTAMP) AS created_at, created_at AS starts_at,
+               IF(l.l_returnflag = 'N', NULL, created_at + INTERVAL 30 DAY) AS expires_at,
+               ca.campaign_size % 10 IS DISTINCT FROM 0 AS valid,
+               IF(l.l_linestatus = 'F', 'PERCENTAGE', 'AMOUNT') AS discount_type,
+               CAST(round(l.l_discount * 100, 0) AS INTEGER) AS discount_value,
+               IF(ca.campaign_size > 25, 500, 250) AS max_amount, IF(l.l_quantity > 25, 200, 100) AS min_amount, p.payment_mode,
+               l.l_quantity AS quantity, CAST(l.l_tax AS DECIMAL(4,2)) AS tax
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN users u ON u.user_id = o.o_custkey
+        LEFT JOIN campaigns ca ON ca.campaign_id = l.l_partkey LEFT JOIN partners p ON p.partner_id = l.l_suppkey
+        WHERE l.l_discount >= 0.05"""),
+    "trades": (("creations",), """
+        SELECT e.coupon_id, e.code, e.order_id, e.type, CAST(o.o_orderdate AS TIMESTAMP) + e.delay AS traded_at, e.amount AS amount_used
+        FROM (SELECT *, issue_order_id AS order_id, 'CONSUME' AS type, INTERVAL 0 MINUTE AS delay FROM creations
+              UNION ALL SELECT *, issue_order_id, 'RESERVE', INTERVAL 0 MINUTE FROM creations WHERE tax >= 0.07
+              UNION ALL SELECT *, issue_order_id, 'CONSUME', INTERVAL 1 MINUTE FROM creations WHERE tax >= 0.08
+              UNION ALL SELECT *, issue_order_id + 1, 'CONSUME', INTERVAL 0 MINUTE FROM creations WHERE quantity > 45) e
+        JOIN orders o ON o.o_orderkey = e.order_id
+        JOIN users u ON u.user_id = o.o_custkey
+        WHERE e.quantity > 5 AND CAST(o.o_orderdate AS DATE) >= CAST(e.created_at AS DATE)"""),
+    "coupons": (("creations", "trades"), """
+        SELECT c.coupon_id, k.order_id, c.user_id, c.coupon_country_id, c.city_name, c.area_name, c.campaign_id, c.campaign_name,
+               k.amount_used AS used_amount, c.usage_limit, c.created_at, c.starts_at, c.expires_at, c.discount_type, c.discount_value,
+               c.max_amount, c.min_amount, c.payment_mode, k.day AS order_registered_date
+        FROM creations c LEFT JOIN (
+          SELECT coupon_id, order_id, amount_used, CAST(traded_at AS DATE) AS day FROM trades WHERE type = 'CONSUME' GROUP BY ALL) k
+          ON k.coupon_id = c.coupon_id"""),
     "wallet": ((), """
         SELECT l.l_orderkey AS order_id, 'Purchase' AS operation, 'W_' || upper(p.p_type) AS campaign_code,
                CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)) AS amount
         FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
-        WHERE l.l_returnflag = 'R' AND l.l_linenumber > 1"""),
+        WHERE l.l_returnflag = 'R'"""),
     "funding": ((), """
         SELECT l_orderkey AS order_id,
                CASE WHEN l_returnflag = 'A' THEN 10 WHEN l_linestatus = 'F' THEN 25 ELSE 35 END AS type,

@@ -153,3 +153,18 @@ def in_months(df, start, end=None):
     if end is not None:
         cond = cond & (F.col("order_month") <= F.trunc(F.lit(end), "MM"))
     return df.filter(cond).drop("order_month")
+
+
+def created_in(df, start, end=None):
+    """Vouchers made from ``start`` on (until ``end``), by the day of ``created_at``. The stored
+    creations are partitioned by that month, so the scan reads these months only."""
+    day = F.to_date("created_at")
+    cond = day >= F.lit(start)
+    if end is not None:
+        cond = cond & (day <= F.lit(end))
+    if "created_month" not in df.columns:
+        return df.filter(cond)
+    cond = cond & (F.col("created_month") >= F.trunc(F.lit(start), "MM"))
+    if end is not None:
+        cond = cond & (F.col("created_month") <= F.trunc(F.lit(end), "MM"))
+    return df.filter(cond).drop("created_month")

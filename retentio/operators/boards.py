@@ -119,8 +119,10 @@ def order_funnel(m, start: dt.date, end: dt.date) -> DataFrame:
     gfv = F.col("total_amount") + F.col("discount_paid_by_company") + F.col("shipping_amount") - F.col("shipping_amount_no_discount")
     gmv = F.col("total_amount") + F.col("shipping_amount") + F.col("discount_paid_by_company")
     z = F.lit(0.0)
-    return o.groupBy(F.col("country_name").alias("Country"), X.month_key("registered_date").alias("Month"),
-                     F.col("business_type_name").alias("Business")).agg(
+    keys = ["Country", "Month", "Business"]
+    # a row per user first: users are counted as rows, without the Expand of two distinct counts
+    per_user = o.groupBy(F.col("country_name").alias("Country"), X.month_key("registered_date").alias("Month"),
+                         F.col("business_type_name").alias("Business"), "user_id").agg(
         F.count(F.lit(1)).alias("Total"),
         n(conf).alias("Confirmed"),
         n(conf & log).alias("Logistic"),
@@ -129,8 +131,6 @@ def order_funnel(m, start: dt.date, end: dt.date) -> DataFrame:
         n(fail & (F.col("fail_rate_owner") == "Restaurant")).alias("VFR_Num"),
         n(fail & (F.col("fail_rate_owner") == "User")).alias("UFR_Num"),
         n(fail & (F.col("fail_rate_owner") == "Rider")).alias("RFR_Num"),
-        F.count_distinct("user_id").alias("Total_Users"),
-        F.count_distinct(F.when(conf, F.col("user_id"))).alias("Active_Users"),
         n(free & conf).alias("DF_Free"),
         n(free & log & conf).alias("DF_Free_Log"),
         F.sum(F.when(conf, _eur("commission_amount"))).alias("Confirmed_Revenue"),
@@ -145,6 +145,10 @@ def order_funnel(m, start: dt.date, end: dt.date) -> DataFrame:
         F.sum(F.when(log & conf, _eur("shipping_amount_no_discount")).otherwise(z)).alias("DF_No_Discount_Log"),
         F.sum(F.when(conf, _eur("discount_paid_by_company")).otherwise(z)).alias("Discounts_Company_Total"),
     )
+    sums = [c for c in per_user.columns if c not in (*keys, "user_id")]
+    return per_user.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in sums], F.count("user_id").alias("Total_Users"),
+        F.count(F.when((F.col("Confirmed") > 0) & F.col("user_id").isNotNull(), 1)).alias("Active_Users"))
 
 
 def partner_status(m, start: dt.date, end: dt.date) -> DataFrame:
@@ -233,12 +237,12 @@ def user_city_distribution(m) -> DataFrame:
 
 
 def voucher_order_audit(m, start: dt.date, end: dt.date) -> DataFrame:
-    """Voucher uses joined to the window's orders; row count per country and order status."""
+    """Voucher trades of any type joined to the window's orders; row count per country and order status."""
     o = X.in_window(m.orders(), start, end).select(
         F.col("order_id").alias("id"), F.col("order_status").alias("status"), F.col("country_name").alias("country"))
-    t = X.in_months(m.coupons(), start, end).select("coupon_id", "order_id")
+    t = X.in_months(m.trades(), start, end).select("coupon_id", "code", "order_id")
     j = t.join(o, t.order_id == o.id, "inner")
-    rows = j.select(F.col("coupon_id").alias("Id"),
+    rows = j.select(F.col("coupon_id").alias("Id"), F.col("code").alias("Code"),
                     F.coalesce(F.col("id").cast("string"), F.lit("-")).alias("Order_Id"),
                     F.coalesce(F.col("status").cast("string"), F.lit("-")).alias("Order_Status"),
                     F.coalesce("country", F.lit("-")).alias("Country"))

@@ -41,15 +41,18 @@ def cohort_bucket(days) -> F.Column:
             .when(d.between(61, 90), "M3"))
 
 
-def barter(m, created_from: dt.date, created_to: dt.date, traded_from: dt.date, traded_to: dt.date) -> DataFrame:
-    """Voucher uses (trades) with their voucher (creates) in the given creation and use windows."""
-    c = m.coupons()
-    c = c.filter(F.to_date("created_at").between(F.lit(created_from), F.lit(created_to))
-                 & F.col("order_registered_date").between(F.lit(traded_from), F.lit(traded_to)))
-    return c.select("order_id", F.col("campaign_name").alias("campaign"), "discount_type",
-                    F.col("discount_value").alias("discount_amount"),
-                    F.col("max_amount").alias("discount_max_amount"), "min_amount",
-                    F.col("used_amount").alias("amount_used"))
+def voucher_uses(m, created_from: dt.date, created_to: dt.date, traded_from: dt.date, traded_to: dt.date,
+                 consumed_only: bool = True) -> DataFrame:
+    """Voucher trades with their creation, both inside their window; one row per (voucher, order),
+    however often a use was reported. Trades that only reserve a voucher count when asked for."""
+    t = X.in_months(m.trades(), traded_from, traded_to).filter(F.to_date("traded_at").between(F.lit(traded_from), F.lit(traded_to)))
+    if consumed_only:
+        t = t.filter(F.col("type") == "CONSUME")
+    t = t.select("coupon_id", "order_id", "amount_used").distinct()
+    c = X.created_in(m.creations(), created_from, created_to)
+    return t.join(c, "coupon_id").select(
+        "order_id", F.col("campaign_name").alias("campaign"), "discount_type", F.col("discount_value").alias("discount_amount"),
+        F.col("max_amount").alias("discount_max_amount"), "min_amount", "amount_used")
 
 
 def _disc_per_order(m, start, end) -> DataFrame:
@@ -129,7 +132,7 @@ def campaign_cohorts(m, as_of: dt.date, months_back: int = 3, max_days: int = 90
     M3 ends on day 90: later follow-ups have no column here and are not joined."""
     b_from = W.first_of_month(W.add_months(as_of, -(months_back + 1)))
     b_to = W.first_of_month(as_of) - dt.timedelta(days=1)
-    bt = barter(m, b_from, b_to, b_from, b_to)
+    bt = voucher_uses(m, b_from, b_to, b_from, b_to)
     o_from = W.first_of_month(W.add_months(as_of, -months_back))
     ot = X.in_window(m.orders(), o_from, as_of)
     ot = ot.select("order_id", "user_id", F.col("country_name").alias("country"),
@@ -178,7 +181,7 @@ def campaign_cohort_value(m, as_of: dt.date, source: str = "voucher", exclude_li
         source = "voucher"
     if source == "voucher":
         win = W.first_of_month(W.add_months(as_of, -4))
-        bt = barter(m, win, as_of, win, as_of)
+        bt = voucher_uses(m, win, as_of, win, as_of)
         o_from = W.first_of_month(W.add_months(as_of, -3))
     else:
         o_from = W.first_of_month(W.add_months(as_of, -4))
@@ -195,7 +198,9 @@ def campaign_cohort_value(m, as_of: dt.date, source: str = "voucher", exclude_li
         "total_paid": paid,
     })
     if source == "voucher":
-        o = with_fx(o.join(bt.select("order_id", F.col("amount_used").alias("bt_used")), "order_id", "left"), m)
+        # an order counts once, whatever number of vouchers it used
+        per_order = bt.groupBy("order_id").agg(F.sum("amount_used").alias("bt_used"))
+        o = with_fx(o.join(per_order, "order_id", "left"), m)
         usd = lambda c: F.try_divide(F.col(c).cast("double"), F.col("rate_us"))
         o = o.withColumn("amount_used", F.coalesce("bt_used", F.lit(0)))
         o = o.withColumns({"total_paid_usd": usd("total_paid"), "total_disc_usd": usd("total_disc"),
@@ -295,7 +300,7 @@ def adr_after_campaign(m, as_of: dt.date, like: str = "%CENTRAL%") -> DataFrame:
     """
     win3 = W.first_of_month(W.add_months(as_of, -3))
     win2 = W.first_of_month(W.add_months(as_of, -2))
-    bt = barter(m, win3, as_of, win3, as_of)
+    bt = voucher_uses(m, win3, as_of, win3, as_of, consumed_only=False)
     o = X.in_window(m.orders(), win2, as_of).filter(
                           (F.col("order_status") == "CONFIRMED"))
     dpo = _disc_per_order(m, win2, as_of)
@@ -312,7 +317,7 @@ def adr_after_campaign(m, as_of: dt.date, like: str = "%CENTRAL%") -> DataFrame:
     later = o.groupBy("user_id", F.col("registered_date").alias("o_fecha")).agg(
         F.sum("total_paid").alias("p"), F.sum("total_disc").alias("d"),
         F.sum("total_voucher_disc").alias("v"), F.sum("amount_used").alias("u"),
-        F.count(F.lit(1)).alias("n"))
+        F.count_distinct("order_id").alias("n"))
     j = P.bucketed_range_join(acq, later, "user_id", F.date_add("fecha", 1), F.lit(as_of), "o_fecha")
     k = F.col("k")
     aft = j.groupBy("user_id", "fecha", *acq_cols).agg(

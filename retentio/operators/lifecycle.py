@@ -18,12 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions import windows as W
+from .history import NOT_QC, quick_before, state_before
 from .primitives import one_row_per_order
 
-# Verticals that are not "quick commerce" (excluded from trials).
-NOT_QC = ["Restaurant", "Coffee", "Courier", "Courier Business"]
-
-
 def _conf(m, start=None, end=None) -> DataFrame:
     o = m.orders().filter(F.col("order_status") == "CONFIRMED")
     if start is not None and end is not None:
@@ -33,12 +30,6 @@ def _conf(m, start=None, end=None) -> DataFrame:
     return o
 
 
-def orders_with_lines(m) -> DataFrame:
-    """Orders that have at least one discount row (what a comma UNNEST keeps, T2), as a semi join."""
-    lines = m.first_lines().select("order_id")  # one row per order that has lines
-    return m.orders().join(lines, "order_id", "left_semi")
-
-
 def _month_users(o: DataFrame) -> DataFrame:
     return o.select("user_id").distinct()
 
@@ -66,13 +57,8 @@ def month_reorder(m, as_of: dt.date) -> DataFrame:
 # ---------------------------------------------------------------- D23
 def vertical_trials(m, as_of: dt.date, start: dt.date, end: dt.date, excluded=NOT_QC) -> DataFrame:
     """Users of non-excluded verticals in [start, end] and how many try one for the first time."""
-    o = m.orders().filter((F.col("order_status") == "CONFIRMED") & (F.col("registered_date") < F.lit(as_of)))
-    qc_flag = ~F.col("business_type_name").isin(excluded)
-    qc = o.filter(qc_flag & F.col("registered_date").between(F.lit(start), F.lit(end)))
-    hist = (o.filter((F.col("registered_date") < F.lit(start)) | (F.col("is_acquisition") == 1))
-            .groupBy("user_id", "country_name")
-            .agg(F.sum(F.when(qc_flag, 1).otherwise(0)).alias("qc")))
-    j = qc.join(hist, ["user_id", "country_name"], "left")
+    qc = _conf(m, start, min(end, as_of - dt.timedelta(days=1))).filter(~F.col("business_type_name").isin(excluded))
+    j = qc.join(quick_before(m, start, as_of, excluded), ["user_id", "country_name"], "left")
     new = (F.col("is_acquisition") == 0) & (F.coalesce(F.col("qc"), F.lit(0)) == 0)
     per_user = j.groupBy("country_name", "user_id").agg(F.max(F.when(new, 1).otherwise(0)).alias("trial"))
     g = per_user.groupBy(F.col("country_name").alias("Country")).agg(
@@ -111,14 +97,10 @@ def desired_returns(m, as_of: dt.date, adr_max: float = 0.3) -> DataFrame:
 def reactivations(m, as_of: dt.date) -> DataFrame:
     """Users whose last order (up to last month) is on or before the end of month-2,
     and how many of them order this month (orders with at least one discount row)."""
-    lm_end = W.last_of_month(W.add_months(as_of, -1))
     lapsed = W.last_of_month(W.add_months(as_of, -2))
-    ot = orders_with_lines(m).filter((F.col("order_status") == "CONFIRMED")
-                                     & (F.col("registered_date") <= F.lit(as_of)))
-    users = (ot.filter(F.col("registered_date") <= F.lit(lm_end))
-             .groupBy("user_id", "country_name").agg(F.max("registered_date").alias("last_order")))
-    react = users.filter(F.col("last_order") <= F.lit(lapsed))
-    ret = (X.in_window(ot, W.first_of_month(as_of), W.last_of_month(as_of))
+    users = state_before(m, as_of).withColumnRenamed("last_lined", "last_order")
+    react = users.filter(F.col("last_order") <= F.lit(lapsed)).select("user_id", "country_name")
+    ret = (_conf(m, W.first_of_month(as_of), as_of).filter("has_lines")
            .join(react.select("user_id"), "user_id")
            .groupBy("country_name", "user_id").agg(F.count(F.lit(1)).alias("r_orders"))
            .withColumn("r_user", F.col("user_id")))
@@ -175,34 +157,19 @@ def reactivation_profile(m, as_of: dt.date) -> DataFrame:
     """Reactivated users who ordered this month, by city, frequency band of their last active
     month and 181-day ADR band; how many came back on an incentivised first order, and their orders.
 
-    The reference's five sub-queries keyed by (user, country) become one join
-    of the orders with each reactivated user's last order date and one
-    conditional aggregation per user.
+    The reference's five sub-queries keyed by (user, country) become one join of the
+    month's orders with the state of the users at the end of the month before.
     """
-    lm_end = W.last_of_month(W.add_months(as_of, -1))
     lapsed = W.last_of_month(W.add_months(as_of, -2))
-    t0, t1 = W.first_of_month(as_of), W.last_of_month(as_of)
-    inc = m.coupons().select("order_id").distinct().withColumn("incentive", F.lit(True))
-    ot = (m.orders().filter((F.col("order_status") == "CONFIRMED") & (F.col("registered_date") <= F.lit(as_of)))
-          .join(inc, "order_id", "left")
-          .select("order_id", "user_id", F.col("country_name").alias("country"), F.col("registered_date").alias("fecha"),
-                  F.coalesce("incentive", F.lit(False)).alias("incentive"),
-                  (F.col("shipping_amount_no_discount") + F.col("amount_no_discount")).alias("total_amount"),
-                  F.col("voucher_discount_amount").alias("voucher_d")))
-    last = (ot.filter(F.col("fecha") <= F.lit(lm_end)).groupBy("user_id", "country")
-            .agg(F.max("fecha").alias("last_order")).filter(F.col("last_order") <= F.lit(lapsed)))
-    j = ot.join(last, ["user_id", "country"])
-    this = F.col("fecha").between(F.lit(t0), F.lit(t1))
-    in_last_month = F.col("fecha").between(F.trunc("last_order", "MM"), F.last_day("last_order"))
-    in_adr = F.col("fecha").between(F.date_sub("last_order", 181), F.last_day("last_order"))
-    per_user = j.groupBy("user_id", "country").agg(
-        F.count(F.when(this, 1)).alias("r_orders"),
-        F.min(F.when(this, F.struct("order_id", "incentive"))).alias("first_this"),
-        F.count(F.when(in_last_month, 1)).alias("freq"),
-        F.sum(F.when(in_adr, F.col("voucher_d"))).alias("vd"),
-        F.sum(F.when(in_adr, F.col("total_amount"))).alias("ta"))
-    per_user = per_user.filter(F.col("r_orders") > 0).withColumn(
-        "adr", F.coalesce(F.try_divide(F.col("vd").cast("double"), F.col("ta").cast("double")), F.lit(0.0)))
+    t0 = W.first_of_month(as_of)
+    inc = X.in_months(m.coupons(), t0, as_of).filter(F.col("order_id").isNotNull()).select("order_id").distinct().withColumn("incentive", F.lit(True))
+    this = _conf(m, t0, as_of).join(inc, "order_id", "left")
+    this = this.groupBy("user_id", "country_name").agg(
+        F.count(F.lit(1)).alias("r_orders"),
+        F.min(F.struct("order_id", F.coalesce("incentive", F.lit(False)).alias("incentive"))).alias("first_this"))
+    state = state_before(m, as_of).filter(F.col("last_day") <= F.lit(lapsed)).select("user_id", "country_name", "tail.*")
+    per_user = this.join(state, ["user_id", "country_name"]).withColumnRenamed("country_name", "country").withColumn(
+        "adr", F.coalesce(F.try_divide(F.col("vouchers").cast("double"), F.col("paid").cast("double")), F.lit(0.0)))
     j2 = _city_and_active_country(per_user, m)
     return j2.groupBy(F.col("country").alias("Country"), F.coalesce("_ucity", F.lit("-")).alias("City"),
                       freq_type("freq").alias("Freq_Type"), adr_type("adr").alias("ADR_Type")).agg(
@@ -217,25 +184,23 @@ def vertical_trials_by_campaign(m, as_of: dt.date, months: list[dt.date], countr
     """Per country, business and campaign of the user's first non-excluded order of each month,
     the users trying such a vertical for the first time; one column ``Adq_QC-YYYY/MM`` per month."""
     from . import primitives as P
-    inc = m.coupons().select("order_id", "campaign_name")
-    o = (m.orders().filter((F.col("order_status") == "CONFIRMED") & (F.col("registered_date") < F.lit(as_of)))
-         .join(inc, "order_id", "left")
-         .withColumn("campaign", F.coalesce("campaign_name", F.lit("-"))))
+    o = m.orders().filter((F.col("order_status") == "CONFIRMED") & (F.col("registered_date") < F.lit(as_of)))
     qc_flag = ~F.col("business_type_name").isin(excluded)
     frames = []
     for month in months:
         m0, m1 = W.first_of_month(month), W.last_of_month(month)
-        qc = o.filter(qc_flag & F.col("registered_date").between(F.lit(m0), F.lit(m1)))
+        qc = X.in_window(o, m0, m1).filter(qc_flag)
         if countries is not None:
             qc = qc.filter(F.col("country_name").isin(countries))
         first = qc.groupBy("user_id", "country_name").agg(
-            F.min(F.struct("order_id", "business_type_name", "campaign", "is_acquisition")).alias("f"))
-        hist = (o.filter((F.col("registered_date") < F.lit(m0)) | (F.col("is_acquisition") == 1))
-                .groupBy("user_id", "country_name").agg(F.sum(F.when(qc_flag, 1).otherwise(0)).alias("qc")))
-        j = first.join(hist, ["user_id", "country_name"], "left")
+            F.min(F.struct("order_id", "business_type_name", "is_acquisition")).alias("f"))
+        j = first.join(quick_before(m, m0, as_of, excluded), ["user_id", "country_name"], "left").withColumn("order_id", F.col("f.order_id"))
+        # the month's coupons meet the first orders only; an order with several campaigns counts for each
+        inc = X.in_months(m.coupons(), m0, m1).filter(F.col("order_id").isNotNull()).select("order_id", "campaign_name").distinct()
+        j = j.join(inc, "order_id", "left")
         new = (F.col("f.is_acquisition") == 0) & (F.coalesce(F.col("qc"), F.lit(0)) == 0)
         g = j.groupBy(F.col("country_name").alias("Country"), F.col("f.business_type_name").alias("Business"),
-                      F.col("f.campaign").alias("Campaign")).agg(
+                      F.coalesce("campaign_name", F.lit("-")).alias("Campaign")).agg(
             F.count(F.when(new, 1)).alias(f"Adq_QC-{month:%Y/%m}"))
         g = g.withColumns({c: F.coalesce(F.upper(c), F.lit("NONE")) for c in ("Country", "Business", "Campaign")})
         g = g.withColumn("Campaign", F.regexp_replace("Campaign", " ", ""))

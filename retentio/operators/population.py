@@ -95,7 +95,7 @@ def migrated_coupon_spend(m, since: dt.date, created_from: dt.date, rules: dict,
     spent = {"Used_Amount_Confirmed_USD": F.when(tot, usd).otherwise(F.lit(0.0)),
              "Used_Amount_Confirmed_USD_Shopper": F.when(oth, usd).otherwise(F.lit(0.0))}
     j = one_row_per_order(j.withColumn("_conf", conf), [F.col("country_name").alias("country"), X.month_key("registered_date").alias("month"),
-                                                        "campaign_id"], ["_conf", "is_acquisition"], spent)
+                                                        "campaign_id", "coupon_id"], ["_conf", "is_acquisition"], spent)
     g = j.groupBy("country", "month", "campaign_id").agg(
         F.count(F.lit(1)).alias("Redeemed"), F.count(F.when(F.col("_conf"), 1)).alias("Redeemed_Confirmed"),
         F.count(F.when(F.col("is_acquisition") == 1, 1)).alias("Acq"), *[F.sum(c).alias(c) for c in spent])

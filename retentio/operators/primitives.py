@@ -56,6 +56,17 @@ def explode_validity(df: DataFrame, start, end, lo, hi, name: str = "d") -> Data
     return df.filter(s <= e).withColumn(name, F.explode(F.sequence(s, e)))
 
 
+def explode_months(df: DataFrame, start, end, lo, hi, month: str, days: str) -> DataFrame:
+    """JN7: one row per month that an open-ended interval of days touches, clipped to
+    [lo, hi], with the number of its days there; a month has one row, not 30."""
+    s = F.greatest(F.coalesce(F.col(start) if isinstance(start, str) else start, F.lit(lo)), F.lit(lo))
+    e = F.least(F.coalesce(F.col(end) if isinstance(end, str) else end, F.lit(hi)), F.lit(hi))
+    rows = df.withColumn("_s", s).withColumn("_e", e).filter("_s <= _e")
+    rows = rows.withColumn(month, F.explode(F.sequence(F.trunc("_s", "MM"), F.trunc("_e", "MM"), F.expr("interval 1 month"))))
+    last, first = F.least(F.last_day(month), F.col("_e")), F.greatest(F.col(month), F.col("_s"))
+    return rows.withColumn(days, F.datediff(last, first) + 1).drop("_s", "_e")
+
+
 def calendar(spark, start, end, name: str = "date") -> DataFrame:
     """SRC5: calendar dimension between two dates (one row per day)."""
     return spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias(name))

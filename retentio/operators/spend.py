@@ -18,6 +18,7 @@ Design notes (scale):
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -375,7 +376,8 @@ def coupon_performance(m, as_of: dt.date, days: int = 30, created_days: int = 39
     tot = conf & (F.col("payment_mode") == "TOTAL_AMOUNT")
     shop = conf & (F.col("payment_mode") != "TOTAL_AMOUNT")
     usd = _usd("used_amount")
-    r = one_row_per_order(r.withColumns({"_conf": conf, "_tot": tot, "_shop": shop, "_usd": usd}), ["country_name", "city", "campaign_id"],
+    # an order counts once for each of its coupons
+    r = one_row_per_order(r.withColumns({"_conf": conf, "_tot": tot, "_shop": shop, "_usd": usd}), ["country_name", "city", "campaign_id", "coupon_id"],
                           ["_conf", "_tot", "_shop", "is_acquisition"], {"used_amount": F.col("used_amount"), "_usd": F.col("_usd")})
     conf, tot, shop, usd = (F.col(c) for c in ("_conf", "_tot", "_shop", "_usd"))
     redeemed = r.groupBy(F.col("country_name").alias("country"), "city", "campaign_id").agg(
@@ -427,7 +429,7 @@ def coupon_performance_final(perf: DataFrame, rules: dict, tax: DataFrame, block
 def active_flows(m, as_of: dt.date, days: int = 3) -> DataFrame:
     """D11 (coupon form): distinct country / user city / campaign of coupons created in the last days."""
     since = as_of - dt.timedelta(days=days)
-    c = m.coupons().filter(F.to_date("created_at") >= F.lit(since))
+    c = X.created_in(m.creations(), since)
     cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name")
     c = c.join(cn, "coupon_country_id", "left")
     uc = m.user_cities().select(F.col("user_id").alias("_u"), F.col("country").alias("_uc"), F.col("city").alias("_ucity"))
@@ -439,7 +441,7 @@ def active_flows(m, as_of: dt.date, days: int = 3) -> DataFrame:
 def active_flows_vouchers(m, as_of: dt.date, days: int = 3, exclude_like=()) -> DataFrame:
     """D11 (voucher form): vouchers created in the last days per campaign variation, latest local expiry."""
     from .cohorts import variation
-    c = m.coupons().filter(F.to_date("created_at") >= F.lit(as_of - dt.timedelta(days=days + 1)))
+    c = X.created_in(m.creations(), as_of - dt.timedelta(days=days + 1))
     if exclude_like:
         c = c.filter(X.not_like_any("campaign_name", exclude_like))
     cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name", "timezone")
@@ -462,60 +464,85 @@ def active_flows_vouchers(m, as_of: dt.date, days: int = 3, exclude_like=()) ->
 
 # ---------------------------------------------------------------- D12
 def voucher_validity_daily(m, as_of: dt.date, exclude_like=()) -> DataFrame:
-    """Vouchers valid per day, rolled up per month: sent, used, confirmed, spend, ageing, availability.
-
-    The validity interval (local dates, open ends allowed) is exploded to days
-    clipped to the report window, which turns the reference's range join
-    against the calendar into an equi join with the orders on (order, day).
+    """Valid vouchers per month: sent, used, confirmed, spend, ageing, availability.
+
+    The reference has a row for every voucher, use and day of validity. Only two kinds
+    of them count: the day of an order, and that there is any other day of a month.
+    So a voucher is laid out to the months it is valid in (local dates, open ends
+    reach to the window's), and its uses, once each however often they were
+    reported, are joined to the orders of their day. Vouchers and orders are counted
+    after one row for each of them, without COUNT(DISTINCT).
     """
-    from . import primitives as P
     from .cohorts import variation
+    from .primitives import explode_months
     if as_of.day == 1:
         end = as_of - dt.timedelta(days=1)
         start = W.first_of_month(W.add_months(as_of, -2))
     else:
         start = W.first_of_month(W.add_months(as_of, -1))
         end = W.last_of_month(as_of)
-    start_coupon = start - dt.timedelta(days=16)
-    o = X.in_window(m.orders(), start, as_of)
-    o = o.select(F.col("order_id").alias("o_order_id"), "order_status", F.col("registered_date").alias("o_date"),
+    o = X.in_window(m.orders(), start, min(as_of, end))
+    o = o.select("order_id", "order_status", F.col("registered_date").alias("o_date"),
                  F.col("registered_at").alias("o_at"), F.col("city_name").alias("o_city"),
                  F.when(F.col("payment_mode") == "TOTAL_AMOUNT", 1).otherwise(0).alias("iva"))
     cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name", "currency_id", "timezone")
     uc = m.user_cities().select(F.col("user_id").alias("_u"), F.col("country").alias("_uc"), F.col("city").alias("_ucity"))
-    bc = m.coupons().filter(F.to_date("created_at").between(F.lit(start_coupon), F.lit(as_of)))
+    bc = X.created_in(m.creations(), start - dt.timedelta(days=16), as_of).filter("valid")
+    bc = bc.filter(F.coalesce(F.col("campaign_name") != "", F.lit(False)))
+    if exclude_like:
+        bc = bc.filter(X.not_like_any("campaign_name", exclude_like))
     bc = bc.join(cn, "coupon_country_id", "left")
     bc = bc.join(uc, (F.col("user_id") == F.col("_u")) & (F.col("country_name") == F.col("_uc")), "left")
-    bc = bc.select("coupon_id", "order_id", F.col("used_amount").alias("amount_used"),
-                   F.col("campaign_name").alias("campaign"), "discount_type",
-                   F.col("discount_value").alias("discount_amount"), F.col("max_amount").alias("discount_max_amount"),
-                   "min_amount", "currency_id", "country_name", F.coalesce("_ucity", F.lit("-")).alias("u_city"),
+    bc = bc.select("coupon_id", F.col("campaign_name").alias("Campaign"), F.coalesce("country_name", F.lit("-")).alias("Country"),
+                   F.coalesce("discount_type", F.lit("-")).alias("Discount_Type"),
+                   variation("discount_value", "max_amount").alias("Variation"), "currency_id", F.coalesce("_ucity", F.lit("-")).alias("u_city"),
                    X.local_time("starts_at", "timezone").alias("starts_tt"),
                    X.local_time("expires_at", "timezone").alias("expires_tt"))
-    bc = bc.filter(F.coalesce(F.col("campaign") != "", F.lit(False)))
-    if exclude_like:
-        bc = bc.filter(X.not_like_any("campaign", exclude_like))
-    days = P.explode_validity(bc, F.to_date("starts_tt"), F.to_date("expires_tt"), start, end, "d")
-    j = days.join(o, (F.col("order_id") == F.col("o_order_id")) & (F.col("d") == F.col("o_date")), "left")
-    j = with_fx(j, m, "o_date")
-    has = F.col("o_order_id").isNotNull()
+    opens, closes = F.to_date("starts_tt"), F.to_date("expires_tt")
+    k = (X.in_months(m.trades(), start, end).filter(F.col("type") == "CONSUME")
+         .select("coupon_id", "order_id", "amount_used").distinct().join(o, "order_id"))
+    used = bc.join(k, "coupon_id").filter(
+        F.coalesce(F.col("o_date") >= opens, F.lit(True)) & F.coalesce(F.col("o_date") <= closes, F.lit(True)))
+    used = with_fx(used, m, "o_date").withColumn("month", F.trunc("o_date", "MM"))
+    # days of a month that are not the day of a use: some use leaves one, or there is no use that month
+    days = explode_months(bc, opens, closes, start, end, "month", "n_days")
+    taken = used.groupBy("coupon_id", "month").agg(F.count(F.lit(1)).alias("uses"))
+    all_uses = (X.in_months(m.trades(), start - dt.timedelta(days=16)).filter(F.col("type") == "CONSUME").select("coupon_id", "order_id", "amount_used").distinct()
+                .groupBy("coupon_id").agg(F.count(F.lit(1)).alias("all_uses")))
+    idle = days.join(taken, ["coupon_id", "month"], "left").join(all_uses, "coupon_id", "left")
+    idle = idle.filter(F.col("n_days") * F.greatest(F.coalesce("all_uses", F.lit(1)), F.lit(1)) > F.coalesce("uses", F.lit(0)))
+
+    terms = ["Campaign", "Country", "Discount_Type", "Variation"]
+    place = lambda city: [*terms, F.coalesce(*city).alias("City"), F.date_format("month", "yyyy-MM").alias("Month")]
+    group = [*terms, "City", "Month"]
     conf = F.col("order_status") == "CONFIRMED"
     avail = X.hours_between_boundaries("starts_tt", "expires_tt")
     age = F.try_divide(X.hours_between_boundaries("starts_tt", "o_at").cast("double"), avail.cast("double"))
     usd = _usd("amount_used")
-    g = j.groupBy(F.col("campaign").alias("Campaign"), F.coalesce("country_name", F.lit("-")).alias("Country"),
-                  F.coalesce("o_city", "u_city").alias("City"), X.month_key("d").alias("Month"),
-                  F.coalesce("discount_type", F.lit("-")).alias("Discount_Type"), variation().alias("Variation")).agg(
-        F.count_distinct("coupon_id").alias("Sent_Vouchers"),
-        F.count("o_order_id").alias("Total_Orders_Vouchers"),
-        F.count_distinct(F.when(conf, F.col("o_order_id"))).alias("Confirmed_Orders_Vouchers"),
-        F.sum(F.when(conf, F.col("amount_used")).otherwise(F.lit(0))).alias("Confirmed_Used_Amount"),
-        F.sum(F.when(conf, usd).otherwise(F.lit(0.0))).alias("Confirmed_Used_Amount_USD"),
-        F.sum(F.when(conf & (F.col("iva") == 0), F.col("amount_used")).otherwise(F.lit(0))).alias("Confirmed_Used_Amount_Iva"),
-        F.sum(F.when(conf & (F.col("iva") == 0), usd).otherwise(F.lit(0.0))).alias("Confirmed_Used_Amount_USD_Iva"),
-        F.avg(F.when(has, age)).alias("Ageing"),
-        F.avg(F.when(has, avail)).alias("Availability"))
-    return g
+    local = lambda c: F.when(c, F.col("amount_used")).otherwise(F.lit(0))
+    dollars = lambda c: F.when(c, usd).otherwise(F.lit(0.0))
+    no_iva = conf & (F.col("iva") == 0)
+    rows = used.select(*place(["o_city", "u_city"]), "coupon_id", "order_id", conf.alias("_conf"),
+                       local(conf).alias("_a"), dollars(conf).alias("_b"), local(no_iva).alias("_c"), dollars(no_iva).alias("_d"),
+                       age.alias("_age"), avail.alias("_avail"))
+    per_order = rows.groupBy(*group, "order_id").agg(
+        F.max("_conf").alias("_conf"), F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in ("_a", "_b", "_c", "_d")],
+        F.sum("_age").alias("_age"), F.count("_age").alias("_n_age"), F.sum("_avail").alias("_avail"), F.count("_avail").alias("_n_avail"))
+    orders = per_order.groupBy(*group).agg(
+        F.sum("_n").alias("_n"), F.count(F.when(F.col("_conf"), 1)).alias("_ok"), *[F.sum(c).alias(c) for c in ("_a", "_b", "_c", "_d")],
+        *[F.sum(c).alias(c) for c in ("_age", "_n_age", "_avail", "_n_avail")])
+    sent = (rows.select(*group, "coupon_id").unionByName(idle.select(*place(["u_city"]), "coupon_id")).distinct()
+            .groupBy(*group).agg(F.count(F.lit(1)).alias("Sent_Vouchers")))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in group]
+    j = sent.alias("l").join(orders.alias("r"), reduce(lambda a, b: a & b, same), "left")
+    zero = lambda c, z=0: F.coalesce(F.col(c), F.lit(z))
+    return j.select(
+        *[F.col(f"l.{c}").alias(c) for c in ("Campaign", "Country", "City", "Month", "Discount_Type", "Variation")], "Sent_Vouchers",
+        zero("_n").cast("long").alias("Total_Orders_Vouchers"), zero("_ok").alias("Confirmed_Orders_Vouchers"),
+        zero("_a").alias("Confirmed_Used_Amount"), zero("_b", 0.0).alias("Confirmed_Used_Amount_USD"),
+        zero("_c").alias("Confirmed_Used_Amount_Iva"), zero("_d", 0.0).alias("Confirmed_Used_Amount_USD_Iva"),
+        F.try_divide("_age", F.col("_n_age").cast("double")).alias("Ageing"),
+        F.try_divide(F.col("_avail").cast("double"), F.col("_n_avail").cast("double")).alias("Availability"))
 
 
 # ---------------------------------------------------------------- D42 / D43

@@ -32,11 +32,19 @@ Mapping (fixed values; the SQL adapter repeats them):
 * first line of an order = smallest (line number, part key, supplier key);
   the order's partner is its supplier; payment mode TOTAL_AMOUNT when the
   supplier balance is >= 4300, else COMMISSION
-* coupon: the first line when its discount is >= 0.05; campaign = its part;
-  created (and valid from) part-size days before the order, valid for 30
-  days (open-ended when the return flag is N)
-* wallet line: every line with return flag R and line number > 1;
-  campaign code = ``W_`` + part type
+* voucher creation: every line with a discount of at least 0.05; campaign = its
+  part; owner = the order's user; created (and valid from) part-size days before
+  the order, valid for 30 days (open-ended when the return flag is N); not a valid
+  voucher when the part size ends in 0; usage limit 1 up to a quantity of 25, else
+  the quantity
+* voucher trades: none for a quantity up to 5 (the voucher is never used); else
+  it is consumed in the line's order; also reserved there when the tax is at least
+  0.07; the consumption is reported twice, a minute apart, when the tax is at
+  least 0.08; a quantity above 45 is a shared code that is consumed once more in the
+  order with the next key, if that is not older than the voucher
+* coupons: each creation with the distinct orders it was consumed in; a coupon that was
+  never used has one row without an order
+* wallet line: every line with return flag R; campaign code = ``W_`` + part type
 * funding rows: lines with return flag R (type 25 when line status F, else 35)
   and A (type 10, not wallet funding); amount = extended price x tax
 * user city = market segment; basis ORDERS when the account
@@ -48,8 +56,8 @@ Mapping (fixed values; the SQL adapter repeats them):
   campaign, coupon type and payer
 * currency = region; monthly USD rate =
   (1000037 + 500000 * currency + 10000 * month) / 1000000,
-  with one missing month (currency 4, 2001-06) and one zero rate
-  (currency 3, 2001-05)
+  for every month from the first to the last order, with one missing month
+  (currency 4, 2001-06) and one zero rate (currency 3, 2001-05)
 """
 
 from __future__ import annotations
@@ -63,6 +71,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import windows
+from ..operators import history
 from ..plans.guards import bounded_broadcast
 
 MONEY = "decimal(18,2)"
@@ -74,8 +84,6 @@ TZ_BY_REGION = {  # fixed values
     4: "America/Panama",
 }
 BUSINESS_BY_DIGIT = {1: "Restaurant", 2: "Groceries", 3: "Pharmacy", 4: "Drinks", 5: "Shop"}
-FX_FIRST_MONTH = dt.date(1995, 1, 1)
-FX_LAST_MONTH = dt.date(2001, 12, 1)
 
 
 def _case_map(col, mapping: dict, default=None):
@@ -121,9 +129,11 @@ class Model:
         return self._get("countries", build)
 
     def fx_rates(self) -> DataFrame:
-        """Exchange rates: currencies x months (bounded by the calendar)."""
+        """Exchange rates: currencies x months of the orders (bounded by the calendar)."""
         def build():
-            months = F.sequence(F.lit(FX_FIRST_MONTH), F.lit(FX_LAST_MONTH), F.expr("interval 1 month"))
+            day = F.to_date("o_orderdate")
+            lo, hi = self.t["orders"].agg(F.trunc(F.min(day), "MM"), F.trunc(F.max(day), "MM")).first()  # one row
+            months = F.sequence(F.lit(lo), F.lit(hi), F.expr("interval 1 month")) if lo else F.array().cast("array<date>")
             cur = self.t["region"].select(F.col("r_regionkey").alias("currency_id"))
             grid = cur.select("currency_id", F.explode(months).alias("currency_exchange_date"))
             grid = grid.filter(~((F.col("currency_id") == 4) & (F.col("currency_exchange_date") == F.lit(dt.date(2001, 6, 1)))))
@@ -266,7 +276,7 @@ class Model:
                      .when(F.col("l_returnflag") == "R", "User").when(F.col("l_returnflag") == "N", "Rider"))
             return j.select(
                 *[c for c in joined.columns],
-                "restaurant_id", "payment_mode",
+                "restaurant_id", "payment_mode", F.col("restaurant_id").isNotNull().alias("has_lines"),
                 F.when(voucher, F.col("_fl_disc")).otherwise(zero).alias("voucher_discount_amount"),
                 F.when(voucher, 1).otherwise(0).alias("has_voucher_discount"),
                 F.when(F.col("l_returnflag") == "N", 1).otherwise(0).alias("has_joker_discount"),
@@ -275,6 +285,10 @@ class Model:
             )
         return self._get("orders", build)
 
+    def user_state(self, until: dt.date) -> DataFrame:
+        """Every user's state at the end of the month of ``until`` (see ``operators.history``)."""
+        return history.full_state(self.orders(), until)
+
     def first_lines(self) -> DataFrame:
         """First line of every order (one row per order that has lines)."""
         def build():
@@ -320,43 +334,72 @@ class Model:
                 "discounts", F.coalesce("discounts", F.array().cast(arr.schema["discounts"].dataType)))
         return self._get("orders_nested", build)
 
-    def coupons(self) -> DataFrame:
-        """Coupons, or voucher creations with their trades: one coupon per eligible order."""
+    def creations(self) -> DataFrame:
+        """Voucher creations: one row per voucher, used or not."""
         def build():
-            fl = self.first_lines().filter(F.col("l_discount") >= 0.05)
-            o = self.orders().select("order_id", "user_id", "country_id", "city_name", "area_name",
-                                     "registered_date")
-            c = fl.join(o, "order_id").join(self.campaigns(), F.col("l_partkey") == F.col("campaign_id"), "left")
+            li = self.t["lineitem"].filter(F.col("l_discount") >= 0.05)
+            o = self.orders().select("order_id", "user_id", "country_id", "city_name", "area_name", "registered_date")
+            c = li.join(o, F.col("l_orderkey") == F.col("order_id"))
+            c = c.join(self.campaigns(), F.col("l_partkey") == F.col("campaign_id"), "left")
             c = c.join(self.partners().select("partner_id", "payment_mode"), F.col("l_suppkey") == F.col("partner_id"), "left")
-            used = F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)")
             created_day = F.date_sub("registered_date", F.col("campaign_size"))
-            created = created_day.cast("timestamp")
+            tax, quantity = F.col("l_tax").cast("decimal(4,2)"), F.col("l_quantity")
             return c.select(
-                F.concat(F.lit("CP"), F.col("order_id").cast("string")).alias("coupon_id"),
-                "order_id", "user_id",
+                F.concat_ws("-", F.concat(F.lit("CP"), F.col("order_id").cast("string")), "l_linenumber", "l_partkey", "l_suppkey").alias("coupon_id"),
+                F.concat(F.lit("C"), F.col("l_partkey").cast("string")).alias("code"),
+                F.col("order_id").alias("issue_order_id"), "user_id",
                 F.col("country_id").alias("coupon_country_id"),
                 "city_name", "area_name",
                 F.col("l_partkey").alias("campaign_id"),
                 "campaign_name",
-                used.alias("used_amount"),
-                F.col("l_quantity").cast("int").alias("usage_limit"),
-                created.alias("created_at"),
-                created.alias("starts_at"),
+                (F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)")).alias("amount"),
+                F.when(quantity <= 25, 1).otherwise(quantity.cast("int")).alias("usage_limit"),
+                created_day.cast("timestamp").alias("created_at"),
+                created_day.cast("timestamp").alias("starts_at"),
                 F.when(F.col("l_returnflag") == "N", F.lit(None).cast("timestamp"))
                  .otherwise(F.date_add(created_day, 30).cast("timestamp")).alias("expires_at"),
+                F.coalesce(F.col("campaign_size") % 10 != 0, F.lit(True)).alias("valid"),
                 F.when(F.col("l_linestatus") == "F", "PERCENTAGE").otherwise("AMOUNT").alias("discount_type"),
                 F.round(F.col("l_discount") * 100, 0).cast("int").alias("discount_value"),
                 F.when(F.col("campaign_size") > 25, 500).otherwise(250).alias("max_amount"),
-                F.when(F.col("l_quantity") > 25, 200).otherwise(100).alias("min_amount"),
+                F.when(quantity > 25, 200).otherwise(100).alias("min_amount"),
                 "payment_mode",
-                F.col("registered_date").alias("order_registered_date"),
+                (quantity > 5).alias("is_used"), (quantity > 45).alias("is_shared"),
+                (tax >= F.lit("0.07").cast("decimal(4,2)")).alias("is_reserved"), (tax >= F.lit("0.08").cast("decimal(4,2)")).alias("is_repeated"),
             )
+        return self._get("creations", build)
+
+    def trades(self) -> DataFrame:
+        """Voucher events: coupon_id, code, order_id, type (CONSUME or RESERVE), traded_at, amount_used.
+        A consumption may be reported more than once."""
+        def build():
+            event = lambda order, kind, minute, when: F.when(when, F.struct(
+                order.alias("order_id"), F.lit(kind).alias("type"), F.lit(minute).alias("minute")))
+            own = F.col("issue_order_id")
+            events = F.array(event(own, "CONSUME", 0, F.lit(True)), event(own, "RESERVE", 0, F.col("is_reserved")),
+                             event(own, "CONSUME", 1, F.col("is_repeated")), event(own + 1, "CONSUME", 0, F.col("is_shared")))
+            c = self.creations().filter("is_used").select("coupon_id", "code", "created_at", "amount", F.explode(F.array_compact(events)).alias("e"))
+            c = c.select("coupon_id", "code", "created_at", "amount", "e.*")
+            o = self.orders().select("order_id", "registered_date", "registered_at")
+            j = c.join(o, "order_id").filter(F.col("registered_date") >= F.to_date("created_at"))
+            return j.select("coupon_id", "code", "order_id", "type",
+                            (F.col("registered_at").cast("timestamp") + F.make_dt_interval(mins=F.col("minute"))).alias("traded_at"),
+                            F.col("amount").alias("amount_used"))
+        return self._get("trades", build)
+
+    def coupons(self) -> DataFrame:
+        """Coupons: each creation with the distinct orders it was consumed in, or with none."""
+        def build():
+            used = (self.trades().filter(F.col("type") == "CONSUME")
+                    .select("coupon_id", "order_id", F.col("amount_used").alias("used_amount"), F.to_date("traded_at").alias("order_registered_date")).distinct())
+            c = self.creations().drop("issue_order_id", "amount", "code", "valid", "is_used", "is_shared", "is_reserved", "is_repeated", "created_month")
+            return c.join(used, "coupon_id", "left")
         return self._get("coupons", build)
 
     def wallet(self) -> DataFrame:
         """Wallet attributions, exploded: one row per attribution detail."""
         def build():
-            li = self.t["lineitem"].filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") > 1))
+            li = self.t["lineitem"].filter(F.col("l_returnflag") == "R")
             p = self.t["part"].select("p_partkey", "p_type")
             j = li.join(p, li.l_partkey == p.p_partkey, "left")
             return j.select(
@@ -367,7 +410,6 @@ class Model:
             )
         return self._get("wallet", build)
 
-
     def funding(self) -> DataFrame:
         """Order funding: order_id, type, amount."""
         def build():
@@ -423,11 +465,12 @@ def model(tables: dict[str, DataFrame]) -> Model:
 # Views written once per input folder and read back by every query: the
 # logical star schema a warehouse would hold. ``orders`` is partitioned by
 # month so that the date windows of the queries prune whole partitions.
-PERSISTED = ("first_lines", "orders", "order_partner", "discounts", "coupons", "wallet", "funding",
-             "vouchers_daily", "users", "campaigns", "partners", "user_cities", "partners_monthly",
+PERSISTED = ("first_lines", "orders", "order_partner", "discounts", "creations", "trades", "coupons", "wallet", "funding",
+             "vouchers_daily", "fx_rates", "users", "campaigns", "partners", "user_cities", "partners_monthly",
              "population")
 # Facts partitioned by the month of their order: ``exprs.in_months`` prunes them.
-MONTHLY = ("discounts", "coupons", "wallet", "funding")
+# Creations are partitioned by the month they were made in: ``exprs.created_in`` prunes them.
+MONTHLY = ("discounts", "trades", "coupons", "wallet", "funding")
 BOUNDED = ("countries", "fx_rates")
 
 
@@ -469,9 +512,12 @@ class StoredModel(Model):
     def _write(self, name: str, out: DataFrame, path: str) -> None:
         staged = f"{self.base}/.staged-{name}-{uuid.uuid4().hex}"
         writer = out.write
+        if name == "creations":
+            out = out.withColumn("created_month", F.trunc("created_at", "MM"))
+            writer = out.repartitionByRange("created_month", "coupon_id").write.partitionBy("created_month")
         if name in MONTHLY:
-            if name == "coupons":
-                out = out.withColumn("order_month", F.trunc("order_registered_date", "MM"))
+            if name in ("coupons", "trades"):
+                out = out.withColumn("order_month", F.trunc("order_registered_date" if name == "coupons" else "traded_at", "MM"))
             else:
                 out = out.join(self.orders().select("order_id", "order_month"), "order_id", "left")
             writer = out.repartitionByRange("order_month", "order_id").write.partitionBy("order_month")
@@ -495,12 +541,29 @@ class StoredModel(Model):
             path = f"{self.base}/{name}"
             if not self._written(path):
                 self._write(name, build(), path)
-            self._memo[name] = self.spark.read.parquet(path)
+            stored = self.spark.read.parquet(path)
+            self._memo[name] = bounded_broadcast(stored) if name in BOUNDED else stored
             return self._memo[name]
         if name in BOUNDED and name not in self._memo:
             self._memo[name] = bounded_broadcast(build())
         return super()._get(name, build)
 
+    def user_state(self, until: dt.date) -> DataFrame:
+        """The stored state at the end of a month. A missing one is the month's extension of the
+        state before, if that is stored, else built from all orders."""
+        name = f"user_state-{until:%Y-%m}"
+        if name not in self._memo:
+            path, before = f"{self.base}/{name}", windows.first_of_month(until) - dt.timedelta(days=1)
+            if not self._written(path):
+                earlier = f"{self.base}/user_state-{before:%Y-%m}"
+                if self._written(earlier):
+                    state = history.extended(self.spark.read.parquet(earlier), self.orders(), until)
+                else:
+                    state = history.full_state(self.orders(), until)
+                self._write(name, state, path)
+            self._memo[name] = self.spark.read.parquet(path)
+        return self._memo[name]
+
     def build_all(self):
         """Write every stored view (the one-off ETL step)."""
         for name in PERSISTED:
