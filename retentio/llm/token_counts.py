@@ -14,6 +14,7 @@ counts of a piece are kept for the whole life of a Python worker.
 from __future__ import annotations
 
 import json
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -59,11 +60,14 @@ class PrefixCounter:
         self.pieces: dict[str, np.ndarray] = {}
         self.totals: dict[str, int] = {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.trees: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self.right_edges: dict[bytes, list[tuple[bytes, float]]] = {}
+        self.left_edges: dict[bytes, list[tuple[bytes, float]]] = {}
 
-    def merge(self, text: bytes) -> list[bytes]:
-        """Plain BPE of a short text; used only to learn which two tokens go together."""
+    def merge(self, text: bytes, down_to: int = 1) -> list[bytes]:
+        """Plain BPE of a short text, until no pair can be merged or ``down_to`` parts are left."""
         parts = [text[i:i + 1] for i in range(len(text))]
-        while len(parts) > 1:
+        while len(parts) > down_to:
             ranks = [self.rank.get(p, 1 << 60) for p in zip(parts, parts[1:])]
             best = min(ranks)
             if best == 1 << 60:
@@ -79,13 +83,53 @@ class PrefixCounter:
             parts = out
         return parts
 
+    def tree(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The two tokens whose merge makes this one; None for a byte, and for what BPE never makes."""
+        if token not in self.trees:
+            parts = self.merge(token, 2) if len(token) > 1 else []
+            self.trees[token] = tuple(parts) if len(parts) == 2 and tuple(parts) in self.rank else None
+        return self.trees[token]
+
+    def edge(self, token: bytes, side: int) -> list[tuple[bytes, float]]:
+        """The parts that stand at one end of a token while BPE makes it, from the byte on: each with
+        the rank of the merge that it is used up in (the token itself never is)."""
+        known = (self.left_edges, self.right_edges)[side]
+        out = known.get(token)
+        if out is None:
+            out, part, rank = [], token, math.inf
+            while True:
+                out.append((part, rank))
+                halves = self.tree(part)
+                if halves is None:
+                    break
+                part, rank = halves[side], self.rank[halves]
+            out = known[token] = out[::-1]
+        return out
+
     def goes_with(self, before: bytes, token: bytes) -> bool:
+        """Whether BPE leaves a border between the two: no parts that meet there while the tokens are made
+        have a merge that comes before those that use the parts up. Of equal merges the left one comes first."""
         key = (before, token)
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merge(before + token) == ([before, token] if before else [token])
+            known = len(token) == 1 or self.tree(token) is not None
+            if known and before:
+                lefts, rights, i, j = self.edge(before, 1), self.edge(token, 0), 0, 0
+                while True:
+                    (a, used_a), (b, used_b) = lefts[i], rights[j]
+                    across = self.rank.get((a, b), math.inf)
+                    if across < used_a and across <= used_b and across < math.inf:
+                        known = False
+                        break
+                    if used_a == used_b == math.inf:
+                        break
+                    if used_a <= used_b:
+                        i += 1
+                    else:
+                        j += 1
+            self.pairs[key] = known
         return known
 
     def byte_counts(self, text: bytes) -> list[int]:
@@ -141,11 +185,57 @@ class PrefixCounter:
 
     def count(self, text: str) -> int:
         """Token count of the whole text: the last entry of ``prefix_counts``."""
+        return self.count_and_cut(text, None)[0]
+
+    def count_and_cut(self, text: str, limit: int | None) -> tuple[int, int]:
+        """Token count of the whole text, and the code points of its longest prefix of at most
+        ``limit`` tokens. The pieces are walked once; only the one in which the limit is
+        passed, and white space right before it, is laid out by prefixes."""
         get, total, find = self.totals.get, self.total, self.split.findall
-        n = 0
-        for _, part, is_special in self._parts(text):
-            n += 1 if is_special else sum([get(p) or total(p) for p in find(part)])
-        return n
+        n, cut = 0, None
+        for start, part, is_special in self._parts(text):
+            if is_special:
+                if limit is not None and cut is None and n + len(part) > limit:  # a cut special string is ordinary text
+                    cut = self._cut_slowly(text, limit) if n + 1 > limit or self._cut_slowly(text[:start + len(part)], limit) < start + len(part) else None
+                n += 1
+                continue
+            pieces = find(part)
+            counts = [get(p) or total(p) for p in pieces]
+            more = sum(counts)
+            if limit is not None and cut is None and n + more > limit:
+                at = int(np.searchsorted(np.cumsum(counts), limit - n, side="right"))
+                first = at
+                while first and self.white(pieces[first - 1], len(pieces[first - 1]) - 1):
+                    first -= 1
+                begin = sum(map(len, pieces[:first]))
+                end = begin + sum(map(len, pieces[first:at + 1]))
+                table = self._laid_out(part, begin, end, n + sum(counts[:first]))
+                cut = start + begin + int(np.flatnonzero(table <= limit)[-1])
+            n += more
+        return n, len(text) if cut is None else cut
+
+    def _laid_out(self, part: str, begin: int, end: int, n: int) -> np.ndarray:
+        """Token counts of the prefixes of a part without special strings that end in [begin, end], borders of pieces."""
+        out = np.zeros(end - begin + 1, dtype=np.int64)
+        out[0] = n
+        run_at, run_n = begin, n
+        for m in self.split.finditer(part, begin):
+            a, b, piece = m.start(), m.end(), m.group()
+            counts = self.piece_counts(piece)
+            out[a + 1 - begin:b + 1 - begin] = n + counts[1:].astype(np.int64)
+            if len(piece) == 3 and piece[0] == "'" and piece[1:].isalpha():
+                out[a + 2 - begin] = n + 2  # a cut 're, 've or 'll splits after the quote
+            if self.white(piece):
+                if a == begin or not self.white(part, a - 1):
+                    run_at, run_n = a, n
+                elif a > run_at:  # white space at the end of a prefix is one piece
+                    stop = b if self.white(piece, len(piece) - 1) else a + 1
+                    run = self.piece_counts(part[run_at:stop])
+                    out[a + 1 - begin:stop + 1 - begin] = run_n + run[a + 1 - run_at:].astype(np.int64)
+            n += int(counts[-1])
+            if b >= end:
+                return out
+        return out
 
     def prefix_counts(self, text: str, limit: int | None = None) -> np.ndarray:
         """Entry i is the token count of the first i code points.
@@ -183,6 +273,9 @@ class PrefixCounter:
 
     def cut(self, text: str, limit: int) -> int:
         """Code points of the longest prefix of at most ``limit`` tokens."""
+        return self.count_and_cut(text, limit)[1]
+
+    def _cut_slowly(self, text: str, limit: int) -> int:
         return int(np.flatnonzero(self.prefix_counts(text, limit) <= limit)[-1])
 
 
@@ -214,8 +307,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> Da
         counter = _counter(shared)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            n = [counter.count(t) for t in texts]
-            cuts = [counter.cut(t, limit) if k > limit else len(t) for t, k in zip(texts, n)]
+            found = [counter.count_and_cut(t, limit) for t in texts]
+            n, cuts = ([f[i] for f in found] for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()),
                  pa.array([k > limit for k in n]), pa.array(cuts, pa.int64())],

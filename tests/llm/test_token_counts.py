@@ -31,3 +31,17 @@ def test_documents(edges, edge_rows, nothing):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in rows) == want
     assert all(r.over_limit == (r.n_tokens > 512) for r in rows)
     assert token_counts(nothing, PATH).collect() == []
+
+
+def test_cut_equals_the_prefix_table():
+    """The one walk over the pieces finds the same cut as the table of all prefixes, at every limit."""
+    with open(PATH, "rb") as f:
+        counter = PrefixCounter(f.read())
+    rng = random.Random(11)
+    bits = [" ", "  ", "\n", "\n \t", "a", "the", " quick", "'re", "'ll", "'s", "123", " 4", "é", "漢", "🙂", "aaaa", "!!", "<|endoftext|>", "<|endo", "don't"]
+    for _ in range(400):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 40)))
+        table = counter.prefix_counts(text)
+        for limit in {1, 2, rng.randrange(1, 30), int(table[-1])}:
+            n, cut = counter.count_and_cut(text, limit)
+            assert n == table[-1] and cut == [i for i, k in enumerate(table) if k <= limit][-1]
