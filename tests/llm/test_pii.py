@@ -78,3 +78,8 @@ def test_trained_tagger_adds_touching_values(spark, edge_rows, nothing):
     assert sum(bool(g.spans) for g in got if g.doc_id is not None and g.doc_id < 20) >= 10
     assert all(g.base_sha256 == hashlib.sha256(b"").hexdigest() for g in got) and len(got) == 20 + len(edge_rows)
     assert t.find_pii(nothing, tagger).collect() == [] and t.train([("abc", [])]) is None
+
+
+def test_very_long_runs_of_zeros_are_no_crash():
+    assert r.base_spans("0" * 5000 + ".1.1.1") == [(1, 0, 5006)]
+    assert r.base_spans("1" * 5000 + ".1.1.1") == [] and r.is_ip("000.0.00.255") and not r.is_ip("0.0.0.256")
