@@ -288,8 +288,8 @@ def _groups(table):
 
 
 def _forest(component, rows):
-    """(i, j) that join components, without any that others already join. ``rows`` gives
-    for each i the mask of its partners."""
+    """(i, j) that join components, without any that others already join, and each row's label after
+    that. ``rows`` gives for each i the mask of its partners."""
     _, label = np.unique(component, return_inverse=True)
     out = []
     for i, mask in rows:
@@ -299,7 +299,7 @@ def _forest(component, rows):
             out.append((i, j))
             label[label == label[j]] = label[i]
             mask &= label != label[i]
-    return out
+    return out, label
 
 
 def _fit(n, i, threshold):
@@ -307,13 +307,13 @@ def _fit(n, i, threshold):
 
 
 def _alike_components(threshold):
-    """(a, b): a forest of components with alike sketches in a part of a band."""
+    """(a, b): components of a part of a band that alike sketches join, each with the smallest one of them."""
     limit = most_bits(threshold)
 
     def rows(batches):
         for table in _whole(batches):
             n, component = table.column("n").to_numpy(), table.column("component").to_numpy()
-            sketch = pc.list_flatten(table.column("sketch")).to_numpy().reshape(-1, LONGS)
+            sketch = pc.list_flatten(table.column("sketch")).to_numpy().view(np.uint64).reshape(-1, LONGS)
             out = []
             for start, end in _groups(table):
                 part = slice(start, end)
@@ -323,10 +323,14 @@ def _alike_components(threshold):
                     for i in range(len(s)):
                         mask = (c != c[i]) & _fit(size, i, threshold)
                         at = np.flatnonzero(mask)
-                        mask[at] = np.bitwise_count(s[at] ^ s[i]).sum(axis=1) <= limit
+                        mask[at] = np.bitwise_count(s[at] ^ s[i]).sum(axis=1) <= limit  # unsigned: numpy counts the bits of absolute values
                         yield i, mask
 
-                out += [(c[i], c[j]) for i, j in _forest(c, masks())]
+                joined, label = _forest(c, masks())
+                if joined:  # each to the smallest one of its group: other bands hand on the same pairs
+                    least = np.full(int(label.max()) + 1, np.iinfo(np.int64).max)
+                    np.minimum.at(least, label, c)
+                    out += {(int(x), int(r)) for x, r in zip(c, least[label]) if x != r}
             yield _edges(out)
     return rows
 
@@ -366,7 +370,7 @@ def _linked_sets(threshold):
                 if (c == c[0]).all():
                     continue
                 both = overlaps(flat[ends[start]:ends[end]], size)
-                out += [(o[i], o[j]) for i, j in _forest(c, ((i, 100 * both[i] >= threshold * (size + size[i] - both[i])) for i in range(len(c))))]
+                out += [(o[i], o[j]) for i, j in _forest(c, ((i, 100 * both[i] >= threshold * (size + size[i] - both[i])) for i in range(len(c))))[0]]
             yield _edges(out)
     return rows
 

@@ -102,8 +102,8 @@ def test_forest_joins_what_the_masks_join():
     masks = np.zeros((6, 6), dtype=bool)
     masks[0, 3] = masks[3, 5] = masks[0, 5] = masks[1, 2] = True
     masks |= masks.T
-    assert len(o._forest(np.arange(6), enumerate(masks))) == 3
-    assert o._forest(np.array([0, 1, 1, 0, 4, 0]), enumerate(masks)) == []
+    assert len(o._forest(np.arange(6), enumerate(masks))[0]) == 3
+    assert o._forest(np.array([0, 1, 1, 0, 4, 0]), enumerate(masks))[0] == []
 
 
 def test_long_texts_in_chunks():
