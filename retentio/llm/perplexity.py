@@ -31,7 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bitmap_of, ship, stored
@@ -49,12 +49,13 @@ LONG_TEXT = 40
 #: Words from which a text's own sampling noise is small, and the least spread of its words' level.
 LONG_WORDS, WORD_FLOOR = 400, 0.02
 #: Words with this part of a language are looked up in a broadcast, the others by a join.
-HEAD = 50_000
+HEAD = 1_000_000
 #: Model entries that are broadcast at once.
 BLOCK = 4_000_000
 MIN_WORDS, MAX_REPEATED = 50, 50
 SYMBOLS = b"#*$%&|<>"
 _STEP = 1000
+ALL = object()  # the key of all languages together, null among them
 _START = 2  # stands before the first character
 #: Scripts written without blanks: each character is a word.
 _IDEOGRAPHS = re.compile("[\u2e80-\ua4cf\uf900-\ufaff\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
@@ -250,13 +251,27 @@ def _score(shared):
     return rows
 
 
-def _median(rows: DataFrame, value: Column, out: str) -> DataFrame:
-    """Median per language in steps of 1 / 1000: a histogram, summed by Spark."""
-    bins = rows.groupBy("lang", F.round(value * _STEP).cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    up = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    all_ = Window.partitionBy("lang")
-    half = bins.withColumn("up", F.sum("n").over(up)).withColumn("all", F.sum("n").over(all_)).where("2 * up >= all")
-    return half.groupBy("lang").agg((F.min("bin") / _STEP).alias(out), F.max("all").alias(f"{out}_of"))
+def _medians(rows: DataFrame, values: dict[str, Column]) -> dict[str, dict]:
+    """For each value and language (median, number of rows), in steps of 1 / 1000, and under the
+    key ``ALL`` of all rows. Histograms are summed by Spark; the driver gets a row per
+    language, value and step that occurs."""
+    bins = F.array(*[F.struct(F.lit(k).alias("kind"), F.round(v * _STEP).cast("long").alias("bin")) for k, v in values.items()])
+    counts = rows.select("lang", F.explode(bins).alias("b")).where("b.bin is not null").groupBy("lang", "b.kind", "b.bin").agg(F.count("*").alias("n"))
+    held: dict[str, dict] = {k: {} for k in values}
+    for lang, kind, at, n in counts.collect():
+        for key in (lang, ALL):
+            histogram = held[kind].setdefault(key, Counter())
+            histogram[at] += n
+    out: dict[str, dict] = {k: {} for k in values}
+    for kind, by_language in held.items():
+        for lang, histogram in by_language.items():
+            total, up = sum(histogram.values()), 0
+            for at in sorted(histogram):
+                up += histogram[at]
+                if 2 * up >= total:
+                    out[kind][lang] = (at / _STEP, total)
+                    break
+    return out
 
 
 def words_of(text: str) -> list[str]:
@@ -394,29 +409,50 @@ class Texts:
         return self.docs.mapInArrow(lambda batches: function(pick(batches)), schema).union(self.once.mapInArrow(function, schema))
 
 
-def _bands(judged: DataFrame, level: str, size: str, long: int, floor: float) -> DataFrame:
-    """Per language: the median of ``level`` and the squares of its noise (for size
-    1), of the spread between long texts, and of the median's own error.
+#: Levels that a text is judged by: its size, from when its own sampling noise is small, and the least spread.
+_LEVELS = {"level": ("windows", LONG_TEXT, FLOOR), "word_level": ("word_size", LONG_WORDS, WORD_FLOOR)}
+
+
+def _per_language(spark, rows: dict, columns: list[str]) -> DataFrame:
+    """A table with a row per language from {language: values}."""
+    schema = "lang string" + "".join(f", {c} double" for c in columns)
+    return spark.createDataFrame([(lang, *map(float, values)) for lang, values in rows.items()], schema)
+
+
+def _bands(judged: DataFrame) -> DataFrame:
+    """Per language and level: the median and the squares of its noise (for size 1), of
+    the spread between long texts, and of the median's own error.
 
     A language's noise and spread are at least what they are when the pooled
     spread of all languages counts as ``POOLED`` more texts, so that few texts
     do not make a point of a band; they have a wider median.
     """
-    middle = stored(_median(judged, F.col(level), "middle"), "perplexity-middle")
-    apart = F.abs(F.col(level) - F.col("middle"))
-    rows = _with(judged, middle).withColumn("_noise", apart * F.sqrt(size)).withColumn("_own", F.when(F.col(size) > long, apart))
-    for value in ("_noise", "_own"):
-        found = rows.where(F.col(value).isNotNull())
-        own = _median(found, F.col(value), value)
-        pooled = _median(found.withColumn("lang", F.lit(None).cast("string")), F.col(value), "_all").select("_all")
-        middle = _with(middle, own).join(F.broadcast(pooled), F.lit(True), "left")  # one row
-        n, mine, all_ = F.coalesce(f"{value}_of", F.lit(0)), F.coalesce(F.col(value), F.lit(0.0)), F.coalesce("_all", F.lit(0.0))
-        middle = middle.select("lang", "middle", "middle_of", *[c for c in ("noise2",) if value == "_own"],
-                               F.greatest(mine ** 2, (n * mine ** 2 + POOLED * all_ ** 2) / (n + POOLED)).alias("noise2" if value == "_noise" else "own2"))
-    # 1.4826 times the median absolute deviation estimates a standard deviation
-    return stored(middle.select("lang", F.col("middle").alias(f"{level}_middle"), (1.4826 ** 2 * F.col("noise2")).alias(f"{level}_noise2"),
-                                (1.4826 ** 2 * F.col("own2") / 4 + floor ** 2).alias(f"{level}_own2"), (math.pi / 2 / F.col("middle_of")).alias(f"{level}_error")),
-                  "perplexity-bands")
+    spark = judged.sparkSession
+    middles = _medians(judged, {k: F.col(k) for k in _LEVELS})
+    languages = {lang for m in middles.values() for lang in m if lang is not ALL}
+    nothing = (math.nan, 0)
+    table = _per_language(spark, {lang: [middles[k].get(lang, nothing)[0] for k in _LEVELS] for lang in languages}, [f"{k}_middle" for k in _LEVELS])
+    rows = _with(judged, table)
+    apart = {}
+    for level, (size, long, _) in _LEVELS.items():
+        distance = F.abs(F.col(level) - F.col(f"{level}_middle"))
+        apart[f"{level}_noise"] = F.when(~F.isnan(distance), distance * F.sqrt(size))
+        apart[f"{level}_own"] = F.when((F.col(size) > long) & ~F.isnan(distance), distance)
+    spreads = _medians(rows, apart)
+
+    def squared(kind, lang):
+        mine, n = spreads[kind].get(lang, (0.0, 0))
+        all_ = spreads[kind].get(ALL, (0.0, 0))[0]
+        # 1.4826 times the median absolute deviation estimates a standard deviation
+        return 1.4826 ** 2 * max(mine ** 2, (n * mine ** 2 + POOLED * all_ ** 2) / (n + POOLED))
+
+    found = {}
+    for lang in languages:
+        found[lang] = []
+        for level, (_, _, floor) in _LEVELS.items():
+            middle, n = middles[level].get(lang, nothing)
+            found[lang] += [middle, squared(f"{level}_noise", lang), squared(f"{level}_own", lang) / 4 + floor ** 2, math.pi / 2 / n if n else math.nan]
+    return _per_language(spark, found, [f"{k}_{x}" for k in _LEVELS for x in ("middle", "noise2", "own2", "error")])
 
 
 def _spread(level: str, size: str) -> Column:
@@ -491,15 +527,16 @@ def perplexity_rules(docs: DataFrame, width: float = WIDTH, block: int = BLOCK)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     scored = stored(scored.withColumn("base_failed", failed).join(levels, "key", "left"), "perplexity-scored")
 
-    judged = scored.where("not base_failed").dropDuplicates(["key"])  # a text and its copies count once
-    out = _with(scored, _bands(judged, "level", "windows", LONG_TEXT, FLOOR))
-    out = _with(out, _bands(judged, "word_level", "word_size", LONG_WORDS, WORD_FLOOR))
+    judged = scored.where("not base_failed").select("key", "lang", *[c for k, v in _LEVELS.items() for c in (k, v[0])])
+    judged = stored(judged.dropDuplicates(["key"]), "perplexity-judged")  # a text and its copies count once
+    out = _with(scored, _bands(judged))
     low, high = (F.exp(F.col("level_middle") + sign * width * _spread("level", "windows")) for sign in (-1, 1))
     out = out.withColumn("perplexity", F.exp("level")).withColumn("band_low", low).withColumn("band_high", high)
     of_text, of_words = ((F.col(level) - F.col(f"{level}_middle")) / _spread(level, size) for level, size in (("level", "windows"), ("word_level", "word_size")))
     # common words between odd characters, or rare words of common ones, show in the difference
     inside = (F.abs(of_text) <= width) & (F.abs(of_words) <= width) & (F.abs(of_text - of_words) <= width * math.sqrt(2))
-    inside = F.coalesce(inside, F.lit(True))
+    unjudged = F.isnan(of_text) | F.isnan(of_words)
+    inside = F.coalesce(unjudged | inside, F.lit(True))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & inside).alias("kept"), "lang", "perplexity", "band_low", "band_high")
 
