@@ -20,7 +20,7 @@ from ..operators import boards, cohorts, curves, lifecycle, population, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
-from .defaults import EVENTS_END, EVENTS_START, sheets_folder, today
+from .defaults import AS_OF, EARLY, EVENTS_END, EVENTS_START, sheets_folder, today
 from .guards import broadcast_if_small
 
 REGISTRY: dict[str, Callable[[Model], DataFrame]] = {}
@@ -38,8 +38,8 @@ def publish(df: DataFrame, money=(), digits: int = 2) -> DataFrame:
     return df.withColumns({c: X.money(c, digits) for c in money})
 
 
-def _mw():
-    return W.month_windows(today())
+def _mw(default=AS_OF):
+    return W.month_windows(today(default))
 
 
 _SHEETS: dict = {}
@@ -131,8 +131,8 @@ def _month_reorder(m):
 
 @query("vertical_trials")
 def _vertical_trials(m):
-    mw = _mw()
-    return lifecycle.vertical_trials(m, today(), mw.itm, mw.ftm)
+    mw = _mw(EARLY)
+    return lifecycle.vertical_trials(m, today(EARLY), mw.itm, mw.ftm)
 
 
 @query("desired_returns")
@@ -147,7 +147,7 @@ def _reactivations(m):
 
 @query("country_scorecard")
 def _country_scorecard(m):
-    return boards.country_scorecard(m, today())
+    return boards.country_scorecard(m, today(EARLY))
 
 
 @query("crm_scorecard")
@@ -225,7 +225,7 @@ def _mature_cohorts(m):
 
 @query("adr_after_campaign")
 def _adr_after_campaign(m):
-    df = cohorts.adr_after_campaign(m, today(), like="%BRAND%")
+    df = cohorts.adr_after_campaign(m, today(), like="%BRAND1%")
     return publish(df, ["Total_Paid", "Total_Disc", "Total_Voucher_Disc", "Total_Amount_Used", "Total_Paid_USD",
                         "Total_Disc_USD", "Total_Voucher_Disc_USD", "Total_Amount_Used_USD"])
 
@@ -244,6 +244,7 @@ def model_for(spark: SparkSession, sf_dir: str) -> Model:
 # ------------------------------------------------------------------ coupons and vouchers
 PERF_MONEY = ["Used_Amount_Confirmed", "Used_Amount_Confirmed_Shopper", "Used_Amount_Confirmed_USD",
               "Used_Amount_Confirmed_USD_Shopper", "Used_Final_USD", "Used_Final"]
+# The report's columns.
 STATS_COLS = ["Country", "City", "Campaign", "Acq_M1", "Acq_M2", "Acq_M3", "Acquisitions", "M1_Orders",
               "M1_Orders_Final", "M1_Total_Disc", "M1_Total_Paid", "M1_Total_Voucher_Disc", "M1_Users",
               "M1_Users_Final", "M2_Orders", "M2_Orders_Final", "M2_Total_Disc", "M2_Total_Paid",
@@ -386,8 +387,8 @@ def _reactivation_profile(m):
 # ------------------------------------------------------------------ trials, heavy users, bands
 @query("vertical_trials_by_campaign")
 def _vertical_trials_by_campaign(m):
-    mw = _mw()
-    return lifecycle.vertical_trials_by_campaign(m, today(), [mw.itm, mw.ilm])
+    mw = _mw(EARLY)
+    return lifecycle.vertical_trials_by_campaign(m, today(EARLY), [mw.itm, mw.ilm])
 
 
 @query("heavy_users_repeat")
@@ -473,13 +474,13 @@ def _weekly_spend_board(m):
 CURVE_RATIOS = ["Cum_M1", "Weekday Value", "Cum_Weekday", "Month Value", "Month M1", "%Month", "%M1"]
 
 
-def _curve_window():
-    start = W.first_of_month(W.add_months(today(), -3))
-    return start, _mw().flm, _mw().ftm
+def _curve_window(default=AS_OF):
+    mw = _mw(default)
+    return W.first_of_month(W.add_months(today(default), -3)), mw.flm, mw.ftm
 
 
 def _m1_curve(m):
-    start, end, oend = _curve_window()
+    start, end, oend = _curve_window(EARLY)
     return curves.reorder_curve(curves.curve_points(m, start, end, oend, "M1"), "M1_Fecha", "Acq")
 
 

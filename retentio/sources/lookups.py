@@ -75,6 +75,10 @@ ZONES_FIXTURE = [
     ("NATION_1", "CITY-AREA", "NATION_1-HOUSEHOLD-AREA_3", "HIGH"),
     ("NATION_1", "CITY-AREA", "NATION_1-AUTOMOBILE-AREA_5", "MEDIUM"),
     ("NATION_2", "CITY", "NATION_2-FURNITURE-", "HIGH"),
+    # the key format of the competition board
+    ("NATION_1", "CITY-AREA", "HOUSEHOLD-AREA_3", "HIGH"),
+    ("NATION_1", "CITY-AREA", "AUTOMOBILE-AREA_5", "MEDIUM"),
+    ("NATION_0", "CITY", "-AREA_2", "LOW"),
 ]
 
 
