@@ -4,7 +4,9 @@ The standard library's parser streams the page's events. Block elements cut the
 page into lines; each has its text, the number of tags in it, and the containers
 that it lies in. Elements that name themselves as something other than the
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, comments) are left out as they are met.
+styles, comments) are left out as they are met. The name of a wrapper (a div or
+section called "widget", say) is only a hint: it holds unless all content, by the
+ratios below, lies in such wrappers.
 
 The text-to-tag ratios of the lines are smoothed with a Gaussian and split into
 two clusters at the threshold between their means. Lines of the upper cluster
@@ -17,8 +19,8 @@ short ones too.
 from __future__ import annotations
 
 import math
-import os
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -44,6 +46,8 @@ comments commentlist consent cookie cookies disclaimer discussion disqus footer
 navigation newsletter notice notices notification outbrain overlay pager pagination popup promo promos promotion recommended related
 replies respond search share sharing sidebar sidebars signup skyscraper social sponsor sponsored sponsors subscribe subscription taboola
 toolbar topbar widget widgets""".split())
+#: Readers' remarks are long texts too: their containers are left out whatever their ratio.
+REMARK_NAMES = frozenset("comment comments commentlist discussion disqus replies respond".split())
 LAYOUT = frozenset("has with no without".split())
 #: Elements that a new block of the same kind, or any block for p, closes.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -65,14 +69,26 @@ def _named_out(attrs) -> bool:
     return False
 
 
+def _remarks(attrs) -> bool:
+    return any(key in ("class", "id") and value and not REMARK_NAMES.isdisjoint(_NAME.findall(_CAMEL.sub(" ", value).lower())) for key, value in attrs)
+
+
 class PageLines(HTMLParser):
-    """Lines of a page: (text, tags, containers). ``out`` counts open elements that are left out."""
+    """Lines of a page: (text, tags, innermost container or -1). ``out`` counts open elements that are left out.
+
+    Containers are numbered as they open and know their parent, so a line costs the
+    same however deep it lies.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int]] = []
         self.kinds: list[str] = []  # of the containers, by number
-        self.open: list[tuple[str, int, bool]] = []  # tag, container number or -1, left out by its name
+        self.parents: list[int] = []
+        self.doubtful: list[bool] = []  # containers left out by their name only
+        self.path: list[int] = []  # open containers
+        self.open: list[tuple[str, int, bool]] = []  # tag, container number or -1, left out
+        self.names: Counter[str] = Counter()  # open elements by tag
         self.text: list[str] = []
         self.tags = 0
         self.out = 0
@@ -80,7 +96,7 @@ class PageLines(HTMLParser):
     def flush(self):
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, tuple(c for _, c, _ in self.open if c >= 0)))
+            self.lines.append((text, self.tags, self.path[-1] if self.path else -1))
         self.text, self.tags = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -93,19 +109,23 @@ class PageLines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        out = tag in OUT_TAGS or (tag not in REGION and tag not in ("html", "body") and _named_out(attrs))
-        if tag in REGION and not _named_out(attrs):
+        named = tag not in ("html", "body") and _named_out(attrs)
+        # a name alone does not decide for a wrapper, unless it is one of readers' remarks
+        doubtful = named and tag in ("div", "section") and not _remarks(attrs)
+        out = tag in OUT_TAGS or named and not doubtful
+        if tag in REGION and not named and any(self.doubtful[c] for c in self.path):
             # a wrapper named after its sidebar or menu does not hide the article itself
-            if any(o and t in ("div", "section") for t, _, o in self.open) and not any(o and t in OUT_TAGS for t, _, o in self.open):
-                self.open = [(t, c, False) for t, c, _ in self.open]
-                self.out = 0
-        elif tag in REGION:
-            out = True
+            for c in self.path:
+                self.doubtful[c] = False
         number = -1
         if tag in CONTAINER:
             number = len(self.kinds)
             self.kinds.append(tag)
+            self.parents.append(self.path[-1] if self.path else -1)
+            self.doubtful.append(doubtful)
+            self.path.append(number)
         self.open.append((tag, number, out))
+        self.names[tag] += 1
         self.out += out
 
     def handle_startendtag(self, tag, attrs):
@@ -125,14 +145,19 @@ class PageLines(HTMLParser):
                 return
 
     def _close(self, i):
-        for _, _, out in self.open[i:]:
+        for tag, number, out in self.open[i:]:
             self.out -= out
+            self.names[tag] -= 1
+            if number >= 0:
+                self.path.pop()
         del self.open[i:]
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.flush()
         self.tags += 1
+        if not self.names[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name == tag:
@@ -174,6 +199,51 @@ def threshold(values: list[float]) -> float:
     return cut
 
 
+def _content(lines) -> list[bool]:
+    """The lines whose smoothed text-to-tag ratio falls into the upper cluster."""
+    ratio = smooth([len(text) / max(1, tags) for text, tags, _ in lines])
+    cut = threshold(ratio)
+    return [r >= cut for r in ratio]
+
+
+def _down(parents: list[int], flags) -> list[bool]:
+    """Flags of the containers, handed down to all that lie in them (the last entry: in none)."""
+    out = [False] * (len(parents) + 1)
+    for c, (parent, flag) in enumerate(zip(parents, flags)):
+        out[c] = flag or out[parent]
+    return out
+
+
+def _innermost(parents: list[int], containers) -> int:
+    """The innermost container that holds all of ``containers``; -1 if none does."""
+    held = [0] * (len(parents) + 1)
+    for c in containers:
+        held[c] += 1
+    for c in range(len(parents) - 1, -1, -1):  # a container opens after its parent
+        held[parents[c]] += held[c]
+    return max((c for c, n in enumerate(held[:-1]) if n == len(containers)), default=-1)
+
+
+def _believed(page: PageLines) -> list[tuple[str, int, int]]:
+    """The lines outside doubtful containers. If there is neither an article nor a line of
+    some length outside them, and all content lies in them, their names say nothing about
+    it, and the lines of the containers with content count too."""
+    hidden = _down(page.parents, page.doubtful)
+    plain = [line for line in page.lines if not hidden[line[2]]]
+    if len(plain) == len(page.lines) or not REGION.isdisjoint(page.kinds) or any(len(text) >= REMARK for text, _, _ in plain):
+        return plain
+    content = [line for line, ok in zip(page.lines, _content(page.lines)) if ok]
+    if not all(hidden[c] for _, _, c in content) or max(len(text) for text, _, _ in content) < REMARK:
+        return plain
+    trusted = set()
+    for _, _, c in content:
+        while c >= 0 and c not in trusted:
+            trusted.add(c)
+            c = page.parents[c]
+    hidden = _down(page.parents, [d and c not in trusted for c, d in enumerate(page.doubtful)])
+    return [line for line in page.lines if not hidden[line[2]]]
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by newlines; empty if there are none."""
     if not html:
@@ -182,21 +252,18 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.flush()
-    lines = page.lines
+    lines = _believed(page) if page.lines else []
     if not lines:
         return ""
-    ratio = smooth([len(text) / max(1, tags) for text, tags, _ in lines])
-    cut = threshold(ratio)
-    content = [r >= cut for r in ratio]
-    articles = {c for _, _, containers in lines for c in containers if page.kinds[c] in REGION}
-    paths = [containers for (_, _, containers), ok in zip(lines, content) if ok]
-    outside = sum(len(text) for (text, _, containers), ok in zip(lines, content) if ok and articles.isdisjoint(containers))
-    regions = articles
+    content = _content(lines)
+    kept = in_article = _down(page.parents, [kind in REGION for kind in page.kinds])
+    articles = any(in_article[c] for _, _, c in lines)
+    outside = sum(len(text) for (text, _, c), ok in zip(lines, content) if ok and not in_article[c])
     if not articles or outside >= REMARK:
-        common = os.path.commonprefix(paths)  # from the outermost container inwards
-        regions = articles | {common[-1]} if common else set()
-    kept = [text for text, _, containers in lines if not regions or not regions.isdisjoint(containers)]
-    return "\n".join(kept)
+        common = _innermost(page.parents, [c for (_, _, c), ok in zip(lines, content) if ok])
+        within = _down(page.parents, [c == common for c in range(len(page.kinds))])
+        kept = [a or b or common < 0 for a, b in zip(in_article, within)]
+    return "\n".join(text for text, _, c in lines if kept[c])
 
 
 def _rows(batches):

@@ -46,6 +46,23 @@ def test_smoothing_and_threshold():
     assert 2 < threshold([1, 2, 1, 30, 31]) < 30
 
 
+def test_a_wrapper_named_widget_may_hold_the_article(monkeypatch):
+    page = f"<body><nav>menu</nav><div class='elementor-widget-container'><h1>Title</h1>{P[0]}{P[1]}</div><div class='share'>share</div></body>"
+    text = " ".join(LONG[0].split()) + "\n" + " ".join(LONG[1].split())
+    assert main_text(page) == "Title\n" + text
+    # beside a text, such wrappers stay out; remarks stay out in any case
+    assert main_text(f"<div>{P[0]}{P[1]}</div><div class='widget'>{P[2]}{P[3]}</div>") == text
+    assert main_text(f"<h1>Title</h1><div class='comments'>{P[2]}{P[3]}</div>") == "Title"
+    # the ratio decides which wrapper holds content
+    monkeypatch.setattr("retentio.llm.html_text._content", lambda lines: [True] * len(lines))
+    assert main_text(page) != "Title\n" + text
+
+
+def test_unclosed_nesting_costs_no_more_than_its_length():
+    lines = main_text("<div><p>word" * 30_000).split("\n")  # each line lies in all containers before it
+    assert len(lines) == 30_000 and set(lines) == {"word"}
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
     assert len(main_text("<article>" + "<p>word &lt;</p>" * 20000 + "</article>").split("\n")) == 20000
