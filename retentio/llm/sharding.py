@@ -11,6 +11,11 @@ falls inside a stretch lies between two bounds; the search runs once with the
 lower and once with the upper bound, and only the stretches that cuts can
 still touch are split further. A few rounds make the bounds meet, so the
 capacity and the cuts are exact. Everything is DataFrame operations.
+
+A group as large as the capacity fills a shard alone, and says nothing about the
+rest: it is set apart, and the search runs again for the stretches between such
+groups and the shards that are left. The same is done with the first shard while
+shards would stay empty. So neither leaves the other shards unequal.
 """
 
 from __future__ import annotations
@@ -42,27 +47,36 @@ class _Cells:
             return high
         return low if least or n <= 2 else x
 
-    def fill(self, capacity: int, n: int, total: int, least: bool) -> list[int] | None:
-        """Greedy cuts with this capacity; None if more than ``n`` shards are needed."""
-        cuts, at = [], 0
-        while at < total:
-            cut = self.cut(at + capacity, least)
-            if cut <= at or len(cuts) == n:
-                return None
-            cuts.append(cut)
-            at = cut
+    def fill(self, capacity: int, n: int, parts: list[tuple[int, int]], least: bool) -> list[int] | None:
+        """Greedy cuts of the ``parts`` with this capacity; None if more than ``n`` shards are needed."""
+        cuts = []
+        for at, end in parts:
+            while at < end:
+                cut = end if at + capacity >= end else self.cut(at + capacity, least)
+                if cut <= at or len(cuts) == n:
+                    return None
+                cuts.append(cut)
+                at = cut
         return cuts
 
-    def smallest(self, n: int, total: int, low: int, least: bool) -> int:
-        high = total
+    def smallest(self, n: int, parts: list[tuple[int, int]], low: int, least: bool) -> int:
+        high = sum(end - at for at, end in parts)
         while low < high:
             mid = (low + high) // 2
-            if self.fill(mid, n, total, least) is None:
+            if self.fill(mid, n, parts, least) is None:
                 low = mid + 1
             else:
                 high = mid
         return low
 
+    def reached(self, capacity: int, n: int, at: int, end: int) -> list[int]:
+        """Lower bounds of the first ``n`` greedy cuts of a part, also where the fill fails."""
+        out = []
+        for _ in range(n):
+            at = end if at + capacity >= end else max(at, self.cut(at + capacity, True))
+            out.append(at)
+        return out
+
 
 def _fetch(ends: DataFrame, ranges: list[tuple[int, int]], cells: int) -> list[tuple[int, int, int]]:
     """Stretches of the running sums within ``ranges`` (inclusive), ``cells`` at most in all."""
@@ -81,38 +95,55 @@ def _fetch(ends: DataFrame, ranges: list[tuple[int, int]], cells: int) -> list[t
     return [(r[1], r[2], r[3]) for r in found]
 
 
-def minimax_cuts(ends: DataFrame, total: int, largest: int, n_shards: int, cells: int = 50_000) -> list[int]:
-    """Where to cut ``ends`` (running sums ``_end`` of the ordered group sizes)."""
-    known = _Cells(_fetch(ends, [(1, total)], cells))
-    least = max(largest, -(-total // n_shards))
+def _settled(ends: DataFrame, known: _Cells, n: int, parts: list[tuple[int, int]], least: int, cells: int) -> tuple[_Cells, int, list[int]]:
+    """The smallest capacity for ``n`` shards of the parts and its cuts, with what was fetched for it."""
     while True:
-        low = known.smallest(n_shards, total, least, least=False)
-        high = known.smallest(n_shards, total, low, least=True)
-        first = known.fill(low, n_shards, total, least=True)
-        last = known.fill(high, n_shards, total, least=False)
+        low = known.smallest(n, parts, least, least=False)
+        high = known.smallest(n, parts, low, least=True)
+        first = known.fill(low, n, parts, least=True)
+        last = known.fill(high, n, parts, least=False)
         if low == high and first == last:
-            return first
-        # cut j + 1 lies between these for every capacity that is still possible
-        earliest, latest = [0, *_steps(known, low, n_shards)], [0, *last]
-        spans = [(a + low, b + high) for a, b in zip(earliest, latest)]
-        touched = [c for c in known.cells if c[2] > 2 and any(c[0] <= b and a <= c[1] for a, b in spans)]
-        ranges = []
-        for a, b, _ in touched:
-            ranges.append((a, b))
-        rest = [c for c in known.cells if c not in set(touched)]
+            return known, low, first
+        # cut j + 1 of a part lies between these for every capacity that is still possible
+        spans = []
+        for at, end in parts:
+            latest = [c for c in last if at < c <= end]
+            earliest = [at, *known.reached(low, n, at, end)]
+            spans += [(x + low, min(y + high, end)) for x, y in zip(earliest, [at, *latest, *[end] * (n - len(latest))]) if x < end]
+        touched = [c for c in known.cells if c[2] > 2 and any(c[0] <= y and x <= c[1] for x, y in spans)]
+        split = set(touched)
+        rest = [c for c in known.cells if c not in split]
         found = []
-        for k in range(0, len(ranges), 60):  # a few dozen ranges a query
-            found += _fetch(ends, ranges[k:k + 60], max(120, cells * 60 // max(60, len(ranges))))
+        for k in range(0, len(touched), 60):  # a few dozen ranges a query
+            ranges = [(x, y) for x, y, _ in touched[k:k + 60]]
+            found += _fetch(ends, ranges, max(120, cells * 60 // max(60, len(touched))))
         known = _Cells(rest + found)
 
 
-def _steps(known: _Cells, capacity: int, n: int) -> list[int]:
-    """Lower bounds of the first ``n`` greedy cuts, also where the fill fails."""
-    out, at = [], 0
-    for _ in range(n):
-        at = max(at, known.cut(at + capacity, True))
-        out.append(at)
-    return out
+def minimax_cuts(ends: DataFrame, n_shards: int, cells: int = 50_000) -> list[int]:
+    """Where to cut ``ends`` (running sums ``_end`` of the ordered group sizes ``_size``)."""
+    total = ends.agg(F.max("_end")).first()[0]
+    if not total:
+        return []
+    # a group set apart is at least as large as the mean of what is left: n_shards of them at most
+    large = [(r["_end"] - r["_size"], r["_end"]) for r in
+             ends.orderBy(F.desc("_size"), "_end").limit(n_shards).select("_end", "_size").collect()]
+    known, alone = _Cells(_fetch(ends, [(1, total)], cells)), []
+    while True:
+        marks = [0, *(x for pair in sorted(alone) for x in pair), total]
+        parts = [(x, y) for x, y in zip(marks[::2], marks[1::2]) if x < y]
+        n = n_shards - len(alone)
+        if not parts:
+            return sorted(y for _, y in alone)
+        large = [(x, y) for x, y in large if any(a <= x and y <= b for a, b in parts)]
+        largest = large[0][1] - large[0][0] if large else 1
+        known, capacity, cuts = _settled(ends, known, n, parts, max(largest, -(-sum(y - x for x, y in parts) // n)), cells)
+        if n > 1 and large and capacity == largest:
+            alone.append(large[0])
+        elif n > 1 and 1 < len(cuts) < n:
+            alone.append((parts[0][0], cuts[0]))
+        else:
+            return sorted([*cuts, *(y for _, y in alone)])
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 40, cells: int = 50_000) -> DataFrame:
@@ -131,8 +162,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, cells: int = 50_000) ->
     groups = base.groupBy("_key").agg(F.min("doc_id").alias("_first"), F.sum("size").alias("_size"))
     in_order = [F.col("_first").asc_nulls_last(), F.col("_key")]
     ends = stored(running(groups, in_order, "_size", "_end", "shard-groups"), "shard-ends")
-    total, largest = ends.agg(F.max("_end"), F.max("_size")).first()
-    cuts = minimax_cuts(ends, total, largest, n_shards, cells) if total else []
+    cuts = minimax_cuts(ends, n_shards, cells)
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
     placed = base.join(ends.select("_key", "_end", F.size(F.filter(bounds, lambda c: c < F.col("_end"))).alias("shard")), "_key")
     by_place = [F.col("_end"), F.col("doc_id").asc_nulls_last()]
