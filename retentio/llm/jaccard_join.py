@@ -82,18 +82,18 @@ def _describe(n, buckets):
     def rows(batches):
         counts, ids = np.zeros(buckets, dtype=np.int64), None
         for batch in batches:
-            ids = batch.column(0)
+            ids, keys = batch.column(0), batch.column(2)
             sets = [shingles(t, n) for t in batch.column(1).to_pylist()]
             if any(map(len, sets)):
                 counts += np.bincount(np.concatenate(sets) & (buckets - 1), minlength=buckets)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(_set_id, sets)), pa.int64()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())],
-                names=["doc_id", "n", "set", "bucket", "count"])
+                [ids, pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(_set_id, sets)), pa.int64()), keys, pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())],
+                names=["doc_id", "n", "set", "key", "bucket", "count"])
         at = np.flatnonzero(counts)
         if len(at):
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(at), ids.type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.array(at.astype(np.int32)), pa.array(counts[at])],
-                names=["doc_id", "n", "set", "bucket", "count"])
+                [pa.nulls(len(at), ids.type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.array(at.astype(np.int32)), pa.array(counts[at])],
+                names=["doc_id", "n", "set", "key", "bucket", "count"])
     return rows
 
 
@@ -102,6 +102,7 @@ def _prefixes(shared, n, buckets, threshold):
     def rows(batches):
         counts = np.frombuffer(shared.value, dtype=np.int64)
         seen: set[int] = set()
+        keys: set[int] = set()
         held, held_rows = [], 0
 
         def out():
@@ -109,7 +110,10 @@ def _prefixes(shared, n, buckets, threshold):
             return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "set", "size", "pos"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if key in keys:
+                    continue
+                keys.add(key)
                 hashes = shingles(text, n)
                 own = _set_id(hashes)
                 if own is None or own in seen:
@@ -235,56 +239,73 @@ def _blocks(size, threshold, i):
     return slice(np.searchsorted(100 * size, threshold * size[i]), np.searchsorted(threshold * size, 100 * size[i], side="right"))
 
 
+def _partners(size, pos, comp, threshold):
+    """For the sets of a list outside its largest component: each one, the sets that it may
+    be similar to in other components, and which of them are in the largest."""
+    _, which, counts = np.unique(comp, return_inverse=True, return_counts=True)
+    largest = which == counts.argmax()
+    order = np.cumsum(~largest)
+    for i in np.flatnonzero(~largest):
+        block = _blocks(size, threshold, i)
+        ok = (comp[block] != comp[i]) & (largest[block] | (order[block] > order[i])) & ~_cannot(size[i], pos[i], size[block], pos[block], threshold)
+        j = np.flatnonzero(ok) + block.start
+        if len(j):
+            yield i, j, largest[j]
+
+
 def _mixed(cols, threshold):
-    """For lists of several components: each set outside the largest one, the sets that it
-    may be similar to in other components, and which of them are in the largest."""
+    """(sets, components, partners) of the lists of several components."""
     token, own, size, pos, comp = cols
     size = size.astype(np.int64)
     edges = np.append(np.flatnonzero(np.diff(token, prepend=token[0] - 1)), len(token))
     mixed = np.minimum.reduceat(comp, edges[:-1]) != np.maximum.reduceat(comp, edges[:-1])
     for k in np.flatnonzero(mixed):
         at = slice(edges[k], edges[k + 1])
-        o, s, p, c = own[at], size[at], pos[at], comp[at]
-        _, which, counts = np.unique(c, return_inverse=True, return_counts=True)
-        largest = which == counts.argmax()
-        order = np.cumsum(~largest)
-        for i in np.flatnonzero(~largest):
-            block = _blocks(s, threshold, i)
-            ok = (c[block] != c[i]) & (largest[block] | (order[block] > order[i])) & ~_cannot(s[i], p[i], s[block], p[block], threshold)
-            j = np.flatnonzero(ok) + block.start
-            if len(j):
-                yield o, c, i, j, largest[j]
+        yield own[at], comp[at], _partners(size[at], pos[at], comp[at], threshold)
 
 
-def _pairs_of(pairs, names):
-    both = np.unique(np.array(pairs, dtype=np.int64).reshape(-1, 2), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=names)
+def _pairs_of(a, b):
+    both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
 
 def _attach(threshold):
-    """A partner in the list's largest component for each set outside it, and (set, set) for all that may have a partner."""
+    """A partner in the list's largest component for each set outside it, and (set, set) for
+    all that may have a partner: at most two rows for each row of a list."""
     def of_lists(cols):
-        out = []
-        for own, _, i, j, large in _mixed(cols, threshold):
-            out.append((own[i], own[i]))
-            out += zip(own[j], own[j])
-            inner = j[large]
-            if len(inner):
-                other = own[inner[int(own[i]) % len(inner)]]
-                out.append((min(own[i], other), max(own[i], other)))
-        if out:
-            yield _pairs_of(out, ["a", "b"])
+        a, b = [], []
+        for own, _, partners in _mixed(cols, threshold):
+            met, other = np.zeros(len(own), dtype=bool), np.full(len(own), -1)
+            for i, j, large in partners:
+                met[i] = True
+                met[j] = True
+                inner = j[large]
+                if len(inner):
+                    other[i] = inner[int(own[i]) % len(inner)]
+            i = np.flatnonzero(other >= 0)
+            one, two = own[i], own[other[i]]
+            a += [own[met], np.minimum(one, two)]
+            b += [own[met], np.maximum(one, two)]
+        if a:
+            yield _pairs_of(a, b)
     return _by_list(of_lists)
 
 
-def _between(threshold):
-    """Pairs of components with sets that may be similar."""
+def _between(threshold, held_pairs=1_000_000):
+    """Pairs of components with sets that may be similar, handed on in pieces."""
     def of_lists(cols):
-        out: set[tuple[int, int]] = set()
-        for _, comp, i, j, _ in _mixed(cols, threshold):
-            out.update((min(comp[i], c), max(comp[i], c)) for c in np.unique(comp[j]).tolist())
-        if out:
-            yield _pairs_of(list(out), ["a", "b"])
+        a, b, held = [], [], 0
+        for _, comp, partners in _mixed(cols, threshold):
+            for i, j, _ in partners:
+                other = np.unique(comp[j])
+                a.append(np.minimum(comp[i], other))
+                b.append(np.maximum(comp[i], other))
+                held += len(other)
+                if held > held_pairs:
+                    yield _pairs_of(a, b)
+                    a, b, held = [], [], 0
+        if a:
+            yield _pairs_of(a, b)
     return _by_list(of_lists)
 
 
@@ -300,28 +321,32 @@ def _long_pairs(lists: DataFrame, threshold: int, salts: int = 16) -> DataFrame:
         F.col("a_set").alias("a"), F.col("b_set").alias("b"), F.col("a_component").alias("component_a"), F.col("b_component").alias("component_b")).distinct()
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(set, size, hashes) of the sets in ``wanted`` (column set), from the texts."""
-    bits, bitmap = bitmap_of(wanted, "set")
+def _sets_of(docs: DataFrame, documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(set, size, hashes) of the sets in ``wanted`` (column set), each from one of its texts.
+
+    Only texts whose key has its bit in a bitmap of the wanted keys are cut into shingles."""
+    keys = documents.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("key").alias("key"))
+    bits, bitmap = bitmap_of(keys, "key")
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def rows(batches):
         words, seen = np.frombuffer(shared.value, dtype=np.uint64), set()
         for batch in batches:
+            low = batch.column(1).to_numpy() & (bits - 1)
+            at = np.flatnonzero(words[low >> 6] >> (low & 63).astype(np.uint64) & np.uint64(1))
             ids, sets = [], []
-            for text in batch.column(0).to_pylist():
+            for text, key in zip(batch.column(0).take(pa.array(at)).to_pylist(), batch.column(1).to_numpy()[at].tolist()):
+                if key in seen:
+                    continue
+                seen.add(key)
                 hashes = shingles(text, n)
                 own = _set_id(hashes)
-                if own is None or own in seen:
-                    continue
-                bit = own & (bits - 1)
-                if int(words[bit >> 6]) >> (bit & 63) & 1:
-                    seen.add(own)
+                if own is not None:
                     ids.append(own)
                     sets.append(hashes)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["set", "hashes"])
 
-    found = docs.select("text").mapInArrow(rows, "set long, hashes array<long>").join(wanted, "set", "left_semi")
+    found = docs.select("text", "key").mapInArrow(rows, "set long, hashes array<long>").join(wanted, "set", "left_semi")
     return stored(found.groupBy("set").agg(F.first("hashes").alias("hashes")).withColumn("size", F.size("hashes").cast("long")), "jaccard-sets")
 
 
@@ -401,15 +426,15 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     """(documents: doc_id, n, set; components: node, component) of the similarity join."""
     spark = ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.select("doc_id", "text")
-    described = stored(docs.mapInArrow(_describe(n, BUCKETS), f"doc_id {id_type}, n long, set long, bucket int, count long"), "jaccard-documents")
-    documents = described.where("bucket is null").select("doc_id", "n", "set")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    described = stored(docs.mapInArrow(_describe(n, BUCKETS), f"doc_id {id_type}, n long, set long, key long, bucket int, count long"), "jaccard-documents")
+    documents = described.where("bucket is null").select("doc_id", "n", "set", "key")
     counts = np.zeros(BUCKETS, dtype=np.int64)
     table = described.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()  # BUCKETS rows at most
     counts[table.column("bucket").to_numpy()] = table.column("count").to_numpy()
 
     row = "token long, set long, size int, pos int"
-    prefixes = docs.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(counts.tobytes()), n, BUCKETS, threshold), row)
+    prefixes = docs.select("text", "key").mapInArrow(_prefixes(spark.sparkContext.broadcast(counts.tobytes()), n, BUCKETS, threshold), row)
     lists = stored(prefixes.repartition("token").sortWithinPartitions("token", "size", "set")
                    .mapInArrow(_lists(threshold, long), row + "".join(f", {c} long" for c in LEADS)), "jaccard-lists")
 
@@ -419,33 +444,31 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     leads = lists.select(F.explode(F.array_compact(F.array(*LEADS))).alias("a"), F.col("set").alias("b"))
     first = stored(leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-leaders")
     nodes = first.select(F.col("a").alias("set")).union(first.select("b")).distinct()
-    sets = _sets_of(docs, stored(nodes, "jaccard-nodes"), n)
+    sets = _sets_of(docs, documents, stored(nodes, "jaccard-nodes"), n)
     free_shuffles(spark)
     links = stored(_linked(_answers(_one_by_one(first), sets), threshold), "jaccard-links")
-    marked = _marked_lists(lists.drop(*LEADS), components(links))
+    open_lists = _open_lists(lists.drop(*LEADS), components(links), long)
     discard(lists)
     free_shuffles(spark)
 
     # sets that are still outside the largest component of a list: one partner there
-    short, long_lists = _open_lists(marked, long)
-    across = stored(_long_pairs(long_lists, threshold), "jaccard-across")
-    tried = stored(short.mapInArrow(_attach(threshold), "a long, b long").distinct(), "jaccard-tried")
+    across = stored(_long_pairs(open_lists.where("long"), threshold), "jaccard-across")
+    tried = stored(_in_tasks(open_lists, _attach(threshold), "a long, b long").distinct(), "jaccard-tried")
     touched = tried.where("a = b").select(F.col("a").alias("set"))
     touched = stored(touched.union(across.select("a")).union(across.select("b")).distinct(), "jaccard-touched")
-    others = _sets_of(docs, stored(touched.join(sets.select("set"), "set", "left_anti"), "jaccard-missing"), n)
+    others = _sets_of(docs, documents, stored(touched.join(sets.select("set"), "set", "left_anti"), "jaccard-missing"), n)
     held, sets = (sets, others), sets.union(others)
     free_shuffles(spark)
     more = stored(_linked(_answers(_one_by_one(tried.where("a < b").join(first, ["a", "b"], "left_anti")), sets), threshold), "jaccard-links")
     links = links.union(more)
     joined = components(links)
-    before, marked = marked, _marked_lists(marked.drop("component"), joined)
+    before, open_lists = open_lists, _open_lists(open_lists.drop("component", "long"), joined, long)
     discard(before)
     free_shuffles(spark)
 
     # components that may still be similar: the smaller one's sets against blocks of the larger one's
-    short, long_lists = _open_lists(marked, long)
-    pairs = short.mapInArrow(_between(threshold), "a long, b long")
-    across = _long_pairs(long_lists, threshold)
+    pairs = _in_tasks(open_lists, _between(threshold), "a long, b long")
+    across = _long_pairs(open_lists.where("long"), threshold)
     pairs = stored(pairs.union(across.select("component_a", "component_b")).distinct(), "jaccard-pairs")
     members = touched.join(joined.withColumnRenamed("node", "set"), "set", "left").select("set", F.coalesce("component", "set").alias("component"))
     members = stored(members, "jaccard-members")
@@ -461,7 +484,7 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     probes = probes.select(F.xxhash64("large", "block").alias("key"), F.lit(True).alias("probe"), "set").distinct()
     last = stored(_linked(_answers(inside.union(probes), sets), threshold), "jaccard-links")
-    for done in (marked, *held):
+    for done in (open_lists, *held):
         discard(done)
     free_shuffles(spark)
     return documents, components(links.union(last))
@@ -471,18 +494,62 @@ def _linked(answers: DataFrame, threshold: int) -> DataFrame:
     return answers.where(_similar(F.col("overlap"), F.col("size_a") + F.col("size_b"), threshold)).select("a", "b")
 
 
-def _marked_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists with each set's component; a set without links is its own."""
+def _only_open(long):
+    """The rows of lists with several components. Rows of a list beyond ``long`` rows are all
+    passed on, in pieces, and marked."""
+    names = ["token", "set", "size", "pos", "component"]
+
+    def batch_of(cols, is_long):
+        return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(is_long)], names=[*names, "long"])
+
+    def whole(cols):
+        starts = np.flatnonzero(np.diff(cols[0], prepend=cols[0][0] - 1))
+        mixed = np.minimum.reduceat(cols[4], starts) != np.maximum.reduceat(cols[4], starts)
+        length = np.diff(np.append(starts, len(cols[0])))
+        at = np.repeat(mixed, length)
+        return batch_of([x[at] for x in cols], np.repeat(length > long, length)[at])
+
+    def rows(batches):
+        held, passed = None, None  # rows of the last list; its token once a piece of it went on
+        for batch in batches:
+            cols = [batch.column(c).to_numpy() for c in names]
+            if passed is not None and len(cols[0]):
+                more = np.searchsorted(cols[0] != passed, True)
+                if more:
+                    yield batch_of([x[:more] for x in cols], np.ones(more, dtype=bool))
+                cols = [x[more:] for x in cols]
+                if len(cols[0]):
+                    passed = None
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+            if not len(cols[0]):
+                continue
+            other = np.flatnonzero(cols[0] != cols[0][-1])
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield whole([x[:cut] for x in cols])
+            held = [x[cut:] for x in cols]
+            if len(held[0]) > long:
+                yield batch_of(held, np.ones(len(held[0]), dtype=bool))
+                held, passed = None, held[0][0]
+        if held is not None:
+            yield whole(held)
+    return rows
+
+
+def _open_lists(lists: DataFrame, labels: DataFrame, long: int) -> DataFrame:
+    """The lists of several components, with each set's component (a set without links is its
+    own) and whether the list is too long for a task. Components only grow, so other lists
+    need no look again."""
     marked = lists.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
-    return stored(marked, "jaccard-marked")
+    marked = marked.select("token", "set", "size", "pos", "component").repartition("token").sortWithinPartitions("token", "size", "set")
+    return stored(marked.mapInArrow(_only_open(long), "token long, set long, size int, pos int, component long, long boolean"), "jaccard-open")
 
 
-def _open_lists(marked: DataFrame, long: int) -> tuple[DataFrame, DataFrame]:
-    """Lists of several components: those that fit in a task, sorted, and the longer ones."""
-    mixed = marked.groupBy("token").agg(F.count("*").alias("n_sets"), (F.min("component") != F.max("component")).alias("mixed")).where("mixed")
-    lists = marked.join(mixed.select("token", "n_sets"), "token")
-    short = lists.where(F.col("n_sets") <= long).repartition("token").sortWithinPartitions("token", "size", "set")
-    return short.select("token", "set", "size", "pos", "component"), lists.where(F.col("n_sets") > long)
+def _in_tasks(lists: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` over the lists that fit in a task, each whole."""
+    short = lists.where("not long").drop("long").repartition("token").sortWithinPartitions("token", "size", "set")
+    return short.mapInArrow(work, schema)
 
 
 def jaccard_components(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long: int = LONG) -> DataFrame:
