@@ -1,9 +1,9 @@
 """Benchmark decontamination: hash set of test n-grams, scanned over token windows.
 
 A benchmark item gives all runs of 10 consecutive words, or its whole sequence
-if it has fewer. The windows are sent to the executors as a hash set. Each text
-is turned into word numbers of the benchmark's vocabulary, a rolling hash of
-each window is looked up, and hits are verified word by word.
+if it has fewer. The windows are sent to the executors as a hash set in sorted
+arrays. Each text is turned into word numbers of the benchmark's vocabulary, a
+hash of each window is looked up, and hits are verified word by word.
 
 The set is broadcast in blocks of bounded size: a benchmark above
 ``block_bytes`` is cut into blocks by item, and the texts are scanned once a
@@ -12,9 +12,9 @@ block, with the hits so far stored beside them.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import uuid
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
@@ -38,56 +38,88 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class WindowSet:
-    """The windows of some benchmark items, with the items each of them stands for."""
+    """The windows of some benchmark items, with the items each of them stands for.
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], n: int = N):
-        self.numbers = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for _, ws in items for w in ws))}
+    The items' words are one array of word numbers. Windows of one length are a sorted
+    array of 64-bit hashes beside the places where they start: about 16 bytes a window.
+    It is built on the driver; only the vocabulary becomes a dictionary in a worker.
+    """
+
+    def __init__(self, items: list[tuple[str, str]], n: int = N):
+        numbers: dict[bytes, int] = {}
+        parts = []
+        for _, text in items:
+            parts.append(np.array([numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)], dtype=np.uint32))
         self.items = [k for k, _ in items]
+        self.words = np.concatenate([*parts, np.empty(0, dtype=np.uint32)])
+        lengths = np.array(list(map(len, parts)), dtype=np.int64)
+        self.ends = np.cumsum(lengths)
+        self.vocabulary = b" ".join(numbers)
         self.factors = np.random.default_rng(5).integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        owners: dict[int, dict[bytes, set[int]]] = {}
-        for k, (_, ws) in enumerate(items):
-            ids = np.array([self.numbers[w] for w in ws], dtype=np.uint64)
-            size = min(n, len(ids))
-            for i in range(len(ids) - size + 1 if size else 0):
-                owners.setdefault(size, {}).setdefault(ids[i:i + size].tobytes(), set()).add(k)
-        self.owners = owners
-        self.filters = {}
-        for size, windows in owners.items():
-            seen = np.zeros(1 << 20, dtype=bool)
-            seen[self._hash(np.array([np.frombuffer(w, dtype=np.uint64) for w in windows]).T)] = True
-            self.filters[size] = seen
+        self.windows = {}
+        sizes = np.minimum(lengths, n)
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            starts = [np.arange(e - k, e - size + 1) for e, k, s in zip(self.ends, lengths, sizes) if s == size]
+            self.windows[size] = self._sorted(np.concatenate(starts), size)
+
+    def _sorted(self, at: np.ndarray, size: int):
+        """(hashes in order, where their windows start, filter on the first bits)."""
+        hashes = self._hash([self.words[at + j] for j in range(size)])
+        order = np.lexsort((at, hashes))
+        hashes, at = hashes[order], at[order]
+        again = (hashes[1:] == hashes[:-1]) & (self.item_of(at[1:]) == self.item_of(at[:-1]))
+        for j in range(size):
+            again &= self.words[at[1:] + j] == self.words[at[:-1] + j]
+        fresh = np.append(True, ~again)  # a window that an item repeats is kept once
+        hashes, at = hashes[fresh], at[fresh].astype(np.uint32)
+        shift = np.uint64(64 - min(26, max(20, (8 * len(hashes)).bit_length())))
+        seen = np.zeros(1 << (64 - int(shift)), dtype=bool)
+        seen[hashes >> shift] = True
+        return hashes, at, seen, shift
+
+    def item_of(self, at) -> np.ndarray:
+        return np.searchsorted(self.ends, at, side="right")
+
+    @cached_property
+    def numbers(self) -> dict[bytes, int]:
+        return {w: i + 1 for i, w in enumerate(self.vocabulary.split())}
 
     def _hash(self, columns) -> np.ndarray:
-        total = columns[0] * self.factors[0]
+        total = columns[0].astype(np.uint64) * self.factors[0]
         for c, f in zip(columns[1:], self.factors[1:]):
             total = total + c * f
-        return (total >> np.uint64(44)).astype(np.int64)
+        return total ^ total << np.uint64(29)
 
     def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[int]]:
         """(mask of hit words, indexes of the items with occurring windows)."""
         hit, found = np.zeros(len(words), dtype=bool), set()
-        ids = np.fromiter(map(self.numbers.get, words, repeat(0)), dtype=np.uint64, count=len(words))
-        for size, windows in self.owners.items():
+        ids = np.fromiter(map(self.numbers.get, words, repeat(0)), dtype=np.uint32, count=len(words))
+        for size, (hashes, at, seen, shift) in self.windows.items():
             n = len(ids) - size + 1
             if n <= 0:
                 continue
-            maybe = self.filters[size][self._hash([ids[j:n + j] for j in range(size)])]
-            for i in np.flatnonzero(maybe):
-                owner = windows.get(ids[i:i + size].tobytes())
-                if owner:
+            own = self._hash([ids[j:n + j] for j in range(size)])
+            maybe = np.flatnonzero(seen[own >> shift])
+            first, last = np.searchsorted(hashes, own[maybe]), np.searchsorted(hashes, own[maybe], side="right")
+            for i, a, b in zip(maybe[first < last], first[first < last], last[first < last]):
+                starts = at[a:b].astype(np.int64)
+                same = np.ones(len(starts), dtype=bool)
+                for j in range(size):
+                    same &= self.words[starts + j] == ids[i + j]
+                if same.any():
                     hit[i:i + size] = True
-                    found |= owner
+                    found.update(self.item_of(starts[same]).tolist())
         return hit, found
 
 
 _SETS: dict[str, WindowSet] = {}
 
 
-def _window_set(shared, key: str, n: int) -> WindowSet:
+def _window_set(shared, key: str) -> WindowSet:
     """One set for each Python worker and broadcast; only the last is kept."""
     if key not in _SETS:
         _SETS.clear()
-        _SETS[key] = WindowSet(shared.value, n)
+        _SETS[key] = shared.value
     return _SETS[key]
 
 
@@ -97,7 +129,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):
-        yield [(r[0], words_of(r[1])) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
+        yield [(r[0], r[1]) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -118,7 +150,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, block_byte
         key = uuid.uuid4().hex
 
         def rows(batches):
-            windows = _window_set(shared, key, n)
+            windows = _window_set(shared, key)
             for batch in batches:
                 cols = batch.to_pydict()
                 out = {k: [] for k in (("n_words", "n_hit") if last else ()) + ("items", "spans")}
@@ -148,9 +180,9 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, n: int = N, block_byte
     blocks = _blocks(benchmark, block_bytes)
     block = next(blocks)
     for following in blocks:
-        state = stored(state.mapInArrow(scan(spark.sparkContext.broadcast(block), False), kept), "decontamination")
+        state = stored(state.mapInArrow(scan(spark.sparkContext.broadcast(WindowSet(block, n)), False), kept), "decontamination")
         block = following
-    return state.mapInArrow(scan(spark.sparkContext.broadcast(block), True), final)
+    return state.mapInArrow(scan(spark.sparkContext.broadcast(WindowSet(block, n)), True), final)
 
 
 def cut_words(text: str | None, spans: list[list[int]]) -> str | None:

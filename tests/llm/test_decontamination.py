@@ -43,3 +43,21 @@ def test_empty(spark, nothing, edges):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert d.scan_documents(nothing, bench).collect() == []
     assert not any(r.contaminated for r in d.scan_documents(edges, bench.limit(0)).collect())
+
+
+def test_shared_and_repeated_windows():
+    passage = " ".join(f"p{k}" for k in range(12))
+    items = [(str(k), f"own{k} {passage}") for k in range(50)] + [("again", "a " * 40), ("short", "a b")]
+    w = d.WindowSet(items)
+    hashes, at, _, _ = w.windows[10]
+    assert len(hashes) == len(at) == 50 * 4 + 1  # the 31 equal windows of one item are kept once
+    hit, found = w.scan(d.words_of(f"x {passage} y a b"))
+    assert hit.tolist() == [False, *[True] * 12, False, True, True] and found == {*range(50), 51}
+    assert w.scan(d.words_of("a " * 9))[1] == set()
+
+
+def test_a_window_takes_few_bytes():
+    items = [(str(i), " ".join(f"w{(i * 7919 + k * k) % 5000}" for k in range(200))) for i in range(500)]
+    w = d.WindowSet(items)
+    kept = w.words.nbytes + sum(h.nbytes + at.nbytes for h, at, _, _ in w.windows.values())
+    assert kept <= 17 * 200 * 500

@@ -1,5 +1,9 @@
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 from retentio.llm import jaccard_join as j
 
 
@@ -39,3 +43,29 @@ def test_against_brute_force(edges, edge_rows):
 
 def test_empty(nothing):
     assert j.jaccard_components(nothing).collect() == []
+
+
+def test_a_list_of_unlinked_sets_takes_linear_rows():
+    n = 1500
+    sets = np.arange(n, dtype=np.int64) * 7919 + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(n, dtype=np.int64)), pa.array(sets), pa.array(np.full(n, 50, dtype=np.int32)),
+                                        pa.array(np.zeros(n, dtype=np.int32)), pa.array(sets)], names=["token", "set", "size", "pos", "component"])
+    tracemalloc.start()
+    out = list(j._attach(80)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n <= sum(b.num_rows for b in out) <= 2 * n and peak < 4_000_000
+    pairs = list(j._between(80, 10_000)([batch]))
+    assert sum(b.num_rows for b in pairs) == n * (n - 1) // 2 and max(b.num_rows for b in pairs) < 10_000 + n
+
+
+def test_only_lists_of_several_components_stay():
+    token = np.repeat(np.arange(5), [3, 6, 2, 7, 1]).astype(np.int64)
+    comp = np.array([1, 1, 1, 1, 1, 1, 2, 2, 2, 3, 4, 5, 5, 5, 5, 5, 5, 5, 9], dtype=np.int64)
+    cols = [token, np.arange(len(token), dtype=np.int64), np.full(len(token), 9, dtype=np.int32), np.zeros(len(token), dtype=np.int32), comp]
+    for step in (1, 3, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[k:k + step]) for x in cols], names=["token", "set", "size", "pos", "component"]) for k in range(0, len(token), step)]
+        got = [(r["token"], r["set"], r["long"]) for b in j._only_open(4)(iter(batches)) for r in b.to_pylist()]
+        open_rows = [(t, s, t == 1) for t, s in zip(token.tolist(), range(len(token))) if t in (1, 2)]
+        assert [r for r in got if r[0] != 3] == open_rows
+        assert all(r[2] for r in got if r[0] == 3)  # one component, but longer than a task holds
