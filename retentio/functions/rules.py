@@ -47,7 +47,7 @@ def rules_from_frame(df: DataFrame) -> dict[str, list[tuple[str, str]]]:
     """Load a long rule frame (filter, search, value, priority); bounded, then compiled."""
     rows = df.orderBy("priority").limit(MAX_RULES + 1).collect()
     if len(rows) > MAX_RULES:
-        raise ValueError(f"rule sheet has more than {MAX_RULES} rows")
+        raise ValueError(f"rule sheet has more than {MAX_RULES} rows: use operators.matcher.attach_classes")
     return compile_rules([(r["filter"], r["search"], r["value"]) for r in rows])
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..functions import rules as R
 from ..functions import windows as W
-from ..operators import boards, cohorts, curves, lifecycle, population, spend
+from ..operators import boards, cohorts, curves, lifecycle, matcher, population, spend
 from ..sources import lookups as L
 from ..sources.adapter import Model, stored_model
 from ..sources.tables import load_tables
@@ -576,9 +576,8 @@ def _legacy_frequency_segments(m):
 @query("campaign_classes")
 def _campaign_classes(m):
     """D15 on its own: every campaign with its classes."""
-    rules, _, _, _ = _sheets(m)
     names = spend.clean_campaign_frame(m.campaigns().select(F.col("campaign_name").alias("Campaign")), ["Campaign"]).distinct()
-    return R.classify_campaigns(names, "Campaign", rules)
+    return matcher.attach_classes(names, "Campaign", L.load_sheets(m.spark, sheets_folder())["rules"])
 
 
 @query("country_net_spend")
