@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column
@@ -168,3 +169,22 @@ def created_in(df, start, end=None):
     if end is not None:
         cond = cond & (F.col("created_month") <= F.trunc(F.lit(end), "MM"))
     return df.filter(cond).drop("created_month")
+
+
+def local_day(ts, tz) -> Column:
+    """SF21: the day of a UTC timestamp in a zone; without a zone, its UTC day."""
+    return F.coalesce(F.to_date(local_time(ts, tz)), F.to_date(c(ts)))
+
+
+def created_near(df, start, end=None):
+    """Vouchers that any zone may count as made from ``start`` on (until ``end``): the UTC
+    window a day wider on both sides, as zones lie 12 hours behind UTC to 14 ahead. It prunes
+    like ``created_in``; ``made_on`` then decides by each row's own zone."""
+    day = dt.timedelta(days=1)
+    return created_in(df, start - day, None if end is None else end + day)
+
+
+def made_on(start, end=None, ts="created_at", tz="timezone") -> Column:
+    """FLT2: the row's local day lies in the window."""
+    day = local_day(ts, tz)
+    return day >= F.lit(start) if end is None else day.between(F.lit(start), F.lit(end))

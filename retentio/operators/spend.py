@@ -487,11 +487,12 @@ def voucher_validity_daily(m, as_of: dt.date, exclude_like=()) -> DataFrame:
                  F.when(F.col("payment_mode") == "TOTAL_AMOUNT", 1).otherwise(0).alias("iva"))
     cn = m.countries().select(F.col("country_id").alias("coupon_country_id"), "country_name", "currency_id", "timezone")
     uc = m.user_cities().select(F.col("user_id").alias("_u"), F.col("country").alias("_uc"), F.col("city").alias("_ucity"))
-    bc = X.created_in(m.creations(), start - dt.timedelta(days=16), as_of).filter("valid")
+    made_from = start - dt.timedelta(days=16)
+    bc = X.created_near(m.creations(), made_from, as_of).filter("valid")
     bc = bc.filter(F.coalesce(F.col("campaign_name") != "", F.lit(False)))
     if exclude_like:
         bc = bc.filter(X.not_like_any("campaign_name", exclude_like))
-    bc = bc.join(cn, "coupon_country_id", "left")
+    bc = bc.join(cn, "coupon_country_id", "left").filter(X.made_on(made_from, as_of))
     bc = bc.join(uc, (F.col("user_id") == F.col("_u")) & (F.col("country_name") == F.col("_uc")), "left")
     bc = bc.select("coupon_id", F.col("campaign_name").alias("Campaign"), F.coalesce("country_name", F.lit("-")).alias("Country"),
                    F.coalesce("discount_type", F.lit("-")).alias("Discount_Type"),
