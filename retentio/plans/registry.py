@@ -593,7 +593,7 @@ def _country_net_spend(m):
 @query("nested_discounts")
 def _nested_discounts(m):
     """SF29: the repeated field of the orders, unnested; rows and amount per month, type and payer."""
-    o = X.in_window(m.orders_nested(), W.n_month_start(today(), 3), today())
+    o = m.orders_nested(W.n_month_start(today(), 3), today())
     d = o.select("registered_date", F.explode("discounts").alias("d"))
     g = d.groupBy(X.month_key("registered_date").alias("Month"), F.col("d.discount_type_name").alias("Discount_Type"),
                   F.col("d.discount_paid_by").alias("Paid_By")).agg(F.count("*").alias("Discounts"), F.sum("d.discount_amount").alias("Amount"))

@@ -72,6 +72,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import windows
+from ..functions.exprs import in_months, in_window
 from ..operators import history
 from ..plans.guards import bounded_broadcast
 
@@ -323,16 +324,18 @@ class Model:
             )
         return self._get("discounts", build)
 
-    def orders_nested(self) -> DataFrame:
-        """Orders with the repeated ``discounts`` field, as the warehouse stores it."""
+    def orders_nested(self, start=None, end=None) -> DataFrame:
+        """Orders (of a window) with the repeated ``discounts`` field, as the warehouse stores
+        it. A window is applied to both facts before the discounts are gathered."""
         def build():
-            d = self.discounts()
+            d, o = self.discounts(), self.orders()
+            if start is not None:
+                d, o = in_months(d, start, end), in_window(o, start, end)
             arr = d.groupBy("order_id").agg(F.collect_list(F.struct(
                 "discount_type_id", "discount_type_name", "discount_amount", "discount_paid_by")).alias("discounts"))
-            o = self.orders()
             return o.join(arr, "order_id", "left").withColumn(
                 "discounts", F.coalesce("discounts", F.array().cast(arr.schema["discounts"].dataType)))
-        return self._get("orders_nested", build)
+        return self._get("orders_nested", build) if start is None else build()
 
     def creations(self) -> DataFrame:
         """Voucher creations: one row per voucher, used or not."""

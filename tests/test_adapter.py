@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from retentio.session import cluster_conf
@@ -30,3 +32,12 @@ def test_one_acquisition_per_user_and_first_confirmed(spark):
 def test_cluster_conf_sizes_partitions():
     c = cluster_conf(100 << 40)               # 100 TB
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+
+def test_nested_orders_of_a_window(spark):
+    m = Model(load_tables(spark, SF))
+    start, end = dt.date(1996, 3, 10), dt.date(1996, 5, 20)
+    key = lambda r: (r.order_id, sorted(map(str, r.discounts)))
+    whole = m.orders_nested().where(F.col("registered_date").between(start, end))
+    want = sorted(map(key, whole.collect()))
+    assert want and sorted(map(key, m.orders_nested(start, end).collect())) == want
