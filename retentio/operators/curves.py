@@ -40,7 +40,7 @@ def _next_month_first(m, users: DataFrame, start: dt.date, end: dt.date) -> Data
 def curve_points(m, start: dt.date, end: dt.date, orders_end: dt.date, kind: str = "M1") -> DataFrame:
     """Raw curve rows (SQL level): Month, Country, [Voucher,] date, cohort size, reorders."""
     if kind == "M1":
-        inc = m.coupons().select("order_id").distinct().withColumn("_v", F.lit(True))
+        inc = X.in_months(m.coupons(), start, end).select("order_id").distinct().withColumn("_v", F.lit(True))
         acq = (X.in_window(m.orders(), start, end).filter(F.col("is_acquisition") == 1)
                .join(inc, "order_id", "left")
                .select("user_id", F.col("country_name").alias("country"),
