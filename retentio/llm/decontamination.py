@@ -45,11 +45,13 @@ class WindowSet:
     It is built on the driver; only the vocabulary becomes a dictionary in a worker.
     """
 
-    def __init__(self, items: list[tuple[str, str]], n: int = N):
+    def __init__(self, items: list[tuple[str, str | list[bytes] | None]], n: int = N):
+        """``items``: (id, text), or (id, words of the text)."""
         numbers: dict[bytes, int] = {}
         parts = []
         for _, text in items:
-            parts.append(np.array([numbers.setdefault(w, len(numbers) + 1) for w in words_of(text)], dtype=np.uint32))
+            words = text if isinstance(text, list) else words_of(text)
+            parts.append(np.array([numbers.setdefault(w, len(numbers) + 1) for w in words], dtype=np.uint32))
         self.items = [k for k, _ in items]
         self.words = np.concatenate([*parts, np.empty(0, dtype=np.uint32)])
         lengths = np.array(list(map(len, parts)), dtype=np.int64)
