@@ -15,9 +15,12 @@ each set of the smaller one meets the larger one's sets in blocks. A block keeps
 one set whole and the others as their differences from it: the overlap with the
 first is computed, those with the others are derived from it.
 
-Sets travel only if they are in a candidate pair. The global order comes from a
-table of ``BUCKETS`` counters, whose size does not depend on the data; any
-order gives the same links.
+Before any comparison the candidates' odd sketches meet, a bit for each shingle:
+where two sketches differ, so do the sets, which rules out most candidates that
+only share a frequent shingle and never one that is similar. Sets travel only if
+their sketches let them be similar. The global order comes from a table of
+``BUCKETS`` counters, whose size does not depend on the data; any order gives the
+same links.
 """
 
 from __future__ import annotations
@@ -41,9 +44,7 @@ BLOCK = 500
 LEADS = tuple(f"lead{k}" for k in range(1, LEADERS + 1))
 #: A longer list is joined in salted parts instead of inside one task.
 LONG = 50_000
-_WORDS_KEPT = 300_000
 _MUL = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
-_hashes: dict[bytes, int] = {}
 
 
 def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
@@ -51,15 +52,7 @@ def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.empty(0, dtype=np.int64)
-    if len(_hashes) > _WORDS_KEPT:
-        _hashes.clear()
-    hashes = []
-    for w in words:
-        h = _hashes.get(w)
-        if h is None:
-            h = _hashes[w] = xxhash.xxh3_64_intdigest(w)
-        hashes.append(h)
-    h = np.array(hashes, dtype=np.uint64)
+    h = np.array(list(map(xxhash.xxh3_64_intdigest, words)), dtype=np.uint64)
     size = min(n, len(h))
     total = np.full(len(h) - size + 1, size, dtype=np.uint64)
     for j in range(size):
@@ -67,7 +60,8 @@ def shingles(text: str | None, n: int = WORDS) -> np.ndarray:
         total ^= total >> np.uint64(32)
     total *= _MUL[1]
     total ^= total >> np.uint64(29)
-    return np.unique(total.view(np.int64))
+    total = np.sort(total.view(np.int64))
+    return total[np.append(True, total[1:] != total[:-1])]
 
 
 def _set_id(hashes: np.ndarray) -> int | None:
@@ -77,6 +71,16 @@ def _set_id(hashes: np.ndarray) -> int | None:
     return x - (x >> 63 << 64)
 
 
+def _sketch(hashes: np.ndarray) -> bytes | None:
+    """Odd sketch: each bit is the parity of the hashes with these low bits. The bits in which
+    two sketches differ are at most as many as the elements in which the sets do; a sketch is
+    folded to half its width by the exclusive or of its halves."""
+    if not len(hashes):
+        return None
+    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    return np.packbits(np.bincount(hashes & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
 def _describe(n, buckets):
     """A row per document, and at the end of the task one with its shingle counters."""
     def rows(batches):
@@ -87,13 +91,15 @@ def _describe(n, buckets):
             if any(map(len, sets)):
                 counts += np.bincount(np.concatenate(sets) & (buckets - 1), minlength=buckets)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(_set_id, sets)), pa.int64()), keys, pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())],
-                names=["doc_id", "n", "set", "key", "bucket", "count"])
+                [ids, pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(_set_id, sets)), pa.int64()), keys, pa.array(list(map(_sketch, sets)), pa.binary()),
+                 pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())],
+                names=["doc_id", "n", "set", "key", "sketch", "bucket", "count"])
         at = np.flatnonzero(counts)
         if len(at):
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(at), ids.type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.array(at.astype(np.int32)), pa.array(counts[at])],
-                names=["doc_id", "n", "set", "key", "bucket", "count"])
+                [pa.nulls(len(at), ids.type), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()),
+                 pa.array(at.astype(np.int32)), pa.array(counts[at])],
+                names=["doc_id", "n", "set", "key", "sketch", "bucket", "count"])
     return rows
 
 
@@ -121,7 +127,7 @@ def _prefixes(shared, n, buckets, threshold):
                 seen.add(own)
                 size = len(hashes)
                 length = size - (threshold * size + 99) // 100 + 1
-                first = np.lexsort((hashes, counts[hashes & (buckets - 1)]))[:length]
+                first = np.argsort(counts[hashes & (buckets - 1)], kind="stable")[:length]  # hashes are sorted
                 held.append((hashes[first], np.full(length, own, dtype=np.int64), np.full(length, size, dtype=np.int32), np.arange(length, dtype=np.int32)))
                 held_rows += length
                 if held_rows > 300_000:
@@ -151,11 +157,12 @@ def _lists(threshold, long):
     Rows come by token and size. A list is cut where sizes differ too much to be
     similar; each part has LEADERS leaders, the first sets of as many pseudo-random
     orders. A list may be any length: beyond ``long`` rows it is passed on in
-    pieces, and only a leader goes from one piece to the next.
+    pieces, and only a leader goes from one piece to the next. A list of two sets
+    is marked as done: its leader answers for it.
     """
     names = ["token", "set", "size", "pos"]
 
-    def run(cols, carry):
+    def run(cols, carry, whole=True):
         if carry is not None:  # a leader of the list that goes on
             cols = [np.concatenate(([c], x)) for c, x in zip(carry, cols)]
         token, own = cols[:2]
@@ -166,7 +173,8 @@ def _lists(threshold, long):
         start = np.ones(len(token), dtype=bool)
         start[1:] = token[1:] != token[:-1]
         run_of = np.cumsum(start) - 1
-        keep = np.bincount(run_of)[run_of] > 1
+        length = np.bincount(run_of)[run_of]
+        keep = length > 1
         while True:  # cut the lists where the largest size is too far from the smallest
             head = np.maximum.accumulate(np.where(start, index, 0))
             over = threshold * size.astype(np.int64) > 100 * size[head].astype(np.int64)
@@ -186,7 +194,8 @@ def _lists(threshold, long):
                 no |= lead == before
             taken.append(lead)
             leads.append(pa.array(own[lead][keep], mask=no[keep]))
-        out = pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, own, size, pos)] + leads, names=[*names, *LEADS])
+        done = pa.array((length[keep] == 2) & whole)
+        out = pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, own, size, pos)] + leads + [done], names=[*names, *LEADS, "done"])
         return out, tuple(x[taken[0][-1]] for x in (token, own, size, pos))
 
     def rows(batches):
@@ -203,12 +212,13 @@ def _lists(threshold, long):
             cut = cut if whole else len(cols[0])
             if cut:
                 goes_on = carry is not None and carry[0] == cols[0][0]
-                out, last = run([x[:cut] for x in cols], carry if goes_on else None)
+                out, last = run([x[:cut] for x in cols], carry if goes_on else None, whole and not goes_on)
                 carry = None if whole else last
                 yield out
             held = [x[cut:] for x in cols] if cut < len(cols[0]) else None
         if held is not None:
-            yield run(held, carry if carry is not None and carry[0] == held[0][0] else None)[0]
+            goes_on = carry is not None and carry[0] == held[0][0]
+            yield run(held, carry if goes_on else None, not goes_on)[0]
     return rows
 
 
@@ -321,11 +331,11 @@ def _long_pairs(lists: DataFrame, threshold: int, salts: int = 16) -> DataFrame:
         F.col("a_set").alias("a"), F.col("b_set").alias("b"), F.col("a_component").alias("component_a"), F.col("b_component").alias("component_b")).distinct()
 
 
-def _sets_of(docs: DataFrame, documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+def _sets_of(docs: DataFrame, sketches: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(set, size, hashes) of the sets in ``wanted`` (column set), each from one of its texts.
 
     Only texts whose key has its bit in a bitmap of the wanted keys are cut into shingles."""
-    keys = documents.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("key").alias("key"))
+    keys = sketches.join(wanted, "set", "left_semi").select("key")
     bits, bitmap = bitmap_of(keys, "key")
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -350,6 +360,13 @@ def _sets_of(docs: DataFrame, documents: DataFrame, wanted: DataFrame, n: int) -
     return stored(found.groupBy("set").agg(F.first("hashes").alias("hashes")).withColumn("size", F.size("hashes").cast("long")), "jaccard-sets")
 
 
+def _with_more(sets: DataFrame, docs: DataFrame, sketches: DataFrame, work: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``sets`` with those of ``work`` that are not among them, and the frame of these alone."""
+    missing = work.select("set").distinct().join(sets.select("set"), "set", "left_anti")
+    more = _sets_of(docs, sketches, stored(missing, "jaccard-missing"), n)
+    return sets.union(more), more
+
+
 class _Block:
     """Some sets, kept as a pivot and what each of them has more or less than it.
 
@@ -402,6 +419,76 @@ def _compare(batches):
         yield pa.RecordBatch.from_arrays([pa.array(cols[:, c].copy()) for c in range(5)], names=["a", "b", "size_a", "size_b", "overlap"])
 
 
+def _fold(words: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (in the last axis) as they would be with ``width`` words."""
+    while words.shape[-1] > width:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
+class _Sketches:
+    """A block's sketches by width, and which of its sets some probe may be similar to."""
+
+    def __init__(self, members: list[tuple[int, int, bytes]], threshold: int):
+        self.threshold, self.groups = threshold, []
+        for width in {len(x) for _, _, x in members}:
+            group = [m for m in members if len(m[2]) == width]
+            words = np.frombuffer(b"".join(x for _, _, x in group), dtype=np.uint64).reshape(len(group), -1)
+            self.groups.append(([own for own, _, _ in group], np.array([size for _, size, _ in group]), {words.shape[1]: words}, np.zeros(len(group), dtype=bool)))
+
+    def meets(self, size: int, sketch: bytes) -> bool:
+        probe, met = np.frombuffer(sketch, dtype=np.uint64), False
+        for _, sizes, by_width, used in self.groups:
+            width = min(len(probe), max(by_width))
+            if width not in by_width:
+                by_width[width] = _fold(by_width[max(by_width)], width)
+            apart = np.bitwise_count(by_width[width] ^ _fold(probe, width)).sum(axis=1, dtype=np.int64)
+            both = sizes + size  # twice the overlap is at most both - apart
+            fits = (100 + self.threshold) * (both - apart) >= 2 * self.threshold * both
+            if fits.any():
+                used |= fits
+                met = True
+        return met
+
+    def used(self) -> list[int]:
+        return [own for owns, _, _, used in self.groups for own, u in zip(owns, used) if u]
+
+
+def _may_be_similar(threshold):
+    """The rows of work whose sketches leave it open that they are similar: probes, and sets of
+    their block. Rows come by key, the block's sets before the probes."""
+    def batch_of(rows):
+        key, probe, own = zip(*rows) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(probe, pa.bool_()), pa.array(own, pa.int64())], names=["key", "probe", "set"])
+
+    def rows(batches):
+        key, members, block = None, [], None
+        for batch in batches:
+            out = []
+            for k, probe, own, size, sketch in zip(*(batch.column(c).to_pylist() for c in ("key", "probe", "set", "size", "sketch"))):
+                if k != key:
+                    if block:
+                        out += [(key, False, x) for x in block.used()]
+                    key, members, block = k, [], None
+                if not probe:
+                    members.append((own, size, sketch))
+                elif members:
+                    block = block or _Sketches(members, threshold)
+                    if block.meets(size, sketch):
+                        out.append((k, True, own))
+            yield batch_of(out)
+        if block:
+            yield batch_of([(key, False, x) for x in block.used()])
+    return rows
+
+
+def _possible(work: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
+    """``work`` (key, probe, set) without what the sketches rule out, stored."""
+    rows = work.join(sketches.select("set", "size", "sketch"), "set").repartition("key").sortWithinPartitions("key", "probe")
+    return stored(rows.select("key", "probe", "set", "size", "sketch").mapInArrow(_may_be_similar(threshold), "key long, probe boolean, set long"), "jaccard-possible")
+
+
 def _answers(work: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, size_a, size_b, overlap) of ``work`` (key, probe, set): a is the set of the
     block that the probe b is most similar to."""
@@ -427,7 +514,7 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     spark = ship(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
-    described = stored(docs.mapInArrow(_describe(n, BUCKETS), f"doc_id {id_type}, n long, set long, key long, bucket int, count long"), "jaccard-documents")
+    described = stored(docs.mapInArrow(_describe(n, BUCKETS), f"doc_id {id_type}, n long, set long, key long, sketch binary, bucket int, count long"), "jaccard-documents")
     documents = described.where("bucket is null").select("doc_id", "n", "set", "key")
     counts = np.zeros(BUCKETS, dtype=np.int64)
     table = described.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()  # BUCKETS rows at most
@@ -436,18 +523,20 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     row = "token long, set long, size int, pos int"
     prefixes = docs.select("text", "key").mapInArrow(_prefixes(spark.sparkContext.broadcast(counts.tobytes()), n, BUCKETS, threshold), row)
     lists = stored(prefixes.repartition("token").sortWithinPartitions("token", "size", "set")
-                   .mapInArrow(_lists(threshold, long), row + "".join(f", {c} long" for c in LEADS)), "jaccard-lists")
+                   .mapInArrow(_lists(threshold, long), row + "".join(f", {c} long" for c in LEADS) + ", done boolean"), "jaccard-lists")
+    of_sets = described.where("set is not null").groupBy("set").agg(F.min("key").alias("key"), F.min("n").alias("size"), F.min("sketch").alias("sketch"))
+    sketches = stored(of_sets, "jaccard-sketches")
 
     free_shuffles(spark)
 
     # first answers: every set against its leaders
     leads = lists.select(F.explode(F.array_compact(F.array(*LEADS))).alias("a"), F.col("set").alias("b"))
     first = stored(leads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-leaders")
-    nodes = first.select(F.col("a").alias("set")).union(first.select("b")).distinct()
-    sets = _sets_of(docs, documents, stored(nodes, "jaccard-nodes"), n)
+    work = _possible(_one_by_one(first), sketches, threshold)
+    sets = _sets_of(docs, sketches, stored(work.select("set").distinct(), "jaccard-nodes"), n)
     free_shuffles(spark)
-    links = stored(_linked(_answers(_one_by_one(first), sets), threshold), "jaccard-links")
-    open_lists = _open_lists(lists.drop(*LEADS), components(links), long)
+    links = stored(_linked(_answers(work, sets), threshold), "jaccard-links")
+    open_lists = _open_lists(lists.where("not done"), components(links), long)
     discard(lists)
     free_shuffles(spark)
 
@@ -456,10 +545,12 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     tried = stored(_in_tasks(open_lists, _attach(threshold), "a long, b long").distinct(), "jaccard-tried")
     touched = tried.where("a = b").select(F.col("a").alias("set"))
     touched = stored(touched.union(across.select("a")).union(across.select("b")).distinct(), "jaccard-touched")
-    others = _sets_of(docs, documents, stored(touched.join(sets.select("set"), "set", "left_anti"), "jaccard-missing"), n)
-    held, sets = (sets, others), sets.union(others)
+    work = _possible(_one_by_one(tried.where("a < b").join(first, ["a", "b"], "left_anti")), sketches, threshold)
+    held = [sets]
+    sets, others = _with_more(sets, docs, sketches, work, n)
+    held.append(others)
     free_shuffles(spark)
-    more = stored(_linked(_answers(_one_by_one(tried.where("a < b").join(first, ["a", "b"], "left_anti")), sets), threshold), "jaccard-links")
+    more = stored(_linked(_answers(work, sets), threshold), "jaccard-links")
     links = links.union(more)
     joined = components(links)
     before, open_lists = open_lists, _open_lists(open_lists.drop("component", "long"), joined, long)
@@ -483,8 +574,12 @@ def link_sets(docs: DataFrame, n: int = WORDS, threshold: int = THRESHOLD, long:
     probes = members.join(sized.select("large", F.col("little").alias("component"), "blocks"), "component")
     probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     probes = probes.select(F.xxhash64("large", "block").alias("key"), F.lit(True).alias("probe"), "set").distinct()
-    last = stored(_linked(_answers(inside.union(probes), sets), threshold), "jaccard-links")
-    for done in (open_lists, *held):
+    work = _possible(inside.union(probes), sketches, threshold)
+    sets, others = _with_more(sets, docs, sketches, work, n)
+    held.append(others)
+    free_shuffles(spark)
+    last = stored(_linked(_answers(work, sets), threshold), "jaccard-links")
+    for done in (open_lists, sketches, *held):
         discard(done)
     free_shuffles(spark)
     return documents, components(links.union(last))
