@@ -24,13 +24,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +52,8 @@ LONG_WORDS, WORD_FLOOR = 400, 0.02
 HEAD = 1_000_000
 #: Model entries that are broadcast at once.
 BLOCK = 4_000_000
+#: Texts that a task takes out of an Arrow batch at once.
+PIECE = 500
 MIN_WORDS, MAX_REPEATED = 50, 50
 SYMBOLS = b"#*$%&|<>"
 _STEP = 1000
@@ -86,21 +88,32 @@ def base_rules(text: str | None) -> tuple[int, int, int, int, int]:
     raw = text.encode()
     words = raw.split()
     if not words:
-        return 0, 0, sum(map(raw.count, SYMBOLS)), 0, 0
-    blanks = sum(map(raw.count, b" \t\n\v\f\r"))
+        return 0, 0, len(raw) - len(raw.translate(None, SYMBOLS)), 0, 0
+    blanks = len(raw) - len(raw.translate(None, b" \t\n\v\f\r"))
     lines = [x for x in raw.split(b"\n") if x.strip()] if b"\n" in raw else [raw]
-    numbers: dict[bytes, int] = {}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.int64)
     repeated = 0
-    if len(ids) > 3:
-        k = len(numbers)
-        _, which, counts = np.unique((ids[:-2] * k + ids[1:-1]) * k + ids[2:], return_inverse=True, return_counts=True)
-        again = counts[which] > 1
-        mask = np.zeros(len(ids), dtype=bool)
-        for j in range(3):
-            mask[j:len(ids) - 2 + j] |= again
-        repeated = int(mask.sum())
-    return len(words), len(text) - blanks, sum(map(raw.count, SYMBOLS)), len(lines) - len(set(lines)), repeated
+    if len(words) > 3:
+        first: dict[bytes, int] = {}
+        ids, k = np.array(list(map(first.setdefault, words, range(len(words)))), dtype=np.int64), len(words)
+        if k > 1 << 21:  # three numbers below 2 ** 21 fit in 64 bits
+            ids, k = np.unique(ids, return_inverse=True)[1], len(first)
+        grams = (ids[:-2] * k + ids[1:-1]) * k + ids[2:]
+        in_order = np.sort(grams)
+        twice = in_order[1:][in_order[1:] == in_order[:-1]]
+        if len(twice):
+            again = np.isin(grams, twice)
+            mask = np.zeros(len(ids), dtype=bool)
+            for j in range(3):
+                mask[j:len(ids) - 2 + j] |= again
+            repeated = int(mask.sum())
+    return len(words), len(text) - blanks, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated
+
+
+def _pieces(batches, rows: int = PIECE):
+    """Batches of at most ``rows`` rows: a task holds the texts of one piece as Python strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def _count(batches):
@@ -117,7 +130,7 @@ def _count(batches):
             counts = both
         totals[lang] = (grams, counts)
 
-    for batch in batches:
+    for batch in _pieces(batches):
         held: dict[str | None, list] = {}
         sizes: dict[str | None, int] = {}
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
@@ -201,6 +214,7 @@ class Model:
         self.hashes = hashes[by_hash]
         self.log_p = table.column("log_p").to_numpy().astype(np.float32)[by_hash]
         self.back_off = table.column("back_off").to_numpy().astype(np.float32)[by_hash]
+        self.slots = np.empty(0, dtype=np.int32)
 
     def find(self, language: int, order: int, code: np.ndarray, values: np.ndarray) -> np.ndarray:
         """``values`` at the n-grams; nan for those that are not in the model."""
@@ -208,10 +222,27 @@ class Model:
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
         return np.where(self.hashes[at] == h, values[at], np.float32(np.nan))
 
+    def distinct(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct trigrams, and where each code stands among them; without sorting.
+        A place for each trigram of the classes that occur: few in a text, 256 ** 3 at most."""
+        classes = codes >> 16, codes >> 8 & 255, codes & 255
+        used = np.zeros(256, dtype=bool)
+        for c in classes:
+            used[c] = True
+        rank, n = np.cumsum(used) - 1, int(used.sum())
+        if len(self.slots) < n ** 3:
+            self.slots = np.empty(n ** 3, dtype=np.int32)
+        place = (rank[classes[0]] * n + rank[classes[1]]) * n + rank[classes[2]]
+        index = np.arange(len(codes), dtype=np.int32)
+        self.slots[place] = index
+        one = self.slots[place] == index
+        self.slots[place[one]] = index[:one.sum()]
+        return codes[one], self.slots[place]
+
     def log_probabilities(self, lang, codes: np.ndarray) -> np.ndarray:
         """Log probability of the last character of each trigram, with back-off."""
         number = self.languages[lang]
-        grams, which = np.unique(codes, return_inverse=True)
+        grams, which = self.distinct(codes)
         out = self.find(number, 3, grams, self.log_p)
         lost = np.zeros(len(grams), dtype=np.float32)
         for order, bits in ((2, 16), (1, 8)):
@@ -230,7 +261,7 @@ def _score(shared):
 
     def rows(batches):
         model = Model(*shared.value)
-        for batch in batches:
+        for batch in _pieces(batches):
             base, level, windows = [], [], []
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 base.append(base_rules(text))
@@ -278,19 +309,18 @@ def words_of(text: str) -> list[str]:
     return (text if text.isascii() else _IDEOGRAPHS.sub(r" \g<0> ", text)).split()
 
 
-class WordKeys(dict):
-    """64-bit hashes of a language's words, remembered."""
+class WordKeys:
+    """64-bit hashes of a language's words."""
 
     def __init__(self, lang: str | None):
-        self.start = hashlib.blake2b(b"" if lang is None else b"+" + lang.encode() + b"\0", digest_size=8)
+        self.seed = xxhash.xxh3_64_intdigest(b"" if lang is None else b"+" + lang.encode())
 
-    def __missing__(self, word):
-        if len(self) > 100_000:
-            self.clear()
-        h = self.start.copy()
-        h.update(word.encode())
-        self[word] = key = int.from_bytes(h.digest(), "little", signed=True)
-        return key
+    def of(self, words) -> np.ndarray:
+        key, seed = xxhash.xxh3_64_intdigest, self.seed
+        return np.array([key(w, seed) for w in words], dtype=np.uint64).view(np.int64)
+
+    def __getitem__(self, word: str) -> int:
+        return int(self.of([word])[0])
 
 
 def _count_words(batches):
@@ -298,12 +328,12 @@ def _count_words(batches):
     held: dict[str | None, Counter] = {}
 
     def rows(lang):
-        keys, counts = WordKeys(lang), held.pop(lang)
-        words = pa.array([keys[w] for w in counts], pa.int64())
+        counts = held.pop(lang)
+        words = pa.array(WordKeys(lang).of(counts))
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), words, pa.array(list(counts.values()), pa.int64())],
                                           names=["lang", "word", "n"])
 
-    for batch in batches:
+    for batch in _pieces(batches):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
             if text:
                 held.setdefault(lang, Counter()).update(words_of(text))
@@ -325,14 +355,15 @@ def _text_words(shared):
         if not len(head):
             head, n_head = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
         keys: dict[str | None, WordKeys] = {}
-        for batch in batches:
+        for batch in _pieces(batches):
             out, held = [], 0
             for text, lang, key in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "key"))):
                 counts = Counter(words_of(text)) if text else None
                 if not counts:
                     continue
-                of = keys.setdefault(lang, WordKeys(lang))
-                word = np.array([of[w] for w in counts], dtype=np.int64)
+                if lang not in keys:
+                    keys[lang] = WordKeys(lang)
+                word = keys[lang].of(counts)
                 own = np.array(list(counts.values()), dtype=np.int64)
                 at = np.minimum(np.searchsorted(head, word), len(head) - 1)
                 known = (head[at] == word) & (n_head[at] > 0)
@@ -387,7 +418,7 @@ def _picked(shared, copied: bool):
     def rows(batches):
         bits, raw = shared.value
         bitmap = np.frombuffer(raw, dtype=np.int64)
-        for batch in batches:
+        for batch in _pieces(batches):
             low = batch.column("key").to_numpy() & (bits - 1)
             yield batch.filter(pa.array((bitmap[low >> 6] >> (low & 63) & 1 == 1) == copied))
     return rows

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from retentio.llm import perplexity as p
@@ -122,3 +123,39 @@ def test_short_junk_is_rejected(spark):
 def test_empty(nothing):
     assert p.perplexity_rules(nothing).collect() == []
     assert math.isfinite(p.WIDTH)
+
+
+def test_repeated_words_and_marks_by_hand():
+    rng = random.Random(6)
+    for _ in range(200):
+        words = rng.choices(("a", "b", "c#", "é", "$|"), k=rng.randrange(0, 30))
+        text = "".join(w + rng.choice((" ", "\n", "\t", "\v\f", "\r ")) for w in words)
+        grams = Counter(zip(words, words[1:], words[2:]))
+        again = {k + j for k, g in enumerate(zip(words, words[1:], words[2:])) if grams[g] > 1 for j in range(3)}
+        got = p.base_rules(text)
+        assert got[:3] + got[4:] == (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(again))
+
+
+def test_distinct_trigrams_of_one_text_after_another():
+    model = object.__new__(p.Model)
+    model.slots = np.empty(0, dtype=np.int32)
+    for text in ("abcabcabc", "x", "bcabca漢字", "abcabcabc" * 50):
+        codes = p.trigrams(text)
+        grams, which = model.distinct(codes)
+        assert (grams[which] == codes).all() and sorted(grams) == sorted(set(codes.tolist()))
+        assert len(model.slots) <= 20 ** 3  # not a place for every trigram of 256 classes
+
+
+def test_a_task_takes_texts_out_in_pieces():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1201)), pa.array(["a b"] * 1201), pa.array(["en"] * 1201)], names=["key", "text", "lang"])
+    pieces = list(p._pieces([batch, batch.slice(0, 0)]))
+    assert [b.num_rows for b in pieces] == [500, 500, 201] and pa.Table.from_batches(pieces).equals(pa.Table.from_batches([batch]))
+    found = list(p._count_words(iter([batch])))
+    assert sum(b.num_rows for b in found) == 2 and found[0].column("n").to_pylist() == [1201, 1201]
+
+
+def test_word_keys_take_no_memory_and_tell_languages_apart():
+    keys = p.WordKeys("en")
+    words = [f"w{k}" for k in range(1000)] + ["é", "\U0001f600"]
+    assert len(set(keys.of(words).tolist())) == len(words) and keys["é"] == keys.of(["é"])[0]
+    assert len({p.WordKeys(lang)["a"] for lang in ("en", "fr", "", None)}) == 4
